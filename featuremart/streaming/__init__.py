@@ -1,0 +1 @@
+"""featuremart.streaming."""
