@@ -78,8 +78,8 @@ def parse_day_first_date(text, min_year: int = 1900, max_year: int | Column | No
         return F.when((F.year(d) >= min_year) & (F.year(d) <= hi), d)
 
     eight = F.length(t) == 8
-    day_first = F.try_to_date(t, F.lit("ddMMyyyy"))
-    month_first = F.try_to_date(t, F.lit("MMddyyyy"))
+    day_first = F.try_to_date(t, "ddMMyyyy")
+    month_first = F.try_to_date(t, "MMddyyyy")
     return F.when(eight, F.coalesce(ok(day_first), ok(month_first)))
 
 
