@@ -60,17 +60,16 @@ def missing_months(comp: DataFrame, tolerances: dict[str, int] | None = None) ->
                        "missing_days")
 
 
-def monthly_spine(df: DataFrame, date_col: str, end, start=None) -> DataFrame:
+def monthly_spine(df: DataFrame, date_col: str, end=None, start=None) -> DataFrame:
     """QA-06: month ends from the first month of the data (or ``start``) to
-    ``end``. The minimum is computed as a one-row aggregate and the sequence
-    is generated on the executors (no collect)."""
-    if start is not None:
-        lo = df.sparkSession.range(1).select(F.to_date(F.lit(start)).alias("__lo"))
-    else:
-        lo = df.select(F.min(F.to_date(F.col(date_col))).alias("__lo"))
-    seq = F.sequence(F.trunc("__lo", "month"), F.to_date(F.lit(end)) if not isinstance(end, Column)
-                     else end, F.expr("INTERVAL 1 MONTH"))
-    return lo.select(F.explode(seq).alias("__d")).select(F.last_day("__d").alias("info_date"))
+    ``end`` (default: the last month of the data). The bounds come from a
+    one-row aggregate and the sequence is generated on the executors."""
+    d = F.to_date(F.col(date_col))
+    lo = F.to_date(F.lit(start)) if start is not None else F.min(d)
+    hi = F.to_date(F.lit(end)) if end is not None else F.max(d)
+    bounds = df.agg(lo.alias("__lo"), hi.alias("__hi"))
+    seq = F.sequence(F.trunc("__lo", "month"), F.last_day("__hi"), F.expr("INTERVAL 1 MONTH"))
+    return bounds.select(F.explode(seq).alias("__d")).select(F.last_day("__d").alias("info_date"))
 
 
 def column_profile(df: DataFrame, table_name: str, date_col: str, spine: DataFrame,
