@@ -145,9 +145,10 @@ def quality_records(df: DataFrame, dataset: str, rules: QualityRules,
         for k in keys:
             not_null = not_null & F.col(k).isNotNull()
         dups = (base.where(not_null).groupBy("__m", *keys).count().where("count > 1")
-                .groupBy("__m").agg(F.count(F.lit(1)).alias("__dups")))
-        summary = summary.join(dups, "__m", "left").withColumn(
-            "__dups", F.coalesce("__dups", F.lit(0)))
+                .groupBy(F.col("__m").alias("__dm")).agg(F.count(F.lit(1)).alias("__dups")))
+        # null-safe: without a month column every row sits in the null month
+        summary = (summary.join(dups, summary["__m"].eqNullSafe(dups["__dm"]), "left")
+                   .drop("__dm").withColumn("__dups", F.coalesce("__dups", F.lit(0))))
         label = ", ".join(keys)
         n = F.col("__dups")
         checks.insert(0, _check(
