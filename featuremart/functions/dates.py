@@ -36,7 +36,8 @@ def whole_years_between(start, end, null_as_zero: bool = False) -> Column:
     m = F.months_between(F.to_date(_c(end)), F.to_date(_c(start)))
     if null_as_zero:
         m = F.coalesce(m, F.lit(0.0))
-    return F.floor(F.greatest(m, F.lit(0.0)) / 12).cast("int")
+    # ``greatest`` skips nulls, so an unknown date is kept null explicitly
+    return F.when(m.isNotNull(), F.floor(F.greatest(m, F.lit(0.0)) / 12)).cast("int")
 
 
 def whole_months_between(reference, other) -> Column:
