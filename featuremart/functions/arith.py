@@ -24,6 +24,15 @@ def sum_fields_nullsafe(cols: Iterable) -> Column:
     return reduce(add, [F.coalesce(_c(c), F.lit(0)) for c in cols])
 
 
+def nullsafe_sum(cols: Iterable, clamp_negative: bool = False) -> Column:
+    """JN-04 on columns already side by side: null only when every input is
+    null, negatives optionally clamped to 0."""
+    cs = [_c(c) for c in cols]
+    total = F.when(reduce(lambda a, b: a & b, [c.isNull() for c in cs]), F.lit(None)) \
+        .otherwise(sum_fields_nullsafe(cs))
+    return F.when(total < 0, F.lit(0)).otherwise(total) if clamp_negative else total
+
+
 def matching_columns(columns: Iterable[str], fixed: str, variants: Iterable[str] = ()) -> list[str]:
     """Columns whose name holds ``fixed`` and (if given) any of ``variants``."""
     vs = list(variants)

@@ -25,18 +25,23 @@ def join_all(frames: Sequence[DataFrame], on: Sequence[str], how: str = "left")
 
 
 def add_rate(df: DataFrame, rates: DataFrame, date_col: str, rate_date_col: str = "rate_date",
-             rate_col: str = "rate", snapshot: bool = False,
+             rate_col: str = "rate", snapshot: bool = False, one_row_per_day: bool = True,
              max_rows: int = 2_000_000) -> DataFrame:
     """JN-03: rate of the transaction day, or of the month end for snapshot
     tables; left join, a missing rate gives null (S-08).
 
-    Rates hold one row per day, so the side is small; it is still only
-    broadcast after the size check.
+    A rate table keyed by day has a bound that does not grow with the facts:
+    at most 366 rows a year (36,600 for a century), so it is broadcast
+    without a runtime check. Pass ``one_row_per_day=False`` for a rate table
+    that is not unique per day; it then goes through the size check.
     """
     key = F.last_day(F.col(date_col)) if snapshot else F.to_date(F.col(date_col))
     r = rates.select(F.col(rate_date_col).alias("__rate_dt"), F.col(rate_col).alias(rate_col))
-    out = join_small(df.withColumn("__rate_key", key), r,
-                     F.col("__rate_key") == F.col("__rate_dt"), "left", max_rows)
+    cond = F.col("__rate_key") == F.col("__rate_dt")
+    if one_row_per_day:
+        out = df.withColumn("__rate_key", key).join(F.broadcast(r), cond, "left")
+    else:
+        out = join_small(df.withColumn("__rate_key", key), r, cond, "left", max_rows)
     return out.drop("__rate_key", "__rate_dt")
 
 

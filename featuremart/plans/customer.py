@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.operators.columns import fill_numeric_zero
-from featuremart.operators.joins import join_all, sum_across
+from featuremart.functions.arith import nullsafe_sum
+from featuremart.operators import aggregates as A
 from featuremart.plans.features import MONTH_FEATURES_SQL, month_features_df
 from featuremart.plans.inputs import SNAPSHOTS_SQL, account_snapshots, t
 from featuremart.plans.registry import register
@@ -67,17 +67,20 @@ FROM cust LEFT JOIN assets a USING (customer_key, _observ_end_dt)
 def customer_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = account_snapshots(spark, sf_dir).withColumnRenamed("info_date", "_observ_end_dt")
     f = month_features_df(spark, sf_dir)
-    cust = s.select(*KEYS).distinct()
-    sav = s.where(F.col("status") == "F").groupBy(*KEYS).agg(F.sum("balance").alias("v"))
-    loan = s.where(F.col("status") == "O").groupBy(*KEYS).agg(F.sum("balance").alias("v"))
-    cur = f.groupBy(*KEYS).agg(F.sum("trx_a_amount_val").alias("v"))
-    ret = f.groupBy(*KEYS).agg(F.sum("trx_r_amount_val").alias("v"))
-    assets = sum_across([sav, cur], KEYS, "current_assets", replace_negative=True)
-    liab = sum_across([loan, ret], KEYS, "current_liabilities", replace_negative=True)
-    bal = sum_across([sav, cur], KEYS, "total_balance")
+    # one aggregate per source: the snapshot gives the customer universe and
+    # two measures, the features give two; JN-04 sums them side by side
+    snap = s.groupBy(*KEYS).agg(A.sum_if(F.col("status") == "F", "balance").alias("sav"),
+                                A.sum_if(F.col("status") == "O", "balance").alias("loan"))
+    feat = f.groupBy(*KEYS).agg(F.sum("trx_a_amount_val").alias("cur"),
+                                F.sum("trx_r_amount_val").alias("ret"))
+    j = snap.join(feat, KEYS, "left").select(
+        *KEYS,
+        nullsafe_sum(["sav", "cur"], clamp_negative=True).alias("current_assets"),
+        nullsafe_sum(["loan", "ret"], clamp_negative=True).alias("current_liabilities"),
+        nullsafe_sum(["sav", "cur"]).alias("total_balance"))
     inc = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_key"),
                                               F.col("c_acctbal").cast("decimal(18,2)").alias("income"))
-    j = join_all([cust, assets, liab, bal], KEYS, "left").join(inc, "customer_key", "left")
+    j = j.join(inc, "customer_key", "left")
     return j.select(
         *KEYS,
         F.col("current_assets").cast("decimal(19,2)").alias("current_assets_val"),

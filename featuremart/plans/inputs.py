@@ -75,7 +75,8 @@ def transactions(spark: SparkSession, sf_dir: str, start=None, end=None) -> Data
     o = t(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("customer_key"),
         F.col("o_orderpriority").alias("account_key"))
-    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").drop("o_orderkey")
+    # fact-to-fact join: both sides grow with the data, never broadcast
+    return li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey, "inner").drop("o_orderkey")
 
 
 TRANSACTIONS_SQL = """

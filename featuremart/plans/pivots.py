@@ -78,13 +78,18 @@ FROM x GROUP BY 1, 2, 3
 """)
 def pivot_six_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = transactions(spark, sf_dir).withColumn("info_date", F.last_day("trx_date"))
-    measures = {"cnt": ("count", None), "amount": ("sum", "amount"), "max_amount": ("max", "amount"),
-                "min_amount": ("min", "amount"), "quantity": ("sum", "l_quantity")}
-    aggs = pivot_aggs("kind", SIX_KINDS, measures)
-    aggs += [F.count_distinct(F.when(F.col("kind") == k, F.col("l_orderkey"))).alias(f"{k.lower()}_orders")
-             for k in SIX_KINDS]
-    wide = x.groupBy("customer_key", "account_key", "info_date").agg(
-        *aggs, any_flag(F.col("kind") == "R").alias("returned_flag"))
+    keys = ["customer_key", "account_key", "info_date"]
+    # Level 1 per (keys, kind, order): distinct orders become plain counts in
+    # level 2, so no Expand (one copy of every row per distinct aggregate).
+    lvl1 = x.groupBy(*keys, "kind", "l_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"),
+        F.max("amount").alias("max_amount"), F.min("amount").alias("min_amount"),
+        F.sum("l_quantity").alias("quantity"))
+    measures = {"cnt": ("sum", "n"), "amount": ("sum", "amount"), "max_amount": ("max", "max_amount"),
+                "min_amount": ("min", "min_amount"), "quantity": ("sum", "quantity"),
+                "orders": ("count", None)}
+    wide = lvl1.groupBy(*keys).agg(*pivot_aggs("kind", SIX_KINDS, measures),
+                                   any_flag(F.col("kind") == "R").alias("returned_flag"))
     measure_cols = [c for c in wide.columns if c.startswith("x_")]
     return to_val_columns(drop_zero_measures(wide, measure_cols))
 

@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # No broadcast from file-size estimates: dimension sides are broadcast
+    # explicitly, behind a row-count check or a structural bound
+    # (operators/broadcast.py); everything else shuffles.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
 }
 
 
