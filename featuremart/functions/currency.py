@@ -33,7 +33,7 @@ def currency_views(currency, amount, rate, codes: dict[str, object], home_code=1
                    value_name: str = "amount") -> list[Column]:
     """SC-19: SC-17 split plus the SC-18 unified home amount."""
     return split_by_currency(amount, currency, codes, value_name=value_name) + [
-        to_home_currency(currency, amount, rate, home_code).alias(f"{value_name}_home")]
+        to_home_currency(currency, amount, rate, home_code).alias(f"{value_name}_unified")]
 
 
 def convert(amount, rate, cast: str | None = None) -> Column:

@@ -54,7 +54,8 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def records_sql(source_sql: str, dataset: str, rules: QualityRules, month_col: str | None) -> str:
+def records_sql(source_sql: str, dataset: str, rules: QualityRules, month_col: str | None,
+                columns: list[str] | None = None) -> str:
     """DuckDB SQL producing the same records as ``quality_records`` (oracle)."""
     m = f"last_day(CAST({month_col} AS DATE))" if month_col else "CAST(NULL AS DATE)"
     aggs = ["count(*) AS __total"]
@@ -69,8 +70,8 @@ def records_sql(source_sql: str, dataset: str, rules: QualityRules, month_col: s
                 f"CAST(__m AS VARCHAR) AS _observ_end_dt FROM s")
 
     for i, (c, limit) in enumerate(rules.null_limits.items()):
-        if c not in SOURCE_COLUMNS:
-            continue
+        if columns is not None and c not in columns:
+            continue  # missing column: skipped, as in the operator
         aggs.append(f"count_if({c} IS NULL) AS __null_{i}")
         n = f"__null_{i}"
         failed = f"{n} > 0" if limit == 0 else f"{n} * 100 > {limit} * greatest(__total, 1)"
@@ -114,27 +115,27 @@ def records_sql(source_sql: str, dataset: str, rules: QualityRules, month_col: s
             + "\nUNION ALL\n".join(selects))
 
 
-@register("dq_duplicates", records_sql(DQ_SOURCE_SQL, "lineitem", DUP_RULES, None))
+@register("dq_duplicates", records_sql(DQ_SOURCE_SQL, "lineitem", DUP_RULES, None, SOURCE_COLUMNS))
 def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_records(dq_source(spark, sf_dir), "lineitem", DUP_RULES)
 
 
-@register("dq_nulls", records_sql(DQ_SOURCE_SQL, "lineitem", NULL_RULES, None))
+@register("dq_nulls", records_sql(DQ_SOURCE_SQL, "lineitem", NULL_RULES, None, SOURCE_COLUMNS))
 def dq_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_records(dq_source(spark, sf_dir), "lineitem", NULL_RULES)
 
 
-@register("dq_allowed_values", records_sql(DQ_SOURCE_SQL, "lineitem", DIM_RULES, None))
+@register("dq_allowed_values", records_sql(DQ_SOURCE_SQL, "lineitem", DIM_RULES, None, SOURCE_COLUMNS))
 def dq_allowed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_records(dq_source(spark, sf_dir), "lineitem", DIM_RULES)
 
 
-@register("dq_rules", records_sql(DQ_SOURCE_SQL, "lineitem", SQL_RULES, None))
+@register("dq_rules", records_sql(DQ_SOURCE_SQL, "lineitem", SQL_RULES, None, SOURCE_COLUMNS))
 def dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_records(dq_source(spark, sf_dir), "lineitem", SQL_RULES)
 
 
-DQ_BY_MONTH_SQL = records_sql(DQ_SOURCE_SQL, "lineitem", ALL_RULES, "l_shipdate")
+DQ_BY_MONTH_SQL = records_sql(DQ_SOURCE_SQL, "lineitem", ALL_RULES, "l_shipdate", SOURCE_COLUMNS)
 
 
 @register("dq_by_month", DQ_BY_MONTH_SQL, headline=True)

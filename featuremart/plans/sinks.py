@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from featuremart.operators.quality import quality_records
 from featuremart.plans.inputs import t
-from featuremart.plans.quality import DQ_BY_MONTH_SQL, DQ_SOURCE_SQL, DUP_RULES, dq_by_month, dq_source, records_sql
+from featuremart.plans.quality import (DQ_BY_MONTH_SQL, DQ_SOURCE_SQL, DUP_RULES, SOURCE_COLUMNS,
+                                       dq_by_month, dq_source, records_sql)
 from featuremart.plans.registry import register
 from featuremart.sources.writers import (merge_by_keys, new_location, rows_as_json,
                                          save_partitioned, upsert_with_window_delete)
@@ -46,7 +47,7 @@ def replace_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- SNK-02 / DQ-13: replace the (dataset, month) sets present in the new batch
 @register("replace_by_key", f"""
 WITH old AS ({DQ_BY_MONTH_SQL}),
-new AS (SELECT * FROM ({records_sql(DQ_SOURCE_SQL, "lineitem", DUP_RULES, "l_shipdate")})
+new AS (SELECT * FROM ({records_sql(DQ_SOURCE_SQL, "lineitem", DUP_RULES, "l_shipdate", SOURCE_COLUMNS)})
         WHERE _observ_end_dt BETWEEN '1999-01-01' AND '1999-12-31')
 SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.dataset_name = old.dataset_name
                                     AND new._observ_end_dt = old._observ_end_dt)
