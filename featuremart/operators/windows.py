@@ -46,13 +46,46 @@ def top_one_by(df: DataFrame, partition: Sequence[str], columns: Sequence[str],
     return top_n_per_group(df, partition, [(c, d) for c in order]).select(*columns)
 
 
+def distributed_row_number(df: DataFrame, partition: Sequence[str], order: Iterable,
+                           rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY partition ORDER BY order)`` for every
+    row, without sending a whole group to one task.
+
+    Rows are range-partitioned on (partition, order), so a group holding a
+    third of the data spans many tasks. Each task numbers its rows locally;
+    the row counts per (group, task) give every task's offset within its
+    group (a small table: groups x tasks spanned). The partition ids come
+    from a sampled range partitioner, so the ranged rows are checkpointed to
+    the shared checkpoint folder first: a retried stage or a second branch of
+    the plan then sees the same ids.
+    """
+    from featuremart.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(c).asc_nulls_last() for c in partition] + _order(order)
+    ranged = (df.repartitionByRange(n, *sort).withColumn("__pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    local = ranged.withColumn(
+        "__local", F.row_number().over(Window.partitionBy("__pid", *partition).orderBy(*_order(order))))
+    counts = ranged.groupBy(*partition, "__pid").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*partition).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*partition, "__pid",
+                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    keys = [*partition, "__pid"]
+    return (local.join(offsets, [local[k].eqNullSafe(offsets[k]) for k in keys])
+                 .select(*[local[c] for c in df.columns],
+                         (F.col("__off") + F.col("__local")).cast("int").alias(rank_col)))
+
+
 def rank_by_latest_date(df: DataFrame, partition: Sequence[str], date_cols: Sequence[str],
                         tiebreak: Sequence, rank_col: str = "rank") -> DataFrame:
     """WN-03: rank rows by the greatest of several dates (newest first) with
-    tie-breaks; the rank stays as a column."""
+    tie-breaks; the rank stays as a column (skew-safe numbering)."""
     latest = F.greatest(*[F.col(c) for c in date_cols])
-    w = Window.partitionBy(*partition).orderBy(latest.desc_nulls_last(), *_order(tiebreak))
-    return df.withColumn(rank_col, F.row_number().over(w))
+    tmp = df.withColumn("__latest", latest)
+    out = distributed_row_number(tmp, partition, [("__latest", "desc"), *tiebreak], rank_col)
+    return out.drop("__latest")
 
 
 def worst_row(df: DataFrame, partition: Sequence[str], grade_col: str, tiebreak: Sequence,
@@ -77,14 +110,14 @@ def latest_if_present(history: DataFrame, partition: Sequence[str], date_col: st
 def keep_ratio(df: DataFrame, partition: Sequence[str], order: Iterable, divisor_col: str
                ) -> DataFrame:
     """WN-07: keep the first ceil(rows / divisor) rows per group, which drops
-    the repeats of a report sent several times. Counts come from a window over
-    the same partition (no self join)."""
-    w = Window.partitionBy(*partition)
-    wo = w.orderBy(*_order(order))
-    return (df.withColumn("__n", F.count(F.lit(1)).over(w))
-              .withColumn("__rn", F.row_number().over(wo))
-              .where(F.col("__rn") <= F.ceil(F.col("__n") / F.col(divisor_col)))
-              .drop("__n", "__rn"))
+    the repeats of a report sent several times."""
+    # group sizes by a grouped count (partial counts, skew-safe), numbering
+    # by the distributed row number
+    sizes = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("__n"))
+    numbered = distributed_row_number(df, partition, order, "__rn")
+    return (numbered.join(sizes, [numbered[k].eqNullSafe(sizes[k]) for k in partition])
+            .where(F.col("__rn") <= F.ceil(F.col("__n") / F.col(divisor_col)))
+            .select(*[numbered[c] for c in df.columns]))
 
 
 def last_n_records(df: DataFrame, partition: Sequence[str], order: Iterable, n: int = 18,

@@ -309,3 +309,18 @@ def test_no_python_udf_in_any_query(spark):
             continue  # these write files while being built; their plans are read-backs
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_distributed_row_number_matches_window_on_hot_key(spark):
+    from pyspark.sql import Window
+    rows_ = [("hot", i % 97, i) for i in range(3000)] + [("cold", i, i) for i in range(40)] + \
+            [(None, 1, 99999)]
+    df = spark.createDataFrame(rows_, "g string, v int, id int")
+    got = W.distributed_row_number(df, ["g"], [("v", "desc"), ("id", "asc")], "rk", num_partitions=7)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id").asc())
+    want = df.withColumn("rk", F.row_number().over(w))
+    assert sorted(rows(got, "g", "id", "rk"), key=str) == sorted(rows(want, "g", "id", "rk"), key=str)
+    # the hot group really is spread over several tasks
+    parts = df.repartitionByRange(7, "g", F.col("v").desc(), "id").where("g = 'hot'") \
+        .select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
