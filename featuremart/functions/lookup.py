@@ -121,8 +121,10 @@ def missing_marker_to(c, markers: Iterable[str], replacement: str) -> Column:
 
 
 def last_meaningful(*cols, min_length: int = 2) -> Column:
-    """SC-30: the last of the parts whose length is at least ``min_length``."""
-    return F.coalesce(*[F.when(F.length(_c(x)) >= min_length, _c(x)) for x in reversed(cols)])
+    """SC-30: the last of the parts whose length is at least ``min_length``;
+    the first part when none of the later ones qualifies."""
+    later = [F.when(F.length(_c(x)) >= min_length, _c(x)) for x in reversed(cols[1:])]
+    return F.coalesce(*later, _c(cols[0]))
 
 
 def pick_by_code(code, first_code, first_value, second_code, second_value,

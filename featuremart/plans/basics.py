@@ -208,7 +208,7 @@ SELECT p_partkey,
             ELSE 'other' END AS type_group,
        CASE WHEN p_name LIKE '%ring%' THEN 'ring' WHEN p_name LIKE '%widget%' THEN 'widget' END AS name_group,
        CASE WHEN length(p_brand) >= 2 THEN p_brand WHEN length(p_type) >= 2 THEN p_type
-            WHEN length(p_name) >= 2 THEN p_name END AS last_part,
+            ELSE p_name END AS last_part,
        CAST(coalesce(p_brand IN ('Brand#1'), false) OR coalesce(p_brand LIKE 'Brand#2%', false) AS INTEGER) AS brand_flag,
        CASE WHEN trim(nullif(p_type, 'ECONOMY')) IS NULL OR trim(nullif(p_type, 'ECONOMY')) IN ('', '-') THEN 'S'
             ELSE trim(nullif(p_type, 'ECONOMY')) END AS type_marker
