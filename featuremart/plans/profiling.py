@@ -104,10 +104,20 @@ def _ratio_sql(n: str) -> str:
     return f"CAST(round(CAST({n} AS DECIMAL(20,0)) / total_rows, 4) AS DECIMAL(10,4))"
 
 
-def _profile_sql() -> str:
-    cols = [("o_orderkey", "bigint", True), ("o_custkey", "bigint", True), ("o_orderstatus", "string", False),
-            ("o_totalprice", "double", True), ("o_orderdate", "timestamp_ntz", False),
-            ("o_orderpriority", "string", False)]
+PROFILE_COLUMNS = {
+    "orders": [("o_orderkey", "bigint", True), ("o_custkey", "bigint", True), ("o_orderstatus", "string", False),
+               ("o_totalprice", "double", True), ("o_orderdate", "timestamp_ntz", False),
+               ("o_orderpriority", "string", False)],
+    "lineitem": [("l_orderkey", "bigint", True), ("l_partkey", "bigint", True), ("l_suppkey", "bigint", True),
+                 ("l_linenumber", "int", True), ("l_quantity", "double", True), ("l_extendedprice", "double", True),
+                 ("l_discount", "double", True), ("l_tax", "double", True), ("l_returnflag", "string", False),
+                 ("l_linestatus", "string", False), ("l_shipdate", "timestamp_ntz", False)],
+}
+
+
+def _profile_sql(table: str = "orders", date_col: str = "o_orderdate", cust: str | None = "o_custkey") -> str:
+    """DuckDB form of ``column_profile`` for one table (oracle)."""
+    cols = PROFILE_COLUMNS[table]
     aggs, parts = [], []
     for i, (c, typ, num) in enumerate(cols):
         aggs.append(f"count_if({c} IS NULL) AS n{i}")
@@ -117,15 +127,16 @@ def _profile_sql() -> str:
         zr = (f"CASE WHEN total_rows > 0 THEN {_ratio_sql(f'coalesce(z{i}, 0)')} ELSE CAST(0 AS DECIMAL(10,4)) END"
               if num else "CAST(NULL AS DECIMAL(10,4))")
         parts.append(
-            f"SELECT 'orders' AS table_name, '{c}' AS column_name, '{typ}' AS data_type, total_rows, unique_customers, "
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{typ}' AS data_type, total_rows, unique_customers, "
             f"CAST(coalesce(n{i}, 0) AS BIGINT) AS nulls, "
             f"CASE WHEN total_rows > 0 THEN {_ratio_sql(f'coalesce(n{i}, 0)')} ELSE CAST(0 AS DECIMAL(10,4)) END AS null_ratio, "
             f"{zeros} AS zeros, {zr} AS zero_ratio, info_date FROM w")
+    distinct = f"count(DISTINCT {cust})" if cust else "0"
     return f"""
-WITH sp AS (SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(CAST(o_orderdate AS DATE))),
-                 max(CAST(o_orderdate AS DATE)), INTERVAL 1 MONTH)) AS DATE)) AS info_date FROM orders),
-a AS (SELECT last_day(CAST(o_orderdate AS DATE)) AS info_date, count(*) AS r, count(DISTINCT o_custkey) AS u,
-             {", ".join(aggs)} FROM orders GROUP BY 1),
+WITH sp AS (SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(CAST({date_col} AS DATE))),
+                 max(CAST({date_col} AS DATE)), INTERVAL 1 MONTH)) AS DATE)) AS info_date FROM {table}),
+a AS (SELECT last_day(CAST({date_col} AS DATE)) AS info_date, count(*) AS r, {distinct} AS u,
+             {", ".join(aggs)} FROM {table} GROUP BY 1),
 w AS (SELECT sp.info_date, CAST(coalesce(a.r, 0) AS BIGINT) AS total_rows, CAST(coalesce(a.u, 0) AS BIGINT) AS unique_customers,
              a.* EXCLUDE (info_date, r, u) FROM sp LEFT JOIN a USING (info_date))
 """ + "\nUNION ALL\n".join(parts)
@@ -178,3 +189,71 @@ def json_table_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.groupBy(F.col("p.k").alias("k")).agg(
         F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users"),
         F.max(F.to_date("ts")).alias("last_day_seen"))
+
+
+# --- QA-08 / QA-10 / QA-11: volume and profile reports over several tables in one plan
+LAYER_TABLES = {"orders": ("o_orderdate", "o_custkey"), "lineitem": ("l_shipdate", None),
+                "events": ("ts", "user_id")}
+
+
+def _volume_series_sql(name: str, date_col: str, cust: str | None) -> str:
+    cust_expr = f"count(DISTINCT {cust})" if cust else "0"
+    return f"""
+  SELECT '{name}' AS table_name, CAST(coalesce(c.records, 0) AS BIGINT) AS records,
+         CAST(coalesce(c.customers, 0) AS BIGINT) AS customers, sp.info_date
+  FROM (SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(CAST({date_col} AS DATE))),
+               max(CAST({date_col} AS DATE)), INTERVAL 1 MONTH)) AS DATE)) AS info_date FROM {name}) sp
+  LEFT JOIN (SELECT last_day(CAST({date_col} AS DATE)) AS info_date, count(*) AS records, {cust_expr} AS customers
+             FROM {name} GROUP BY 1) c USING (info_date)"""
+
+
+def _r6(c: str) -> str:
+    return f"round({c}, 6) AS {c}"
+
+
+VOLUME_LAYER_SQL = f"""
+WITH s AS ({" UNION ALL ".join(_volume_series_sql(n, d, c) for n, (d, c) in LAYER_TABLES.items())}),
+w AS (SELECT *,
+        avg(records) OVER h AS records_mean, stddev_samp(records) OVER h AS records_sd, count(records) OVER h AS records_n_hist,
+        avg(customers) OVER h AS customers_mean, stddev_samp(customers) OVER h AS customers_sd, count(customers) OVER h AS customers_n_hist
+      FROM s WINDOW h AS (PARTITION BY table_name ORDER BY info_date ROWS BETWEEN 18 PRECEDING AND 1 PRECEDING)),
+b AS (SELECT *, records_mean - 2.2 * records_sd AS records_lower, records_mean + 2.2 * records_sd AS records_upper,
+             customers_mean - 2.2 * customers_sd AS customers_lower, customers_mean + 2.2 * customers_sd AS customers_upper FROM w)
+SELECT table_name, records, customers, info_date, records_n_hist, customers_n_hist,
+       {_r6("records_mean")}, {_r6("records_sd")}, {_r6("records_lower")}, {_r6("records_upper")},
+       {_r6("customers_mean")}, {_r6("customers_sd")}, {_r6("customers_lower")}, {_r6("customers_upper")},
+       CASE WHEN records_n_hist < 12 THEN 'NO_HISTORY' WHEN records_sd IS NULL OR records_sd = 0 THEN 'OK'
+            WHEN records < records_lower THEN 'ALERT_LOW' WHEN records > records_upper THEN 'ALERT_HIGH' ELSE 'OK' END AS records_state,
+       round(CASE WHEN records_sd IS NULL OR records_sd = 0 THEN NULL ELSE (records - records_mean) / records_sd END, 6) AS records_z,
+       CASE WHEN customers_n_hist < 12 THEN 'NO_HISTORY' WHEN customers_sd IS NULL OR customers_sd = 0 THEN 'OK'
+            WHEN customers < customers_lower THEN 'ALERT_LOW' WHEN customers > customers_upper THEN 'ALERT_HIGH' ELSE 'OK' END AS customers_state,
+       round(CASE WHEN customers_sd IS NULL OR customers_sd = 0 THEN NULL ELSE (customers - customers_mean) / customers_sd END, 6) AS customers_z
+FROM b
+"""
+
+
+@register("volume_layer", VOLUME_LAYER_SQL)
+def volume_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featuremart.operators.profiling import volume_report, volume_series
+    from featuremart.operators.setops import union_same_shape
+    series = []
+    for name, (date_col, cust) in LAYER_TABLES.items():
+        df = t(spark, sf_dir, name)
+        series.append(volume_series(df, name, date_col, monthly_spine(df, date_col), cust))
+    rep = volume_report(union_same_shape(series))
+    doubles = [f.name for f in rep.schema.fields if f.dataType.simpleString() == "double"]
+    return rep.select(*[F.round(c, 6).alias(c) if c in doubles else F.col(c) for c in rep.columns])
+
+
+@register("profile_layer", "\nUNION ALL\n".join(
+    f"SELECT * FROM ({q})" for q in [_profile_sql("orders", "o_orderdate", "o_custkey"),
+                                     _profile_sql("lineitem", "l_shipdate", None)]))
+def profile_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QA-08 / QA-11: column profiles of every table of a layer, unioned
+    into one report (one plan; tables without a customer column count 0)."""
+    from featuremart.operators.setops import union_same_shape
+    parts = []
+    for name, date_col, cust in [("orders", "o_orderdate", ["o_custkey"]), ("lineitem", "l_shipdate", [])]:
+        df = t(spark, sf_dir, name)
+        parts.append(column_profile(df, name, date_col, monthly_spine(df, date_col), cust))
+    return union_same_shape(parts)
