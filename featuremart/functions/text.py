@@ -46,9 +46,9 @@ def slug(c) -> Column:
     """SC-13: anything but Unicode letters/digits/space -> space, trim,
     collapse runs of spaces, spaces -> ``_``."""
     s = F.regexp_replace(_c(c), r"[^\p{L}\p{N} ]+", " ")
-    s = F.regexp_replace(s, r"^\s+|\s+$", "")
-    s = F.regexp_replace(s, r" {2,}", " ")
-    return F.regexp_replace(s, " ", "_")
+    # only letters, digits and spaces are left: trimming spaces and turning
+    # each run of spaces into one "_" is the same as trim, collapse, replace
+    return F.regexp_replace(F.trim(s), " +", "_")
 
 
 def squeeze_text(c) -> Column:
