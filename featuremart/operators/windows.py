@@ -46,36 +46,56 @@ def top_one_by(df: DataFrame, partition: Sequence[str], columns: Sequence[str],
     return top_n_per_group(df, partition, [(c, d) for c in order]).select(*columns)
 
 
+# Rows above which one group is numbered across several tasks.
+HOT_GROUP_ROWS = 5_000_000
+
+
 def distributed_row_number(df: DataFrame, partition: Sequence[str], order: Iterable,
-                           rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
+                           rank_col: str = "rank", num_partitions: int | None = None,
+                           hot_threshold: int = HOT_GROUP_ROWS) -> DataFrame:
     """``row_number() OVER (PARTITION BY partition ORDER BY order)`` for every
     row, without sending a whole group to one task.
 
-    Rows are range-partitioned on (partition, order), so a group holding a
-    third of the data spans many tasks. Each task numbers its rows locally;
-    the row counts per (group, task) give every task's offset within its
-    group (a small table: groups x tasks spanned). The partition ids come
-    from a sampled range partitioner, so the ranged rows are checkpointed to
-    the shared checkpoint folder first: a retried stage or a second branch of
-    the plan then sees the same ids.
+    A grouped count (partial counts before the shuffle) finds the hot groups,
+    those above ``hot_threshold`` rows. There are at most rows / threshold of
+    them, so their keys are a bounded broadcast. Cold groups are numbered by
+    the plain window. Rows of hot groups are range-partitioned on (group,
+    order), so one group spans many tasks. Each task numbers its rows
+    locally, and the row counts per (group, task), a small table, give every
+    task's offset. Range bounds come from a sample, so the ranged rows are
+    checkpointed to the shared checkpoint folder first: a retried stage or a
+    second branch of the plan sees the same task ids.
     """
+    part = list(partition)
+    ordered = _order(order)
+    sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+    hot_keys = sizes.where(F.col("__n") > hot_threshold).select(*part)
+    if hot_keys.isEmpty():
+        return df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*part).orderBy(*ordered)))
+
+    on = [df[k].eqNullSafe(hot_keys[k]) for k in part]
+    hot_b = F.broadcast(hot_keys)  # bounded: at most rows / hot_threshold keys
+    cold = df.join(hot_b, on, "left_anti").withColumn(
+        rank_col, F.row_number().over(Window.partitionBy(*part).orderBy(*ordered)))
+    hot = df.join(hot_b, on, "left_semi")
+
     from featuremart.session import ensure_checkpoint_dir
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort = [F.col(c).asc_nulls_last() for c in partition] + _order(order)
-    ranged = (df.repartitionByRange(n, *sort).withColumn("__pid", F.spark_partition_id())
+    sort = [F.col(c).asc_nulls_last() for c in part] + ordered
+    ranged = (hot.repartitionByRange(n, *sort).withColumn("__pid", F.spark_partition_id())
               .checkpoint(eager=True))
     local = ranged.withColumn(
-        "__local", F.row_number().over(Window.partitionBy("__pid", *partition).orderBy(*_order(order))))
-    counts = ranged.groupBy(*partition, "__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*partition).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*partition, "__pid",
-                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    keys = [*partition, "__pid"]
-    return (local.join(offsets, [local[k].eqNullSafe(offsets[k]) for k in keys])
-                 .select(*[local[c] for c in df.columns],
-                         (F.col("__off") + F.col("__local")).cast("int").alias(rank_col)))
+        "__local", F.row_number().over(Window.partitionBy("__pid", *part).orderBy(*ordered)))
+    counts = ranged.groupBy(*part, "__pid").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*part).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*part, "__pid", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
+    keys = [*part, "__pid"]
+    numbered = (local.join(offsets, [local[k].eqNullSafe(offsets[k]) for k in keys])
+                .select(*[local[c] for c in df.columns],
+                        (F.col("__off") + F.col("__local")).cast("int").alias(rank_col)))
+    return cold.unionByName(numbered)
 
 
 def rank_by_latest_date(df: DataFrame, partition: Sequence[str], date_cols: Sequence[str],

@@ -316,10 +316,12 @@ def test_distributed_row_number_matches_window_on_hot_key(spark):
     rows_ = [("hot", i % 97, i) for i in range(3000)] + [("cold", i, i) for i in range(40)] + \
             [(None, 1, 99999)]
     df = spark.createDataFrame(rows_, "g string, v int, id int")
-    got = W.distributed_row_number(df, ["g"], [("v", "desc"), ("id", "asc")], "rk", num_partitions=7)
     w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id").asc())
-    want = df.withColumn("rk", F.row_number().over(w))
-    assert sorted(rows(got, "g", "id", "rk"), key=str) == sorted(rows(want, "g", "id", "rk"), key=str)
+    want = sorted(rows(df.withColumn("rk", F.row_number().over(w)), "g", "id", "rk"), key=str)
+    for threshold in (100, 10**9):  # hot path for "hot" (and the plain path for the rest), plain only
+        got = W.distributed_row_number(df, ["g"], [("v", "desc"), ("id", "asc")], "rk",
+                                       num_partitions=7, hot_threshold=threshold)
+        assert sorted(rows(got, "g", "id", "rk"), key=str) == want
     # the hot group really is spread over several tasks
     parts = df.repartitionByRange(7, "g", F.col("v").desc(), "id").where("g = 'hot'") \
         .select(F.spark_partition_id().alias("p")).distinct().count()
