@@ -326,3 +326,44 @@ def test_distributed_row_number_matches_window_on_hot_key(spark):
     parts = df.repartitionByRange(7, "g", F.col("v").desc(), "id").where("g = 'hot'") \
         .select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts > 1
+
+
+def test_load_dataset_empty_is_error_and_fallback(spark, tmp_path):
+    from featuremart.sources import readers as R
+    empty, full = str(tmp_path / "empty"), str(tmp_path / "shared" / "t")
+    spark.createDataFrame([], "a int").write.parquet(empty)
+    spark.createDataFrame([(1, dt.date(2020, 1, 5))], "a int, d date").write.parquet(full)
+    with pytest.raises(R.EmptyDatasetError):
+        R.load_dataset(spark, empty)
+    assert R.load_optional(spark, str(tmp_path / "missing")) is None
+    assert R.load_optional(spark, full, date_col="D", start="2020-02-01") is None  # filtered empty
+    got = R.load_many(spark, {"t": {"path": str(tmp_path / "user" / "t"), "date_col": "d",
+                                     "start": "2020-01-01", "end": "2020-01-31", "out_col": "info_date"}},
+                      fallback_root=str(tmp_path / "shared"))
+    assert got["t"].columns == ["a", "info_date"] and got["t"].count() == 1
+
+
+def test_document_table_comments(spark, tmp_path):
+    spark.createDataFrame([(1, "x")], "k int, v string").write.option(
+        "path", str(tmp_path / "tbl")).saveAsTable("fm_doc_test")
+    try:
+        WR.document_table(spark, "fm_doc_test", "a table", {"k": "the key", "missing": "ignored"})
+        assert spark.table("fm_doc_test").schema["k"].metadata.get("comment") == "the key"
+    finally:
+        spark.sql("DROP TABLE IF EXISTS fm_doc_test")
+
+
+def test_validate_before_save_stores_and_stops(spark, tmp_path):
+    df = spark.createDataFrame([(1, dt.date(2020, 1, 3)), (1, dt.date(2020, 1, 4))], "k int, d date")
+    stored = []
+
+    def store(records):
+        out = WR.merge_by_keys(spark, None, records, ["dataset_name", "_observ_end_dt"],
+                               str(tmp_path / f"v{len(stored)}"))
+        stored.append(out)
+        return out
+    rec = Q.validate_before_save(df, "ds", Q.QualityRules(unique_keys=["k"]), "d", store)
+    assert rec.count() == 1 and stored
+    crit = Q.QualityRules(unique_keys=["k"], severity={**Q.DEFAULT_SEVERITY, "DUPLICATES": "CRITICAL"})
+    with pytest.raises(Q.QualityStop):
+        Q.validate_before_save(df, "ds", crit, "d", store)
