@@ -11,7 +11,8 @@ sys.path.insert(0, ROOT)
 @pytest.fixture(scope="session")
 def spark():
     from featuremart.session import get_session
-    s = get_session("local[4]", app="featuremart-tests", shuffle_partitions=8)
+    s = get_session("local[4]", app="featuremart-tests", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="fm-test-wh-")})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fm-test-ckpt-"))
     yield s
