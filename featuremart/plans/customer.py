@@ -110,7 +110,11 @@ SELECT g.*, c.segment,
 FROM g LEFT JOIN c USING (customer_key)
 """)
 def customer_month_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = month_features_df(spark, sf_dir)
+    return customer_rollup(month_features_df(spark, sf_dir), t(spark, sf_dir, "customer"))
+
+
+def customer_rollup(f: DataFrame, customers: DataFrame) -> DataFrame:
+    """IN-05 / IN-06: account x month features rolled up per customer and month."""
     g = f.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("active_accounts"),
         F.sum("trx_movements_cnt").alias("movements_cnt"),
@@ -119,8 +123,7 @@ def customer_month_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("trx_missing_rate_cnt").alias("max_missing_rate_cnt"),
         F.count_if(F.col("trx_r_cnt") > 0).alias("accounts_with_returns"),
         F.min("account_key").alias("first_account"))
-    c = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_key"),
-                                            F.col("c_mktsegment").alias("segment"))
+    c = customers.select(F.col("c_custkey").alias("customer_key"), F.col("c_mktsegment").alias("segment"))
     out = g.join(c, "customer_key", "left")
     return out.withColumn("returned_share", F.when(F.col("amount_total_val") > 0,
                                                    ratio4("returned_val", "amount_total_val")))
