@@ -6,6 +6,8 @@ raising on dirty input (S-12).
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -100,3 +102,18 @@ def month_end_sequence(start, end) -> Column:
         F.sequence(F.trunc(F.to_date(_c(start)), "month"), F.to_date(_c(end)),
                    F.expr("INTERVAL 1 MONTH")),
         lambda d: F.last_day(d))
+
+
+def previous_month_range(as_of: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
+    """QA-15 / default run window: first and last day of the calendar month
+    before ``as_of`` (today by default). Driver-side date arithmetic only."""
+    as_of = as_of or _dt.date.today()
+    end = as_of.replace(day=1) - _dt.timedelta(days=1)
+    return end.replace(day=1), end
+
+
+def held_back_range(start: _dt.date, as_of: _dt.date | None = None, lag_days: int = 2
+                    ) -> tuple[_dt.date, _dt.date]:
+    """QA-12: days to check, the end held back ``lag_days`` before ``as_of``."""
+    as_of = as_of or _dt.date.today()
+    return start, as_of - _dt.timedelta(days=lag_days)

@@ -69,6 +69,16 @@ def remove_suffix(df: DataFrame, suffix: str) -> DataFrame:
                        for c in df.columns])
 
 
+def int_columns_with_cnt(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
+    """AG-14: every integer column gets the ``_cnt`` suffix (keys excluded)."""
+    ex = set(exclude)
+    ints = (ByteType, ShortType, IntegerType, LongType)
+    return df.select(*[
+        F.col(f.name).alias(f"{f.name}_cnt")
+        if isinstance(f.dataType, ints) and f.name not in ex and not f.name.endswith("_cnt")
+        else F.col(f.name) for f in df.schema.fields])
+
+
 def columns_with_suffix(df: DataFrame, suffix: str) -> list[str]:
     """PRJ-08: names ending in ``suffix``."""
     return [c for c in df.columns if c.endswith(suffix)]

@@ -152,3 +152,12 @@ def reconcile_counts(expected: DataFrame, lake_counts: DataFrame, source_counts:
              .withColumn("issue", F.when(F.col("source_records").isNull(), F.lit("missing_at_source"))
                          .when(F.col("lake_records") == 0, F.lit("missing_in_lake"))
                          .otherwise(F.lit("count_mismatch"))))
+
+
+def tables_with_column(table_columns: DataFrame, column_name: str) -> list[str]:
+    """QA-05: distinct names of the tables holding a column. The input is
+    schema metadata (one row per table and column), so the list read back is
+    bounded by the number of tables."""
+    rows = (table_columns.where(F.col("column_name") == column_name)
+            .select("table_name").distinct().orderBy("table_name").collect())
+    return [r.table_name for r in rows]

@@ -267,3 +267,81 @@ def forex_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts.append(df.drop("op_code", "buy_value", "sell_value"))
     return union_missing_as_null(parts).select("event_id", "customer_key", "channel", "teller",
                                                "operation", "amount")
+
+
+# --- AG-14: custom counts per status pivoted, every int column suffixed _cnt
+@register("debt_status_counts", """
+SELECT o_custkey AS customer_key,
+       CAST(count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN last_day(CAST(o_orderdate AS DATE)) END) AS BIGINT) AS f_months_cnt,
+       CAST(count(DISTINCT CASE WHEN o_orderstatus = 'O' THEN last_day(CAST(o_orderdate AS DATE)) END) AS BIGINT) AS o_months_cnt,
+       CAST(count(DISTINCT CASE WHEN o_orderstatus = 'P' THEN last_day(CAST(o_orderdate AS DATE)) END) AS BIGINT) AS p_months_cnt,
+       CAST(max(CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) AS INTEGER) AS worst_grade_cnt
+FROM orders GROUP BY 1
+""")
+def debt_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featuremart.operators.columns import int_columns_with_cnt
+    o = t(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_key"), "o_orderstatus",
+        F.last_day(F.to_date("o_orderdate")).alias("m"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("grade"))
+    # custom count: months with at least one order in the status (distinct month
+    # per key first, then plain counts: no Expand)
+    months = o.select("customer_key", "o_orderstatus", "m").distinct()
+    piv = A.pivot_measures(months, ["customer_key"], "o_orderstatus", ["F", "O", "P"],
+                           {"months": ("count", None)})
+    worst = o.groupBy("customer_key").agg(F.max("grade").alias("worst_grade"))
+    return int_columns_with_cnt(piv.join(worst, "customer_key"), exclude=["customer_key"])
+
+
+# --- select-only nodes as one project(spec) each (TR-05 / TR-17 / TR-22 / TR-37 / TR-40)
+def product_spec() -> dict:
+    """Spec of a select-only node: output name -> column name or expression."""
+    return {"customer_key": "o_custkey", "account_key": "o_orderpriority", "product_code": "o_orderstatus",
+            "opened_on": F.to_date("o_orderdate"), "order_key": "o_orderkey"}
+
+
+@register("project_nodes", """
+SELECT o_custkey AS customer_key, o_orderpriority AS account_key, o_orderstatus AS product_code,
+       CAST(o_orderdate AS DATE) AS opened_on, o_orderkey AS order_key FROM orders
+""")
+def project_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featuremart.operators.columns import project
+    return project(t(spark, sf_dir, "orders"), product_spec())
+
+
+# --- WN-10 / TR-29: best category among accounts without add-ons, valid add-on count,
+#     and the account -> case bridge (inner join, distinct)
+@register("card_addons", """
+WITH acc AS (SELECT DISTINCT o_custkey AS customer_key, o_orderpriority AS account_key,
+                    CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS category FROM orders),
+addon AS (SELECT DISTINCT o.o_custkey AS customer_key, o.o_orderpriority AS account_key
+          FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE l.l_returnflag = 'R'),
+best AS (SELECT customer_key, account_key AS best_account, category AS best_category FROM (
+           SELECT a.*, row_number() OVER (PARTITION BY a.customer_key ORDER BY a.category DESC, a.account_key ASC) AS rn
+           FROM acc a WHERE NOT EXISTS (SELECT 1 FROM addon d WHERE d.customer_key = a.customer_key AND d.account_key = a.account_key))
+         WHERE rn = 1),
+cnt AS (SELECT customer_key, CAST(count(*) AS BIGINT) AS addons_cnt FROM addon GROUP BY 1),
+cases AS (SELECT o_custkey AS customer_key, CAST(count(DISTINCT o_orderpriority || '/' || o_orderstatus) AS BIGINT) AS cases_cnt
+          FROM orders GROUP BY 1)
+SELECT c.customer_key, best.best_account, best.best_category, coalesce(cnt.addons_cnt, 0) AS addons_cnt, c.cases_cnt
+FROM cases c LEFT JOIN best USING (customer_key) LEFT JOIN cnt USING (customer_key)
+""")
+def card_addons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featuremart.operators.windows import top_n_per_group
+    o = t(spark, sf_dir, "orders")
+    acc = o.select(F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"),
+                   F.substring("o_orderpriority", 1, 1).cast("int").alias("category")).distinct()
+    x = transactions(spark, sf_dir)
+    addon = x.where(F.col("kind") == "R").select("customer_key", "account_key").distinct()
+    plain = acc.join(addon, ["customer_key", "account_key"], "left_anti")
+    best = top_n_per_group(plain, ["customer_key"], [("category", "desc"), ("account_key", "asc")]) \
+        .select("customer_key", F.col("account_key").alias("best_account"), F.col("category").alias("best_category"))
+    cnt = addon.groupBy("customer_key").agg(F.count(F.lit(1)).alias("addons_cnt"))
+    # account -> case bridge: inner join of accounts to their cases, distinct pairs
+    case_of = o.select(F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"),
+                       F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("case_key"))
+    bridge = acc.join(case_of, ["customer_key", "account_key"]).select("customer_key", "case_key").distinct()
+    cases = bridge.groupBy("customer_key").agg(F.count(F.lit(1)).alias("cases_cnt"))
+    out = cases.join(best, "customer_key", "left").join(cnt, "customer_key", "left")
+    return out.withColumn("addons_cnt", F.coalesce("addons_cnt", F.lit(0).cast("long"))).select(
+        "customer_key", "best_account", "best_category", "addons_cnt", "cases_cnt")

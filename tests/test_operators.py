@@ -367,3 +367,24 @@ def test_validate_before_save_stores_and_stops(spark, tmp_path):
     crit = Q.QualityRules(unique_keys=["k"], severity={**Q.DEFAULT_SEVERITY, "DUPLICATES": "CRITICAL"})
     with pytest.raises(Q.QualityStop):
         Q.validate_before_save(df, "ds", crit, "d", store)
+
+
+def test_window_helpers_and_listing(spark):
+    from featuremart.sources.readers import list_tables
+    assert D.previous_month_range(dt.date(2024, 3, 15)) == (dt.date(2024, 2, 1), dt.date(2024, 2, 29))
+    assert D.held_back_range(dt.date(2024, 1, 1), dt.date(2024, 1, 10)) == (dt.date(2024, 1, 1), dt.date(2024, 1, 8))
+    m = Q.month_ranges(spark, "2024-01-15", "2024-03-02").collect()
+    assert [(r.month_start, r.month_end) for r in m] == [
+        (dt.date(2024, 1, 1), dt.date(2024, 1, 31)), (dt.date(2024, 2, 1), dt.date(2024, 2, 29)),
+        (dt.date(2024, 3, 1), dt.date(2024, 3, 31))]
+    rec = spark.createDataFrame([], Q.record_schema())
+    assert "run_time" in Q.with_run_time(rec, "2024-01-01 00:00:00").columns
+    meta = spark.createDataFrame([("a", "ts"), ("b", "ts"), ("b", "x"), ("c", "y")], "table_name string, column_name string")
+    assert P.tables_with_column(meta, "ts") == ["a", "b"]
+    spark.range(3).createOrReplaceTempView("fm_tmp_view")
+    assert "fm_tmp_view" in list_tables(spark) and "fm_tmp_view" not in list_tables(spark, exclude_prefixes=["fm_"])
+
+
+def test_int_columns_with_cnt(spark):
+    df = spark.createDataFrame([(1, 2, "x", 1.5)], "k long, n int, s string, d double")
+    assert C.int_columns_with_cnt(df, exclude=["k"]).columns == ["k", "n_cnt", "s", "d"]
