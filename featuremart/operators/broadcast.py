@@ -9,7 +9,7 @@ data never lands whole in every executor.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Row bound under which a dimension side is broadcast.

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from featuremart.functions import dates as D
 from featuremart.functions import lookup as L
 from featuremart.functions import text as T
-from featuremart.functions.arith import matching_columns, sum_fields_nullsafe
+from featuremart.functions.arith import matching_columns
 from featuremart.operators import aggregates as A
 from featuremart.operators import windows as W
-from featuremart.operators.columns import (add_prefix, fill_numeric_zero, remove_prefix,
-                                           remove_suffix, to_val_columns)
+from featuremart.operators.columns import (fill_numeric_zero, remove_prefix, remove_suffix,
+                                           to_val_columns)
 from featuremart.operators.setops import union_missing_as_null, union_same_shape
-from featuremart.plans.inputs import PRIORITIES, t, transactions
+from featuremart.plans.inputs import t, transactions
 from featuremart.plans.registry import register
 
 MONTH = ["customer_key", "_observ_end_dt"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.operators.profiling import (TRANSACTIONAL, column_profile, completeness,
+from featuremart.operators.profiling import (column_profile, completeness,
                                              expected_dates, missing_months, monthly_spine,
                                              reconcile_counts)
 from featuremart.plans.inputs import account_snapshots, t

@@ -1,8 +1,6 @@
 """Every registered query against its DuckDB oracle (the driver's gate),
 on the smallest driver tables so the suite stays quick."""
 
-import os
-
 import pytest
 
 from tests.conftest import SF_SMALL
