@@ -1,5 +1,5 @@
 """Queries on the driver tables: each operator family registers its
 queries (with DuckDB oracle SQL) in ``registry``."""
 
-from featuremart.plans import basics, customer, features, joins, layers, layers2, nodes, pivots, profiling, quality, sinks, windows  # noqa: F401  (registers queries)
+from featuremart.plans import basics, customer, features, joins, layers, layers2, layers3, nodes, pivots, profiling, quality, sinks, windows  # noqa: F401  (registers queries)
 from featuremart.plans.registry import HEADLINE, ORACLES, QUERIES  # noqa: F401

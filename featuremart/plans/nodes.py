@@ -17,7 +17,7 @@ from featuremart.operators.columns import (key_columns_first, label_missing_text
 from featuremart.operators.quality import QualityRules, validate_before_save, validate_layer
 from featuremart.plans.inputs import (HOME, RATES_SQL, TRANSACTIONS_SQL, rates, t,
                                       transactions)
-from featuremart.operators.joins import add_rate
+from featuremart.operators.joins import add_rate, with_metadata
 from featuremart.plans.quality import records_sql
 from featuremart.plans.registry import register
 from featuremart.sources.readers import classify_tables, filter_by_date_column
@@ -169,7 +169,7 @@ def classify_and_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         n = filter_by_date_column(df, date_col.upper(), "2024-01-10", "2024-01-20") \
             .agg(F.count(F.lit(1)).alias("rows_in_range")).withColumn("table_name", F.lit(name))
         counts = n if counts is None else counts.unionByName(n)
-    return counts.join(kinds, "table_name")
+    return with_metadata(counts, kinds, "table_name")  # JN-08: inner join to table metadata
 
 
 # --- a cleaning node end to end: keys, flags, text, period, prefix, gate (CL + SNK-03 + DQ-12)

@@ -388,3 +388,12 @@ def test_window_helpers_and_listing(spark):
 def test_int_columns_with_cnt(spark):
     df = spark.createDataFrame([(1, 2, "x", 1.5)], "k long, n int, s string, d double")
     assert C.int_columns_with_cnt(df, exclude=["k"]).columns == ["k", "n_cnt", "s", "d"]
+
+
+def test_row_sums_null_rules(spark):
+    from featuremart.functions.arith import nullsafe_sum, safe_ratio, sum_fields, sum_fields_nullsafe
+    df = spark.createDataFrame([(1, None), (None, None), (2, 3)], "a int, b int")
+    out = df.select(sum_fields(["a", "b"]).alias("p"), sum_fields_nullsafe(["a", "b"]).alias("z"),
+                    nullsafe_sum(["a", "b"]).alias("n"), safe_ratio("a", "b").alias("r")).collect()
+    assert [(r.p, r.z, r.n) for r in out] == [(None, 1, 1), (None, 0, None), (5, 5, 5)]
+    assert out[0].r is None and abs(out[2].r - 2 / 3) < 1e-12
