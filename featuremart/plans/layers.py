@@ -145,7 +145,8 @@ def movement_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_val_columns(x.groupBy(*MONTH).agg(*aggs))
 
 
-# --- TR-38 / IN-14 / SC-36 / AG-07 / AG-08 / AG-09: loan features per customer and month
+# --- CL-41 / TR-38 / TR-46 / IN-14 / SC-36 / AG-07 / AG-08 / AG-09: loans cleaned (select, status
+#     lookup), loan features and their node entry, rolled up per customer and month
 LOAN_STATUS_MERGE = {"F": "closed", "O": "open", "P": "open"}
 LOAN_PRODUCTS = ["p1", "p2", "p3", "p4", "p5"]
 LOAN_KEYS = [f"{p}_{s}" for p in LOAN_PRODUCTS for s in ["closed", "open"]]
