@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,9 @@ from featuremart.operators.profiling import (column_profile, completeness,
                                              reconcile_counts)
 from featuremart.plans.inputs import account_snapshots, t
 from featuremart.plans.registry import register
+from featuremart.operators.joins import exclude_reviewed
 from featuremart.sources.readers import union_tagged
+from featuremart.sources.writers import new_location, upsert_with_window_delete, write_json_lines
 
 
 # --- QA-06: month-end spine from the first month of the data
@@ -257,3 +261,71 @@ def profile_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = t(spark, sf_dir, name)
         parts.append(column_profile(df, name, date_col, monthly_spine(df, date_col), cust))
     return union_same_shape(parts)
+
+
+# --- QA-14: the missing-data run. Reconcile all dated tables in one plan (QA-13), upsert
+#     the issues into the stored list (SNK-04: new issues inserted with their values,
+#     stored issues the run no longer reports deleted inside the run's window), drop
+#     reviewed issues (JN-07), hand the rest over as JSON lines (SNK-05), read back typed.
+RUN_TABLES = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
+RUN_WINDOW = ("1997-01-01", "1998-12-31")
+ISSUE_SCHEMA = "table_name string, info_date date, source_records bigint, lake_records bigint, issue string"
+
+
+def _issues(dates: DataFrame, skipped_days: list[int]) -> DataFrame:
+    """Issues of one run: the source system reports one extra row on Sundays and
+    nothing on ``skipped_days`` of the month."""
+    lake = dates.groupBy("table_name", "info_date").agg(F.count(F.lit(1)).alias("records"))
+    rng = dates.groupBy("table_name").agg(F.min("info_date").alias("lo"), F.max("info_date").alias("hi"))
+    expected = rng.select("table_name", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY")))
+                          .alias("info_date"))
+    src = (lake.where(~F.dayofmonth("info_date").isin(*skipped_days))
+           .withColumn("records", F.col("records") + F.when(F.weekday("info_date") == 6, 1).otherwise(0)))
+    return reconcile_counts(expected, lake, src).select(
+        "table_name", "info_date", "source_records", "lake_records", "issue")
+
+
+def _issues_sql(skipped: str) -> str:
+    return f"""SELECT g.table_name, g.info_date, CAST(s.records AS BIGINT) AS source_records,
+         CAST(coalesce(l.records, 0) AS BIGINT) AS lake_records,
+         CASE WHEN s.records IS NULL THEN 'missing_at_source' WHEN coalesce(l.records, 0) = 0 THEN 'missing_in_lake'
+              ELSE 'count_mismatch' END AS issue
+  FROM grid g
+  LEFT JOIN (SELECT table_name, info_date, records + CASE WHEN isodow(info_date) = 7 THEN 1 ELSE 0 END AS records
+             FROM lake WHERE day(info_date) NOT IN ({skipped})) s USING (table_name, info_date)
+  LEFT JOIN lake l USING (table_name, info_date)
+  WHERE s.records IS NULL OR coalesce(l.records, 0) <> s.records"""
+
+
+@register("missing_data_run", f"""
+WITH b AS ({" UNION ALL ".join(f"SELECT '{n}' AS table_name, CAST({c} AS DATE) AS d FROM {n}" for n, c in RUN_TABLES.items())}),
+lake AS (SELECT table_name, d AS info_date, count(*) AS records FROM b GROUP BY 1, 2),
+grid AS (SELECT table_name, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS info_date
+         FROM (SELECT table_name, min(d) AS lo, max(d) AS hi FROM b GROUP BY 1)),
+prev AS (SELECT *, day(info_date) = 14 AS reviewed FROM ({_issues_sql("14, 15")})),
+cur AS ({_issues_sql("15")}),
+m AS (SELECT coalesce(p.table_name, c.table_name) AS table_name, coalesce(p.info_date, c.info_date) AS info_date,
+             CASE WHEN p.table_name IS NULL THEN c.source_records ELSE p.source_records END AS source_records,
+             CASE WHEN p.table_name IS NULL THEN c.lake_records ELSE p.lake_records END AS lake_records,
+             CASE WHEN p.table_name IS NULL THEN c.issue ELSE p.issue END AS issue,
+             CASE WHEN p.table_name IS NULL THEN false ELSE p.reviewed END AS reviewed
+      FROM prev p FULL JOIN cur c ON p.table_name = c.table_name AND p.info_date = c.info_date
+      WHERE c.table_name IS NOT NULL
+         OR NOT coalesce(p.info_date BETWEEN DATE '{RUN_WINDOW[0]}' AND DATE '{RUN_WINDOW[1]}', false))
+SELECT table_name, info_date, source_records, lake_records, issue FROM m WHERE NOT reviewed
+""")
+def missing_data_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = reduce(DataFrame.unionByName, [
+        t(spark, sf_dir, n).select(F.lit(n).alias("table_name"), F.to_date(c).alias("info_date"))
+        for n, c in RUN_TABLES.items()])
+    path = new_location(spark, "missing_data_run")
+    # the stored list from the previous run; someone reviewed the day-14 gaps
+    previous = _issues(dates, [14, 15]).withColumn("reviewed", F.dayofmonth("info_date") == 14)
+    previous.write.mode("overwrite").parquet(f"{path}/store_v1")
+    store = upsert_with_window_delete(spark.read.parquet(f"{path}/store_v1"), _issues(dates, [15]),
+                                      ["table_name", "info_date"], "info_date", *RUN_WINDOW, "reviewed", False)
+    store.write.mode("overwrite").parquet(f"{path}/store_v2")
+    store = spark.read.parquet(f"{path}/store_v2")
+    pending = exclude_reviewed(store, store.where("reviewed"), ["table_name", "info_date"])
+    write_json_lines(pending.drop("reviewed"), f"{path}/handover")
+    return spark.read.schema(ISSUE_SCHEMA).json(f"{path}/handover")

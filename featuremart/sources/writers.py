@@ -77,23 +77,31 @@ def upsert_with_window_delete(target: DataFrame, source: DataFrame, keys: Sequen
                               new_flag=False) -> DataFrame:
     """SNK-04: MERGE semantics without a lakehouse format.
 
-    * key in both           -> target row kept (its flag kept)
-    * key only in source    -> inserted with ``new_flag``
+    * key in both           -> target row kept (its values and flag kept)
+    * key only in source    -> inserted with the source's values (columns the
+                               source lacks are null) and ``new_flag``
     * key only in target    -> deleted when its date lies in the window,
                                kept otherwise
     One full outer join on the keys (one shuffle).
     """
-    s = source.select(*keys, F.col(date_col).alias("__s_date"), F.lit(True).alias("__in_s"))
+    src_cols = [c for c in source.columns if c not in keys and c != flag_col]
+    s = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in src_cols], F.lit(True).alias("__in_s"))
     t = target.withColumn("__in_t", F.lit(True))
     j = t.join(s, list(keys), "full")
     in_window = F.col(date_col).between(F.to_date(F.lit(window_start)), F.to_date(F.lit(window_end)))
     keep = F.col("__in_s").isNotNull() | ~F.coalesce(in_window, F.lit(False))
+    inserted = F.col("__in_t").isNull()
+
+    def value(c: str):
+        if c in src_cols:
+            return F.when(inserted, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c)
+        return F.col(c)
+
+    dated = [] if date_col in keys else [value(date_col)]
     other = [c for c in target.columns if c not in keys and c not in (date_col, flag_col)]
     return (j.where(keep).select(
-        *keys,
-        F.coalesce(F.col(date_col), F.col("__s_date")).alias(date_col),
-        *[F.col(c) for c in other],
-        F.when(F.col("__in_t").isNull(), F.lit(new_flag)).otherwise(F.col(flag_col)).alias(flag_col)))
+        *keys, *dated, *[value(c) for c in other],
+        F.when(inserted, F.lit(new_flag)).otherwise(F.col(flag_col)).alias(flag_col)))
 
 
 def rows_as_json(df: DataFrame, out_col: str = "json") -> DataFrame:

@@ -291,6 +291,15 @@ def test_upsert_with_window_delete(spark):
     assert out == [(1, True), (3, True), (4, False)]
 
 
+def test_upsert_inserts_source_values_and_keeps_matched(spark):
+    tgt = spark.createDataFrame([(1, dt.date(2020, 1, 5), "old", True)], "k int, d date, v string, f boolean")
+    src = spark.createDataFrame([(1, dt.date(2020, 1, 5), "new"), (2, dt.date(2020, 1, 6), "ins")],
+                                "k int, d date, v string")
+    out = sorted(rows(WR.upsert_with_window_delete(tgt, src, ["k"], "d", "2020-01-01", "2020-01-31", "f"),
+                      "k", "d", "v", "f"))
+    assert out == [(1, dt.date(2020, 1, 5), "old", True), (2, dt.date(2020, 1, 6), "ins", False)]
+
+
 def test_rows_as_json(spark):
     df = spark.createDataFrame([(1, "a")], "k int, s string")
     assert WR.rows_as_json(df).first().json == '{"k":1,"s":"a"}'
