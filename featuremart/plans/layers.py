@@ -66,6 +66,34 @@ def login_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 STATUS_GROUPS = {"F": "settled", "O": "current", "P": "in_arrears"}
 
 
+def card_account_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card movements joined to their accounts (one shuffle of each side),
+    with arrears cycles turned into days (CL-16)."""
+    li = t(spark, sf_dir, "lineitem")
+    o = t(spark, sf_dir, "orders")
+    return li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey).select(
+        F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"),
+        F.last_day(F.to_date("l_shipdate")).alias("_observ_end_dt"), "o_orderstatus",
+        F.col("l_linestatus").alias("direction"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+        (F.floor(F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")) / 30).cast("int") * 30)
+        .alias("arrears_days"),
+        F.round(F.col("l_discount") * 100).cast("int").alias("promo_days"))
+
+
+def card_account_aggs() -> list:
+    """TR-06 / TR-09 measures per account and month, as aggregate expressions
+    so a caller can compute them in the same pass as its own."""
+    days = F.col("arrears_days")
+    return [L.map_lookup(F.max("o_orderstatus"), STATUS_GROUPS, default="unknown").alias("status_group"),
+            A.any_flag(days >= 30).alias("arrears_30_flag"),
+            A.any_flag(days >= 60).alias("arrears_60_flag"),
+            A.any_flag(days >= 90).alias("arrears_90_flag"),
+            F.coalesce(A.sum_if(days >= 30, "amount"), F.lit(0)).alias("arrears_balance"),
+            F.sum("amount").alias("balance"),
+            F.max(F.greatest("arrears_days", "promo_days")).alias("max_arrears_days")]
+
+
 @register("card_account_features", f"""
 WITH x AS (
   SELECT o.o_custkey AS customer_key, o.o_orderpriority AS account_key,
@@ -85,25 +113,8 @@ SELECT customer_key, account_key, _observ_end_dt,
 FROM x GROUP BY 1, 2, 3
 """)
 def card_account_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = t(spark, sf_dir, "lineitem")
-    o = t(spark, sf_dir, "orders")
-    x = li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey).select(
-        F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"),
-        F.last_day(F.to_date("l_shipdate")).alias("_observ_end_dt"), "o_orderstatus",
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
-        # arrears cycles of 30 days -> days (CL-16)
-        (F.floor(F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")) / 30).cast("int") * 30)
-        .alias("arrears_days"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("promo_days"))
-    days = F.col("arrears_days")
-    g = x.groupBy("customer_key", "account_key", "_observ_end_dt").agg(
-        L.map_lookup(F.max("o_orderstatus"), STATUS_GROUPS, default="unknown").alias("status_group"),
-        A.any_flag(days >= 30).alias("arrears_30_flag"),
-        A.any_flag(days >= 60).alias("arrears_60_flag"),
-        A.any_flag(days >= 90).alias("arrears_90_flag"),
-        F.coalesce(A.sum_if(days >= 30, "amount"), F.lit(0)).alias("arrears_balance"),
-        F.sum("amount").alias("balance"),
-        F.max(F.greatest("arrears_days", "promo_days")).alias("max_arrears_days"))
+    g = card_account_facts(spark, sf_dir).groupBy("customer_key", "account_key", "_observ_end_dt") \
+        .agg(*card_account_aggs())
     return to_val_columns(g)
 
 

@@ -23,7 +23,7 @@ from featuremart.plans.cleaning import (CUSTOMER_CLEANED_SQL, EMPLOYEES_SQL, PRO
                                         customer_cleaned, employees_cleaned, products_bridge)
 from featuremart.plans.inputs import (CURRENCIES, FOREIGN, HOME, RATES_SQL, SNAPSHOTS_SQL,
                                       TRANSACTIONS_SQL, account_snapshots, rates, t, transactions)
-from featuremart.plans.layers import card_account_features
+from featuremart.plans.layers import card_account_aggs, card_account_facts
 from featuremart.plans.pivots import pivot_six_measures
 from featuremart.plans.registry import ORACLES, register
 
@@ -52,12 +52,9 @@ def card_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAYMENT_KINDS = ["F", "O"]
 
 
-def card_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = transactions(spark, sf_dir).withColumn("_observ_end_dt", F.last_day("trx_date"))
-    p = A.pivot_measures(x, ACCOUNT_MONTH, "direction", PAYMENT_KINDS,
-                         {"cnt": ("count", None), "amount": ("sum", "amount")},
-                         name_fmt="payment_{value}_{measure}")
-    return to_val_columns(p)
+def payment_aggs() -> list:
+    return A.pivot_aggs("direction", PAYMENT_KINDS, {"cnt": ("count", None), "amount": ("sum", "amount")},
+                        name_fmt="payment_{value}_{measure}")
 
 
 _BAL_SQL = f"""
@@ -90,8 +87,11 @@ FROM bal LEFT JOIN pay USING (customer_key, account_key, _observ_end_dt)
 LEFT JOIN acc USING (customer_key, account_key, _observ_end_dt)
 """)
 def credit_card_node(spark: SparkSession, sf_dir: str) -> DataFrame:
-    acc = card_account_features(spark, sf_dir).withColumnRenamed("balance_val", "statement_balance_val")
-    out = join_all([card_balances(spark, sf_dir), card_payments(spark, sf_dir), acc], ACCOUNT_MONTH, "left")
+    # payments (TR-08) and account status / arrears (TR-06 / TR-09) share one join of the
+    # movements to their accounts and one grouped pass: the fact table is shuffled once
+    acc = card_account_facts(spark, sf_dir).groupBy(*ACCOUNT_MONTH).agg(*payment_aggs(), *card_account_aggs())
+    acc = to_val_columns(acc.withColumnRenamed("balance", "statement_balance"))
+    out = card_balances(spark, sf_dir).join(acc, ACCOUNT_MONTH, "left")
     return fill_numeric_zero(out, PAYMENT_MEASURES)
 
 
