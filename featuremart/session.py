@@ -1,7 +1,7 @@
 """Session helper: sane defaults for local tests and for a cluster.
 
-On a cluster the session is created by the platform; ``configure`` only
-fills in what is unset. The checkpoint folder is read from
+On a cluster the session is created by the platform; ``get_session`` only
+fills in defaults the launch configuration left unset. The checkpoint folder is read from
 ``spark.checkpoint.dir``; a local temporary folder is only used when the
 setting is absent (tests on one machine).
 """
@@ -25,22 +25,40 @@ DEFAULT_CONF = {
     # explicitly, behind a row-count check or a structural bound
     # (operators/broadcast.py); everything else shuffles.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # AQE sizes shuffle partitions from runtime statistics: a cluster sets
+    # spark.sql.shuffle.partitions high (about the largest shuffle / 128 MB)
+    # and AQE merges the small ones and splits skewed ones.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 
 def get_session(master: str | None = None, app: str = "featuremart",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    """The session with the defaults above filled in where the launch
+    configuration (spark-submit, cluster settings) left them unset; values
+    passed here (``shuffle_partitions``, ``extra``) always apply."""
+    from pyspark import SparkConf
+
+    explicit = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    active = SparkSession.getActiveSession()
+    launch = active.sparkContext.getConf() if active is not None else SparkConf()
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not launch.contains(k)}
+    conf.update(explicit)
+    if active is not None:
+        for k, v in conf.items():
+            if not k.startswith("spark.ui."):  # static; fixed at launch
+                active.conf.set(k, v)
+        spark = active
+    else:
+        builder = SparkSession.builder.appName(app)
+        if master:
+            builder = builder.master(master)
+        for k, v in conf.items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

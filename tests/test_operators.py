@@ -406,3 +406,12 @@ def test_row_sums_null_rules(spark):
                     nullsafe_sum(["a", "b"]).alias("n"), safe_ratio("a", "b").alias("r")).collect()
     assert [(r.p, r.z, r.n) for r in out] == [(None, 1, 1), (None, 0, None), (5, 5, 5)]
     assert out[0].r is None and abs(out[2].r - 2 / 3) < 1e-12
+
+
+def test_session_defaults_keep_launch_settings(spark):
+    from featuremart.session import get_session
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    again = get_session()  # defaults only where the launch configuration set nothing
+    assert again is spark
+    assert again.conf.get("spark.sql.shuffle.partitions") == before
+    assert again.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
