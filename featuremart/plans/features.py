@@ -47,6 +47,8 @@ def month_features_df(spark: SparkSession, sf_dir: str, start=None, end=None) ->
                                    "_observ_end_dt", "_particion"])
 
 
+# --- month features (flagship): SRC-02, JN-03, SC-17..19, AG-01 / AG-03 / AG-10 (conditional
+#     counts and sums, kind pivot, total of two pivoted kinds), PRJ-02..04 (prefix, _val, period)
 MONTH_FEATURES_SQL = f"""
 WITH r AS ({RATES_SQL}),
 t AS ({TRANSACTIONS_SQL}),

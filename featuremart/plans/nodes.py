@@ -3,6 +3,10 @@ on the driver tables) and the remaining scalar / aggregate operators."""
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +24,12 @@ from featuremart.plans.inputs import (HOME, RATES_SQL, TRANSACTIONS_SQL, rates,
 from featuremart.operators.joins import add_rate, with_metadata
 from featuremart.plans.quality import records_sql
 from featuremart.plans.registry import register
-from featuremart.sources.readers import classify_tables, filter_by_date_column
-from featuremart.sources.writers import prepare_for_save
+from featuremart.functions.dates import held_back_range, previous_month_range
+from featuremart.operators.profiling import tables_with_column
+from featuremart.sources.readers import (classify_tables, date_range_filter, filter_by_date_column,
+                                         list_tables, load_dataset, load_many, load_optional,
+                                         rows_per_date)
+from featuremart.sources.writers import document_columns, prepare_for_save
 
 
 def _val(expr: str, alias: str) -> str:
@@ -100,7 +108,7 @@ def date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.join(last, "customer_key").join(flag, "customer_key").join(days, "customer_key")
 
 
-# --- WN-04 / WN-06: worst graded row per key; latest history shown only with debt
+# --- WN-04 / WN-05 / WN-06: worst graded row per key; latest history shown only with debt
 @register("worst_and_latest", """
 WITH o AS (SELECT o_custkey AS customer_key, o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS grade,
                   CAST(o_orderdate AS DATE) AS d, o_orderstatus, o_totalprice FROM orders),
@@ -131,7 +139,7 @@ def worst_and_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.join(worst, "customer_key", "left")
 
 
-# --- DQ-14: validate every dataset of a layer in one plan
+# --- DQ-06 / DQ-14: validate every dataset of a layer in one plan; a validator that fails becomes a HIGH record
 LAYER_RULES = {
     "orders": QualityRules(unique_keys=["o_orderkey"], allowed_values={"o_orderstatus": ["F", "O"]}),
     "customer": QualityRules(null_limits={"c_acctbal": 0},
@@ -149,7 +157,8 @@ def dq_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate_layer(spark, frames, LAYER_RULES, {"orders": "o_orderdate"})
 
 
-# --- SRC-05 / SRC-09: case-insensitive date filter; tables classified by date column
+# --- SRC-05 / SRC-09 / JN-08: case-insensitive date filter; tables classified by date column;
+#     counts joined to the table metadata
 @register("classify_and_filter", """
 SELECT 'events' AS table_name, CAST(count(*) AS BIGINT) AS rows_in_range,
        'ts' AS date_column, 'transactional' AS table_kind
@@ -172,7 +181,8 @@ def classify_and_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_metadata(counts, kinds, "table_name")  # JN-08: inner join to table metadata
 
 
-# --- a cleaning node end to end: keys, flags, text, period, prefix, gate (CL + SNK-03 + DQ-12)
+# --- a cleaning node end to end: keys, flags, text, observation period (PRJ-12), prefix, gate
+#     (CL + SNK-03 + DQ-12)
 CLEAN_RULES = QualityRules(unique_keys=["customer_key"], null_limits={"cus_segment": 0})
 # Fixed example word list for the word-boundary flag (parameter of the node).
 FLAG_WORDS = ["Customer#000000007", "Customer#000000042"]
@@ -213,3 +223,60 @@ def clean_customer_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_for_save(cleaned, "cus", "_observ_end_dt", keys,
                             gate=lambda df: validate_before_save(df, "clean_customer", CLEAN_RULES,
                                                                  "_observ_end_dt"))
+
+
+# --- SRC-01 / SRC-03 / SRC-04 / SRC-06 / SRC-08 / SRC-10 / QA-05 / QA-12 / QA-15 / SNK-06:
+#     a node's inputs: loaded from a catalog (a missing user path falls back to the
+#     shared one), listed as views minus excluded prefixes, the dated ones found by
+#     their column, counted per day inside their run windows (held back two days, or
+#     the previous calendar month), and documented with column comments
+INPUT_DATE_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+HELD_BACK = held_back_range(_dt.date(1995, 1, 1), as_of=_dt.date(2001, 12, 31))
+PREVIOUS_MONTH = previous_month_range(as_of=_dt.date(2001, 12, 15))
+
+
+@register("node_inputs", f"""
+SELECT 'customer' AS table_name, CAST(NULL AS DATE) AS info_date, CAST(count(*) AS BIGINT) AS records FROM customer
+UNION ALL
+SELECT 'orders', CAST(o_orderdate AS DATE), CAST(count(*) AS BIGINT) FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{HELD_BACK[0]}' AND DATE '{HELD_BACK[1]}' GROUP BY 2
+UNION ALL
+SELECT 'lineitem', CAST(l_shipdate AS DATE), CAST(count(*) AS BIGINT) FROM lineitem
+WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '{PREVIOUS_MONTH[0]}' AND DATE '{PREVIOUS_MONTH[1]}' GROUP BY 2
+""")
+def node_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = sf_dir.rstrip("/")
+    customers = load_dataset(spark, f"{root}/customer.parquet")  # SRC-01: empty is an error
+    catalog = {
+        "orders": {"path": f"{root}/orders.parquet"},
+        # the user area has no copy: the shared path is read instead
+        "lineitem": {"path": f"{root}/user_area/lineitem.parquet", "fallback": f"{root}/lineitem.parquet"},
+    }
+    frames = {"customer": customers, **load_many(spark, catalog)}
+    # SRC-04: an optional input that is absent gives None and is left out
+    optional = {"leads": load_optional(spark, path=f"{root}/user_area/leads.parquet")}
+    frames.update({n: df for n, df in optional.items() if df is not None})
+    tag = uuid.uuid4().hex[:8]
+    views = {f"in_{tag}_{n}": df for n, df in frames.items()}
+    for v, df in views.items():
+        df.createOrReplaceTempView(v)
+    frames["orders"].limit(0).createOrReplaceTempView(f"tmp_{tag}_scratch")
+    listed = [v for v in list_tables(spark, exclude_prefixes=["tmp_"]) if v in views]
+    # QA-05 over schema metadata: one row per (table, column), bounded by the schemas
+    columns = spark.createDataFrame([(v, c) for v in listed for c in spark.table(v).columns],
+                                    "table_name string, column_name string")
+    windows = {"orders": HELD_BACK, "lineitem": PREVIOUS_MONTH}
+    parts = []
+    for v in listed:
+        name = v[len(f"in_{tag}_"):]
+        date_col = INPUT_DATE_COLUMNS.get(name)
+        if date_col is None or v not in tables_with_column(columns, date_col):
+            parts.append(rows_per_date(spark.table(v), None, name))
+        else:
+            df = date_range_filter(spark.table(v), date_col, *windows[name])
+            parts.append(rows_per_date(df, date_col, name))
+    for v in [*views, f"tmp_{tag}_scratch"]:
+        spark.catalog.dropTempView(v)
+    out = reduce(DataFrame.unionByName, parts)
+    return document_columns(out, {"table_name": "input dataset", "info_date": "day of the rows",
+                                  "records": "rows on that day (all rows for an undated table)"})

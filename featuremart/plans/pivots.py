@@ -146,7 +146,7 @@ def pivot_numeric_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_val_columns(p)
 
 
-# --- AG-11 / AG-13: rows reported once per currency count as ceil(n/2)
+# --- AG-11 / AG-12 / AG-13: rows reported once per currency count as ceil(n/2)
 @register("half_count_pairs", f"""
 WITH x AS ({TRANSACTIONS_SQL}),
 f AS (SELECT customer_key, l_suppkey, amount, coalesce(direction = 'O', false) AS pair, count(*) AS n

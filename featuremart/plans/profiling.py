@@ -78,7 +78,8 @@ FROM gg LEFT JOIN c ON c.table_name = gg.table_name AND c.info_date = gg.info_da
 """
 
 
-# --- QA-01..QA-03: rows per table and expected date, 0 where missing
+# --- QA-01..QA-03: rows per table and expected date, 0 where missing (QA-16 / QA-17 are the
+#     same operator with the upper layers' date columns)
 @register("date_completeness", COMPLETENESS_SQL)
 def date_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _completeness(spark, sf_dir)

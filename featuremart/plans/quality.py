@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.operators.quality import (CRITICAL, QualityRules, blocked_periods,
-                                           quality_decision, quality_records)
+                                           month_ranges, quality_decision, quality_records)
 from featuremart.plans.inputs import t
 from featuremart.plans.registry import register
 
@@ -115,26 +115,31 @@ def records_sql(source_sql: str, dataset: str, rules: QualityRules, month_col: s
             + "\nUNION ALL\n".join(selects))
 
 
+# --- DQ-01 / DQ-07: key values occurring more than once (null key parts ignored) -> record
 @register("dq_duplicates", records_sql(DQ_SOURCE_SQL, "lineitem", DUP_RULES, None, SOURCE_COLUMNS))
 def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_records(dq_source(spark, sf_dir), "lineitem", DUP_RULES)
 
 
+# --- DQ-02 / DQ-07: null share per column against its limit, all columns in one pass
 @register("dq_nulls", records_sql(DQ_SOURCE_SQL, "lineitem", NULL_RULES, None, SOURCE_COLUMNS))
 def dq_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_records(dq_source(spark, sf_dir), "lineitem", NULL_RULES)
 
 
+# --- DQ-03 / DQ-07: values outside the allowed list, nulls fail unless allowed
 @register("dq_allowed_values", records_sql(DQ_SOURCE_SQL, "lineitem", DIM_RULES, None, SOURCE_COLUMNS))
 def dq_allowed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_records(dq_source(spark, sf_dir), "lineitem", DIM_RULES)
 
 
+# --- DQ-04 / DQ-07: SQL rules per row; unknown passes unless told otherwise; a rule that does not parse is skipped
 @register("dq_rules", records_sql(DQ_SOURCE_SQL, "lineitem", SQL_RULES, None, SOURCE_COLUMNS))
 def dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_records(dq_source(spark, sf_dir), "lineitem", SQL_RULES)
 
 
+# --- DQ-05 / DQ-08 / DQ-10: every check of a dataset as records, one grouped pass per month
 DQ_BY_MONTH_SQL = records_sql(DQ_SOURCE_SQL, "lineitem", ALL_RULES, "l_shipdate", SOURCE_COLUMNS)
 
 
@@ -143,6 +148,7 @@ def dq_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_records(dq_source(spark, sf_dir), "lineitem", ALL_RULES, "l_shipdate")
 
 
+# --- DQ-05: STOP on any critical failure, per month
 @register("quality_decision", f"""
 WITH r AS ({DQ_BY_MONTH_SQL})
 SELECT dataset_name, _observ_start_dt, _observ_end_dt, CAST(count(*) AS BIGINT) AS checks,
@@ -155,12 +161,35 @@ def quality_decision_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_decision(dq_by_month(spark, sf_dir))
 
 
-@register("quality_gate", f"""
+# --- DQ-11 / DQ-15: months of a range blocked by a stored critical failure
+GATE_RANGE = ("1996-01-01", "2000-12-31")
+QUALITY_GATE_SQL = f"""
 WITH r AS ({DQ_BY_MONTH_SQL})
 SELECT dataset_name, _observ_end_dt,
        CAST(max(CASE WHEN status = 'FAIL' AND severity = 'CRITICAL' THEN 1 ELSE 0 END) AS INTEGER) AS blocked
-FROM r WHERE CAST(_observ_end_dt AS DATE) BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'
+FROM r WHERE CAST(_observ_end_dt AS DATE) BETWEEN DATE '{GATE_RANGE[0]}' AND DATE '{GATE_RANGE[1]}'
 GROUP BY 1, 2
-""")
+"""
+
+
+@register("quality_gate", QUALITY_GATE_SQL)
+
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocked_periods(dq_by_month(spark, sf_dir), "1996-01-01", "2000-12-31")
+    return blocked_periods(dq_by_month(spark, sf_dir), *GATE_RANGE)
+
+
+# --- DQ-09 / DQ-11: the gate's run range split into calendar months; a month without stored
+#     records is not blocked
+@register("gate_by_month", f"""
+WITH g AS ({QUALITY_GATE_SQL}),
+m AS (SELECT CAST(unnest(generate_series(DATE '{GATE_RANGE[0]}', DATE '{GATE_RANGE[1]}', INTERVAL 1 MONTH)) AS DATE) AS month_start)
+SELECT m.month_start, last_day(m.month_start) AS month_end, CAST(coalesce(max(g.blocked), 0) AS INTEGER) AS blocked
+FROM m LEFT JOIN g ON CAST(g._observ_end_dt AS DATE) = last_day(m.month_start)
+GROUP BY 1, 2
+""")
+def gate_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    months = month_ranges(spark, *GATE_RANGE)
+    g = quality_gate(spark, sf_dir)
+    j = months.join(g, F.to_date(g["_observ_end_dt"]) == months["month_end"], "left")
+    return j.groupBy("month_start", "month_end").agg(
+        F.coalesce(F.max("blocked"), F.lit(0)).cast("int").alias("blocked"))

@@ -76,7 +76,7 @@ FROM ({TRANSACTIONS_SQL}) x GROUP BY 1, 2, 3
 PAYMENT_MEASURES = [f"payment_{k.lower()}_{m}" for k in PAYMENT_KINDS for m in ("cnt", "amount_val")]
 
 
-# --- TR-11: the credit-card node: balances (TR-07) left join payments (TR-08) left join
+# --- TR-11 / PRJ-11: the credit-card node: balances (TR-07) left join payments (TR-08) left join
 #     account status, arrears flags and arrears days (TR-06 / TR-09)
 @register("credit_card_node", f"""
 WITH bal AS ({_BAL_SQL}), pay AS ({_PAY_SQL}), acc AS ({ORACLES['card_account_features']})

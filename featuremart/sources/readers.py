@@ -100,8 +100,9 @@ def load_many(spark: SparkSession, catalog: dict[str, dict], fallback_root: str
               ) -> dict[str, DataFrame]:
     """SRC-03: load every input of a node into ``name -> DataFrame``.
 
-    ``catalog`` maps a name to ``{"path", "format", "date_col", "start", "end"}``.
-    A missing user path falls back to ``fallback_root/<name>``.
+    ``catalog`` maps a name to ``{"path", "format", "date_col", "start", "end"}``
+    and optionally ``"fallback"``, the shared path to read when the user path
+    is missing; without it the fallback is ``fallback_root/<name>``.
     """
     out = {}
     for name, spec in catalog.items():
@@ -109,9 +110,10 @@ def load_many(spark: SparkSession, catalog: dict[str, dict], fallback_root: str
         try:
             df = spark.read.format(fmt).load(spec["path"])
         except AnalysisException:
-            if not fallback_root:
+            fallback = spec.get("fallback") or (fallback_root and f"{fallback_root.rstrip('/')}/{name}")
+            if not fallback:
                 raise
-            df = spark.read.format(fmt).load(f"{fallback_root.rstrip('/')}/{name}")
+            df = spark.read.format(fmt).load(fallback)
         if spec.get("date_col"):
             df = date_range_filter(df, spec["date_col"], spec.get("start"), spec.get("end"),
                                    spec.get("out_col"))
