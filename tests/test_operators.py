@@ -437,3 +437,32 @@ def test_card_measures_in_one_pass_match_separate_passes(spark):
     assert joined.count() > 0
     for c in cols:
         assert joined.where(~node[c].eqNullSafe(alone[c])).count() == 0, c
+
+
+def test_pivot_totals_equal_ungrouped_totals(spark):
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", "c", None]),
+                              st.one_of(st.none(), st.integers(-50, 50))), max_size=30))
+    def check(data):
+        df = spark.createDataFrame(data, "k int, cat string, v int")
+        p = A.pivot_measures(df, ["k"], "cat", ["a", "b", "c"],
+                             {"cnt": ("count", None), "amount": ("sum", "v")})
+        got = p.agg(*[F.sum(f"{c}_{m}").alias(f"{c}_{m}") for c in "abc" for m in ("cnt", "amount")]).first()
+        for c in "abc":
+            rows_c = [r for r in data if r[1] == c]
+            assert (got[f"{c}_cnt"] or 0) == len(rows_c)
+            assert (got[f"{c}_amount"] or 0) == sum(r[2] for r in rows_c if r[2] is not None)
+
+    check()
+
+
+def test_flagship_counts_every_movement(spark):
+    from tests.conftest import SF_SMALL
+    from featuremart.plans.features import month_features_df
+    from featuremart.plans.inputs import transactions
+    f = month_features_df(spark, SF_SMALL)
+    total = f.agg(F.sum("trx_movements_cnt").alias("n"),
+                  F.sum(F.col("trx_a_cnt") + F.col("trx_n_cnt") + F.col("trx_r_cnt")).alias("k")).first()
+    assert total.n == transactions(spark, SF_SMALL).count() == total.k
