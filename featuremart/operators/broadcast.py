@@ -1,10 +1,13 @@
 """Size-checked broadcast joins.
 
-A side is broadcast only after a bounded job proves it holds at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading as soon as
-the bound is passed). Beyond the bound the join is left to the planner
-(sort-merge or AQE's own runtime switch), so a catalog that grows with the
-data never lands whole in every executor.
+A side is broadcast only after a count proves it holds at most ``max_rows``
+rows. The count is a grouped count: every task counts its own split (column
+pruning makes that a metadata read for a plain Parquet scan) and only one
+number per task is shuffled. (``limit(n + 1).count()`` would look cheaper but
+plans as a per-task limit feeding one single-partition task, which on a large
+table funnels up to n rows from every task into it.) Beyond the bound the
+join is left to the planner (sort-merge or AQE's own runtime switch), so a
+catalog that grows with the data never lands whole in every executor.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ _BROADCASTABLE_RIGHT = {"inner", "left", "leftouter", "left_outer", "left_anti",
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` provably has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def join_small(left: DataFrame, right: DataFrame, on, how: str = "left",
