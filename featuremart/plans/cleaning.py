@@ -16,7 +16,7 @@ from featuremart.functions import lookup as L
 from featuremart.functions import text as T
 from featuremart.functions.currency import currency_views
 from featuremart.operators.broadcast import join_small
-from featuremart.operators.columns import (fill_numeric_zero, key_columns_first, label_missing_text,
+from featuremart.operators.columns import (fill_numeric_zero, label_missing_text,
                                            project, to_val_columns)
 from featuremart.operators.joins import add_rate, first_per_group, join_all
 from featuremart.plans.inputs import (CURRENCIES, FOREIGN, HOME, RATES_SQL, SNAPSHOTS_SQL,

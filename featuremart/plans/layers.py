@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from featuremart.functions import dates as D
 from featuremart.functions import lookup as L
-from featuremart.functions import text as T
 from featuremart.functions.arith import matching_columns
 from featuremart.operators import aggregates as A
 from featuremart.operators import windows as W
