@@ -1,6 +1,7 @@
 """One monthly run across the layers, as the reference's main flow does it:
+cleaning (customers as of the run's last month) -> quality gate -> save ->
 transformation (account x month) -> quality gate -> partitioned save ->
-integration (customer x month) read from the saved layer, gated -> volume
+integration (customer x month) read from the saved layers, gated -> volume
 report over the saved layers.
 
 Each layer is written with dynamic partition overwrite on ``_particion``, so
@@ -15,12 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featuremart.operators.columns import with_observation_dates, with_period
 from featuremart.operators.profiling import monthly_spine, volume_report, volume_series
 from featuremart.operators.quality import QualityRules, require_gate, validate_before_save
 from featuremart.operators.setops import union_same_shape
 from featuremart.plans.customer import customer_rollup
 from featuremart.plans.features import month_features_df
-from featuremart.plans.inputs import t
+from featuremart.plans.cleaning import customer_cleaned
+from featuremart.plans.inputs import SEGMENTS, t
 from featuremart.sources.writers import save_partitioned
 
 ACCOUNT_RULES = QualityRules(
@@ -28,13 +31,17 @@ ACCOUNT_RULES = QualityRules(
     null_limits={"trx_amount_total_val": 5},
     rules=[{"name": "counts_add_up", "condition": "trx_a_cnt + trx_n_cnt + trx_r_cnt = trx_movements_cnt",
             "severity": "CRITICAL"}])
+CLEAN_CUSTOMER_RULES = QualityRules(unique_keys=["customer_key", "_observ_end_dt"],
+                                    null_limits={"segment": 0},
+                                    allowed_values={"segment": SEGMENTS + ["unknown"]})
 CUSTOMER_RULES = QualityRules(unique_keys=["customer_key", "_observ_end_dt"],
                               rules=[{"name": "non_negative", "condition": "amount_total_val >= 0"}])
 
 
 def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=None) -> dict[str, str]:
     out_root = out_root.rstrip("/")
-    paths = {"accounts": f"{out_root}/account_month_features",
+    paths = {"clean_customers": f"{out_root}/clean_customers",
+             "accounts": f"{out_root}/account_month_features",
              "customers": f"{out_root}/customer_month_features",
              "history": f"{out_root}/quality_history",
              "volumes": f"{out_root}/volume_report"}
@@ -44,17 +51,31 @@ def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=
         return spark.read.parquet(paths["history"]).join(
             records.select("dataset_name", "_observ_end_dt").distinct(), ["dataset_name", "_observ_end_dt"])
 
+    lo = start or "1900-01-01"
+    hi = end or "2999-12-31"
+
+    # cleaning layer: the customer snapshot as of the run's last month (CL-21), stamped
+    # with its observation period, gated, saved; a re-run of the month replaces it
+    as_of = end or t(spark, sf_dir, "orders").agg(F.max(F.to_date("o_orderdate"))).first()[0]
+    clean = with_observation_dates(customer_cleaned(spark, sf_dir).withColumn("__as_of", F.to_date(F.lit(as_of))),
+                                   "__as_of").drop("__as_of")
+    clean = with_period(clean, "_observ_end_dt")
+    validate_before_save(clean, "clean_customers", CLEAN_CUSTOMER_RULES, "_observ_end_dt", store)
+    save_partitioned(clean, paths["clean_customers"], "_particion", "replace_range")
+    require_gate(spark, paths["history"], "clean_customers", lo, hi)
+    period = int(str(as_of)[:7].replace("-", ""))  # the snapshot's yyyyMM
+
     accounts = month_features_df(spark, sf_dir, start, end)
     validate_before_save(accounts, "account_month_features", ACCOUNT_RULES, "_observ_end_dt", store)
     save_partitioned(accounts, paths["accounts"], "_particion", "replace_range")
 
-    lo = start or "1900-01-01"
-    hi = end or "2999-12-31"
     require_gate(spark, paths["history"], "account_month_features", lo, hi)
     saved = spark.read.parquet(paths["accounts"])
     if start is not None or end is not None:
         saved = saved.where(F.col("_observ_end_dt").between(F.to_date(F.lit(lo)), F.last_day(F.to_date(F.lit(hi)))))
-    customers = customer_rollup(saved, t(spark, sf_dir, "customer")).withColumn(
+    cleaned = spark.read.parquet(paths["clean_customers"]).where(F.col("_particion") == period).select(
+        F.col("customer_key").alias("c_custkey"), F.col("segment").alias("c_mktsegment"))
+    customers = customer_rollup(saved, cleaned).withColumn(
         "_particion", F.date_format("_observ_end_dt", "yyyyMM").cast("int"))
     validate_before_save(customers, "customer_month_features", CUSTOMER_RULES, "_observ_end_dt", store)
     save_partitioned(customers, paths["customers"], "_particion", "replace_range")

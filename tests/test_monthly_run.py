@@ -17,6 +17,9 @@ def test_run_layers(spark, tmp_path):
     assert cust.count() == E.queries()["customer_month_profile"](spark, SF_SMALL).count()
     hist = spark.read.parquet(paths["history"])
     assert hist.where("status = 'FAIL' AND severity = 'CRITICAL'").count() == 0
+    assert hist.select("dataset_name").distinct().count() == 3
+    clean = spark.read.parquet(paths["clean_customers"])
+    assert clean.count() == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
     assert spark.read.parquet(paths["volumes"]).select("table_name").distinct().count() == 2
     # re-running one month replaces only that month's partition
     before = acc.where(F.col("_particion") != 199803).count()
@@ -24,3 +27,5 @@ def test_run_layers(spark, tmp_path):
     acc2 = spark.read.parquet(paths["accounts"])
     assert acc2.where(F.col("_particion") != 199803).count() == before
     assert acc2.count() == want.count()
+    # the March re-run adds the March customer snapshot beside the first one
+    assert spark.read.parquet(paths["clean_customers"]).select("_particion").distinct().count() == 2
