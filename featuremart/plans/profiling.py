@@ -273,11 +273,10 @@ RUN_WINDOW = ("1997-01-01", "1998-12-31")
 ISSUE_SCHEMA = "table_name string, info_date date, source_records bigint, lake_records bigint, issue string"
 
 
-def _issues(dates: DataFrame, skipped_days: list[int]) -> DataFrame:
-    """Issues of one run: the source system reports one extra row on Sundays and
-    nothing on ``skipped_days`` of the month."""
-    lake = dates.groupBy("table_name", "info_date").agg(F.count(F.lit(1)).alias("records"))
-    rng = dates.groupBy("table_name").agg(F.min("info_date").alias("lo"), F.max("info_date").alias("hi"))
+def _issues(lake: DataFrame, skipped_days: list[int]) -> DataFrame:
+    """Issues of one run from the lake's rows per (table, day): the source system
+    reports one extra row on Sundays and nothing on ``skipped_days`` of the month."""
+    rng = lake.groupBy("table_name").agg(F.min("info_date").alias("lo"), F.max("info_date").alias("hi"))
     expected = rng.select("table_name", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY")))
                           .alias("info_date"))
     src = (lake.where(~F.dayofmonth("info_date").isin(*skipped_days))
@@ -320,10 +319,15 @@ def missing_data_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t(spark, sf_dir, n).select(F.lit(n).alias("table_name"), F.to_date(c).alias("info_date"))
         for n, c in RUN_TABLES.items()])
     path = new_location(spark, "missing_data_run")
+    # rows per (table, day): one pass over the tables, partial counts before the shuffle; the
+    # result is small (tables x days) and written once, both runs below read it
+    lake = dates.groupBy("table_name", "info_date").agg(F.count(F.lit(1)).alias("records"))
+    lake.write.mode("overwrite").parquet(f"{path}/lake_counts")
+    lake = spark.read.parquet(f"{path}/lake_counts")
     # the stored list from the previous run; someone reviewed the day-14 gaps
-    previous = _issues(dates, [14, 15]).withColumn("reviewed", F.dayofmonth("info_date") == 14)
+    previous = _issues(lake, [14, 15]).withColumn("reviewed", F.dayofmonth("info_date") == 14)
     previous.write.mode("overwrite").parquet(f"{path}/store_v1")
-    store = upsert_with_window_delete(spark.read.parquet(f"{path}/store_v1"), _issues(dates, [15]),
+    store = upsert_with_window_delete(spark.read.parquet(f"{path}/store_v1"), _issues(lake, [15]),
                                       ["table_name", "info_date"], "info_date", *RUN_WINDOW, "reviewed", False)
     store.write.mode("overwrite").parquet(f"{path}/store_v2")
     store = spark.read.parquet(f"{path}/store_v2")
