@@ -28,7 +28,7 @@ from featuremart.functions.dates import held_back_range, previous_month_range
 from featuremart.operators.profiling import tables_with_column
 from featuremart.sources.readers import (classify_tables, date_range_filter, filter_by_date_column,
                                          list_tables, load_dataset, load_many, load_optional,
-                                         rows_per_date)
+                                         rows_per_date, rows_per_date_at)
 from featuremart.sources.writers import document_columns, prepare_for_save
 
 
@@ -243,6 +243,8 @@ WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{HELD_BACK[0]}' AND DATE '{HELD_BA
 UNION ALL
 SELECT 'lineitem', CAST(l_shipdate AS DATE), CAST(count(*) AS BIGINT) FROM lineitem
 WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '{PREVIOUS_MONTH[0]}' AND DATE '{PREVIOUS_MONTH[1]}' GROUP BY 2
+UNION ALL
+SELECT 'leads', CAST(NULL AS DATE), CAST(0 AS BIGINT)
 """)
 def node_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = sf_dir.rstrip("/")
@@ -277,6 +279,9 @@ def node_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
             parts.append(rows_per_date(df, date_col, name))
     for v in [*views, f"tmp_{tag}_scratch"]:
         spark.catalog.dropTempView(v)
+    # an input that cannot be read is counted as one zero row (SRC-06 on a path)
+    parts += [rows_per_date_at(spark, f"{root}/user_area/{n}.parquet", None, n)
+              for n, df in optional.items() if df is None]
     out = reduce(DataFrame.unionByName, parts)
     return document_columns(out, {"table_name": "input dataset", "info_date": "day of the rows",
                                   "records": "rows on that day (all rows for an undated table)"})

@@ -133,6 +133,18 @@ def rows_per_date(df: DataFrame, date_col: str | None, table_name: str,
               .select(F.lit(table_name).alias("table_name"), out_date, "records"))
 
 
+def rows_per_date_at(spark: SparkSession, path: str, date_col: str | None, table_name: str,
+                     fmt: str = "parquet", out_date: str = "info_date") -> DataFrame:
+    """SRC-06 for a path: rows per date, or one zero row (null date) when the
+    path cannot be read, so a missing source shows up in the counts."""
+    try:
+        df = spark.read.format(fmt).load(path)
+    except AnalysisException:
+        return spark.createDataFrame([(table_name, None, 0)],
+                                     f"table_name string, {out_date} date, records bigint")
+    return rows_per_date(df, date_col, table_name, out_date)
+
+
 def union_tagged(frames: dict[str, DataFrame], project: Iterable[Column | str],
                  tag_col: str = "table_name") -> DataFrame:
     """SRC-07: the same projection over several tables, each row tagged with
