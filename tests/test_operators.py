@@ -466,3 +466,10 @@ def test_flagship_counts_every_movement(spark):
     total = f.agg(F.sum("trx_movements_cnt").alias("n"),
                   F.sum(F.col("trx_a_cnt") + F.col("trx_n_cnt") + F.col("trx_r_cnt")).alias("k")).first()
     assert total.n == transactions(spark, SF_SMALL).count() == total.k
+
+
+def test_credit_card_node_scans_the_fact_table_once(spark):
+    from tests.conftest import SF_SMALL
+    from featuremart.plans.transform import credit_card_node
+    plan = credit_card_node(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1, plan
