@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import byte_bpe, sharding
+from featuremart.llm import byte_bpe, quality_forest, sharding, toxicity
 from featuremart.llm.common import table
 
 QUERIES: dict = {}
@@ -24,6 +24,15 @@ def read_file(path: str) -> bytes:
         return f.read()
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str, max_labelled: int = 4000) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), max_labelled)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.col("tox_severity").alias("severity"), F.col("tox_grade").alias("grade"),
+        F.col("tox_rejected").alias("rejected"))
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) -> DataFrame:
     blob = read_file(ranks or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -37,3 +46,11 @@ def op3_rendezvous_shards(spark: SparkSession, sf_dir: str, shards: int = 16) ->
                                [1.0] * shards, [1.0] * (shards + 1))
     return rows.select(F.col("key").alias("doc_id"), "size", "text_crc32",
                        F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op4_quality_forest(spark: SparkSession, sf_dir: str, max_labelled: int = 20_000) -> DataFrame:
+    out = quality_forest.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                 max_labelled=max_labelled)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "anomaly")
