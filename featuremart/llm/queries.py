@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import byte_bpe, quality_forest, sharding, toxicity
+from featuremart.llm import byte_bpe, quality_forest, sharding, substring_dedup, toxicity
 from featuremart.llm.common import table
 
 QUERIES: dict = {}
@@ -54,3 +54,10 @@ def op4_quality_forest(spark: SparkSession, sf_dir: str, max_labelled: int = 20_
                                  max_labelled=max_labelled)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", "anomaly")
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str, window: int = 35) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs, window).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
