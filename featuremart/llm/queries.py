@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import byte_bpe, quality_forest, sharding, substring_dedup, toxicity
+from featuremart.llm import byte_bpe, packing, quality_forest, sharding, substring_dedup, toxicity
 from featuremart.llm.common import table
 
 QUERIES: dict = {}
@@ -61,3 +61,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str, window: int = 35) -> D
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs, window).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
+
+
+@query
+def op6_min_slack_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None,
+                          capacity: int = 2048) -> DataFrame:
+    blob = read_file(tokenizer or public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), blob, capacity=capacity)
