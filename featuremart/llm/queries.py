@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import byte_bpe, packing, quality_forest, sharding, substring_dedup, toxicity
+from featuremart.llm import (byte_bpe, packing, quality_forest, sharding, simhash, substring_dedup,
+                             toxicity)
 from featuremart.llm.common import table
 
 QUERIES: dict = {}
@@ -68,3 +69,10 @@ def op6_min_slack_packing(spark: SparkSession, sf_dir: str, tokenizer: str | Non
                           capacity: int = 2048) -> DataFrame:
     blob = read_file(tokenizer or public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(table(spark, sf_dir, "documents"), blob, capacity=capacity)
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str, shingle: int = 3, radius: int = 2) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=shingle, radius=radius)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      F.col("component").alias("component_id"))
