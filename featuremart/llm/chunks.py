@@ -93,7 +93,7 @@ class WordHasher:
     def __call__(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > CACHE:
             self.known = {}
-        for w in set(words) - self.known.keys():
+        for w in set(words).difference(self.known):
             self.known[w] = self.hash(w)
         return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
@@ -128,3 +128,21 @@ def pack_bits(mask: np.ndarray) -> bytes:
 
 def unpack_bits(raw: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool)
+
+
+def bit_width(n: int) -> int:
+    """Bits that number n things."""
+    return max(0, int(n - 1).bit_length())
+
+
+def slices_of(keys: np.ndarray, shift: int):
+    """(slice, from, to) of the non-empty slices of sorted keys."""
+    part = (keys >> np.uint64(shift)).astype(np.int64)
+    edges = np.flatnonzero(np.diff(part)) + 1
+    lo, hi = np.concatenate([[0], edges]), np.concatenate([edges, [len(keys)]])
+    return zip(part[lo].tolist(), lo.tolist(), hi.tolist()) if len(keys) else ()
+
+
+def record_batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import (byte_bpe, packing, quality_forest, sharding, simhash, substring_dedup,
+from featuremart.llm import (byte_bpe, lm_bloom, packing, quality_forest, sharding, simhash, substring_dedup,
                              toxicity)
 from featuremart.llm.common import table
 
@@ -76,3 +76,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str, shingle: int = 3, radius: int
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=shingle, radius=radius)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.col("component").alias("component_id"))
+
+
+@query
+def op9_lm_bloom(spark: SparkSession, sf_dir: str, order: int = 3, max_bits: int = 1 << 30) -> DataFrame:
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
+    return lm_bloom.score(table(spark, sf_dir, "documents"), F.crc32(name) % 5 == 1, order=order,
+                          max_bits=max_bits)

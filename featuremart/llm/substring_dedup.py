@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from featuremart.llm.chunks import (WordHasher, chunked, mix, pack_bits, rows_of, unpack_bits,
-                                    window_hashes)
+from featuremart.llm.chunks import (WordHasher, bit_width, chunked, mix, pack_bits, record_batch, rows_of,
+                                    slices_of, unpack_bits, window_hashes)
 from featuremart.llm.common import fresh
 
 WINDOW = 35
@@ -47,10 +47,6 @@ SLICE_TARGET_BITS = 9        # about 2**9 slices, until slices reach their large
 EXACT_KEYS = 1 << 21         # windows per slice of the exact pass
 
 
-def _bits(n: int) -> int:
-    return max(0, int(n - 1).bit_length())
-
-
 class Windows:
     """The windows of one chunk: words, hashes and where windows may start."""
 
@@ -83,19 +79,6 @@ def _unpack_cells(raw: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(gaps).view(np.uint32).ravel(), dtype=np.int64)
 
 
-def _slices(keys: np.ndarray, shift: int):
-    """(slice, from, to) of the non-empty slices of sorted keys."""
-    part = (keys >> np.uint64(shift)).astype(np.int64)
-    edges = np.flatnonzero(np.diff(part)) + 1
-    lo, hi = np.concatenate([[0], edges]), np.concatenate([edges, [len(keys)]])
-    return zip(part[lo].tolist(), lo.tolist(), hi.tolist()) if len(keys) else ()
-
-
-def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
-    cols = list(zip(*rows)) or [()] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
-
-
 def count_windows(size: int):
     return lambda texts: sum(max(0, len(t.encode().split()) - size + 1) for t in texts if t)
 
@@ -112,10 +95,10 @@ def partial_sketches(chunks: DataFrame, at: int, size: int, bits: int, slice_bit
                 out = []
                 for row in range(DEPTH):
                     cells, n = np.unique(win.cells(row, bits), return_counts=True)
-                    for s, lo, hi in _slices(cells, slice_bits):
+                    for s, lo, hi in slices_of(cells, slice_bits):
                         local = (cells[lo:hi] & np.uint64((1 << slice_bits) - 1)).astype(np.int64)
                         out.append((row, s, chunk, _pack_cells(local), pack_bits(n[lo:hi] > 1)))
-                yield _batch(out, names, kinds)
+                yield record_batch(out, names, kinds)
 
     return chunks.select("chunk", "block").mapInArrow(
         run, "row int, slice long, chunk long, cells binary, twice binary")
@@ -144,7 +127,7 @@ def _estimated(win: Windows, answers, bits: int, slice_bits: int) -> np.ndarray:
     for row in range(DEPTH):
         cells, back = np.unique(win.cells(row, bits), return_inverse=True)
         flags = np.zeros(len(cells), bool)
-        for s, lo, hi in _slices(cells, slice_bits):
+        for s, lo, hi in slices_of(cells, slice_bits):
             if (row, s) in by:
                 flags[lo:hi] = unpack_bits(by[row, s], hi - lo)
         ok &= flags[back]
@@ -174,8 +157,8 @@ def exact_requests(joined: DataFrame, at: int, size: int, bits: int, slice_bits:
             for chunk, block, answers in zip(*(c.to_pylist() for c in b.columns)):
                 win = Windows(rows_of(block).column(at).to_pylist(), hasher, size)
                 a, c, twice, _ = _exact_keys(win, _estimated(win, answers, bits, slice_bits))
-                yield _batch([(s, chunk, a[lo:hi].tobytes(), c[lo:hi].tobytes(), pack_bits(twice[lo:hi]))
-                              for s, lo, hi in _slices(a, shift)], names, kinds)
+                yield record_batch([(s, chunk, a[lo:hi].tobytes(), c[lo:hi].tobytes(), pack_bits(twice[lo:hi]))
+                              for s, lo, hi in slices_of(a, shift)], names, kinds)
 
     return joined.select("chunk", "block", "repeated_cells").mapInArrow(
         run, "slice long, chunk long, first binary, second binary, twice binary")
@@ -209,9 +192,9 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, text: str = "text") -> D
     space), n_words, n_removed (underscores are added to a taken name)."""
     chunks = chunked(df, "substring-chunks", text, count_windows(window))
     total = chunks.agg(F.sum("size")).first()[0] or 0
-    bits = max(MIN_SLICE_BITS, _bits(CELLS_PER_WINDOW * total))
+    bits = max(MIN_SLICE_BITS, bit_width(CELLS_PER_WINDOW * total))
     slice_bits = min(max(bits - SLICE_TARGET_BITS, MIN_SLICE_BITS), MAX_SLICE_BITS)
-    shift = 64 - max(6, _bits(-(-total // EXACT_KEYS)))
+    shift = 64 - max(6, bit_width(-(-total // EXACT_KEYS)))
     at = df.columns.index(text)
     cells = merge_sketches(partial_sketches(chunks, at, window, bits, slice_bits), slice_bits)
     joined = chunks.select("chunk", "block").join(cells, "chunk", "left")
@@ -229,7 +212,7 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, text: str = "text") -> D
                 a, _, _, place = _exact_keys(win, pick)
                 again = np.zeros(len(a), bool)
                 by = {x["slice"]: x["bits"] for x in answers or ()}
-                for s, lo, hi in _slices(a, shift):
+                for s, lo, hi in slices_of(a, shift):
                     again[lo:hi] = unpack_bits(by[s], hi - lo)
                 hit = win.start[pick[again[place]]]
                 cover = np.zeros(len(win.hashes) + 1, np.int64)
