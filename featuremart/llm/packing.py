@@ -85,7 +85,7 @@ class WordIds:
         distinct = set().union(*docs)
         if len(self.known) > CACHE:
             self.known = {}
-        self._learn(list(distinct - self.known.keys()))
+        self._learn(list(distinct.difference(self.known)))
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, d)), np.uint32) for d in docs]
 
