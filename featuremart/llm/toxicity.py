@@ -83,7 +83,7 @@ class Model:
             toks = tokens(t)
             if len(known) > CACHE:
                 known = {}
-            for w in set(toks) - known.keys():
+            for w in set(toks).difference(known):
                 known[w] = tuple(i for i in map(self.terms.get, terms(w)) if i is not None)
             found = [i for ids in map(known.__getitem__, toks) if ids for i in ids]
             if found:
