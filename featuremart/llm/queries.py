@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import (byte_bpe, lm_bloom, packing, quality_forest, sharding, simhash, substring_dedup,
+from featuremart.llm import (ann, byte_bpe, lm_bloom, packing, quality_forest, sharding, simhash, substring_dedup,
                              toxicity)
 from featuremart.llm.common import table
 
@@ -83,3 +83,8 @@ def op9_lm_bloom(spark: SparkSession, sf_dir: str, order: int = 3, max_bits: int
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
     return lm_bloom.score(table(spark, sf_dir, "documents"), F.crc32(name) % 5 == 1, order=order,
                           max_bits=max_bits)
+
+
+@query
+def op8_adaptive_ann(spark: SparkSession, sf_dir: str, k: int = 20, max_sample: int = 16_384) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k, max_sample=max_sample)
