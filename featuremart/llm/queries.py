@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import (ann, byte_bpe, lm_bloom, packing, quality_forest, sharding, simhash, substring_dedup,
+from featuremart.llm import (ann, byte_bpe, lm_bloom, packing, pii, quality_forest, sharding, simhash, substring_dedup,
                              toxicity)
 from featuremart.llm.common import table
 
@@ -88,3 +88,15 @@ def op9_lm_bloom(spark: SparkSession, sf_dir: str, order: int = 3, max_bits: int
 @query
 def op8_adaptive_ann(spark: SparkSession, sf_dir: str, k: int = 20, max_sample: int = 16_384) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k, max_sample=max_sample)
+
+
+@query
+def op10_pii_boosting(spark: SparkSession, sf_dir: str, precision: float = 0.9) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"), precision=precision)
+
+    def count(kind: str):
+        code = pii.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == code)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.span_text(F.col("spans")).alias("spans"))
