@@ -1,12 +1,58 @@
-"""Corpus pipeline: the stages that turn ``documents`` into packed sequences."""
+"""Corpus pipeline: the stages that turn ``documents`` into packed sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
+every result to the shared folder and rereads it as the next stage's input. All
+stages but the last return the columns of ``docs``:
+
+1. toxicity      rows whose expected severity passes the calibrated threshold go
+2. simhash       one row of each near-duplicate component stays
+3. substring     words of passages that repeat elsewhere go; a text that loses
+                 none is unchanged, rows stay even when all words went
+4. pii           personal data is replaced by its kind's name in brackets
+5. packing       the pieces of the token sequences, with sequence and offset
+
+Stages change ``text`` only (n_chars keeps describing the source text). SQL
+cannot express the fitted stages, so there is no oracle; the tests hold ``run``
+against the stages' operators and brute-force forms.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from featuremart.llm import packing, pii, simhash, substring_dedup, toxicity
 from featuremart.llm.common import table, written
+from featuremart.llm.queries import read_file
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_texts(docs)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, read_file(public_tokenizers.path("word_bpe_49k.json")))
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash", drop_near_duplicates),
+    ("substring", drop_repeated_passages),
+    ("pii", redact_personal_data),
+    ("packing", pack_sequences),
+]
 ORACLE_SQL = None
 
 
