@@ -196,7 +196,7 @@ def safe_records(spark: SparkSession, fn, dataset: str, *args, **kwargs) -> Data
         return fn(*args, **kwargs)
     except Exception as e:  # noqa: BLE001 - any validator failure is a record
         return spark.createDataFrame(
-            [(dataset, "validator", "ERROR", f"{type(e).__name__}: {e}"[:500], HIGH, FAIL, None,
+            [(dataset, "validator", "ERROR", f"{type(e).__name__}: {e}", HIGH, FAIL, None,
               None)], record_schema())
 
 

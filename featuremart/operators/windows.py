@@ -71,12 +71,13 @@ def distributed_row_number(df: DataFrame, partition: Sequence[str], order: Itera
     sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
     hot_keys = sizes.where(F.col("__n") > hot_threshold).select(*part)
     if hot_keys.isEmpty():
-        return df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*part).orderBy(*ordered)))
+        return df.withColumn(rank_col, F.row_number().over(
+            Window.partitionBy(*part).orderBy(*ordered)).cast("long"))
 
     on = [df[k].eqNullSafe(hot_keys[k]) for k in part]
     hot_b = F.broadcast(hot_keys)  # bounded: at most rows / hot_threshold keys
     cold = df.join(hot_b, on, "left_anti").withColumn(
-        rank_col, F.row_number().over(Window.partitionBy(*part).orderBy(*ordered)))
+        rank_col, F.row_number().over(Window.partitionBy(*part).orderBy(*ordered)).cast("long"))
     hot = df.join(hot_b, on, "left_semi")
 
     from featuremart.session import ensure_checkpoint_dir
@@ -94,7 +95,7 @@ def distributed_row_number(df: DataFrame, partition: Sequence[str], order: Itera
     keys = [*part, "__pid"]
     numbered = (local.join(offsets, [local[k].eqNullSafe(offsets[k]) for k in keys])
                 .select(*[local[c] for c in df.columns],
-                        (F.col("__off") + F.col("__local")).cast("int").alias(rank_col)))
+                        (F.col("__off") + F.col("__local")).cast("long").alias(rank_col)))
     return cold.unionByName(numbered)
 
 
@@ -127,17 +128,41 @@ def latest_if_present(history: DataFrame, partition: Sequence[str], date_col: st
         F.when(F.col(presence_col) > 0, F.col(c)).alias(c) for c in shown])
 
 
-def keep_ratio(df: DataFrame, partition: Sequence[str], order: Iterable, divisor_col: str
-               ) -> DataFrame:
+def keep_ratio(df: DataFrame, partition: Sequence[str], order: Iterable, divisor_col: str | None = None,
+               distinct_col: str | None = None, hot_threshold: int = HOT_GROUP_ROWS) -> DataFrame:
     """WN-07: keep the first ceil(rows / divisor) rows per group, which drops
-    the repeats of a report sent several times."""
-    # group sizes by a grouped count (partial counts, skew-safe), numbering
-    # by the distributed row number
-    sizes = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("__n"))
-    numbered = distributed_row_number(df, partition, order, "__rn")
-    return (numbered.join(sizes, [numbered[k].eqNullSafe(sizes[k]) for k in partition])
-            .where(F.col("__rn") <= F.ceil(F.col("__n") / F.col(divisor_col)))
-            .select(*[numbered[c] for c in df.columns]))
+    the repeats of a report sent several times. The divisor is a column that is
+    the same in the whole group, or the number of distinct values of
+    ``distinct_col`` in it.
+
+    The input is written once, so its plan runs once for the check for hot
+    groups and the cut. Cold groups need one shuffle (all measures are windows
+    over the group); hot groups, at most rows / hot_threshold of them, bring
+    their size along as a bounded broadcast and are numbered across tasks.
+    """
+    from featuremart.session import staged
+
+    part = list(partition)
+    df = staged(df.sparkSession, df, "keep_ratio")
+    total = F.count_distinct(distinct_col) if distinct_col else F.max(divisor_col)
+    hot = (df.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"), total.alias("__d"))
+           .where(F.col("__n") > hot_threshold))
+    group = Window.partitionBy(*part)
+    size = F.size(F.collect_set(distinct_col).over(group)) if distinct_col else F.max(divisor_col).over(group)
+
+    def cut(x: DataFrame) -> DataFrame:
+        return (x.withColumn("__rn", F.row_number().over(group.orderBy(*_order(order))))
+                .withColumn("__n", F.count(F.lit(1)).over(group)).withColumn("__d", size)
+                .where(F.col("__rn") <= F.ceil(F.col("__n") / F.col("__d"))).select(*df.columns))
+
+    if hot.isEmpty():
+        return cut(df)
+    small = F.broadcast(hot)  # bounded: at most rows / hot_threshold groups
+    on = [df[k].eqNullSafe(hot[k]) for k in part]
+    big = df.join(small, on).select(*[df[c] for c in df.columns], "__n", "__d")
+    numbered = distributed_row_number(big, part, order, "__rn", hot_threshold=hot_threshold)
+    kept = numbered.where(F.col("__rn") <= F.ceil(F.col("__n") / F.col("__d"))).select(*df.columns)
+    return cut(df.join(small, on, "left_anti")).unionByName(kept)
 
 
 def last_n_records(df: DataFrame, partition: Sequence[str], order: Iterable, n: int = 18,

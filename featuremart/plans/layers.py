@@ -201,12 +201,11 @@ def loan_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         *A.pivot_aggs("product_status", LOAN_KEYS, {"cnt": ("count", None)}),
         A.any_flag((F.col("o_orderstatus") == "O")
                    & (F.col("d") <= F.date_add(F.trunc("d", "month"), 14))).alias("credit_line_flag"),
-        F.max("late_bucket_flag").alias("late_bucket_flag"))
+        F.max("late_bucket_flag").alias("late_bucket_flag"),
+        F.max_by("o_orderkey", F.struct("grade", "o_orderkey")).alias("worst_loan"))
     # horizontal total over pivoted names with a fixed part and variants (AG-07)
     g = A.horizontal_total(g, "urgent_open_cnt", matching_columns(g.columns, "_open_cnt", ["p1", "p2"]))
-    worst = W.top_n_per_group(o, MONTH, [("grade", "desc"), ("o_orderkey", "desc")]) \
-        .select(*MONTH, F.col("o_orderkey").alias("worst_loan"))
-    return to_val_columns(g).join(worst, MONTH)
+    return to_val_columns(g)
 
 
 # --- TR-34..36 / IN-13 / CL-37 / CL-38 / CL-56 / CL-57: investments merged from three
@@ -252,17 +251,9 @@ def investment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
          .select(F.col("o_custkey").alias("customer_key"), "p_type",
                  F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
                  F.to_date("o_orderdate").alias("od"), F.to_date("l_shipdate").alias("sd")))
-    # three product sources with their own column names, renamed and merged by name (CL-37)
-    fixed = x.where(F.col("p_type").isin("ECONOMY", "STANDARD")).withColumnsRenamed(
-        {"amount": "principal", "od": "opened_on"})
-    funds = x.where(F.col("p_type").isin("LARGE", "MEDIUM", "SMALL")).withColumnsRenamed(
-        {"amount": "units_value", "sd": "valued_on"})
-    plans = x.where(F.col("p_type") == "PROMO")
-    merged = union_missing_as_null([
-        fixed.withColumnsRenamed({"principal": "amount", "opened_on": "od"}),
-        funds.withColumnsRenamed({"units_value": "amount", "valued_on": "sd"}),
-        plans])
-    inv = merged.groupBy("customer_key", "p_type").agg(
+    # every product counts into the totals, listed in the pivot or not; the sources of CL-37
+    # share one shape here, so one pass replaces a split by product and a union
+    inv = x.groupBy("customer_key", "p_type").agg(
         F.sum("amount").alias("amount"), F.min("od").alias("first_order"), F.max("sd").alias("last_ship"))
     y = inv.withColumn("term", D.whole_months_between("last_ship", "first_order"))
     aggs = [F.sum("amount").alias("invested"),

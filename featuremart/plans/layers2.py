@@ -3,7 +3,7 @@ income and supplier flags, foreign-exchange channels."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featuremart.functions import lookup as L
@@ -98,14 +98,16 @@ SELECT customer_key, debt_type, report_date, CAST(count(*) AS BIGINT) AS records
 FROM h JOIN m USING (customer_key, report_date) GROUP BY 1, 2, 3
 """)
 def history_latest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = transactions(spark, sf_dir)
-    o = t(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("report_date"),
-                                          F.substring("o_orderpriority", 1, 1).cast("int").alias("grade"))
-    h = x.join(o, x.l_orderkey == o.o_orderkey).select(
-        "customer_key", "report_date", F.col("direction").alias("debt_type"), "amount", "grade")
-    # latest report: a grouped max joined back (partial max per task; AQE splits a hot key's join)
-    latest = h.groupBy("customer_key").agg(F.max("report_date").alias("report_date"))
-    g = h.join(latest, ["customer_key", "report_date"]).groupBy("customer_key", "debt_type", "report_date").agg(
+    o = t(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("customer_key"), F.to_date("o_orderdate").alias("report_date"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("grade"))
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linestatus").alias("debt_type"),
+                                             F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+    h = li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey)
+    # rank 1 is cut in every task before the shuffle; the sums then shuffle partial rows only
+    newest = F.rank().over(Window.partitionBy("customer_key").orderBy(F.desc("report_date")))
+    latest = h.withColumn("newest", newest).where(F.col("newest") == 1)
+    g = latest.groupBy("customer_key", "debt_type", "report_date").agg(
         F.count(F.lit(1)).alias("records"), F.sum("amount").alias("amount"), F.max("grade").alias("worst_grade"))
     return to_val_columns(g)
 
@@ -117,7 +119,8 @@ WITH b AS (SELECT p_brand, CAST(substr(p_brand, 7) AS INTEGER) AS grade, max(p_n
            FROM part GROUP BY 1),
 a AS (SELECT last_day(CAST(max(o_orderdate) AS DATE) - INTERVAL 1 MONTH) AS closed_month FROM orders)
 SELECT b.p_brand AS brand, b.grade, right(repeat('0', 4) || CAST(b.grade AS VARCHAR), 4) AS brand_code,
-       upper(substr(b.description, 1, 1)) || lower(substr(b.description, 2)) AS description,
+       list_aggregate(list_transform(string_split(b.description, ' '),
+                      lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), 'string_agg', ' ') AS description,
        b.brand_group, b.prices, n.p_brand AS next_brand, CAST(a.closed_month AS DATE) AS catalog_date
 FROM b LEFT JOIN b n ON n.grade = b.grade + 1 CROSS JOIN a
 """)
@@ -126,7 +129,7 @@ def catalog_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = p.groupBy("p_brand").agg(
         F.max("p_name").alias("description"), F.max("p_type").alias("brand_group"),
         F.count_distinct(F.col("p_retailprice").cast("decimal(10,2)")).alias("prices")) \
-        .withColumn("grade", F.substring("p_brand", 7, 10).cast("int"))
+        .withColumn("grade", F.substr("p_brand", F.lit(7)).cast("int"))
     nxt = b.select(F.col("grade").alias("__g"), F.col("p_brand").alias("next_brand"))
     out = b.join(nxt, F.col("__g") == F.col("grade") + 1, "left").drop("__g")
     # as-of stamp (CL-42): a one-row aggregate read as a scalar (no cross join)
@@ -135,8 +138,7 @@ def catalog_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = out.withColumn("catalog_date", F.lit(as_of).cast("date"))
     return out.select(F.col("p_brand").alias("brand"), "grade",
                       T.left_pad_keep_right("grade", 4).alias("brand_code"),
-                      F.concat(F.upper(F.substring("description", 1, 1)),
-                               F.lower(F.substring("description", 2, 1 << 20))).alias("description"),
+                      F.initcap("description").alias("description"),
                       "brand_group", "prices", "next_brand", "catalog_date")
 
 
@@ -206,21 +208,22 @@ FROM customer c LEFT JOIN inc ON inc.customer_key = c.c_custkey LEFT JOIN sup ON
 """)
 def income_and_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_key"))
-    o = t(spark, sf_dir, "orders")
-    inc = (o.where(F.col("o_orderstatus") == "F").groupBy(F.col("o_custkey").alias("customer_key"))
-           .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("income")))
-    x = transactions(spark, sf_dir)
-    req = x.groupBy("customer_key", "l_orderkey").agg(
-        F.coalesce(A.sum_if(F.col("kind") == "N", "amount"), F.lit(0)).alias("salary"),  # TR-25 filter
-        F.sum("amount").alias("reported"))                                               # TR-48 without
-    r = req.groupBy("customer_key").agg(F.count(F.lit(1)).alias("requests_cnt"),
-                                        F.sum("salary").alias("salary"), F.sum("reported").alias("reported"))
-    pay = (x.select("customer_key", "l_suppkey", "l_orderkey").dropDuplicates()        # CL-08 distinct
-           .groupBy("customer_key").agg(F.count(F.lit(1)).alias("supplier_payments_cnt")))
+    # one pass over the lines per request (TR-25 filter, TR-48 without, CL-08 distinct payments),
+    # one over the requests per customer
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag",
+                                             F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+    per_request = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.coalesce(A.sum_if(F.col("l_returnflag") == "N", "amount"), F.lit(0)).alias("salary"),
+        F.sum("amount").alias("reported"), F.count_distinct("l_suppkey").alias("payments"))
+    o = t(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("customer_key"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice").cast("decimal(18,2)")).alias("income"))
+    per_customer = o.join(per_request.hint("shuffle_merge"), "o_orderkey", "left").groupBy("customer_key").agg(
+        F.sum("income").alias("income"), F.count("reported").alias("requests_cnt"), F.sum("salary").alias("salary"),
+        F.sum("reported").alias("reported"), F.sum("payments").alias("supplier_payments_cnt"))
     sup = (t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("customer_key")).distinct()
            .withColumn("supplier_flag", F.lit(1)))
-    j = c.join(inc, "customer_key", "left").join(sup, "customer_key", "left") \
-        .join(r, "customer_key", "left").join(pay, "customer_key", "left")
+    j = c.join(sup, "customer_key", "left").join(per_customer, "customer_key", "left")
     j = fill_numeric_zero(j, ["income", "supplier_flag", "requests_cnt", "salary", "reported",
                               "supplier_payments_cnt"])
     return to_val_columns(j)
@@ -327,21 +330,16 @@ SELECT c.customer_key, best.best_account, best.best_category, coalesce(cnt.addon
 FROM cases c LEFT JOIN best USING (customer_key) LEFT JOIN cnt USING (customer_key)
 """)
 def card_addons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from featuremart.operators.windows import top_n_per_group
-    o = t(spark, sf_dir, "orders")
-    acc = o.select(F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"),
-                   F.substring("o_orderpriority", 1, 1).cast("int").alias("category")).distinct()
-    x = transactions(spark, sf_dir)
-    addon = x.where(F.col("kind") == "R").select("customer_key", "account_key").distinct()
-    plain = acc.join(addon, ["customer_key", "account_key"], "left_anti")
-    best = top_n_per_group(plain, ["customer_key"], [("category", "desc"), ("account_key", "asc")]) \
-        .select("customer_key", F.col("account_key").alias("best_account"), F.col("category").alias("best_category"))
-    cnt = addon.groupBy("customer_key").agg(F.count(F.lit(1)).alias("addons_cnt"))
-    # account -> case bridge: inner join of accounts to their cases, distinct pairs
-    case_of = o.select(F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"),
-                       F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("case_key"))
-    bridge = acc.join(case_of, ["customer_key", "account_key"]).select("customer_key", "case_key").distinct()
-    cases = bridge.groupBy("customer_key").agg(F.count(F.lit(1)).alias("cases_cnt"))
-    out = cases.join(best, "customer_key", "left").join(cnt, "customer_key", "left")
-    return out.withColumn("addons_cnt", F.coalesce("addons_cnt", F.lit(0).cast("long"))).select(
-        "customer_key", "best_account", "best_category", "addons_cnt", "cases_cnt")
+    # accounts with their add-on flag and their cases in one pass over orders and lines
+    addon = t(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R") \
+        .select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("addon", F.lit(1))
+    o = t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("customer_key"),
+                                          F.col("o_orderpriority").alias("account_key"), "o_orderstatus")
+    acc = o.join(addon.hint("shuffle_merge"), "o_orderkey", "left").groupBy("customer_key", "account_key").agg(
+        F.coalesce(F.max("addon"), F.lit(0)).alias("addon"), F.count_distinct("o_orderstatus").alias("cases"))
+    category = F.substring("account_key", 1, 1).cast("int")
+    plain = F.when(F.col("addon") == 0, F.struct((-category).alias("order"), F.col("account_key")))
+    return acc.groupBy("customer_key").agg(
+        F.min(plain).alias("best"), F.sum("addon").alias("addons_cnt"), F.sum("cases").alias("cases_cnt")) \
+        .select("customer_key", F.col("best.account_key").alias("best_account"),
+                (-F.col("best.order")).alias("best_category"), "addons_cnt", "cases_cnt")

@@ -94,12 +94,11 @@ SELECT customer_key, concat_ws('_', module, operation) AS pivot_key, CAST(count(
 FROM k GROUP BY 1, 2
 """)
 def sources_pivot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = t(spark, sf_dir, "events")
-    # one source per module, each brought to the same shape and unioned by name
-    sources = [e.where(F.col("event_type") == et) for et in MODULES]
-    u = union_same_shape(sources, lambda df: df.select(
+    # the lookups tell the sources apart, so one pass reads them all; an event type without a
+    # module keeps its rows under an empty key
+    u = t(spark, sf_dir, "events").select(
         F.col("user_id").alias("customer_key"), "event_type",
-        F.col("value").cast("decimal(18,2)").alias("amount")))
+        F.col("value").cast("decimal(18,2)").alias("amount"))
     module = L.map_lookup("event_type", MODULES)
     operation = F.when(~F.col("event_type").isin(*MODULE_ONLY), L.map_lookup("event_type", OPERATIONS))
     k = u.select("customer_key", "amount", L.compound_key(module, operation).alias("pivot_key"))
@@ -125,8 +124,8 @@ def customer_base_with_form(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("customer_key"), "o_orderkey", F.col("o_orderstatus").alias("form"),
         F.to_date("o_orderdate").alias("registered"), F.date_add(F.to_date("o_orderdate"), 30).alias("updated"),
         F.date_format(F.to_date("o_orderdate"), "ddMMyyyy").alias("raw_date"))
-    ranked = W.rank_by_latest_date(o, ["customer_key"], ["registered", "updated"], [("o_orderkey", "desc")], "rk")
-    newest = ranked.where(F.col("rk") == 1).select(
+    newest = W.top_n_per_group(o, ["customer_key"], [(F.greatest("registered", "updated"), "desc"),
+                                                     ("o_orderkey", "desc")]).select(
         "customer_key", "form", D.parse_day_first_date("raw_date", max_year=9999).alias("form_date"))
     emp = (t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("customer_key")).distinct()
            .withColumn("employee_flag", F.lit(1)))

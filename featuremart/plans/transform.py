@@ -18,6 +18,7 @@ from featuremart.operators import aggregates as A
 from featuremart.operators.columns import fill_numeric_zero, to_val_columns
 from featuremart.operators.joins import add_rate, join_all
 from featuremart.operators.windows import keep_ratio
+from featuremart.session import staged
 from featuremart.plans import cleaning, layers, pivots  # noqa: F401  (parts registered first)
 from featuremart.plans.cleaning import (CUSTOMER_CLEANED_SQL, EMPLOYEES_SQL, PRODUCTS_SQL,
                                         customer_cleaned, employees_cleaned, products_bridge)
@@ -220,12 +221,12 @@ SELECT s.*, {", ".join(f"h.{lk}_debt_cnt, h.{lk}_limit_val" for lk in LINKS.valu
 FROM s JOIN h USING (customer_key)
 """)
 def debt_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = transactions(spark, sf_dir)
-    reports = x.groupBy("l_orderkey").agg(F.count_distinct("direction").alias("reports"))
-    kept = keep_ratio(x.join(reports, "l_orderkey"), ["l_orderkey"], DEBT_ORDER, "reports")
-    k = kept.select("customer_key", "l_suppkey", "amount", "kind",
-                    L.map_lookup("direction", LINKS).alias("link"),
-                    F.substring("account_key", 1, 1).cast("int").alias("grade"))
+    x = transactions(spark, sf_dir).select("l_orderkey", "customer_key", *DEBT_ORDER)
+    kept = keep_ratio(x, ["l_orderkey"], DEBT_ORDER, distinct_col="direction")
+    # the cut rows are written once; both aggregates below read them
+    k = staged(spark, kept.select("customer_key", "l_suppkey", "amount", "kind",
+                                  L.map_lookup("direction", LINKS).alias("link"),
+                                  F.substring("account_key", 1, 1).cast("int").alias("grade")), "debt_rows")
     s = k.groupBy("customer_key").agg(
         *A.pivot_aggs("kind", DEBT_STATUSES, {"cnt": ("count", None)}, name_fmt="status_{value}_{measure}"),
         *[F.max(F.when(F.col("link") == lk, F.col("grade"))).alias(f"{lk}_worst_grade")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featuremart.operators.columns import fill_numeric_zero
@@ -34,7 +34,7 @@ WITH s AS (SELECT l_orderkey, min(CAST(l_shipdate AS DATE)) AS first_ship, max(C
 x AS (SELECT o.o_custkey AS customer_key, o.o_orderkey, CAST(o.o_orderdate AS DATE) AS order_date, s.first_ship,
              s.last_ship, o.o_totalprice FROM orders o JOIN s ON s.l_orderkey = o.o_orderkey)
 SELECT *, CAST(row_number() OVER (PARTITION BY customer_key
-                             ORDER BY greatest(order_date, first_ship, last_ship) DESC, o_totalprice DESC, o_orderkey DESC) AS INTEGER) AS rank
+                             ORDER BY greatest(order_date, first_ship, last_ship) DESC, o_totalprice DESC, o_orderkey DESC) AS BIGINT) AS rank
 FROM x
 """)
 def latest_of_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,9 +84,8 @@ SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity FROM x WHERE r
 def ratio_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
                                              "l_quantity", "l_linestatus")
-    reports = li.groupBy("l_orderkey").agg(F.count_distinct("l_linestatus").alias("reports"))
-    x = li.join(reports, "l_orderkey")
-    kept = keep_ratio(x, ["l_orderkey"], ["l_linenumber", "l_suppkey", "l_partkey", "l_quantity"], "reports")
+    kept = keep_ratio(li, ["l_orderkey"], ["l_linenumber", "l_suppkey", "l_partkey", "l_quantity"],
+                      distinct_col="l_linestatus")
     return kept.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity")
 
 
@@ -120,21 +119,25 @@ def entity_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_entities(c: DataFrame) -> DataFrame:
-    """WN-12 operator: best candidate per (customer, month) by module (desc)
-    and match strength (asc); keep persons matched to exactly one customer in
-    the month; where a customer has several matches, weak ones (4) go."""
+    """WN-12 operator: the best candidate of each (customer, month), best
+    module first, then strongest match; a person that is the best candidate of
+    several customers in a month is no match for any of them; and of a
+    customer's matches over the months, weak ones (4) count only alone.
+
+    Each step is one shuffle. A person's rows in a month are aggregated, not
+    joined back: where there is one customer, its minimum is that customer. A
+    customer's rows left are at most one per month, so a window sees them all.
+    """
     best = top_n_per_group(c, ["customer_key", "year_month"],
-                           [("module", "desc"), ("match", "asc"), ("person_key", "asc")]) \
-        .select("person_key", "customer_key", "year_month", "match")
-    unique = (best.groupBy("person_key", "year_month")
-              .agg(F.count_distinct("customer_key").alias("n")).where("n = 1").drop("n"))
-    e = best.join(unique, ["person_key", "year_month"])
-    multi = (e.groupBy("customer_key")
-             .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("match") == 4).alias("weak"))
-             .where("n > 1 AND weak >= 1").select("customer_key", F.lit(True).alias("multi")))
-    return (e.join(multi, "customer_key", "left")
-             .where((F.col("match") != 4) | F.col("multi").isNull())
-             .select("customer_key", "person_key", "year_month", "match"))
+                           [("module", "desc"), ("match", "asc"), ("person_key", "asc")])
+    alone = (best.groupBy("person_key", "year_month")
+             .agg(F.count(F.lit(1)).alias("claims"), F.min("customer_key").alias("customer_key"),
+                  F.min("match").alias("match"))
+             .where(F.col("claims") == 1))
+    months = F.count(F.lit(1)).over(Window.partitionBy("customer_key"))
+    return (alone.withColumn("months", months)
+            .where((F.col("match") != 4) | (F.col("months") == 1))
+            .select("customer_key", "person_key", "year_month", "match"))
 
 
 # --- WN-11 / QA-09: volume control over 18 preceding months, k = 2.2

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -74,11 +75,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:  # tests / single machine only
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fm-ckpt-"))
+    elif sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fm-ckpt-"))  # one machine, as in tests
+    else:
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return sc.getCheckpointDir()
 
 
+def staged(spark: SparkSession, df, name: str):
+    """Write ``df`` once below the shared checkpoint folder and read it back:
+    several consumers then share one evaluation of its plan."""
+    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables beside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
