@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -19,15 +19,20 @@ from featuremart.operators.windows import VOLUME_K, volume_controls
 SNAPSHOT, TRANSACTIONAL, CATALOG = "snapshot", "transactional", "catalog"
 
 
+class MissingDates(RuntimeError):
+    """Raised when tables still miss dates at the end of a completeness run."""
+
+
 def expected_dates(tables: DataFrame, start_col: str = "start_date", end_col: str = "end_date",
                    kind_col: str = "table_kind") -> DataFrame:
-    """QA-01 / QA-02: the expected date grid per table: every day for
-    transactional tables, month ends for the others."""
-    d = F.explode(F.sequence(F.to_date(F.col(start_col)), F.to_date(F.col(end_col)),
-                             F.expr("INTERVAL 1 DAY"))).alias("info_date")
-    g = tables.select("*", d)
-    return g.where((F.col(kind_col) == TRANSACTIONAL) | (F.col("info_date") == F.last_day("info_date"))) \
-            .drop(start_col, end_col)
+    """QA-01 / QA-02: the dates each table must hold inside the run's window
+    (given, never taken from the data): every day for transactional tables,
+    month ends for snapshots, the window's end for full-load catalogs."""
+    first, last = F.to_date(F.col(start_col)), F.to_date(F.col(end_col))
+    days = F.sequence(first, last, F.expr("INTERVAL 1 DAY"))
+    dates = F.when(F.col(kind_col) == CATALOG, F.array(last)) \
+        .when(F.col(kind_col) == SNAPSHOT, F.filter(days, lambda d: d == F.last_day(d))).otherwise(days)
+    return tables.withColumn("info_date", F.explode(dates)).drop(start_col, end_col)
 
 
 def completeness(grid: DataFrame, counts: DataFrame, keys: Sequence[str] = ("table_name", "info_date")
@@ -37,100 +42,100 @@ def completeness(grid: DataFrame, counts: DataFrame, keys: Sequence[str] = ("tab
 
 
 def missing_months(comp: DataFrame, tolerances: dict[str, int] | None = None) -> DataFrame:
-    """QA-04: months with missing dates per table; for transactional tables
-    whose name holds a tolerance key, months missing no more days than the
-    allowance are forgiven (S-22). Output: one row per (table, kind, column,
-    month) still failing."""
-    miss = (comp.where(F.col("cnt") == 0)
-                .withColumn("month_end", F.last_day("info_date"))
-                .groupBy("table_name", "table_kind", "date_column", "month_end")
-                .agg(F.count(F.lit(1)).alias("missing_days")))
-    if tolerances:
-        entries = []
-        for k, v in tolerances.items():
-            entries += [F.lit(k), F.lit(v)]
-        allowance = F.create_map(*entries)
-        keys = F.array(*[F.lit(k) for k in tolerances])
-        matched = F.filter(keys, lambda k: F.col("table_name").contains(k))
-        exceeded = F.filter(matched, lambda k: allowance[k] < F.col("missing_days"))
-        miss = miss.where((F.col("table_kind") != TRANSACTIONAL) | (F.size(matched) == 0)
-                          | (F.size(exceeded) > 0))
-    return miss.select("table_name", "table_kind", "date_column",
-                       F.date_format("month_end", "yyyy-MM").alias("month_without_data"),
-                       "missing_days")
-
-
-def monthly_spine(df: DataFrame, date_col: str, end=None, start=None) -> DataFrame:
-    """QA-06: month ends from the first month of the data (or ``start``) to
-    ``end`` (default: the last month of the data). The bounds come from a
-    one-row aggregate and the sequence is generated on the executors."""
-    d = F.to_date(F.col(date_col))
-    lo = F.to_date(F.lit(start)) if start is not None else F.min(d)
-    hi = F.to_date(F.lit(end)) if end is not None else F.max(d)
-    bounds = df.agg(lo.alias("__lo"), hi.alias("__hi"))
-    seq = F.sequence(F.trunc("__lo", "month"), F.last_day("__hi"), F.expr("INTERVAL 1 MONTH"))
-    return bounds.select(F.explode(seq).alias("__d")).select(F.last_day("__d").alias("info_date"))
-
-
-def column_profile(df: DataFrame, table_name: str, date_col: str, spine: DataFrame,
-                   customer_cols: Iterable[str] = ()) -> DataFrame:
-    """QA-07: per column and month: rows, distinct customers, nulls, zeros
-    (numeric columns only) and their ratios to 4 digits, type name.
-
-    One grouped aggregate over the table holds every measure; the spine is
-    left-joined (months with no rows show 0) and the wide row is unpivoted
-    with ``explode(array(struct))``.
+    """QA-04: (table, month) pairs with more missing dates than allowed. A
+    transactional table is allowed the smallest tolerance among the keys its
+    name holds, every other table none (S-22)."""
+    gaps = comp.groupBy("table_name", "table_kind", "date_column", F.last_day("info_date").alias("month_end")) \
+        .agg(F.count_if(F.col("cnt") == 0).alias("missing_days"))
+    limits = [F.when(F.col("table_name").contains(key), F.lit(days)) for key, days in (tolerances or {}).items()]
+    allowed = F.when(F.col("table_kind") == TRANSACTIONAL, F.least(*limits, F.lit(None).cast("int"),
+                                                                   F.lit(None).cast("int")))
+    return gaps.where(F.col("missing_days") > F.coalesce(allowed, F.lit(0))).select(
+        "table_name", "table_kind", "date_column",
+        F.date_format("month_end", "yyyy-MM").alias("month_without_data"), "missing_days")
+
+
+def require_complete(gaps: DataFrame) -> None:
+    """QA-04: stop the run when gaps remain; the error names up to 20 of them."""
+    left = gaps.select("table_name", "month_without_data").limit(20).collect()
+    if left:
+        raise MissingDates("missing dates in " + ", ".join(f"{r[0]} {r[1]}" for r in left))
+
+
+def closed_month(as_of) -> Column:
+    """Month end of the last month closed before the run date ``as_of``."""
+    return F.last_day(F.add_months(F.to_date(F.lit(as_of)), -1))
+
+
+def monthly_spine(df: DataFrame, date_col: str, as_of, start=None) -> DataFrame:
+    """QA-06: month ends from the first month of the data (or ``start``) to the
+    last month closed before ``as_of``, whatever the data's own last month."""
+    first = F.to_date(F.lit(start)) if start is not None else F.min(F.to_date(F.col(date_col)))
+    bounds = df.agg(F.trunc(first, "month").alias("first")).withColumn("last", closed_month(as_of))
+    months = F.when(F.col("first") <= F.col("last"), F.sequence("first", "last", F.expr("INTERVAL 1 MONTH")))
+    return bounds.select(F.explode(months).alias("month")).select(F.last_day("month").alias("info_date"))
+
+
+def fill_months(monthly: DataFrame, as_of, series: Sequence[str], zeros: Sequence[str]) -> DataFrame:
+    """One row per ``series`` and month end from its first month to the last
+    closed one, the ``zeros`` columns 0 in months without a row. ``monthly``
+    has at most one row per series and month (column info_date).
+
+    Each row fills the months up to the next row, so the table behind
+    ``monthly`` is read once: no second pass for its date bounds.
     """
-    cust = next((c for c in customer_cols if c in df.columns), None)
-    numeric = {f.name: isinstance(f.dataType, NumericType) for f in df.schema.fields}
-    m = F.last_day(F.to_date(F.col(date_col)))
-    aggs = [F.count(F.lit(1)).alias("__rows"),
-            (F.count_distinct(F.col(cust)) if cust else F.lit(None)).cast("long").alias("__cust")]
-    for i, c in enumerate(df.columns):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"__n{i}"))
-        if numeric[c]:
-            aggs.append(F.count_if(F.col(c) == 0).alias(f"__z{i}"))
-    wide = df.groupBy(m.alias("info_date")).agg(*aggs)
-    wide = spine.join(wide, "info_date", "left").withColumns({
-        "__rows": F.coalesce("__rows", F.lit(0)).cast("long"),
-        "__cust": F.coalesce("__cust", F.lit(0)).cast("long")})
-    structs = []
-    for i, c in enumerate(df.columns):
-        structs.append(F.struct(
-            F.lit(c).alias("column_name"),
-            F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
-            F.coalesce(F.col(f"__n{i}"), F.lit(0)).cast("long").alias("nulls"),
-            (F.coalesce(F.col(f"__z{i}"), F.lit(0)) if numeric[c] else F.lit(None))
-            .cast("long").alias("zeros"),
-            F.lit(numeric[c]).alias("is_numeric")))
-    rows = F.col("__rows")
-    ratio = lambda n: F.round(n.cast("decimal(20,0)") / rows, 4).cast("decimal(10,4)")
-    return (wide.select("info_date", "__rows", "__cust", F.explode(F.array(*structs)).alias("p"))
-            .select(F.lit(table_name).alias("table_name"), F.col("p.column_name"),
-                    F.col("p.data_type"), F.col("__rows").alias("total_rows"),
-                    F.col("__cust").alias("unique_customers"), F.col("p.nulls").alias("nulls"),
-                    F.when(rows > 0, ratio(F.col("p.nulls"))).otherwise(F.lit(0).cast("decimal(10,4)"))
-                     .alias("null_ratio"),
-                    F.col("p.zeros").alias("zeros"),
-                    F.when(F.col("p.is_numeric") & (rows > 0), ratio(F.col("p.zeros")))
-                     .when(F.col("p.is_numeric"), F.lit(0).cast("decimal(10,4)"))
-                     .alias("zero_ratio"),
-                    "info_date"))
-
-
-def volume_series(df: DataFrame, table_name: str, date_col: str, spine: DataFrame,
+    end = closed_month(as_of)
+    following = F.lead("info_date").over(Window.partitionBy(*series).orderBy("info_date"))
+    until = F.coalesce(F.last_day(F.add_months(following, -1)), end)
+    rows = monthly.withColumn("__until", until).where(F.col("info_date") <= end)
+    months = F.sequence(F.trunc("info_date", "month"), F.col("__until"), F.expr("INTERVAL 1 MONTH"))
+    rows = rows.withColumn("__month", F.explode(months)).withColumn("__month", F.last_day("__month"))
+    own = F.col("__month") == F.col("info_date")
+    return rows.select(*[F.when(own, F.col(c)).otherwise(F.lit(0).cast(monthly.schema[c].dataType)).alias(c)
+                         if c in zeros else (F.col("__month").alias(c) if c == "info_date" else F.col(c))
+                         for c in monthly.columns])
+
+
+def column_profile(df: DataFrame, table_name: str, date_col: str, as_of,
+                   customer_cols: Iterable[str] = ()) -> DataFrame:
+    """QA-07: per column and month up to the last closed one: rows, distinct
+    customers, nulls, zeros (numeric columns only), their shares to 4 digits
+    and the type name. One grouped aggregate reads the table; ``stack`` turns
+    its row per month into a row per column."""
+    customer = next((c for c in customer_cols if c in df.columns), None)
+    fields = [(f.name, f.dataType.simpleString(), isinstance(f.dataType, NumericType)) for f in df.schema.fields]
+    measures = {"total_rows": F.count(F.lit(1)),
+                "unique_customers": (F.count_distinct(customer) if customer else F.lit(0)).cast("long")}
+    entries: list[Column] = []
+    for at, (name, kind, is_number) in enumerate(fields):
+        measures[f"empty_{at}"] = F.count_if(F.col(name).isNull())
+        if is_number:
+            measures[f"zero_{at}"] = F.count_if(F.col(name) == 0)
+        entries += [F.lit(name), F.lit(kind), F.col(f"empty_{at}"),
+                    F.col(f"zero_{at}") if is_number else F.lit(None).cast("long")]
+    monthly = df.groupBy(F.last_day(F.to_date(F.col(date_col))).alias("info_date")) \
+        .agg(*[v.alias(k) for k, v in measures.items()]).withColumn("table_name", F.lit(table_name))
+    filled = fill_months(monthly, as_of, ["table_name"], list(measures))
+    long = filled.select("table_name", "info_date", "total_rows", "unique_customers",
+                         F.stack(F.lit(len(fields)), *entries).alias("column_name", "data_type", "nulls", "zeros"))
+
+    def share(part: str) -> Column:
+        of_rows = F.round(F.col(part).cast("decimal(20,0)") / F.greatest("total_rows", F.lit(1)), 4)
+        return of_rows.cast("decimal(10,4)")
+
+    return long.select("table_name", "column_name", "data_type", "total_rows", "unique_customers", "nulls",
+                       share("nulls").alias("null_ratio"), "zeros", share("zeros").alias("zero_ratio"), "info_date")
+
+
+def volume_series(df: DataFrame, table_name: str, date_col: str, as_of,
                   customer_col: str | None) -> DataFrame:
-    """QA-09 input: rows and distinct customers per month on the spine (0
-    where a month has no rows)."""
-    m = F.last_day(F.to_date(F.col(date_col)))
-    cust = F.count_distinct(F.col(customer_col)) if customer_col else F.lit(0)
-    counts = df.groupBy(m.alias("info_date")).agg(F.count(F.lit(1)).alias("records"),
-                                                  cust.cast("long").alias("customers"))
-    return (spine.join(counts, "info_date", "left")
-            .select(F.lit(table_name).alias("table_name"),
-                    F.coalesce("records", F.lit(0)).cast("long").alias("records"),
-                    F.coalesce("customers", F.lit(0)).cast("long").alias("customers"),
-                    "info_date"))
+    """QA-09 input: rows and distinct customers per month, 0 in months without
+    rows up to the last closed month (a table that stopped loading shows it)."""
+    customers = F.count_distinct(F.col(customer_col)) if customer_col else F.lit(0)
+    monthly = df.groupBy(F.last_day(F.to_date(F.col(date_col))).alias("info_date")).agg(
+        F.count(F.lit(1)).alias("records"), customers.cast("long").alias("customers"))
+    monthly = monthly.select(F.lit(table_name).alias("table_name"), "records", "customers", "info_date")
+    return fill_months(monthly, as_of, ["table_name"], ["records", "customers"])
 
 
 def volume_report(series: DataFrame, k: float = VOLUME_K) -> DataFrame:
@@ -138,20 +143,42 @@ def volume_report(series: DataFrame, k: float = VOLUME_K) -> DataFrame:
     return volume_controls(series, "table_name", "info_date", ["records", "customers"], k)
 
 
-def reconcile_counts(expected: DataFrame, lake_counts: DataFrame, source_counts: DataFrame,
-                     keys: Sequence[str] = ("table_name", "info_date")) -> DataFrame:
-    """QA-13: dates expected for a table that are absent in the lake or whose
-    lake count differs from the source count. One join pipeline for all
-    tables (no per-table loop)."""
-    k = list(keys)
-    j = (expected.join(source_counts.withColumnRenamed("records", "source_records"), k, "left")
-                 .join(lake_counts.withColumnRenamed("records", "lake_records"), k, "left"))
-    return (j.withColumn("lake_records", F.coalesce("lake_records", F.lit(0)).cast("long"))
-             .withColumn("source_records", F.col("source_records").cast("long"))
-             .where(F.col("source_records").isNull() | (F.col("lake_records") != F.col("source_records")))
-             .withColumn("issue", F.when(F.col("source_records").isNull(), F.lit("missing_at_source"))
-                         .when(F.col("lake_records") == 0, F.lit("missing_in_lake"))
-                         .otherwise(F.lit("count_mismatch"))))
+# Grace days before a date counts as overdue, days of one attempt.
+GRACE_DAYS, ATTEMPT_DAYS = 2, 7
+
+
+def reconcile_counts(tables: DataFrame, lake_counts: DataFrame, source_counts: DataFrame, as_of) -> DataFrame:
+    """QA-13: what a table's load still owes, all tables in one plan.
+
+    ``tables``: (table_name, table_kind, start_date, end_date), the run's
+    window. A dated table owes every expected date the lake has no row for
+    (snapshots: month ends up to the last closed month); a snapshot also owes
+    the dates whose row count differs from the source's. A catalog owes its
+    whole load when the lake has no rows. ``weeks_overdue`` counts whole weeks
+    since the date, after the grace days: with none the date is loaded again
+    (``re-ingest``), from one on it is reported as ``missing_at_source``.
+    """
+    dated = expected_dates(tables).where(
+        (F.col("table_kind") != SNAPSHOT) | (F.col("info_date") <= closed_month(as_of)))
+    key = ["table_name", "info_date"]
+    both = dated.join(lake_counts.withColumnRenamed("records", "lake_records"), key, "left") \
+        .join(source_counts.withColumnRenamed("records", "source_records"), key, "left")
+    absent = F.coalesce("lake_records", F.lit(0)) == 0
+    differs = (F.col("table_kind") == SNAPSHOT) & (F.col("lake_records") != F.col("source_records"))
+    late = F.datediff(F.date_sub(F.to_date(F.lit(as_of)), GRACE_DAYS), F.col("info_date")) / ATTEMPT_DAYS
+    weeks = F.when(F.col("table_kind") == CATALOG, F.lit(0)).otherwise(late.cast("int"))
+    return both.where(absent | F.coalesce(differs, F.lit(False))).withColumn("weeks_overdue", weeks).select(
+        *key, "table_kind", F.coalesce("lake_records", F.lit(0)).cast("long").alias("lake_records"),
+        F.col("source_records").cast("long").alias("source_records"), "weeks_overdue",
+        F.when(F.col("weeks_overdue") < 1, F.lit("re-ingest")).otherwise(F.lit("missing_at_source")).alias("issue"))
+
+
+def listed_tables(listing: DataFrame, json_col: str) -> DataFrame:
+    """QA-13 (metadata part): a column holding a JSON array of
+    ``{"info": {table fields}}`` objects becomes one row per listed table."""
+    entry = "array<struct<info: struct<table: string, date_column: string, kind: string>>>"
+    return listing.select("*", F.explode(F.from_json(json_col, entry)).alias("__t")) \
+        .select(*[c for c in listing.columns if c != json_col], "__t.info.*")
 
 
 def tables_with_column(table_columns: DataFrame, column_name: str) -> list[str]:

@@ -6,13 +6,15 @@ a whole date range is validated in a single pass. Duplicate keys need their
 own shuffle on the key (partial counts first); its per-month result is one
 row per month and is joined to the main aggregate. Records are built with
 Column expressions (array of structs + explode): nothing is collected to
-build them. Only the final STOP/PASS decision is read on the driver.
+build them. Only the final STOP/PASS decision is read on the driver. A check that
+cannot run, when planned or when executed, becomes an ERROR record and by
+default stops the save.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +23,10 @@ from pyspark.sql import functions as F
 LOW, MEDIUM, HIGH, CRITICAL = "LOW", "MEDIUM", "HIGH", "CRITICAL"
 PASS, FAIL = "PASS", "FAIL"
 STOP = "STOP"
+WARN = "WARN"
 DUPLICATES, NULL_VALUES, DIMENSIONAL, CONSISTENCY = (
     "DUPLICATES", "NULL_VALUES", "DIMENSIONAL", "CONSISTENCY")
+EMPTY_DATASET, ERROR, WHOLE_DATASET = "EMPTY_DATASET", "ERROR", "__dataset__"
 DEFAULT_SEVERITY = {DUPLICATES: HIGH, NULL_VALUES: MEDIUM, DIMENSIONAL: MEDIUM,
                     CONSISTENCY: MEDIUM}
 
@@ -43,6 +47,19 @@ class QualityRules:
     allow_null: bool = False
     rules: list[dict] = field(default_factory=list)  # name, condition, severity, treat_null_as_fail
     severity: dict[str, str] = field(default_factory=lambda: dict(DEFAULT_SEVERITY))
+    fail_on_empty: bool = False       # an empty month (or dataset) is critical, else a warning
+    block_on_error: bool = True       # a check that cannot run stops the save
+
+    def one_by_one(self) -> list[tuple[str, "QualityRules"]]:
+        """(name, rule set) of every check alone, to find one that cannot run."""
+        def only(**kept) -> QualityRules:
+            empty = {"unique_keys": [], "null_limits": {}, "allowed_values": {}, "rules": []}
+            return replace(self, **(empty | kept))
+
+        parts = [(", ".join(self.unique_keys), only(unique_keys=self.unique_keys))] if self.unique_keys else []
+        parts += [(c, only(null_limits={c: v})) for c, v in self.null_limits.items()]
+        parts += [(c, only(allowed_values={c: v})) for c, v in self.allowed_values.items()]
+        return parts + [(r.get("name", "rule"), only(rules=[r])) for r in self.rules]
 
 
 def _find(df: DataFrame, name: str) -> str | None:
@@ -68,10 +85,15 @@ def _check(column: str, check: str, severity: str, failed: Column, fail_desc: Co
 
 
 def quality_records(df: DataFrame, dataset: str, rules: QualityRules,
-                    month_col: str | None = None) -> DataFrame:
+                    month_col: str | None = None, months: DataFrame | None = None) -> DataFrame:
     """DQ-01..DQ-04 + DQ-07 + DQ-10: validation records of a dataset, one set
     per calendar month of ``month_col`` (or one set for the whole frame).
 
+    ``months`` (column month_end, as ``month_ranges`` gives) are the months the
+    run expects. An expected month without rows, or a whole frame without
+    rows, gives one EMPTY_DATASET record: critical with ``fail_on_empty``, a
+    warning otherwise.
+
     A rule whose SQL does not analyse is skipped (DQ-04); a missing key
     column skips the duplicate check (DQ-01); missing columns are skipped.
     """
@@ -157,7 +179,19 @@ def quality_records(df: DataFrame, dataset: str, rules: QualityRules,
     if not checks:
         spark = df.sparkSession
         return spark.createDataFrame([], record_schema())
-    return (summary.select("__m", F.explode(F.array(*checks)).alias("r"))
+    found = F.array(*checks)
+    if month_col is None or months is not None:
+        expected = (months.select(F.col("month_end").alias("__e")) if months is not None and month_col else
+                    df.sparkSession.range(1).select(F.lit(None).cast("date").alias("__e")))
+        summary = expected.join(summary, expected["__e"].eqNullSafe(summary["__m"]), "full") \
+            .withColumn("__m", F.coalesce("__m", "__e"))
+        empty = F.struct(
+            F.lit(WHOLE_DATASET).alias("column_name"), F.lit(EMPTY_DATASET).alias("check"),
+            F.lit(f"dataset {dataset} has no rows in the period").alias("description"),
+            F.lit(CRITICAL if rules.fail_on_empty else LOW).alias("severity"),
+            F.lit(FAIL if rules.fail_on_empty else WARN).alias("status"))
+        found = F.when(F.coalesce(total, F.lit(0)) == 0, F.array(empty)).otherwise(found)
+    return (summary.select("__m", F.explode(found).alias("r"))
             .select(F.lit(dataset).alias("dataset_name"), "r.column_name", "r.check",
                     "r.description", "r.severity", "r.status",
                     F.trunc("__m", "month").cast("string").alias("_observ_start_dt"),
@@ -175,29 +209,50 @@ def with_run_time(records: DataFrame, run_time: str | None = None) -> DataFrame:
     return records.withColumn("run_time", F.lit(ts))
 
 
-def quality_decision(records: DataFrame, validator_errors: int = 0,
-                     block_on_error: bool = True) -> DataFrame:
-    """DQ-05: per dataset and month: failures, critical failures and the
-    decision (STOP on any critical failure, or on a validator error when
-    ``block_on_error``)."""
-    err = F.lit(bool(block_on_error and validator_errors > 0))
+def quality_decision(records: DataFrame, block_on_error: bool = True) -> DataFrame:
+    """DQ-05: per dataset and month: failures, critical failures, checks that
+    could not run, and the decision (STOP on any critical failure, or on a
+    check that could not run when ``block_on_error``)."""
+    critical = (F.col("status") == FAIL) & (F.col("severity") == CRITICAL)
+    stop = F.col("critical_failures") > 0
+    if block_on_error:
+        stop = stop | (F.col("validator_errors") > 0)
     return (records.groupBy("dataset_name", "_observ_start_dt", "_observ_end_dt")
-            .agg(F.count(F.lit(1)).alias("checks"),
-                 F.count_if(F.col("status") == FAIL).alias("failures"),
-                 F.count_if((F.col("status") == FAIL) & (F.col("severity") == CRITICAL))
-                  .alias("critical_failures"))
-            .withColumn("decision", F.when((F.col("critical_failures") > 0) | err, F.lit(STOP))
-                        .otherwise(F.lit(PASS))))
+            .agg(F.count(F.lit(1)).alias("checks"), F.count_if(F.col("status") == FAIL).alias("failures"),
+                 F.count_if(critical).alias("critical_failures"),
+                 F.count_if(F.col("check") == ERROR).alias("validator_errors"))
+            .withColumn("decision", F.when(stop, F.lit(STOP)).otherwise(F.lit(PASS))))
+
 
+def safe_records(spark: SparkSession, fn, dataset: str, *args, name: str = "validator", **kwargs) -> DataFrame:
+    """DQ-06: records of a check, written once inside the guard, so that a
+    failure while the plan is built and one while it runs both become a HIGH
+    ``ERROR`` record with the whole error text."""
+    from featuremart.session import staged
 
-def safe_records(spark: SparkSession, fn, dataset: str, *args, **kwargs) -> DataFrame:
-    """DQ-06: a validator that raises becomes a HIGH ``ERROR`` record."""
     try:
-        return fn(*args, **kwargs)
+        return staged(spark, fn(*args, **kwargs), "quality_records")
     except Exception as e:  # noqa: BLE001 - any validator failure is a record
         return spark.createDataFrame(
-            [(dataset, "validator", "ERROR", f"{type(e).__name__}: {e}", HIGH, FAIL, None,
-              None)], record_schema())
+            [(dataset, name, ERROR, f"{type(e).__name__}: {e}", HIGH, FAIL, None, None)], record_schema())
+
+
+def checked_records(df: DataFrame, dataset: str, rules: QualityRules, month_col: str | None = None,
+                    months: DataFrame | None = None) -> DataFrame:
+    """DQ-05 / DQ-06: all records of a dataset. Every check runs in one pass;
+    only if that pass fails do the checks run one by one, so that the one that
+    cannot run becomes an ERROR record and the others keep theirs."""
+    spark = df.sparkSession
+    every = safe_records(spark, quality_records, dataset, df, dataset, rules, month_col, months)
+    if every.where(F.col("check") == ERROR).isEmpty():
+        return every
+    parts = [safe_records(spark, quality_records, dataset, df, dataset, part, month_col, months, name=name)
+             for name, part in rules.one_by_one()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    empty = F.col("check") == EMPTY_DATASET  # every part reports an empty month; one record is enough
+    return out.where(~empty).unionByName(out.where(empty).distinct())
 
 
 def blocked_periods(history: DataFrame, start=None, end=None) -> DataFrame:
@@ -217,12 +272,14 @@ def blocked_periods(history: DataFrame, start=None, end=None) -> DataFrame:
 def check_quality_gate(spark: SparkSession, history_path: str | None, dataset: str,
                        start, end, history: DataFrame | None = None) -> bool:
     """DQ-11: True (pass) unless the history holds a critical failure for the
-    dataset in the range. A missing history passes; other errors block (S-20)."""
+    dataset in the months of the range (records carry month ends, so the range
+    runs to the end of its last month). A missing history passes; other errors
+    block (S-20)."""
     try:
         h = history if history is not None else spark.read.parquet(history_path)
         bad = (h.where((F.col("dataset_name") == dataset)
                        & F.to_date("_observ_end_dt").between(F.to_date(F.lit(start)),
-                                                             F.to_date(F.lit(end)))
+                                                             F.last_day(F.to_date(F.lit(end))))
                        & (F.col("status") == FAIL) & (F.col("severity") == CRITICAL)))
         return bad.isEmpty()
     except AnalysisException as e:
@@ -241,15 +298,18 @@ def require_gate(spark: SparkSession, history_path: str | None, dataset: str, st
 
 
 def validate_before_save(df: DataFrame, dataset: str, rules: QualityRules, month_col: str,
-                         store: callable | None = None) -> DataFrame:
-    """DQ-12 / DQ-13: validate by month, hand the records to ``store`` (e.g.
-    a replace-by-(dataset, month) write), abort on STOP. The decision table
-    is tiny (one row per month) and is the only thing read back."""
-    records = quality_records(df, dataset, rules, month_col)
+                         store: callable | None = None, months: DataFrame | None = None,
+                         run_time: str | None = None) -> DataFrame:
+    """DQ-12 / DQ-13: validate by month, stamp the run time (DQ-08), hand the
+    records to ``store`` (e.g. a replace-by-(dataset, month) write), abort on
+    STOP. ``df`` is read once per pass, so a caller that also saves it passes a
+    written frame. The decision table (one row per month) is all that is read
+    back."""
+    records = with_run_time(checked_records(df, dataset, rules, month_col, months), run_time)
     if store is not None:
-        records = store(records)
-    decision = quality_decision(records)
-    if not decision.where(F.col("decision") == STOP).isEmpty():
+        store(records)
+    stopped = quality_decision(records, rules.block_on_error).where(F.col("decision") == STOP)
+    if not stopped.isEmpty():
         raise QualityStop(f"dataset {dataset} failed a critical quality check")
     return records
 
@@ -257,9 +317,8 @@ def validate_before_save(df: DataFrame, dataset: str, rules: QualityRules, month
 def validate_layer(spark: SparkSession, frames: dict[str, DataFrame],
                    rules: dict[str, QualityRules], month_cols: dict[str, str | None]
                    ) -> DataFrame:
-    """DQ-14: records of every dataset of a layer, unioned (one plan)."""
-    parts = [safe_records(spark, quality_records, name, df, name, rules[name],
-                          month_cols.get(name))
+    """DQ-14: records of every dataset of a layer, unioned."""
+    parts = [checked_records(df, name, rules[name], month_cols.get(name))
              for name, df in frames.items() if name in rules]
     if not parts:
         return spark.createDataFrame([], record_schema())

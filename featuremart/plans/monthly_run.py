@@ -13,17 +13,20 @@ that were validated again (DQ-13) in place.
 
 from __future__ import annotations
 
+from datetime import date as _date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.operators.columns import with_observation_dates, with_period
-from featuremart.operators.profiling import monthly_spine, volume_report, volume_series
+from featuremart.operators.profiling import volume_report, volume_series
 from featuremart.operators.quality import QualityRules, require_gate, validate_before_save
 from featuremart.operators.setops import union_same_shape
 from featuremart.plans.customer import customer_rollup
 from featuremart.plans.features import month_features_df
 from featuremart.plans.cleaning import customer_cleaned
 from featuremart.plans.inputs import SEGMENTS, t
+from featuremart.session import staged
 from featuremart.sources.writers import save_partitioned
 
 ACCOUNT_RULES = QualityRules(
@@ -46,10 +49,13 @@ def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=
              "history": f"{out_root}/quality_history",
              "volumes": f"{out_root}/volume_report"}
 
-    def store(records: DataFrame) -> DataFrame:
-        save_partitioned(records, paths["history"], ["dataset_name", "_observ_end_dt"], "replace_range")
-        return spark.read.parquet(paths["history"]).join(
-            records.select("dataset_name", "_observ_end_dt").distinct(), ["dataset_name", "_observ_end_dt"])
+    def publish(name: str, df: DataFrame, rules: QualityRules, path: str) -> None:
+        """Evaluate the layer once into a staging folder; validate and publish
+        the written rows (DQ-12); a stopped layer is not published."""
+        written = staged(spark, df, name)
+        validate_before_save(written, name, rules, "_observ_end_dt", lambda records: save_partitioned(
+            records, paths["history"], ["dataset_name", "_observ_end_dt"], "replace_range"))
+        save_partitioned(written, path, "_particion", "replace_range")
 
     lo = start or "1900-01-01"
     hi = end or "2999-12-31"
@@ -60,14 +66,12 @@ def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=
     clean = with_observation_dates(customer_cleaned(spark, sf_dir).withColumn("__as_of", F.to_date(F.lit(as_of))),
                                    "__as_of").drop("__as_of")
     clean = with_period(clean, "_observ_end_dt")
-    validate_before_save(clean, "clean_customers", CLEAN_CUSTOMER_RULES, "_observ_end_dt", store)
-    save_partitioned(clean, paths["clean_customers"], "_particion", "replace_range")
+    publish("clean_customers", clean, CLEAN_CUSTOMER_RULES, paths["clean_customers"])
     require_gate(spark, paths["history"], "clean_customers", lo, hi)
     period = int(str(as_of)[:7].replace("-", ""))  # the snapshot's yyyyMM
 
     accounts = month_features_df(spark, sf_dir, start, end)
-    validate_before_save(accounts, "account_month_features", ACCOUNT_RULES, "_observ_end_dt", store)
-    save_partitioned(accounts, paths["accounts"], "_particion", "replace_range")
+    publish("account_month_features", accounts, ACCOUNT_RULES, paths["accounts"])
 
     require_gate(spark, paths["history"], "account_month_features", lo, hi)
     saved = spark.read.parquet(paths["accounts"])
@@ -77,13 +81,13 @@ def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=
         F.col("customer_key").alias("c_custkey"), F.col("segment").alias("c_mktsegment"))
     customers = customer_rollup(saved, cleaned).withColumn(
         "_particion", F.date_format("_observ_end_dt", "yyyyMM").cast("int"))
-    validate_before_save(customers, "customer_month_features", CUSTOMER_RULES, "_observ_end_dt", store)
-    save_partitioned(customers, paths["customers"], "_particion", "replace_range")
+    publish("customer_month_features", customers, CUSTOMER_RULES, paths["customers"])
+    # volumes up to the run's last month, which is closed on the day after it
+    run_date = _date.fromisoformat(str(as_of)[:10]).replace(day=28) + timedelta(days=4)
 
     series = []
     for name in ("accounts", "customers"):
         df = spark.read.parquet(paths[name])
-        series.append(volume_series(df, name, "_observ_end_dt", monthly_spine(df, "_observ_end_dt"),
-                                    "customer_key"))
+        series.append(volume_series(df, name, "_observ_end_dt", run_date, "customer_key"))
     volume_report(union_same_shape(series)).write.mode("overwrite").parquet(paths["volumes"])
     return paths

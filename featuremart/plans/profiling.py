@@ -8,78 +8,99 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.operators.profiling import (column_profile, completeness,
-                                             expected_dates, missing_months, monthly_spine,
-                                             reconcile_counts)
+                                             expected_dates, listed_tables, missing_months,
+                                             monthly_spine, reconcile_counts)
 from featuremart.plans.inputs import account_snapshots, t
 from featuremart.plans.registry import register
 from featuremart.operators.joins import exclude_reviewed
-from featuremart.sources.readers import union_tagged
+from featuremart.sources.readers import date_range_filter, union_tagged
 from featuremart.sources.writers import new_location, upsert_with_window_delete, write_json_lines
 
 
-# --- QA-06: month-end spine from the first month of the data
-@register("date_spine", """
+# The run date of the checks: later than the last load of every table, so a table that
+# stopped loading shows months and days without rows.
+AS_OF = "2024-03-10"
+CLOSED = f"last_day(DATE '{AS_OF}' - INTERVAL 1 MONTH)"
+
+
+# --- QA-06: month-end spine from the first month of the data to the last closed month
+@register("date_spine", f"""
 SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(CAST(o_orderdate AS DATE))),
-                                            max(CAST(o_orderdate AS DATE)), INTERVAL 1 MONTH)) AS DATE)) AS info_date
+                                            {CLOSED}, INTERVAL 1 MONTH)) AS DATE)) AS info_date
 FROM orders
 """)
 def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_spine(t(spark, sf_dir, "orders"), "o_orderdate")
+    return monthly_spine(t(spark, sf_dir, "orders"), "o_orderdate", AS_OF)
+
+
+# kind, date column and the run's window of every checked table
+CHECKED = {"orders": ("transactional", "o_orderdate", "2001-01-01", "2001-12-31"),
+           "lineitem": ("transactional", "l_shipdate", "2001-01-01", "2001-12-31"),
+           "events": ("transactional", "ts", "2024-01-01", "2024-02-15"),
+           "account_snapshot": ("snapshot", "info_date", "2001-01-01", "2001-12-31"),
+           "nation": ("catalog", "loaded_on", "2024-02-15", "2024-02-15")}
+
+
+def _checked_tables(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(k, *v) for k, v in CHECKED.items()],
+                                 "table_name string, table_kind string, date_column string, start_date string, end_date string")
 
 
 def _dated_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """(table, date) rows of every checked table: daily transactional tables
-    and a month-end snapshot."""
+    """(table, date) rows of every checked table inside its window: daily
+    tables, a month-end snapshot, and a catalog, whose rows count for the day
+    of the load."""
+    def window(df: DataFrame, name: str, column: str) -> DataFrame:
+        _, _, lo, hi = CHECKED[name]
+        return date_range_filter(df, column, lo, hi).select(F.to_date(column).alias("info_date"))
+
+    loaded_on = F.to_date(F.lit(CHECKED["nation"][3])).alias("info_date")
     return {
-        "orders": t(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("info_date")),
-        "lineitem": t(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("info_date")),
-        "events": t(spark, sf_dir, "events").select(F.to_date("ts").alias("info_date")),
-        "account_snapshot": account_snapshots(spark, sf_dir).select("info_date"),
+        "orders": window(t(spark, sf_dir, "orders"), "orders", "o_orderdate"),
+        "lineitem": window(t(spark, sf_dir, "lineitem"), "lineitem", "l_shipdate"),
+        "events": window(t(spark, sf_dir, "events"), "events", "ts"),
+        "account_snapshot": window(account_snapshots(spark, sf_dir), "account_snapshot", "info_date"),
+        "nation": t(spark, sf_dir, "nation").select(loaded_on),
     }
 
 
-KINDS = {"orders": ("transactional", "o_orderdate"), "lineitem": ("transactional", "l_shipdate"),
-         "events": ("transactional", "ts"), "account_snapshot": ("snapshot", "info_date")}
-
-
 def _completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = union_tagged(_dated_tables(spark, sf_dir), ["info_date"])
     counts = dated.groupBy("table_name", "info_date").agg(F.count(F.lit(1)).alias("cnt"))
-    kinds = spark.createDataFrame([(k, v[0], v[1]) for k, v in KINDS.items()],
-                                  "table_name string, table_kind string, date_column string")
-    # check window per table: its own first to last date (one-row aggregates)
-    bounds = dated.groupBy("table_name").agg(F.min("info_date").alias("start_date"),
-                                             F.max("info_date").alias("end_date"))
-    grid = expected_dates(bounds.join(kinds, "table_name"))
-    return completeness(grid, counts)
-
-
-_DATED_SQL = """
-  SELECT 'orders' AS table_name, CAST(o_orderdate AS DATE) AS info_date FROM orders
-  UNION ALL SELECT 'lineitem', CAST(l_shipdate AS DATE) FROM lineitem
-  UNION ALL SELECT 'events', CAST(ts AS DATE) FROM events
+    return completeness(expected_dates(_checked_tables(spark)), counts)
+
+
+def _in_window(name: str, column: str) -> str:
+    return f"CAST({column} AS DATE) BETWEEN DATE '{CHECKED[name][2]}' AND DATE '{CHECKED[name][3]}'"
+
+
+_DATED_SQL = f"""
+  SELECT 'orders' AS table_name, CAST(o_orderdate AS DATE) AS info_date FROM orders WHERE {_in_window("orders", "o_orderdate")}
+  UNION ALL SELECT 'lineitem', CAST(l_shipdate AS DATE) FROM lineitem WHERE {_in_window("lineitem", "l_shipdate")}
+  UNION ALL SELECT 'events', CAST(ts AS DATE) FROM events WHERE {_in_window("events", "ts")}
   UNION ALL SELECT 'account_snapshot', info_date FROM (
     SELECT DISTINCT o_custkey, o_orderpriority, last_day(CAST(o_orderdate AS DATE)) AS info_date FROM orders)
-"""
+    WHERE {_in_window("account_snapshot", "info_date")}
+  UNION ALL SELECT 'nation', DATE '{CHECKED["nation"][3]}' FROM nation"""
+
+GRID_SQL = f"""
+  SELECT table_name, table_kind, date_column, info_date FROM (
+    SELECT v.*, CAST(unnest(generate_series(CAST(lo AS DATE), CAST(hi AS DATE), INTERVAL 1 DAY)) AS DATE) AS info_date
+    FROM (VALUES {", ".join("(" + ", ".join(f"'{x}'" for x in (k, *v)) + ")" for k, v in CHECKED.items())})
+         AS v(table_name, table_kind, date_column, lo, hi))
+  WHERE table_kind <> 'snapshot' OR info_date = last_day(info_date)"""
 
 COMPLETENESS_SQL = f"""
 WITH d AS ({_DATED_SQL}),
-k AS (SELECT * FROM (VALUES ('orders', 'transactional', 'o_orderdate'), ('lineitem', 'transactional', 'l_shipdate'),
-                            ('events', 'transactional', 'ts'), ('account_snapshot', 'snapshot', 'info_date'))
-      AS v(table_name, table_kind, date_column)),
-b AS (SELECT table_name, min(info_date) AS lo, max(info_date) AS hi FROM d GROUP BY 1),
-g AS (SELECT b.table_name, k.table_kind, k.date_column,
-             CAST(unnest(generate_series(b.lo, b.hi, INTERVAL 1 DAY)) AS DATE) AS info_date
-      FROM b JOIN k USING (table_name)),
-gg AS (SELECT * FROM g WHERE table_kind = 'transactional' OR info_date = last_day(info_date)),
+g AS ({GRID_SQL}),
 c AS (SELECT table_name, info_date, count(*) AS cnt FROM d GROUP BY 1, 2)
-SELECT gg.table_name, gg.info_date, gg.table_kind, gg.date_column, CAST(coalesce(c.cnt, 0) AS BIGINT) AS cnt
-FROM gg LEFT JOIN c ON c.table_name = gg.table_name AND c.info_date = gg.info_date
+SELECT g.table_name, g.info_date, g.table_kind, g.date_column, CAST(coalesce(c.cnt, 0) AS BIGINT) AS cnt
+FROM g LEFT JOIN c ON c.table_name = g.table_name AND c.info_date = g.info_date
 """
 
 
-# --- QA-01..QA-03: rows per table and expected date, 0 where missing (QA-16 / QA-17 are the
-#     same operator with the upper layers' date columns)
+# --- QA-01..QA-03 (QA-16 / QA-17 with the upper layers' date columns): rows per table and
+#     date expected in the run's window, 0 where missing
 @register("date_completeness", COMPLETENESS_SQL)
 def date_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _completeness(spark, sf_dir)
@@ -139,7 +160,7 @@ def _profile_sql(table: str = "orders", date_col: str = "o_orderdate", cust: str
     distinct = f"count(DISTINCT {cust})" if cust else "0"
     return f"""
 WITH sp AS (SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(CAST({date_col} AS DATE))),
-                 max(CAST({date_col} AS DATE)), INTERVAL 1 MONTH)) AS DATE)) AS info_date FROM {table}),
+                 {CLOSED}, INTERVAL 1 MONTH)) AS DATE)) AS info_date FROM {table}),
 a AS (SELECT last_day(CAST({date_col} AS DATE)) AS info_date, count(*) AS r, {distinct} AS u,
              {", ".join(aggs)} FROM {table} GROUP BY 1),
 w AS (SELECT sp.info_date, CAST(coalesce(a.r, 0) AS BIGINT) AS total_rows, CAST(coalesce(a.u, 0) AS BIGINT) AS unique_customers,
@@ -150,50 +171,74 @@ w AS (SELECT sp.info_date, CAST(coalesce(a.r, 0) AS BIGINT) AS total_rows, CAST(
 @register("column_profile", _profile_sql())
 def column_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = t(spark, sf_dir, "orders")
-    return column_profile(o, "orders", "o_orderdate", monthly_spine(o, "o_orderdate"), ["o_custkey"])
-
-
-# --- QA-13: reconcile lake counts against source counts per expected date
-@register("count_reconcile", """
-WITH e AS (SELECT CAST(ts AS DATE) AS d, event_type FROM events),
-b AS (SELECT min(d) AS lo, max(d) AS hi FROM e),
-x AS (SELECT 'events' AS table_name, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS info_date FROM b),
-lake AS (SELECT d AS info_date, count(*) AS records FROM e GROUP BY 1),
-src AS (SELECT d AS info_date, count(*) AS records FROM e WHERE event_type <> 'error' OR isodow(d) = 7 GROUP BY 1
-        HAVING day(d) <> 15)
-SELECT x.table_name, x.info_date, CAST(src.records AS BIGINT) AS source_records,
-       CAST(coalesce(lake.records, 0) AS BIGINT) AS lake_records,
-       CASE WHEN src.records IS NULL THEN 'missing_at_source' WHEN coalesce(lake.records, 0) = 0 THEN 'missing_in_lake'
-            ELSE 'count_mismatch' END AS issue
-FROM x LEFT JOIN src ON src.info_date = x.info_date LEFT JOIN lake ON lake.info_date = x.info_date
-WHERE src.records IS NULL OR coalesce(lake.records, 0) <> src.records
+    return column_profile(o, "orders", "o_orderdate", AS_OF, ["o_custkey"])
+
+
+# --- QA-13: what each load still owes, for the three load kinds; the source reports one row
+#     more on month ends of even months, and the lake lacks the 15th of the month
+def _source_extra() -> str:
+    return "CASE WHEN info_date = last_day(info_date) AND month(info_date) % 2 = 0 THEN 1 ELSE 0 END"
+
+
+RECONCILE_AS_OF = "2002-01-12"
+RECONCILED = {k: (CHECKED[k][0], "2001-06-01", "2002-01-11") for k in ("orders", "account_snapshot")} | {
+    "nation": ("catalog", "2002-01-11", "2002-01-11"), "missing_catalog": ("catalog", "2002-01-11", "2002-01-11")}
+
+
+def _issue_sql(grid: str, lake: str, source: str, as_of: str) -> str:
+    """DuckDB form of ``reconcile_counts`` over (table_name, table_kind,
+    info_date), and counts per (table_name, info_date)."""
+    weeks = f"CASE WHEN g.table_kind = 'catalog' THEN 0 ELSE CAST(trunc(date_diff('day', g.info_date, DATE '{as_of}' - 2) / 7.0) AS INTEGER) END"
+    return f"""
+  SELECT table_name, info_date, table_kind, CAST(coalesce(lake_records, 0) AS BIGINT) AS lake_records,
+         CAST(source_records AS BIGINT) AS source_records, weeks_overdue,
+         CASE WHEN weeks_overdue < 1 THEN 're-ingest' ELSE 'missing_at_source' END AS issue
+  FROM (SELECT g.*, l.records AS lake_records, s.records AS source_records, {weeks} AS weeks_overdue
+        FROM {grid} g LEFT JOIN {lake} l USING (table_name, info_date) LEFT JOIN {source} s USING (table_name, info_date)
+        WHERE g.table_kind <> 'snapshot'
+           OR (g.info_date = last_day(g.info_date) AND g.info_date <= last_day(DATE '{as_of}' - INTERVAL 1 MONTH)))
+  WHERE coalesce(lake_records, 0) = 0 OR (table_kind = 'snapshot' AND lake_records <> source_records)"""
+
+
+@register("count_reconcile", f"""
+WITH grid AS (SELECT table_name, table_kind, CAST(unnest(generate_series(CAST(lo AS DATE), CAST(hi AS DATE), INTERVAL 1 DAY)) AS DATE) AS info_date
+              FROM (VALUES {", ".join("(" + ", ".join(f"'{x}'" for x in (k, *v)) + ")" for k, v in RECONCILED.items())})
+                   AS v(table_name, table_kind, lo, hi)),
+d AS (SELECT 'orders' AS table_name, CAST(o_orderdate AS DATE) AS info_date FROM orders
+      UNION ALL SELECT 'account_snapshot', info_date FROM (
+        SELECT DISTINCT o_custkey, o_orderpriority, last_day(CAST(o_orderdate AS DATE)) AS info_date FROM orders)
+      UNION ALL SELECT 'nation', DATE '2002-01-11' FROM nation),
+source AS (SELECT table_name, info_date, records + {_source_extra()} AS records
+           FROM (SELECT table_name, info_date, count(*) AS records FROM d GROUP BY 1, 2)),
+lake AS (SELECT table_name, info_date, count(*) AS records FROM d WHERE day(info_date) <> 15 GROUP BY 1, 2)
+{_issue_sql("grid", "lake", "source", RECONCILE_AS_OF)}
 """)
 def count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = t(spark, sf_dir, "events").select(F.to_date("ts").alias("info_date"), "event_type")
-    expected = (e.agg(F.min("info_date").alias("lo"), F.max("info_date").alias("hi"))
-                .select(F.lit("events").alias("table_name"),
-                        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("info_date")))
-    lake = e.groupBy("info_date").agg(F.count(F.lit(1)).alias("records")).withColumn("table_name", F.lit("events"))
-    # the source system's own counts: it reports error events only on Sundays and skips day 15
-    src = (e.where((F.col("event_type") != "error") | (F.weekday("info_date") == 6))
-           .groupBy("info_date").agg(F.count(F.lit(1)).alias("records"))
-           .where(F.dayofmonth("info_date") != 15).withColumn("table_name", F.lit("events")))
-    out = reconcile_counts(expected, lake, src)
-    return out.select("table_name", "info_date", "source_records", "lake_records", "issue")
-
-
-# --- QA-13 (metadata part): JSON text parsed with a declared schema
+    tables = spark.createDataFrame([(k, *v) for k, v in RECONCILED.items()],
+                                   "table_name string, table_kind string, start_date string, end_date string")
+    dated = union_tagged({
+        "orders": t(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("info_date")),
+        "account_snapshot": account_snapshots(spark, sf_dir).select("info_date"),
+        "nation": t(spark, sf_dir, "nation").select(F.to_date(F.lit("2002-01-11")).alias("info_date"))}, ["info_date"])
+    counts = dated.groupBy("table_name", "info_date").agg(F.count(F.lit(1)).alias("records"))
+    source = counts.withColumn("records", F.col("records") + F.expr(_source_extra()))
+    return reconcile_counts(tables, counts.where(F.dayofmonth("info_date") != 15), source, RECONCILE_AS_OF)
+
+
+# --- QA-13 (metadata part): a JSON array of table objects exploded with a declared schema
 @register("json_table_list", """
-SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k, CAST(count(*) AS BIGINT) AS events,
-       CAST(count(DISTINCT user_id) AS BIGINT) AS users, CAST(max(CAST(ts AS DATE)) AS DATE) AS last_day_seen
-FROM events GROUP BY 1
+SELECT n.n_name AS owner, r.r_name AS "table", 'loaded_on' AS date_column,
+       CASE WHEN r.r_regionkey % 2 = 0 THEN 'catalog' ELSE 'snapshot' END AS kind
+FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
 """)
 def json_table_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = t(spark, sf_dir, "events")
-    parsed = e.select(F.from_json("props", "struct<k:int>").alias("p"), "user_id", "ts")
-    return parsed.groupBy(F.col("p.k").alias("k")).agg(
-        F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users"),
-        F.max(F.to_date("ts")).alias("last_day_seen"))
+    # one listing per nation: the tables of its region as JSON, as a catalog service sends them
+    info = F.struct(F.struct(F.col("r_name").alias("table"), F.lit("loaded_on").alias("date_column"),
+                             F.when(F.col("r_regionkey") % 2 == 0, "catalog").otherwise("snapshot").alias("kind")).alias("info"))
+    region = t(spark, sf_dir, "region").groupBy("r_regionkey").agg(F.to_json(F.collect_list(info)).alias("info"))
+    listing = t(spark, sf_dir, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey")) \
+        .select(F.col("n_name").alias("owner"), "info")
+    return listed_tables(listing, "info")
 
 
 # --- QA-08 / QA-10 / QA-11: volume and profile reports over several tables in one plan
@@ -207,7 +252,7 @@ def _volume_series_sql(name: str, date_col: str, cust: str | None) -> str:
   SELECT '{name}' AS table_name, CAST(coalesce(c.records, 0) AS BIGINT) AS records,
          CAST(coalesce(c.customers, 0) AS BIGINT) AS customers, sp.info_date
   FROM (SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(CAST({date_col} AS DATE))),
-               max(CAST({date_col} AS DATE)), INTERVAL 1 MONTH)) AS DATE)) AS info_date FROM {name}) sp
+               {CLOSED}, INTERVAL 1 MONTH)) AS DATE)) AS info_date FROM {name}) sp
   LEFT JOIN (SELECT last_day(CAST({date_col} AS DATE)) AS info_date, count(*) AS records, {cust_expr} AS customers
              FROM {name} GROUP BY 1) c USING (info_date)"""
 
@@ -244,7 +289,7 @@ def volume_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = []
     for name, (date_col, cust) in LAYER_TABLES.items():
         df = t(spark, sf_dir, name)
-        series.append(volume_series(df, name, date_col, monthly_spine(df, date_col), cust))
+        series.append(volume_series(df, name, date_col, AS_OF, cust))
     rep = volume_report(union_same_shape(series))
     doubles = [f.name for f in rep.schema.fields if f.dataType.simpleString() == "double"]
     return rep.select(*[F.round(c, 6).alias(c) if c in doubles else F.col(c) for c in rep.columns])
@@ -260,7 +305,7 @@ def profile_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for name, date_col, cust in [("orders", "o_orderdate", ["o_custkey"]), ("lineitem", "l_shipdate", [])]:
         df = t(spark, sf_dir, name)
-        parts.append(column_profile(df, name, date_col, monthly_spine(df, date_col), cust))
+        parts.append(column_profile(df, name, date_col, AS_OF, cust))
     return union_same_shape(parts)
 
 
@@ -269,50 +314,42 @@ def profile_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 #     stored issues the run no longer reports deleted inside the run's window), drop
 #     reviewed issues (JN-07), hand the rest over as JSON lines (SNK-05), read back typed.
 RUN_TABLES = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
-RUN_WINDOW = ("1997-01-01", "1998-12-31")
-ISSUE_SCHEMA = "table_name string, info_date date, source_records bigint, lake_records bigint, issue string"
-
-
-def _issues(lake: DataFrame, skipped_days: list[int]) -> DataFrame:
-    """Issues of one run from the lake's rows per (table, day): the source system
-    reports one extra row on Sundays and nothing on ``skipped_days`` of the month."""
-    rng = lake.groupBy("table_name").agg(F.min("info_date").alias("lo"), F.max("info_date").alias("hi"))
-    expected = rng.select("table_name", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY")))
-                          .alias("info_date"))
-    src = (lake.where(~F.dayofmonth("info_date").isin(*skipped_days))
-           .withColumn("records", F.col("records") + F.when(F.weekday("info_date") == 6, 1).otherwise(0)))
-    return reconcile_counts(expected, lake, src).select(
-        "table_name", "info_date", "source_records", "lake_records", "issue")
-
-
-def _issues_sql(skipped: str) -> str:
-    return f"""SELECT g.table_name, g.info_date, CAST(s.records AS BIGINT) AS source_records,
-         CAST(coalesce(l.records, 0) AS BIGINT) AS lake_records,
-         CASE WHEN s.records IS NULL THEN 'missing_at_source' WHEN coalesce(l.records, 0) = 0 THEN 'missing_in_lake'
-              ELSE 'count_mismatch' END AS issue
-  FROM grid g
-  LEFT JOIN (SELECT table_name, info_date, records + CASE WHEN isodow(info_date) = 7 THEN 1 ELSE 0 END AS records
-             FROM lake WHERE day(info_date) NOT IN ({skipped})) s USING (table_name, info_date)
-  LEFT JOIN lake l USING (table_name, info_date)
-  WHERE s.records IS NULL OR coalesce(l.records, 0) <> s.records"""
+RUN_DATES = {"orders": ("1996-01-01", "2001-08-31"), "lineitem": ("1996-01-01", "2001-11-30"),
+             "events": ("2024-01-01", "2024-02-29")}
+RUN_WINDOW = ("1997-01-01", "2024-02-29")  # stored issues of earlier days are kept
+FIRST_RUN, SECOND_RUN = "2024-02-20", "2024-03-01"
+ISSUE_SCHEMA = ("table_name string, info_date date, lake_records bigint, source_records bigint, "
+                "weeks_overdue int, issue string")
+
+
+def _issues(spark: SparkSession, lake: DataFrame, skipped_days: list[int], as_of: str) -> DataFrame:
+    """Issues of one run from the lake's rows per (table, day), of which the
+    ``skipped_days`` of the month are not loaded yet."""
+    tables = spark.createDataFrame([(n, "transactional", *RUN_DATES[n]) for n in RUN_TABLES],
+                                   "table_name string, table_kind string, start_date string, end_date string")
+    loaded = lake.where(~F.dayofmonth("info_date").isin(*skipped_days))
+    return reconcile_counts(tables, loaded, lake, as_of).drop("table_kind")
 
 
 @register("missing_data_run", f"""
 WITH b AS ({" UNION ALL ".join(f"SELECT '{n}' AS table_name, CAST({c} AS DATE) AS d FROM {n}" for n, c in RUN_TABLES.items())}),
 lake AS (SELECT table_name, d AS info_date, count(*) AS records FROM b GROUP BY 1, 2),
-grid AS (SELECT table_name, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS info_date
-         FROM (SELECT table_name, min(d) AS lo, max(d) AS hi FROM b GROUP BY 1)),
-prev AS (SELECT *, day(info_date) = 14 AS reviewed FROM ({_issues_sql("14, 15")})),
-cur AS ({_issues_sql("15")}),
+grid AS (SELECT table_name, 'transactional' AS table_kind, CAST(unnest(generate_series(CAST(lo AS DATE), CAST(hi AS DATE), INTERVAL 1 DAY)) AS DATE) AS info_date
+         FROM (VALUES {", ".join(f"('{k}', '{lo}', '{hi}')" for k, (lo, hi) in RUN_DATES.items())}) AS v(table_name, lo, hi)),
+early AS (SELECT * FROM lake WHERE day(info_date) NOT IN (14, 15)),
+late AS (SELECT * FROM lake WHERE day(info_date) <> 15),
+prev AS (SELECT *, day(info_date) = 14 AS reviewed FROM ({_issue_sql("grid", "early", "lake", FIRST_RUN)})),
+cur AS ({_issue_sql("grid", "late", "lake", SECOND_RUN)}),
 m AS (SELECT coalesce(p.table_name, c.table_name) AS table_name, coalesce(p.info_date, c.info_date) AS info_date,
-             CASE WHEN p.table_name IS NULL THEN c.source_records ELSE p.source_records END AS source_records,
              CASE WHEN p.table_name IS NULL THEN c.lake_records ELSE p.lake_records END AS lake_records,
+             CASE WHEN p.table_name IS NULL THEN c.source_records ELSE p.source_records END AS source_records,
+             CASE WHEN p.table_name IS NULL THEN c.weeks_overdue ELSE p.weeks_overdue END AS weeks_overdue,
              CASE WHEN p.table_name IS NULL THEN c.issue ELSE p.issue END AS issue,
              CASE WHEN p.table_name IS NULL THEN false ELSE p.reviewed END AS reviewed
       FROM prev p FULL JOIN cur c ON p.table_name = c.table_name AND p.info_date = c.info_date
       WHERE c.table_name IS NOT NULL
          OR NOT coalesce(p.info_date BETWEEN DATE '{RUN_WINDOW[0]}' AND DATE '{RUN_WINDOW[1]}', false))
-SELECT table_name, info_date, source_records, lake_records, issue FROM m WHERE NOT reviewed
+SELECT table_name, info_date, lake_records, source_records, weeks_overdue, issue FROM m WHERE NOT reviewed
 """)
 def missing_data_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = reduce(DataFrame.unionByName, [
@@ -325,9 +362,10 @@ def missing_data_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.write.mode("overwrite").parquet(f"{path}/lake_counts")
     lake = spark.read.parquet(f"{path}/lake_counts")
     # the stored list from the previous run; someone reviewed the day-14 gaps
-    previous = _issues(lake, [14, 15]).withColumn("reviewed", F.dayofmonth("info_date") == 14)
+    previous = _issues(spark, lake, [14, 15], FIRST_RUN).withColumn("reviewed", F.dayofmonth("info_date") == 14)
     previous.write.mode("overwrite").parquet(f"{path}/store_v1")
-    store = upsert_with_window_delete(spark.read.parquet(f"{path}/store_v1"), _issues(lake, [15]),
+    store = upsert_with_window_delete(spark.read.parquet(f"{path}/store_v1"),
+                                      _issues(spark, lake, [15], SECOND_RUN),
                                       ["table_name", "info_date"], "info_date", *RUN_WINDOW, "reviewed", False)
     store.write.mode("overwrite").parquet(f"{path}/store_v2")
     store = spark.read.parquet(f"{path}/store_v2")

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.operators.quality import (CRITICAL, QualityRules, blocked_periods,
-                                           month_ranges, quality_decision, quality_records)
+from featuremart.operators.quality import (CRITICAL, QualityRules, QualityStop, blocked_periods,
+                                           checked_records, month_ranges, quality_decision,
+                                           quality_records, require_gate, with_run_time)
 from featuremart.plans.inputs import t
 from featuremart.plans.registry import register
+from featuremart.session import staged
+from featuremart.sources.readers import date_range_filter
 
 # Source used by the checks: line items with a few values turned into nulls
 # and one out-of-list marker, so every check has both outcomes.
@@ -139,7 +142,7 @@ def dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_records(dq_source(spark, sf_dir), "lineitem", SQL_RULES)
 
 
-# --- DQ-05 / DQ-08 / DQ-10: every check of a dataset as records, one grouped pass per month
+# --- DQ-05 / DQ-10: every check of a dataset as records, one grouped pass per month
 DQ_BY_MONTH_SQL = records_sql(DQ_SOURCE_SQL, "lineitem", ALL_RULES, "l_shipdate", SOURCE_COLUMNS)
 
 
@@ -154,6 +157,7 @@ WITH r AS ({DQ_BY_MONTH_SQL})
 SELECT dataset_name, _observ_start_dt, _observ_end_dt, CAST(count(*) AS BIGINT) AS checks,
        CAST(count_if(status = 'FAIL') AS BIGINT) AS failures,
        CAST(count_if(status = 'FAIL' AND severity = 'CRITICAL') AS BIGINT) AS critical_failures,
+       CAST(count_if("check" = 'ERROR') AS BIGINT) AS validator_errors,
        CASE WHEN count_if(status = 'FAIL' AND severity = 'CRITICAL') > 0 THEN 'STOP' ELSE 'PASS' END AS decision
 FROM r GROUP BY 1, 2, 3
 """)
@@ -193,3 +197,63 @@ def gate_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = months.join(g, F.to_date(g["_observ_end_dt"]) == months["month_end"], "left")
     return j.groupBy("month_start", "month_end").agg(
         F.coalesce(F.max("blocked"), F.lit(0)).cast("int").alias("blocked"))
+
+
+# --- DQ-05 / DQ-06 / DQ-08: a run over three expected months of which two have no rows, with a
+#     rule that fails only when it runs: empty months are critical, the broken rule is an ERROR
+#     record that stops the save, the other check keeps its records, all stamped with the run time
+RUN_TIME = "2024-03-10 06:00:00"
+RUN_MONTHS = ("2023-12-01", "2024-02-29")
+EVENT_RULES = QualityRules(null_limits={"user_id": 0}, fail_on_empty=True, rules=[
+    {"name": "numeric_type", "condition": "cast(event_type as int) > 0"},
+    {"name": "known_user", "condition": "user_id >= 0", "severity": "HIGH"}])
+
+
+@register("dq_run_policy", f"""
+WITH m AS (SELECT last_day(CAST(unnest(generate_series(DATE '{RUN_MONTHS[0]}', DATE '{RUN_MONTHS[1]}', INTERVAL 1 MONTH)) AS DATE)) AS m),
+e AS (SELECT last_day(CAST(ts AS DATE)) AS m, count(*) AS n, count_if(user_id IS NULL) AS nulls,
+             count_if(NOT user_id >= 0) AS bad FROM events GROUP BY 1),
+j AS (SELECT coalesce(m.m, e.m) AS m, e.n, e.nulls, e.bad FROM m FULL JOIN e ON e.m = m.m),
+d AS (SELECT m, CASE WHEN n IS NULL THEN 1 ELSE 2 END AS checks,
+             CASE WHEN n IS NULL THEN 1 ELSE CAST(nulls > 0 AS INTEGER) + CAST(bad > 0 AS INTEGER) END AS failures,
+             CASE WHEN n IS NULL THEN 1 ELSE 0 END AS critical, 0 AS errors FROM j
+      UNION ALL SELECT NULL, 1, 1, 0, 1)
+SELECT 'events' AS dataset_name, CAST(CAST(date_trunc('month', m) AS DATE) AS VARCHAR) AS _observ_start_dt,
+       CAST(m AS VARCHAR) AS _observ_end_dt, CAST(checks AS BIGINT) AS checks, CAST(failures AS BIGINT) AS failures,
+       CAST(critical AS BIGINT) AS critical_failures, CAST(errors AS BIGINT) AS validator_errors,
+       CASE WHEN critical + errors > 0 THEN 'STOP' ELSE 'PASS' END AS decision, '{RUN_TIME}' AS run_time
+FROM d
+""")
+def dq_run_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = t(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    records = checked_records(e, "events", EVENT_RULES, "ts", month_ranges(spark, *RUN_MONTHS))
+    return with_run_time(quality_decision(records, EVENT_RULES.block_on_error), RUN_TIME)
+
+
+# --- DQ-15: nodes behind the gate: a node whose input has a critical failure in its months is
+#     stopped before it reads anything, the others run
+GATED_RANGES = [("1994-01-01", "1994-12-15"), ("1996-03-10", "1996-05-02"), ("2003-01-01", "2003-06-30")]
+
+
+@register("gated_nodes", f"""
+WITH g AS ({DQ_BY_MONTH_SQL}),
+r AS (SELECT * FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in GATED_RANGES)}) AS v(run_start, run_end)),
+b AS (SELECT run_start, run_end, coalesce(bool_or(g.status = 'FAIL' AND g.severity = 'CRITICAL'), false) AS blocked
+      FROM r LEFT JOIN g ON CAST(g._observ_end_dt AS DATE) BETWEEN CAST(run_start AS DATE) AND last_day(CAST(run_end AS DATE))
+      GROUP BY 1, 2)
+SELECT run_start, run_end, CASE WHEN blocked THEN 'STOPPED' ELSE 'RAN' END AS outcome,
+       CASE WHEN NOT blocked THEN (SELECT CAST(count(*) AS BIGINT) FROM lineitem
+            WHERE CAST(l_shipdate AS DATE) BETWEEN CAST(run_start AS DATE) AND CAST(run_end AS DATE)) END AS node_rows
+FROM b
+""")
+def gated_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = staged(spark, dq_by_month(spark, sf_dir), "gate_history")
+    out = []
+    for start, end in GATED_RANGES:
+        try:
+            require_gate(spark, None, "lineitem", start, end, history)
+            rows = date_range_filter(t(spark, sf_dir, "lineitem"), "l_shipdate", start, end).count()
+            out.append((start, end, "RAN", rows))
+        except QualityStop:
+            out.append((start, end, "STOPPED", None))
+    return spark.createDataFrame(out, "run_start string, run_end string, outcome string, node_rows long")

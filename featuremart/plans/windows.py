@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featuremart.operators.columns import fill_numeric_zero
-from featuremart.operators.profiling import monthly_spine, volume_report, volume_series
+from featuremart.operators.profiling import volume_report, volume_series
 from featuremart.operators.windows import (keep_ratio, last_n_records, rank_by_latest_date,
                                            top_n_per_group)
 from featuremart.plans.inputs import t
@@ -145,9 +145,12 @@ def _r6(c: str) -> str:
     return f"round({c}, 6) AS {c}"
 
 
+VOLUME_AS_OF = "2001-12-05"  # run date: the months after the last load show no rows
+
+
 @register("volume_control", f"""
 WITH o AS (SELECT o_custkey, last_day(CAST(o_orderdate AS DATE)) AS m FROM orders),
-sp AS (SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(m)), max(m), INTERVAL 1 MONTH)) AS DATE)) AS info_date FROM o),
+sp AS (SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(m)), last_day(DATE '{VOLUME_AS_OF}' - INTERVAL 1 MONTH), INTERVAL 1 MONTH)) AS DATE)) AS info_date FROM o),
 cnt AS (SELECT m AS info_date, count(*) AS records, count(DISTINCT o_custkey) AS customers FROM o GROUP BY 1),
 s AS (SELECT 'orders' AS table_name, CAST(coalesce(records, 0) AS BIGINT) AS records,
              CAST(coalesce(customers, 0) AS BIGINT) AS customers, sp.info_date
@@ -171,7 +174,6 @@ FROM b
 """, headline=True)
 def volume_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
-    spine = monthly_spine(o, "o_orderdate")
-    rep = volume_report(volume_series(o, "orders", "o_orderdate", spine, "o_custkey"))
+    rep = volume_report(volume_series(o, "orders", "o_orderdate", VOLUME_AS_OF, "o_custkey"))
     doubles = [f.name for f in rep.schema.fields if f.dataType.simpleString() == "double"]
     return rep.select(*[F.round(c, 6).alias(c) if c in doubles else F.col(c) for c in rep.columns])
