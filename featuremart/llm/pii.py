@@ -12,9 +12,10 @@ Training needs no labelled spans: a candidate that touches a base span is a
 weak positive, any other a weak negative, and the checks themselves (Luhn sum,
 octet range, length of a number) are not features. All candidates of the corpus are counted per distinct feature
 vector, at most the product of the features' ranges; the trees are fitted on
-that table in the driver, on one half of the documents (by hash), and the
-threshold of each kind is the lowest score at which the other half's precision
-is at least ``precision``.
+that table in the driver, on one half of the documents (by hash). The threshold
+of each kind is calibrated on the other half: going down the scores, it stops
+before the first one whose own candidates have a precision below ``precision``,
+so sure candidates higher up cannot carry doubtful ones along.
 
 Positions are code points. A pattern's matches and the text between them (split
 by the same pattern) alternate, so positions are running sums of lengths. The
@@ -265,16 +266,18 @@ def fit(found: DataFrame, cand: str, text: str = "text", precision: float = 0.9)
             learn[x] = (a + r.pos, b + r.n)
     model = boost(learn)
     for kind in range(len(KINDS)):
-        scored = sorted(((model.margin(r.asDict().__getitem__), r.pos, r.n) for r in counts
-                         if r.fold == 1 and r["kind"] == kind), reverse=True)
-        pos = n = 0
-        limit = math.inf
-        for i, (score, p, c) in enumerate(scored):
-            pos, n = pos + p, n + c
-            last = i + 1 == len(scored) or scored[i + 1][0] != score
-            if last and pos >= precision * n:
-                limit = score
-        model.limits[kind] = limit
+        by_score: dict[float, list[int]] = {}
+        for r in counts:
+            if r.fold == 1 and r["kind"] == kind:
+                seen = by_score.setdefault(model.margin(r.asDict().__getitem__), [0, 0])
+                seen[0] += r.pos
+                seen[1] += r.n
+        model.limits[kind] = math.inf
+        for score in sorted(by_score, reverse=True):
+            pos, n = by_score[score]
+            if pos < precision * n:
+                break
+            model.limits[kind] = score
     return model
 
 
