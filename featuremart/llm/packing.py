@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,11 @@ from featuremart.llm.common import written
 CAPACITY = 2048
 END_ID = 1
 BUCKETS = 4096
-CACHE = 600_000        # distinct words remembered by a worker
+CACHE = 1_000_000      # distinct words remembered by a worker process, over its tasks
 MARK = "\x01"          # stands between words that are encoded together
-TOGETHER = 2000
+TOGETHER = 500
+CLOSING = b".,;:!?$#%*&|<>()\"=-"
+_encoders: dict = {}   # one per worker process and tokenizer file
 
 
 class WordIds:
@@ -59,14 +62,38 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
         self.mark = self._ids(MARK)
 
+    @classmethod
+    def shared(cls, blob: bytes) -> WordIds:
+        """The worker process's encoder; its words stay known to later tasks."""
+        key = zlib.crc32(blob), len(blob)
+        if key not in _encoders:
+            _encoders.clear()
+            _encoders[key] = cls(blob)
+        return _encoders[key]
+
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _learn(self, words: list[bytes]) -> None:
+        """Words that differ in case or in closing punctuation share their
+        letters: the tokenizer lower-cases and cuts between a letter or digit
+        and punctuation, so a word's ids are those of the two parts."""
+        parts = []
+        for w in words:
+            stem = w.rstrip(CLOSING)
+            if stem and (stem[-1:].isalnum() or stem[-1] > 127 and stem.decode()[-1].isalpha()):
+                parts.append((w, stem.lower(), w[len(stem):]))
+            else:
+                parts.append((w, w, b""))
+        self._encode(list({x for _, *p in parts for x in p}.difference(self.known)))
+        for w, stem, tail in parts:
+            self.known[w] = self.known[stem] + self.known[tail]
+
+    def _encode(self, words: list[bytes]) -> None:
         mark = MARK.encode()
         plain = []
         for w in words:
-            if mark in w or len(self.mark) != 1:
+            if mark in w or len(self.mark) != 1 or not w:
                 self.known[w] = self._ids(w.decode()).tobytes()
             else:
                 plain.append(w)
@@ -82,12 +109,19 @@ class WordIds:
 
     def __call__(self, texts: list) -> list[np.ndarray]:
         docs = [t.encode().split() if t else [] for t in texts]
-        distinct = set().union(*docs)
         if len(self.known) > CACHE:
             self.known = {}
-        self._learn(list(distinct.difference(self.known)))
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, d)), np.uint32) for d in docs]
+        words = list(chain.from_iterable(docs))
+        ids = list(map(self.known.get, words))
+        new = [i for i, x in enumerate(ids) if x is None]
+        self._learn(list({words[i] for i in new}))
+        for i in new:
+            ids[i] = self.known[words[i]]
+        out, at = [], 0
+        for d in docs:
+            out.append(np.frombuffer(b"".join(ids[at:at + len(d)]), np.uint32))
+            at += len(d)
+        return out
 
 
 def pieces(df: DataFrame, blob: bytes, key: str = "doc_id", text: str = "text",
@@ -100,7 +134,7 @@ def pieces(df: DataFrame, blob: bytes, key: str = "doc_id", text: str = "text",
     def run(batches):
         from pyspark import TaskContext
 
-        encode, n = WordIds(shared.value), TaskContext.get().partitionId() << 32
+        encode, n = WordIds.shared(shared.value), TaskContext.get().partitionId() << 32
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
