@@ -91,19 +91,6 @@ def last_closed_month_end(as_of) -> Column:
     return F.last_day(F.add_months(F.to_date(_c(as_of)), -1))
 
 
-def day_sequence(start, end) -> Column:
-    """QA-01: every day from start to end (array, to be exploded)."""
-    return F.sequence(F.to_date(_c(start)), F.to_date(_c(end)), F.expr("INTERVAL 1 DAY"))
-
-
-def month_end_sequence(start, end) -> Column:
-    """QA-06: every month end from the month of ``start`` to ``end``."""
-    return F.transform(
-        F.sequence(F.trunc(F.to_date(_c(start)), "month"), F.to_date(_c(end)),
-                   F.expr("INTERVAL 1 MONTH")),
-        lambda d: F.last_day(d))
-
-
 def previous_month_range(as_of: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
     """QA-15 / default run window: first and last day of the calendar month
     before ``as_of`` (today by default). Driver-side date arithmetic only."""

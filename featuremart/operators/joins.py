@@ -25,23 +25,17 @@ def join_all(frames: Sequence[DataFrame], on: Sequence[str], how: str = "left")
 
 
 def add_rate(df: DataFrame, rates: DataFrame, date_col: str, rate_date_col: str = "rate_date",
-             rate_col: str = "rate", snapshot: bool = False, one_row_per_day: bool = True,
-             max_rows: int = 2_000_000) -> DataFrame:
+             rate_col: str = "rate", snapshot: bool = False) -> DataFrame:
     """JN-03: rate of the transaction day, or of the month end for snapshot
     tables; left join, a missing rate gives null (S-08).
 
-    A rate table keyed by day has a bound that does not grow with the facts:
-    at most 366 rows a year (36,600 for a century), so it is broadcast
-    without a runtime check. Pass ``one_row_per_day=False`` for a rate table
-    that is not unique per day; it then goes through the size check.
+    The rates are first brought to one per day (the highest), so a repeated
+    day cannot multiply facts, and the broadcast has a bound that does not grow
+    with the facts: at most 366 rows a year.
     """
     key = F.last_day(F.col(date_col)) if snapshot else F.to_date(F.col(date_col))
-    r = rates.select(F.col(rate_date_col).alias("__rate_dt"), F.col(rate_col).alias(rate_col))
-    cond = F.col("__rate_key") == F.col("__rate_dt")
-    if one_row_per_day:
-        out = df.withColumn("__rate_key", key).join(F.broadcast(r), cond, "left")
-    else:
-        out = join_small(df.withColumn("__rate_key", key), r, cond, "left", max_rows)
+    daily = rates.groupBy(F.col(rate_date_col).alias("__rate_dt")).agg(F.max(rate_col).alias(rate_col))
+    out = df.withColumn("__rate_key", key).join(F.broadcast(daily), F.col("__rate_key") == F.col("__rate_dt"), "left")
     return out.drop("__rate_key", "__rate_dt")
 
 
@@ -80,17 +74,6 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def main_entity_per_request(requests: DataFrame, persons: DataFrame, known: DataFrame,
-                            request_key: str, person_key: str, known_key: str,
-                            order: Sequence[Column]) -> DataFrame:
-    """JN-06: left join requests to persons and to known customers, keep the
-    first entity per request under ``order``."""
-    joined = (requests.join(persons, person_key, "left")
-              .join(known.select(F.col(known_key).alias("__known")),
-                    F.col(person_key) == F.col("__known"), "left"))
-    return first_per_group(joined, [request_key], order)
-
-
 def exclude_reviewed(df: DataFrame, reviewed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """JN-07: drop rows already reviewed (left anti on the keys)."""
     return df.join(reviewed.select(*keys).dropDuplicates(), list(keys), "left_anti")

@@ -315,21 +315,22 @@ def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- CL-30 / TR-27: persons with a name slug (SC-13); customer key kept only when the
 #     person is a known customer (left join)
-# Node parameter: the segment whose customers are not in the cleaned customer table.
-UNKNOWN_SEGMENT = "BUILDING"
+# Node parameter: a bureau person's key is the customer's divided by this; persons whose
+# customer does not exist are unknown.
+PERSON_STEP = 20
 
 
 @register("bureau_persons", f"""
-WITH k AS (SELECT c_custkey FROM customer WHERE c_mktsegment <> '{UNKNOWN_SEGMENT}')
+WITH k AS (SELECT c_custkey FROM customer)
 SELECT s.s_suppkey AS person_key, {_slug_sql('s.s_name')} AS name_slug, s.s_nationkey AS nation_key,
        k.c_custkey AS customer_key
-FROM supplier s LEFT JOIN k ON k.c_custkey = s.s_suppkey
+FROM supplier s LEFT JOIN k ON k.c_custkey = s.s_suppkey * {PERSON_STEP}
 """)
 def bureau_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = t(spark, sf_dir, "supplier")
-    known = t(spark, sf_dir, "customer").where(F.col("c_mktsegment") != UNKNOWN_SEGMENT).select("c_custkey")
+    known = t(spark, sf_dir, "customer").select("c_custkey")
     # both sides grow with the data: plain (shuffled) left join
-    x = s.join(known, s.s_suppkey == known.c_custkey, "left")
+    x = s.join(known, s.s_suppkey * PERSON_STEP == known.c_custkey, "left")
     return x.select(F.col("s_suppkey").alias("person_key"), T.slug("s_name").alias("name_slug"),
                     F.col("s_nationkey").alias("nation_key"), F.col("c_custkey").alias("customer_key"))
 
@@ -342,12 +343,12 @@ WITH rq AS (SELECT o_orderkey AS request_key, CAST(o_orderdate AS DATE) AS reque
                    CAST(o_totalprice AS DECIMAL(18,2)) AS requested FROM orders),
 pr AS (SELECT l_orderkey AS request_key, l_suppkey AS person_key, l_linenumber AS role_no,
               l_linenumber * 12 + CAST(floor(l_quantity) AS INTEGER) % 12 AS job_months FROM lineitem),
-k AS (SELECT c_custkey FROM customer WHERE c_mktsegment <> '{UNKNOWN_SEGMENT}'),
+k AS (SELECT c_custkey FROM customer),
 j AS (SELECT rq.*, pr.person_key, pr.role_no, pr.job_months, k.c_custkey AS customer_key,
              row_number() OVER (PARTITION BY rq.request_key
                                 ORDER BY k.c_custkey IS NULL, pr.role_no NULLS FIRST, pr.person_key NULLS FIRST,
                                          pr.job_months DESC) AS rn
-      FROM rq LEFT JOIN pr ON pr.request_key = rq.request_key LEFT JOIN k ON k.c_custkey = pr.person_key)
+      FROM rq LEFT JOIN pr ON pr.request_key = rq.request_key LEFT JOIN k ON k.c_custkey = pr.person_key * {PERSON_STEP})
 SELECT request_key, request_date, state, {_val("requested", "requested_val")},
        person_key AS main_person_key, customer_key AS main_customer_key, job_months
 FROM j WHERE rn = 1
@@ -361,11 +362,10 @@ def bureau_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     pr = li.select(F.col("l_orderkey").alias("request_key"), F.col("l_suppkey").alias("person_key"),
                    F.col("l_linenumber").alias("role_no"),
                    (F.col("l_linenumber") * 12 + F.floor("l_quantity").cast("int") % 12).alias("job_months"))
-    known = t(spark, sf_dir, "customer").where(F.col("c_mktsegment") != UNKNOWN_SEGMENT) \
-        .select(F.col("c_custkey").alias("customer_key"))
+    known = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_key"))
     # request -> its persons -> known customers; first entity per request (JN-06). All three
     # sides grow with the data, so both joins shuffle; the top-1 is a WindowGroupLimit.
-    j = rq.join(pr, "request_key", "left").join(known, F.col("person_key") == F.col("customer_key"), "left")
+    j = rq.join(pr, "request_key", "left").join(known, F.col("person_key") * PERSON_STEP == F.col("customer_key"), "left")
     order = [F.col("customer_key").isNull().asc(), F.col("role_no").asc(), F.col("person_key").asc(),
              F.col("job_months").desc()]
     main = first_per_group(j, ["request_key"], order)

@@ -16,12 +16,11 @@ from featuremart.plans.customer import _ratio4_sql, ratio4
 from featuremart.plans.inputs import t, transactions
 from featuremart.plans.registry import register
 
-# Fixed values (must equal the reference for equal results): grade code of a
-# bureau debt -> days past due, and -> status group. Unknown codes give null.
-GRADE_DAYS = {"a": 0, "ab": 30, "b": 60, "bc": 90, "c": 120, "cb": 120, "d": 121}
-GRADE_STATUS = {"": "unclassified", "a": "current", "ab": "late", "b": "late", "bc": "late",
-                "c": "late", "cb": "late", "d": "late", "o": "late"}
-GRADE_CODES = ["a", "ab", "b", "bc", "c", "cb", "d", "z"]  # z: a code outside both tables
+# Node parameters, with codes of their own on the driver tables: grade code of a debt -> days
+# past due, and -> status group. Codes outside the tables give null.
+GRADE_DAYS = {"g0": 0, "g1": 30, "g2": 60, "g3": 90, "g4": 120, "g4x": 120, "g5": 121}
+GRADE_STATUS = {c: "current" if c == "g0" else "late" for c in GRADE_DAYS}
+GRADE_CODES = [*GRADE_DAYS, "none"]  # "none": a code outside both tables
 FREQUENCIES = {1: "monthly", 2: "quarterly", 3: "yearly"}
 ASSET_RULES = [([("like", "%ring%"), ("like", "%small%")], "small_ring"),
                ("like", "%widget%", "widget"),
@@ -50,17 +49,14 @@ WITH r AS (
   SELECT l.l_orderkey, l.l_linenumber,
          concat_ws(',', 'E' || CAST(l.l_suppkey AS VARCHAR), CASE WHEN l.l_linestatus = 'F' THEN 'D' ELSE 'I' END,
                    lower(p.p_type), lower(p.p_brand), CASE WHEN l.l_linenumber % 3 = 0 THEN '' ELSE p.p_name END) AS raw,
-         ['a','ab','b','bc','c','cb','d','z'][CAST(l.l_partkey % 8 + 1 AS INTEGER)] AS grade,
+         {GRADE_CODES}[CAST(l.l_partkey % 8 + 1 AS INTEGER)] AS grade,
          l.l_linenumber AS frequency_code
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
 s AS (SELECT *, string_split(raw, ',') AS parts FROM r),
 x AS (SELECT l_orderkey, l_linenumber, grade, parts[1] AS entity, parts[2] AS link,
              CASE WHEN length(parts[5]) >= 2 THEN parts[5] WHEN length(parts[4]) >= 2 THEN parts[4] ELSE parts[3] END AS asset_type,
-             CASE grade WHEN 'a' THEN 0 WHEN 'ab' THEN 30 WHEN 'b' THEN 60 WHEN 'bc' THEN 90 WHEN 'c' THEN 120
-                        WHEN 'cb' THEN 120 WHEN 'd' THEN 121 END AS days_past_due,
-             CASE grade WHEN '' THEN 'unclassified' WHEN 'a' THEN 'current'
-                        WHEN 'ab' THEN 'late' WHEN 'b' THEN 'late' WHEN 'bc' THEN 'late' WHEN 'c' THEN 'late'
-                        WHEN 'cb' THEN 'late' WHEN 'd' THEN 'late' WHEN 'o' THEN 'late' END AS status,
+             CASE grade {" ".join(f"WHEN '{c}' THEN {d}" for c, d in GRADE_DAYS.items())} END AS days_past_due,
+             CASE grade {" ".join(f"WHEN '{c}' THEN '{x}'" for c, x in GRADE_STATUS.items())} END AS status,
              CASE frequency_code WHEN 1 THEN 'monthly' WHEN 2 THEN 'quarterly' WHEN 3 THEN 'yearly' END AS frequency
       FROM s)
 SELECT *,
@@ -229,7 +225,7 @@ def income_and_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_val_columns(j)
 
 
-# --- CL-33 / CL-34 / CL-36 / CL-53 / CL-54 / CL-55: three channels, buy/sell codes, merged by name
+# --- CL-34 / CL-36 / CL-53 / CL-55: three channels, buy/sell codes, merged by name
 @register("forex_channels", """
 WITH e AS (SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(18,2)) AS v FROM events),
 trading AS (SELECT event_id, user_id AS customer_key, 'trading' AS channel,
@@ -240,7 +236,7 @@ digital AS (SELECT event_id, user_id AS customer_key, 'digital' AS channel,
             FROM e WHERE event_type = 'click'),
 branch AS (SELECT event_id, user_id AS customer_key, 'branch' AS channel,
                   CASE WHEN v > 10 THEN 'C' ELSE 'V' END AS op_code, v AS buy_value, v * -1 AS sell_value, 'x' AS teller
-           FROM e WHERE event_type = 'view'),
+           FROM e WHERE event_type NOT IN ('purchase', 'click')),
 u AS (SELECT *, NULL AS teller FROM trading UNION ALL SELECT *, NULL FROM digital UNION ALL SELECT * FROM branch)
 SELECT event_id, customer_key, channel, teller,
        CASE WHEN op_code IN ('C', '1') THEN 'buy' WHEN op_code IN ('V', '2') THEN 'sell' END AS operation,
@@ -253,11 +249,12 @@ def forex_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           F.col("value").cast("decimal(18,2)").alias("v"))
     # each channel uses its own code pair for buy / sell (fixed per channel)
     codes = {"trading": ("C", "V"), "digital": ("1", "2"), "branch": ("C", "V")}
-    src = {"trading": "purchase", "digital": "click", "branch": "view"}
+    src = {"trading": "purchase", "digital": "click", "branch": None}  # branch: every other operation
     parts = []
     for ch, et in src.items():
         buy, sell = codes[ch]
-        df = e.where(F.col("event_type") == et).select(
+        mine = F.col("event_type") == et if et else ~F.col("event_type").isin(*filter(None, src.values()))
+        df = e.where(mine).select(
             "event_id", "customer_key", F.lit(ch).alias("channel"),
             F.when(F.col("v") > 10, F.lit(buy)).otherwise(F.lit(sell)).alias("op_code"),
             F.col("v").alias("buy_value"), (F.col("v") * -1).alias("sell_value"))

@@ -23,23 +23,22 @@ from featuremart.plans.registry import register
 @register("leads_with_exclusions", """
 WITH ex AS (SELECT '0x' || hex(c_custkey) AS customer, c_nationkey AS exclusion_reason,
                    CASE WHEN (CASE WHEN c_mktsegment = 'BUILDING' THEN 'SI' ELSE 'NO' END) = 'SI' THEN 1 ELSE 0 END AS exclusion_flag
-            FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
+            FROM customer),
 ld AS (SELECT '0x' || hex(o_custkey) AS customer, CAST(o_orderdate AS DATE) AS lead_start,
               CAST(o_orderdate AS DATE) + 90 AS lead_end, CAST(o_totalprice AS DECIMAL(18,2)) AS pre_approved,
               CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS lead_channel
-       FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus <> 'F')
+       FROM orders)
 SELECT coalesce(ld.customer, ex.customer) AS customer, ex.exclusion_reason, ex.exclusion_flag,
        ld.lead_start, ld.lead_end, CAST(round(ld.pre_approved, 2) AS DECIMAL(19,2)) AS pre_approved_val,
        CASE WHEN ld.lead_channel IS NULL OR trim(ld.lead_channel) = '' THEN 'unknown' ELSE ld.lead_channel END AS lead_channel
 FROM ld FULL JOIN ex ON ld.customer = ex.customer
 """)
 def leads_with_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = t(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
+    c = t(spark, sf_dir, "customer")
     excl_text = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("SI")).otherwise(F.lit("NO"))
     ex = c.select(T.hex_key("c_custkey").alias("customer"), F.col("c_nationkey").alias("exclusion_reason"),
                   F.when(excl_text == "SI", 1).otherwise(0).alias("exclusion_flag"))
-    o = t(spark, sf_dir, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-                                         & (F.col("o_orderstatus") != "F"))
+    o = t(spark, sf_dir, "orders")
     ld = o.select(T.hex_key("o_custkey").alias("customer"), F.to_date("o_orderdate").alias("lead_start"),
                   F.date_add(F.to_date("o_orderdate"), 90).alias("lead_end"),
                   F.col("o_totalprice").cast("decimal(18,2)").alias("pre_approved"),
@@ -141,18 +140,21 @@ def customer_base_with_form(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("branch_operations", """
 WITH x AS (SELECT o.o_custkey AS customer_key, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount, p.p_type,
                   right(repeat('0', 5) || CAST(s.s_nationkey AS VARCHAR), 5) AS branch_code,
-                  CAST(l.l_shipdate AS DATE) AS d, l.l_orderkey, l.l_linenumber
+                  CAST(l.l_shipdate AS DATE) AS d, last_day(CAST(l.l_shipdate AS DATE)) AS m, l.l_orderkey, l.l_linenumber
            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey
                 JOIN supplier s ON s.s_suppkey = l.l_suppkey),
-lastb AS (SELECT customer_key, branch_code AS last_branch FROM (
-            SELECT *, row_number() OVER (PARTITION BY customer_key ORDER BY d DESC, l_orderkey DESC, l_linenumber DESC, branch_code DESC) AS rn
+lastb AS (SELECT customer_key, m, branch_code AS last_branch FROM (
+            SELECT *, row_number() OVER (PARTITION BY customer_key, m ORDER BY d DESC, l_orderkey DESC, l_linenumber DESC, branch_code DESC) AS rn
             FROM x) WHERE rn = 1)
-SELECT x.customer_key, CAST(count(*) AS BIGINT) AS operations_cnt, CAST(round(sum(amount), 2) AS DECIMAL(19,2)) AS total_val,
+SELECT x.customer_key, x.m AS _observ_end_dt, CAST(count(*) AS BIGINT) AS operations_cnt, CAST(round(sum(amount), 2) AS DECIMAL(19,2)) AS total_val,
        CAST(round(coalesce(sum(CASE WHEN p_type = 'PROMO' THEN amount END), 0), 2) AS DECIMAL(19,2)) AS promo_val,
        CAST(round(coalesce(sum(CASE WHEN p_type = 'STANDARD' THEN amount END), 0), 2) AS DECIMAL(19,2)) AS standard_val,
        CAST(round(coalesce(sum(CASE WHEN p_type = 'ECONOMY' THEN amount END), 0), 2) AS DECIMAL(19,2)) AS economy_val,
+       CAST(round(coalesce(sum(CASE WHEN p_type = 'LARGE' THEN amount END), 0), 2) AS DECIMAL(19,2)) AS large_val,
+       CAST(round(coalesce(sum(CASE WHEN p_type = 'MEDIUM' THEN amount END), 0), 2) AS DECIMAL(19,2)) AS medium_val,
+       CAST(round(coalesce(sum(CASE WHEN p_type = 'SMALL' THEN amount END), 0), 2) AS DECIMAL(19,2)) AS small_val,
        CAST(count(DISTINCT branch_code) AS BIGINT) AS branches_cnt, min(lastb.last_branch) AS last_branch
-FROM x JOIN lastb USING (customer_key) GROUP BY 1
+FROM x JOIN lastb USING (customer_key, m) GROUP BY 1, 2
 """)
 def branch_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = transactions(spark, sf_dir)
@@ -162,9 +164,9 @@ def branch_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = x.join(p, x.l_partkey == p.p_partkey)
     x = join_small(x, branches, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
     order = F.struct("trx_date", "l_orderkey", "l_linenumber", "branch_code")
-    g = x.groupBy("customer_key").agg(
+    g = x.groupBy("customer_key", F.last_day("trx_date").alias("_observ_end_dt")).agg(
         F.count(F.lit(1)).alias("operations_cnt"), F.sum("amount").alias("total"),
-        *A.pivot_aggs("p_type", ["PROMO", "STANDARD", "ECONOMY"], {"": ("sum", "amount")}, name_fmt="{value}"),
+        *A.pivot_aggs("p_type", ["PROMO", "STANDARD", "ECONOMY", "LARGE", "MEDIUM", "SMALL"], {"": ("sum", "amount")}, name_fmt="{value}"),
         F.count_distinct("branch_code").alias("branches_cnt"),
         F.max_by("branch_code", order).alias("last_branch"))
     return to_val_columns(g)

@@ -299,14 +299,15 @@ def volume_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT * FROM ({q})" for q in [_profile_sql("orders", "o_orderdate", "o_custkey"),
                                      _profile_sql("lineitem", "l_shipdate", None)]))
 def profile_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """QA-08 / QA-11: column profiles of every table of a layer, unioned
+    """QA-08 / QA-11 / ST-03: column profiles of every table of a layer, unioned
     into one report (one plan; tables without a customer column count 0)."""
-    from featuremart.operators.setops import union_same_shape
+    from featuremart.operators.setops import consolidate
     parts = []
     for name, date_col, cust in [("orders", "o_orderdate", ["o_custkey"]), ("lineitem", "l_shipdate", [])]:
         df = t(spark, sf_dir, name)
         parts.append(column_profile(df, name, date_col, AS_OF, cust))
-    return union_same_shape(parts)
+    # a table of the layer without any file gives no part; the report keeps its shape (ST-03)
+    return consolidate(spark, parts, None)
 
 
 # --- QA-14: the missing-data run. Reconcile all dated tables in one plan (QA-13), upsert

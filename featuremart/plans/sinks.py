@@ -66,9 +66,9 @@ def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- SNK-04: upsert with delete inside the source window
 @register("upsert_delete", """
 WITH tgt AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS info_date, o_custkey, o_orderstatus = 'F' AS reviewed
-             FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'),
+             FROM orders WHERE o_orderstatus <> 'O'),
 src AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS info_date FROM orders
-        WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-07-01' AND DATE '1997-06-30' AND o_orderstatus <> 'P')
+        WHERE o_orderstatus <> 'P')
 SELECT coalesce(tgt.o_orderkey, src.o_orderkey) AS o_orderkey, coalesce(tgt.info_date, src.info_date) AS info_date,
        tgt.o_custkey, CASE WHEN tgt.o_orderkey IS NULL THEN false ELSE tgt.reviewed END AS reviewed
 FROM tgt FULL JOIN src ON tgt.o_orderkey = src.o_orderkey
@@ -77,12 +77,12 @@ WHERE src.o_orderkey IS NOT NULL OR NOT coalesce(tgt.info_date BETWEEN DATE '199
 def upsert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = t(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("info_date"),
                                           "o_custkey", "o_orderstatus")
-    target = o.where(F.col("info_date").between("1996-01-01", "1996-12-31")).select(
+    # stored: everything but open orders; reported by the run: everything but pending ones
+    target = o.where(F.col("o_orderstatus") != "O").select(
         "o_orderkey", "info_date", "o_custkey", (F.col("o_orderstatus") == "F").alias("reviewed"))
     path = new_location(spark, "upsert_delete")
     target.write.mode("overwrite").parquet(f"{path}/v1")
-    source = o.where(F.col("info_date").between("1996-07-01", "1997-06-30")
-                     & (F.col("o_orderstatus") != "P")).select("o_orderkey", "info_date")
+    source = o.where(F.col("o_orderstatus") != "P").select("o_orderkey", "info_date")
     merged = upsert_with_window_delete(spark.read.parquet(f"{path}/v1"), source, ["o_orderkey"],
                                        "info_date", "1996-07-01", "1996-12-31", "reviewed", False)
     merged.write.mode("overwrite").parquet(f"{path}/v2")
