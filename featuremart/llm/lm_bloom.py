@@ -3,8 +3,10 @@
 Counts of n-grams (two to ``order`` words) are quantised to levels
 ``1 + floor(log2 count)``; an n-gram of level q puts the keys (n-gram, 1) ..
 (n-gram, q) into one Bloom filter. A count is read back by probing level after
-level until a key is missing, so it is never underestimated by more than its
-level's width, and overestimated only by false positives. The filter is cut by
+level until a key is missing or the level of the shorter n-grams inside it is
+reached (it cannot be more frequent than they are), so it is never
+underestimated by more than its level's width, and overestimated only by false
+positives. The filter is cut by
 n-gram hash into slices, each built by one task from the merged counts of all
 chunks; the slices are put together and broadcast. Its size follows the
 corpus (BITS_PER_NGRAM bits per n-gram token) up to ``max_bits``: that is the
@@ -46,7 +48,7 @@ LEVELS = 40
 MU = 4.0
 END = np.uint64(0x5BD1E995A3C59AC3)
 SLICE_KEYS = 1 << 19
-NGRAM_BITS = 48            # of an n-gram's hash that travel
+SPARE_BITS = 13            # an n-gram's hash is this much longer than the number of n-grams
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -80,14 +82,14 @@ def tokens_of(texts: list, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
     return out, lens
 
 
-def ngram_hashes(h: np.ndarray, place: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the n-grams that end at the returned token indices; ``place``
-    is each token's place in its text."""
+def ngram_hashes(h: np.ndarray, place: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (``bits`` long) of the n-grams that end at the returned token
+    indices; ``place`` is each token's place in its text."""
     end = np.flatnonzero(place >= n - 1)
     x = np.full(len(end), n, np.uint64)
     for k in range(n - 1, -1, -1):
         x = mix(x * np.uint64(0x9E3779B97F4A7C15) + h[end - k], n)
-    return end, x >> np.uint64(64 - NGRAM_BITS)
+    return end, x >> np.uint64(64 - bits)
 
 
 def _places(lens: np.ndarray) -> np.ndarray:
@@ -98,43 +100,50 @@ def _places(lens: np.ndarray) -> np.ndarray:
 class CountFilter:
     """Slices of the filter; a key's slice is given by its hash's top bits."""
 
-    def __init__(self, raw: np.ndarray, slice_bits: int, bits: int):
-        self.raw, self.slice_bits, self.bits = raw, slice_bits, bits  # bits per slice
+    def __init__(self, raw: np.ndarray, slice_bits: int, bits: int, key_bits: int):
+        self.raw, self.slice_bits, self.bits, self.key_bits = raw, slice_bits, bits, key_bits  # bits per slice
 
     @staticmethod
-    def probes(keys: np.ndarray, level: int, bits: int):
+    def _start(keys: np.ndarray, level: int):
         x = mix(keys, level)
-        step = (x >> np.uint64(32)) | np.uint64(1)
-        for _ in range(PROBES):
-            yield ((x & np.uint64(0xFFFFFFFF)) % np.uint64(bits)).astype(np.int64)
-            x = x + step
+        return x, (x >> np.uint64(32)) | np.uint64(1)
+
+    @staticmethod
+    def _place(x: np.ndarray, bits: int) -> np.ndarray:
+        return (((x & np.uint64(0xFFFFFFFF)) * np.uint64(bits)) >> np.uint64(32)).astype(np.int64)
 
     @classmethod
     def fill(cls, keys: np.ndarray, level: np.ndarray, bits: int) -> bytes:
         """One slice with the keys at their levels."""
         on = np.zeros(bits, bool)
         for q in range(1, int(level.max(initial=0)) + 1):
-            for at in cls.probes(keys[level >= q], q, bits):
-                on[at] = True
+            x, step = cls._start(keys[level >= q], q)
+            for _ in range(PROBES):
+                on[cls._place(x, bits)] = True
+                x = x + step
         return np.packbits(on, bitorder="little").tobytes()
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Estimated counts: the middle of the highest level found."""
+    def counts(self, keys: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Estimated counts: the middle of the highest level found, at most
+        ``most`` (a bound on the true count, or an estimate of one)."""
         level = np.zeros(len(keys), np.int64)
-        base = (keys >> np.uint64(NGRAM_BITS - self.slice_bits)).astype(np.int64) * (self.bits // 8) \
-            if self.slice_bits else np.zeros(len(keys), np.int64)
-        alive = np.arange(len(keys))
+        last = np.where(most >= 1, 1 + np.log2(np.maximum(most, 1)).astype(np.int64), 0)
+        base = np.zeros(len(keys), np.int64)
+        if self.slice_bits:
+            base = (keys >> np.uint64(self.key_bits - self.slice_bits)).astype(np.int64) * (self.bits // 8)
+        alive = np.flatnonzero(last)
         for q in range(1, LEVELS):
-            probe = mix(keys[alive], q)
-            step = (probe >> np.uint64(32)) | np.uint64(1)
+            x, step = self._start(keys[alive], q)
             for _ in range(PROBES):
-                at = ((probe & np.uint64(0xFFFFFFFF)) % np.uint64(self.bits)).astype(np.int64)
-                hit = (self.raw[base[alive] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
-                alive, probe, step = alive[hit], probe[hit] + step[hit], step[hit]
+                at = self._place(x, self.bits)
+                hit = np.flatnonzero((self.raw[base[alive] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1)
+                alive, step = alive[hit], step[hit]
+                x = x[hit] + step
+            level[alive] = q
+            alive = alive[last[alive] > q]
             if not len(alive):
                 break
-            level[alive] = q
-        return np.where(level > 0, (2.0 ** (level - 1) + np.exp2(level) - 1) / 2, 0.0)
+        return np.minimum(np.where(level > 0, (2.0 ** (level - 1) + np.exp2(level) - 1) / 2, 0.0), most)
 
 
 def _word_requests(chunks: DataFrame, slice_bits: int) -> DataFrame:
@@ -173,7 +182,7 @@ def _word_answers(requests: DataFrame) -> DataFrame:
         run, "chunk long, slice long, counts binary, n_types long, n_tokens long")
 
 
-def _ngram_counts(chunks: DataFrame, order: int, slice_bits: int) -> DataFrame:
+def _ngram_counts(chunks: DataFrame, order: int, slice_bits: int, key_bits: int) -> DataFrame:
     names, kinds = ["slice", "keys", "counts"], [pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches):
@@ -186,10 +195,10 @@ def _ngram_counts(chunks: DataFrame, order: int, slice_bits: int) -> DataFrame:
                 h, lens = tokens_of(texts, hasher)
                 place, out = _places(lens), []
                 for n in range(2, order + 1):
-                    keys, c = np.unique(ngram_hashes(h, place, n)[1], return_counts=True)
+                    keys, c = np.unique(ngram_hashes(h, place, n, key_bits)[1], return_counts=True)
                     c = c.astype(np.uint32)
                     out += [(s, _pack_sorted(keys[a:z]), _pack(c[a:z]))
-                            for s, a, z in slices_of(keys, NGRAM_BITS - slice_bits)]
+                            for s, a, z in slices_of(keys, key_bits - slice_bits)]
                 yield record_batch(out, names, kinds)
 
     return chunks.select("block").mapInArrow(run, "slice long, keys binary, counts binary")
@@ -198,6 +207,7 @@ def _ngram_counts(chunks: DataFrame, order: int, slice_bits: int) -> DataFrame:
 def build_filter(chunks: DataFrame, order: int, ngrams: int, max_bits: int, min_count: int = 1) -> CountFilter:
     """``ngrams``: n-gram tokens in the training rows."""
     slice_bits = max(5, bit_width(-(-ngrams // SLICE_KEYS)))
+    key_bits = min(64, max(24, bit_width(ngrams) + SPARE_BITS))
     per_slice = 8 * max(1, min(max_bits, BITS_PER_NGRAM * ngrams) >> slice_bits >> 3)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -206,12 +216,14 @@ def build_filter(chunks: DataFrame, order: int, ngrams: int, max_bits: int, min_
         level = np.where(n >= min_count, 1 + np.log2(np.maximum(n, 1)).astype(np.int64), 0)
         return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "bits": [CountFilter.fill(keys, level, per_slice)]})
 
-    slices = _ngram_counts(chunks, order, slice_bits).groupBy("slice").applyInPandas(run, "slice long, bits binary")
+    slices = _ngram_counts(chunks, order, slice_bits, key_bits).groupBy("slice").applyInPandas(run, "slice long, bits binary")
     size = per_slice // 8
     raw = np.zeros(size << slice_bits, np.uint8)
-    for r in slices.collect():  # at most max_bits in all
+    got = slices.collect()  # at most max_bits in all
+    while got:
+        r = got.pop()
         raw[r.slice * size:(r.slice + 1) * size] = np.frombuffer(r.bits, np.uint8)
-    return CountFilter(raw, slice_bits, per_slice)
+    return CountFilter(raw, slice_bits, per_slice, key_bits)
 
 
 def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", order: int = ORDER,
@@ -231,7 +243,7 @@ def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "tex
     answers = written(spark, _word_answers(_word_requests(chunks, slice_bits)), "lm-words")
     v, n = (int(x or 0) for x in answers.agg(F.sum("n_types"), F.sum("n_tokens")).first())
     filt = build_filter(chunks, order, n * (order - 1), max_bits, min_count)
-    shared = spark.sparkContext.broadcast((filt.raw, filt.slice_bits, filt.bits))
+    shared = spark.sparkContext.broadcast((filt.raw, filt.slice_bits, filt.bits, filt.key_bits))
     del filt
     told = answers.groupBy("chunk").agg(F.collect_list(F.struct("slice", "counts")).alias("counts"))
     names = [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -249,10 +261,9 @@ def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "tex
                 p, place = base, _places(lens)
                 before, ctx = c, np.concatenate([[0.0], c[:-1]])
                 for k in range(2, order + 1):
-                    end, keys = ngram_hashes(h, place, k)
+                    end, keys = ngram_hashes(h, place, k, counts.key_bits)
                     got = np.zeros(len(h))
-                    got[end] = np.minimum(counts.counts(keys), before[end])
-                    got[end] = np.minimum(got[end], ctx[end])
+                    got[end] = counts.counts(keys, np.minimum(before[end], ctx[end]))
                     new = (got + MU * p) / (ctx + MU)
                     p = np.where(place >= k - 1, new, p)
                     before, ctx = got, np.concatenate([[0.0], got[:-1]])

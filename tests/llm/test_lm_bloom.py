@@ -56,15 +56,20 @@ def brute(docs, order=3):
     return res
 
 
-def compare(got, want, off=0.02):
+def compare(got, want, off=0.02, near=1.0):
+    """Counts and base scores of every row; scores within ``off`` for the share
+    ``near`` of the rows (a false positive can move a text that repeats one
+    n-gram as a whole)."""
     assert len(got) == len(want)
-    same = 0
+    same = close = 0
     for r in got:
         out, n, known, total, base, score = want[r.doc_id]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out, n, known, total)
         assert r.base_score == pytest.approx(base, rel=1e-9)
-        assert r.score == pytest.approx(score, rel=off)
+        close += r.score == pytest.approx(score, rel=off)
         same += r.score == pytest.approx(score, rel=1e-9)
+    assert close >= near * len(got)
+    assert sum(r.score for r in got) == pytest.approx(sum(w[5] for w in want.values()), rel=off)
     return same / len(got)
 
 
@@ -72,7 +77,7 @@ def test_query(spark):
     docs = [(r.doc_id, r.text, zlib.crc32(str(r.doc_id).encode()) % 5 == 1)
             for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     got = queries.op9_lm_bloom(spark, SF_SMALL).collect()
-    compare(got, brute(docs))
+    compare(got, brute(docs), 0.02, 0.97)
     held = [r for r in got if r.held_out and r.n_tokens > 20]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)  # better on unseen texts
 
@@ -80,6 +85,7 @@ def test_query(spark):
 def test_exact_without_false_positives(spark, monkeypatch):
     from pyspark.sql import functions as F
     monkeypatch.setattr(lm, "BITS_PER_NGRAM", 400)
+    monkeypatch.setattr(lm, "SPARE_BITS", 40)
     monkeypatch.setattr(chunks, "CHUNK_BYTES", 200)
     monkeypatch.setattr(lm, "SLICE_KEYS", 64)
     texts = ["the cat sat on the mat", "The cat sat", None, "", "dog " * 30, "the cat ran é", "x\x0by\x1cz"] * 4
@@ -98,8 +104,9 @@ def test_filter_counts_and_false_positive_rate():
     n = rng.geometric(0.4, len(keys))
     bits = 8 * (20 * len(keys) // 8)
     raw = lm.CountFilter.fill(keys, 1 + np.log2(n).astype(int), bits)
-    f = lm.CountFilter(np.frombuffer(raw, np.uint8), 0, bits)
+    f = lm.CountFilter(np.frombuffer(raw, np.uint8), 0, bits, 48)
     want = np.array([level_middle(c) for c in n])
-    got = f.counts(keys)
+    got = f.counts(keys, np.full(len(keys), 1e9))
+    assert (f.counts(keys, n.astype(float)) <= n).all() and not f.counts(keys, np.zeros(len(keys))).any()
     assert (got >= want).all() and (got == want).mean() > 0.97
-    assert (f.counts(rng.integers(0, 2**48, 20_000).astype(np.uint64)) > 0).mean() < 0.03
+    assert (f.counts(rng.integers(0, 2**48, 20_000).astype(np.uint64), np.full(20_000, 9.0)) > 0).mean() < 0.03
