@@ -473,3 +473,69 @@ def test_credit_card_node_scans_the_fact_table_once(spark):
     from featuremart.plans.transform import credit_card_node
     plan = credit_card_node(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lineitem.parquet") == 1, plan
+
+
+@pytest.mark.parametrize("name", ["debt_features", "ratio_cut", "entity_match", "investment_features",
+                                  "history_latest_report", "income_and_supplier", "card_addons", "loan_ageing"])
+def test_facts_are_scanned_once(spark, name):
+    from featuremart.plans import QUERIES
+    from tests.conftest import SF_SMALL
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("/lineitem.parquet]") <= 1, plan
+
+
+def test_unlisted_values_keep_their_rows(spark, tmp_path):
+    """A product type or an event type outside the pivot's list still counts in the totals."""
+    from featuremart.plans import QUERIES
+    from tests.conftest import SF_SMALL
+    for t in ("orders", "lineitem", "customer"):
+        (tmp_path / f"{t}.parquet").symlink_to(f"{SF_SMALL}/{t}.parquet")
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    part.withColumn("p_type", F.regexp_replace("p_type", "^PROMO$", "UNHEARD")).write.parquet(f"{tmp_path}/part.parquet")
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.withColumn("event_type", F.regexp_replace("event_type", "^view$", "unheard")) \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    for name, total in (("investment_features", "invested_val"), ("sources_pivot_key", "amount_val"),
+                        ("channel_sums", "operations_cnt"), ("forex_channels", "event_id")):
+        sums = [QUERIES[name](spark, d).agg(F.sum(total)).first()[0] for d in (SF_SMALL, str(tmp_path))]
+        if name == "channel_sums":  # sign-ups and purchases are the app, everything else the web
+            assert sums[0] == sums[1]
+        assert sums[0] == sums[1], name
+
+
+def test_no_local_checkpoint_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from featuremart.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_empty_month_and_failing_rule(spark):
+    df = spark.createDataFrame([("1", dt.date(2020, 1, 5)), ("x", dt.date(2020, 1, 6))], "s string, d date")
+    months = Q.month_ranges(spark, "2020-01-01", "2020-02-29")
+    rules = Q.QualityRules(null_limits={"s": 0}, rules=[{"name": "num", "condition": "cast(s as int) > 0"}])
+    rec = Q.checked_records(df, "ds", rules, "d", months).collect()
+    assert sorted((r.check, r.status) for r in rec) == [
+        ("EMPTY_DATASET", "WARN"), ("ERROR", "FAIL"), ("NULL_VALUES", "PASS")]
+    with pytest.raises(Q.QualityStop):
+        Q.validate_before_save(df, "ds", rules, "d")
+    rules.block_on_error = False
+    Q.validate_before_save(df, "ds", rules, "d")
+    empty = Q.checked_records(df.limit(0), "ds", Q.QualityRules(null_limits={"s": 0}, fail_on_empty=True)).collect()
+    assert [(r.check, r.severity, r.status) for r in empty] == [("EMPTY_DATASET", "CRITICAL", "FAIL")]
+
+
+def test_stopped_table_shows_zero_months_and_gaps_stop_the_run(spark):
+    df = spark.createDataFrame([(dt.date(2020, 1, 5), 1), (dt.date(2020, 4, 2), 2)], "d date, c int")
+    got = {str(r.info_date): r.records for r in P.volume_series(df, "t", "d", "2020-07-10", "c").collect()}
+    assert got == {"2020-01-31": 1, "2020-02-29": 0, "2020-03-31": 0, "2020-04-30": 1, "2020-05-31": 0, "2020-06-30": 0}
+    spine = [str(r.info_date) for r in P.monthly_spine(df, "d", "2020-07-10").collect()]
+    assert spine == sorted(got)
+    comp = spark.createDataFrame([("t", "snapshot", "d", dt.date(2020, 1, 31), 0)],
+                                 "table_name string, table_kind string, date_column string, info_date date, cnt long")
+    with pytest.raises(P.MissingDates, match="t 2020-01"):
+        P.require_complete(P.missing_months(comp))
+    P.require_complete(P.missing_months(comp.where("cnt > 0")))
