@@ -38,7 +38,7 @@ from featuremart.llm.common import written
 CAPACITY = 2048
 END_ID = 1
 BUCKETS = 4096
-CACHE = 1_000_000      # distinct words remembered by a worker process, over its tasks
+CACHE = 1_300_000      # distinct words remembered by a worker process, over its tasks
 MARK = "\x01"          # stands between words that are encoded together
 TOGETHER = 500
 CLOSING = b".,;:!?$#%*&|<>()\"=-"
@@ -78,16 +78,19 @@ class WordIds:
         """Words that differ in case or in closing punctuation share their
         letters: the tokenizer lower-cases and cuts between a letter or digit
         and punctuation, so a word's ids are those of the two parts."""
-        parts = []
+        todo, whole, stems, tails = set(), [], [], []
         for w in words:
-            stem = w.rstrip(CLOSING)
-            if stem and (stem[-1:].isalnum() or stem[-1] > 127 and stem.decode()[-1].isalpha()):
-                parts.append((w, stem.lower(), w[len(stem):]))
+            stem = w.rstrip(CLOSING).lower()
+            if stem == w or not stem or not (stem[-1:].isalnum() or stem[-1] > 127 and stem.decode()[-1].isalpha()):
+                todo.add(w)
             else:
-                parts.append((w, w, b""))
-        self._encode(list({x for _, *p in parts for x in p}.difference(self.known)))
-        for w, stem, tail in parts:
-            self.known[w] = self.known[stem] + self.known[tail]
+                whole.append(w)
+                stems.append(stem)
+                tails.append(w[len(stem):])
+        self._encode(list(todo.union(stems, tails).difference(self.known)))
+        known = self.known
+        for w, stem, tail in zip(whole, stems, tails):
+            known[w] = known[stem] + known[tail]
 
     def _encode(self, words: list[bytes]) -> None:
         mark = MARK.encode()
@@ -113,7 +116,9 @@ class WordIds:
             self.known = {}
         words = list(chain.from_iterable(docs))
         ids = list(map(self.known.get, words))
-        new = [i for i, x in enumerate(ids) if x is None]
+        new, at = [], -1
+        for _ in range(ids.count(None)):
+            new.append(at := ids.index(None, at + 1))
         self._learn(list({words[i] for i in new}))
         for i in new:
             ids[i] = self.known[words[i]]
