@@ -61,7 +61,7 @@ def login_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("app_login_flag", F.coalesce("app_login_flag", F.lit(0)))
 
 
-# --- TR-06 / TR-09 / CL-10 / CL-12 / CL-16 / SC-23: arrears from cycles, flags, balances in arrears
+# --- TR-09 / CL-16 / SC-23: arrears from cycles, flags, balances in arrears
 STATUS_GROUPS = {"F": "settled", "O": "current", "P": "in_arrears"}
 
 
@@ -155,7 +155,7 @@ def movement_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_val_columns(x.groupBy(*MONTH).agg(*aggs))
 
 
-# --- CL-41 / TR-38 / TR-46 / IN-14 / SC-36 / AG-07 / AG-08 / AG-09: loans cleaned (select, status
+# --- CL-41 / IN-14 / SC-36 / AG-07 / AG-08 / AG-09: loans cleaned (select, status
 #     lookup), loan features and their node entry, rolled up per customer and month
 LOAN_STATUS_MERGE = {"F": "closed", "O": "open", "P": "open"}
 LOAN_PRODUCTS = ["p1", "p2", "p3", "p4", "p5"]
@@ -208,7 +208,7 @@ def loan_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_val_columns(g)
 
 
-# --- TR-34..36 / IN-13 / CL-37 / CL-38 / CL-56 / CL-57: investments merged from three
+# --- CL-37 / CL-38 / CL-57: investments merged from three
 #     products, months in force, term statistics pivoted by product
 INV_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
@@ -336,7 +336,7 @@ def channel_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_val_columns(g)
 
 
-# --- IN-07 / IN-08 / IN-09 / TR-24 / CL-26: status pivot + total, usage sums, left join,
+# --- TR-24 / CL-26: status pivot + total, usage sums, left join,
 #     dropped columns, one dummy customer removed
 @register("debit_card_features", """
 WITH a AS (SELECT o_custkey AS customer_key,
@@ -380,7 +380,7 @@ def latest_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_suffix(remove_prefix(top, "inc_"), "_x")
 
 
-# --- IN-15 / TR-41 / TR-47 / CL-45: savings measures incl. months since the first account
+# --- savings per customer over all months, incl. months since the first account
 @register("saving_features", """
 WITH s AS (SELECT o_custkey AS customer_key, o_orderpriority AS account_key, CAST(o_orderdate AS DATE) AS d,
                   CAST(o_totalprice AS DECIMAL(18,2)) AS balance, o_orderstatus FROM orders),

@@ -83,7 +83,7 @@ def debt_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *[T.one_hot("days_past_due", d).alias(f"arrears_{d}") for d in (30, 60, 90, 120)])
 
 
-# --- TR-44 / TR-32 / CL-34 / CL-49: latest report only (max + join), summary per type
+# --- TR-44 / CL-34 / CL-49: latest report only (max + join), summary per type
 @register("history_latest_report", """
 WITH h AS (SELECT o.o_custkey AS customer_key, CAST(o.o_orderdate AS DATE) AS report_date, l.l_linestatus AS debt_type,
                   CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS grade
@@ -108,7 +108,7 @@ def history_latest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_val_columns(g)
 
 
-# --- CL-02 / CL-13 / CL-22 / CL-24 / CL-42 / CL-44 / CL-51: catalog cleaning
+# --- CL-02 / CL-24 / CL-42 / CL-44 / CL-51: catalog cleaning
 @register("catalog_cleaning", """
 WITH b AS (SELECT p_brand, CAST(substr(p_brand, 7) AS INTEGER) AS grade, max(p_name) AS description,
                   max(p_type) AS brand_group, CAST(count(DISTINCT CAST(p_retailprice AS DECIMAL(10,2))) AS BIGINT) AS prices
@@ -138,7 +138,7 @@ def catalog_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "brand_group", "prices", "next_brand", "catalog_date")
 
 
-# --- TR-10 / CL-14 / CL-15: instalments: totals, paid ratio, pivot by group, full join with limits
+# --- TR-10 / CL-15: instalments: totals, paid ratio, pivot by group, full join with limits
 INSTALMENT_GROUPS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
