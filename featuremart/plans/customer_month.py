@@ -18,7 +18,8 @@ from featuremart.operators import aggregates as A
 from featuremart.operators import windows as W
 from featuremart.operators.columns import fill_numeric_zero, to_val_columns
 from featuremart.plans.customer import _ratio4_sql, ratio4
-from featuremart.plans.inputs import FOREIGN, HOME, TRANSACTIONS_SQL, t, transactions
+from featuremart.operators.joins import add_rate
+from featuremart.plans.inputs import FOREIGN, HOME, RATES_SQL, TRANSACTIONS_SQL, rates, t, transactions
 from featuremart.plans.registry import register
 
 MONTH = ["customer_key", "_observ_end_dt"]
@@ -479,3 +480,168 @@ def debt_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = A.horizontal_total(g, "open_amount", ["overdue_amount", "current_amount"])
     return to_val_columns(g).withColumn("open_average", F.when(
         F.col("open_cnt") > 0, ratio4("open_amount_val", "open_cnt")))
+
+
+# --- CL-10 / CL-12 / TR-06: card accounts per month: statement (returned items stand for it) beside
+#     the account, limit with its fall-back, worst of the two currencies, payment date, row totals of
+#     the balances, arrears by currency converted at the month end's rate, limit-change flag
+@register("card_account_month", f"""
+WITH r AS ({RATES_SQL}),
+x AS (SELECT o_custkey AS customer_key, o_orderpriority AS account_key, last_day(CAST(l_shipdate AS DATE)) AS _observ_end_dt,
+             o_orderstatus, l_suppkey % 2 = 0 AS home, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, l_returnflag,
+             CAST(l_shipdate AS DATE) AS shipped, greatest(CAST(CAST(l_shipdate AS DATE) - CAST(o_orderdate AS DATE) AS INTEGER), 0) AS late
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+a AS (SELECT customer_key, account_key, _observ_end_dt,
+             {_sum_sql("o_orderstatus = 'O'")} AS limit_home, {_sum_sql("o_orderstatus <> 'O'")} AS limit_foreign,
+             {_sum_sql("home")} AS balance_home, {_sum_sql("NOT home")} AS balance_foreign,
+             coalesce(max(CASE WHEN home THEN late END), 0) AS late_home, coalesce(max(CASE WHEN NOT home THEN late END), 0) AS late_foreign,
+             max(CASE WHEN l_returnflag = 'R' THEN shipped END) AS statement_date,
+             sum(CASE WHEN l_returnflag = 'R' AND home THEN amount END) AS paid_home,
+             sum(CASE WHEN l_returnflag = 'R' AND NOT home THEN amount END) AS paid_foreign,
+             CAST(CASE WHEN count(DISTINCT o_orderstatus) > 1 THEN 1 ELSE 0 END AS INTEGER) AS limit_change_flag
+      FROM x GROUP BY 1, 2, 3),
+c AS (SELECT a.*, r.rate, greatest(late_home, late_foreign) AS late_days,
+             CASE WHEN balance_home > 0 THEN late_home // 30 ELSE 0 END AS cycle_home,
+             CASE WHEN balance_foreign > 0 THEN late_foreign // 30 ELSE 0 END AS cycle_foreign
+      FROM a LEFT JOIN r ON r.rate_date = a._observ_end_dt)
+SELECT customer_key, account_key, _observ_end_dt, statement_date,
+       CASE WHEN account_key = '1-URGENT' THEN CAST(statement_date + INTERVAL 1 MONTH AS DATE) - 5
+            WHEN account_key = '2-HIGH' THEN CAST(statement_date + INTERVAL 1 MONTH AS DATE) - 6
+            ELSE CAST(statement_date + INTERVAL 1 MONTH AS DATE) END AS payment_date,
+       {_val("CASE WHEN limit_home > 0 THEN limit_home ELSE limit_foreign * 8 END", "credit_limit_val")},
+       {_val("balance_home", "balance_home_val")}, {_val("balance_foreign", "balance_foreign_val")},
+       {_val("balance_home + balance_foreign * rate", "balance_converted_val")},
+       {_val("paid_home", "paid_home_val")}, {_val("paid_foreign", "paid_foreign_val")},
+       late_home, late_foreign, late_days, cycle_home, cycle_foreign, greatest(cycle_home, cycle_foreign) AS max_cycle,
+       CAST(CASE WHEN late_days = 0 THEN 0 ELSE 1 END AS INTEGER) AS late_30_flag,
+       CAST(CASE WHEN late_days < 60 THEN 0 ELSE 1 END AS INTEGER) AS late_60_flag,
+       CAST(CASE WHEN late_days < 90 THEN 0 ELSE 1 END AS INTEGER) AS late_90_flag,
+       {_val("CASE WHEN cycle_home > 0 THEN balance_home ELSE 0 END", "arrears_home_val")},
+       {_val("CASE WHEN cycle_foreign > 0 THEN balance_foreign ELSE 0 END", "arrears_foreign_val")},
+       {_val("CASE WHEN cycle_home > 0 AND cycle_foreign > 0 THEN balance_home + balance_foreign * rate WHEN cycle_home > 0 THEN balance_home WHEN cycle_foreign > 0 THEN balance_foreign * rate ELSE 0 END", "arrears_converted_val")},
+       limit_change_flag
+FROM c
+""")
+def card_account_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate")
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
+    x = li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey).select(
+        F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"),
+        F.last_day(F.to_date("l_shipdate")).alias("_observ_end_dt"), "o_orderstatus", "l_returnflag",
+        (F.col("l_suppkey") % 2 == 0).alias("home"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+        F.to_date("l_shipdate").alias("shipped"), F.greatest(F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")), F.lit(0)).alias("late"))
+    home, paid = F.col("home"), F.col("l_returnflag") == "R"
+    zero = F.lit(0)
+    a = x.groupBy("customer_key", "account_key", "_observ_end_dt").agg(
+        total(F.col("o_orderstatus") == "O").alias("limit_home"), total(F.col("o_orderstatus") != "O").alias("limit_foreign"),
+        total(home).alias("balance_home"), total(~home).alias("balance_foreign"),
+        F.coalesce(F.max(F.when(home, F.col("late"))), zero).alias("late_home"),
+        F.coalesce(F.max(F.when(~home, F.col("late"))), zero).alias("late_foreign"),
+        F.max(F.when(paid, F.col("shipped"))).alias("statement_date"),
+        A.sum_if(paid & home, "amount").alias("paid_home"), A.sum_if(paid & ~home, "amount").alias("paid_foreign"),
+        # states seen, as flags: no distinct aggregate needed
+        sum((F.max(F.when(F.col("o_orderstatus") == s, 1).otherwise(0)) for s in ("F", "O", "P")), zero).alias("states"))
+    c = add_rate(a, rates(spark, sf_dir), "_observ_end_dt", snapshot=True)
+    cycle = {k: F.when(F.col(f"balance_{k}") > 0, F.floor(F.col(f"late_{k}") / 30).cast("int")).otherwise(0)
+             for k in ("home", "foreign")}
+    c = c.withColumns({"cycle_home": cycle["home"], "cycle_foreign": cycle["foreign"],
+                       "late_days": F.greatest("late_home", "late_foreign")})
+    late, foreign_home = F.col("late_days"), F.col("balance_foreign") * F.col("rate")
+    due_home, due_foreign = F.col("cycle_home") > 0, F.col("cycle_foreign") > 0
+    none = F.lit(0).cast("decimal(28,2)")
+    return to_val_columns(c.select(
+        "customer_key", "account_key", "_observ_end_dt", "statement_date",
+        D.next_payment_date("statement_date", "account_key", early_types=["1-URGENT"], earlier_types=["2-HIGH"]).alias("payment_date"),
+        F.when(F.col("limit_home") > 0, F.col("limit_home")).otherwise(F.col("limit_foreign") * 8).alias("credit_limit"),
+        "balance_home", "balance_foreign", (F.col("balance_home") + foreign_home).alias("balance_converted"),
+        "paid_home", "paid_foreign", "late_home", "late_foreign", "late_days", "cycle_home", "cycle_foreign",
+        F.greatest("cycle_home", "cycle_foreign").alias("max_cycle"),
+        F.when(late == 0, 0).otherwise(1).alias("late_30_flag"), F.when(late < 60, 0).otherwise(1).alias("late_60_flag"),
+        F.when(late < 90, 0).otherwise(1).alias("late_90_flag"),
+        F.when(due_home, F.col("balance_home")).otherwise(none).alias("arrears_home"),
+        F.when(due_foreign, F.col("balance_foreign")).otherwise(none).alias("arrears_foreign"),
+        F.when(due_home & due_foreign, F.col("balance_home") + foreign_home).when(due_home, F.col("balance_home"))
+         .when(due_foreign, foreign_home).otherwise(none).alias("arrears_converted"),
+        F.when(F.col("states") > 1, 1).otherwise(0).alias("limit_change_flag")))
+
+
+# --- TR-34 / TR-35 / TR-36 / CL-56 / IN-13: investments per customer and month: six amounts in three
+#     currency views, movements by kind, early-cancel flag, months in force pivoted by product
+INV_AMOUNTS = {"principal": "l_extendedprice", "interest": "l_discount", "tax": "l_tax"}
+INV_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+def _inv_views(name: str) -> str:
+    return ", ".join([_val(_sum_sql("currency_id = 1", name), f"{name}_home_val"), _val(_sum_sql("currency_id = 2", name), f"{name}_foreign_val"),
+                      _val(f"sum(CASE WHEN currency_id = 2 THEN {name} * {LOAN_RATE} ELSE {name} END)", f"{name}_converted_val")])
+
+
+@register("investment_month", f"""
+WITH x AS (SELECT o_custkey AS customer_key, last_day(CAST(l_shipdate AS DATE)) AS _observ_end_dt, p_type, l_returnflag AS kind,
+                  CASE WHEN l_suppkey % 2 = 0 THEN 1 ELSE 2 END AS currency_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS principal,
+                  CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS interest,
+                  CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS tax,
+                  CAST(o_orderdate AS DATE) AS opened, CAST(l_shipdate AS DATE) AS closed
+           FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey),
+y AS (SELECT *, CAST(greatest({_months_sql("closed", "opened")}, 0) AS INTEGER) AS term FROM x)
+SELECT customer_key, _observ_end_dt, CAST(count(*) AS BIGINT) AS investments_cnt,
+       {", ".join(_inv_views(n) for n in INV_AMOUNTS)},
+       {", ".join(f"{_cnt_sql(f'''kind = '{k}' ''', f'{n}_cnt')}, {_val(_sum_sql(f'''kind = '{k}' ''', 'principal'), f'{n}_val')}" for n, k in KINDS)},
+       CAST(max(CASE WHEN kind = 'R' AND term < 2 THEN 1 ELSE 0 END) AS INTEGER) AS early_cancel_flag,
+       {", ".join(f"max(CASE WHEN p_type = '{p}' THEN term END) AS {p.lower()}_term_max, min(CASE WHEN p_type = '{p}' THEN term END) AS {p.lower()}_term_min, CAST(sum(CASE WHEN p_type = '{p}' THEN term END) AS BIGINT) AS {p.lower()}_term_sum" for p in INV_TYPES)}
+FROM y GROUP BY 1, 2
+""")
+def investment_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount",
+                                             "l_tax", "l_returnflag", "l_shipdate")
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    p = t(spark, sf_dir, "part").select("p_partkey", "p_type")
+    x = li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    principal = F.col("l_extendedprice").cast("decimal(18,2)")
+    x = x.select(
+        F.col("o_custkey").alias("customer_key"), F.last_day(F.to_date("l_shipdate")).alias("_observ_end_dt"), "p_type",
+        F.col("l_returnflag").alias("kind"), F.when(F.col("l_suppkey") % 2 == 0, HOME).otherwise(FOREIGN).alias("currency_id"),
+        *[(principal if n == "principal" else principal * F.col(c).cast("decimal(4,2)")).alias(n) for n, c in INV_AMOUNTS.items()],
+        D.whole_months_between("l_shipdate", "o_orderdate").alias("term"))
+    foreign, rate = F.col("currency_id") == FOREIGN, F.lit(LOAN_RATE).cast("decimal(6,4)")
+    aggs: list[Column] = [F.count(F.lit(1)).alias("investments_cnt")]
+    for n in INV_AMOUNTS:
+        aggs += [total(~foreign, n).alias(f"{n}_home"), total(foreign, n).alias(f"{n}_foreign"),
+                 F.sum(F.when(foreign, F.col(n) * rate).otherwise(F.col(n))).alias(f"{n}_converted")]
+    for n, k in KINDS:
+        aggs += [A.count_if(F.col("kind") == k).alias(f"{n}_cnt"), total(F.col("kind") == k, "principal").alias(n)]
+    aggs.append(A.any_flag((F.col("kind") == "R") & (F.col("term") < 2)).alias("early_cancel_flag"))
+    for ptype in INV_TYPES:
+        term = F.when(F.col("p_type") == ptype, F.col("term"))
+        aggs += [f(term).alias(f"{ptype.lower()}_term_{m}") for f, m in ((F.max, "max"), (F.min, "min"), (F.sum, "sum"))]
+    return to_val_columns(x.groupBy(*MONTH).agg(*aggs))
+
+
+# --- TR-02 / TR-45: transfers of two channels, amounts converted at the day's rate, pivot by
+#     channel_operation, row totals per channel
+@register("channel_transfers", f"""
+WITH r AS ({RATES_SQL}),
+x AS (SELECT o_custkey AS customer_key, last_day(CAST(l_shipdate AS DATE)) AS _observ_end_dt,
+             CASE l_linestatus WHEN 'F' THEN 'app' ELSE 'web' END AS channel, CASE l_returnflag WHEN 'A' THEN 'own' WHEN 'N' THEN 'third' ELSE 'ach' END AS operation,
+             CASE WHEN l_suppkey % 2 = 0 THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE CAST(l_extendedprice AS DECIMAL(18,2)) * r.rate END AS amount
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN r ON r.rate_date = CAST(l_shipdate AS DATE)),
+g AS (SELECT customer_key, _observ_end_dt,
+        {", ".join(f"{_cnt_sql(f'''channel = '{c}' AND operation = '{op}' ''', f'{c}_{op}_cnt')}, {_sum_sql(f'''channel = '{c}' AND operation = '{op}' ''')} AS {c}_{op}_amount" for c in ("app", "web") for op in ("own", "third", "ach"))}
+      FROM x GROUP BY 1, 2)
+SELECT customer_key, _observ_end_dt, {", ".join(f"{c}_{op}_cnt" for c in ("app", "web") for op in ("own", "third", "ach"))},
+       {", ".join(_val(f"{c}_{op}_amount", f"{c}_{op}_amount_val") for c in ("app", "web") for op in ("own", "third", "ach"))},
+       {", ".join(f"CAST({c}_own_cnt + {c}_third_cnt + {c}_ach_cnt AS BIGINT) AS {c}_cnt, {_val(f'{c}_own_amount + {c}_third_amount + {c}_ach_amount', f'{c}_amount_val')}" for c in ("app", "web"))}
+FROM g
+""")
+def channel_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = add_rate(transactions(spark, sf_dir), rates(spark, sf_dir), "trx_date")
+    channel = F.when(F.col("direction") == "F", "app").otherwise("web")
+    operation = F.coalesce(L.map_lookup("kind", {"A": "own", "N": "third"}), F.lit("ach"))
+    x = x.withColumns({"channel_operation": F.concat_ws("_", channel, operation), "_observ_end_dt": F.last_day("trx_date"),
+                       "converted": F.when(F.col("currency_id") == HOME, F.col("amount")).otherwise(F.col("amount") * F.col("rate"))})
+    names = [f"{c}_{op}" for c in ("app", "web") for op in ("own", "third", "ach")]
+    g = x.groupBy(*MONTH).agg(*A.pivot_aggs("channel_operation", names, {"cnt": ("count", None), "amount": ("sum", "converted")}))
+    for c in ("app", "web"):
+        for m in ("cnt", "amount"):
+            g = A.horizontal_total(g, f"{c}_{m}", [f"{n}_{m}" for n in names if n.startswith(c)])
+    return to_val_columns(g)
