@@ -84,25 +84,29 @@ def columns_with_suffix(df: DataFrame, suffix: str) -> list[str]:
     return [c for c in df.columns if c.endswith(suffix)]
 
 
-def drop_zero_measures(df: DataFrame, measures: Iterable[str], materialize: bool = True
-                       ) -> DataFrame:
+def drop_zero_measures(df: DataFrame, measures: Iterable[str], totals: DataFrame | None = None,
+                       materialize: bool = True) -> DataFrame:
     """PRJ-09: drop measure columns whose total is 0 or null.
 
     One global aggregate (a single row reaches the driver) decides which
-    names to drop; the data itself never leaves the executors. With
-    ``materialize`` the frame is first written once with ``checkpoint()`` to
-    the shared checkpoint folder, so the totals and the caller's own action
-    read it instead of running the upstream plan twice.
+    names to drop; the data itself never leaves the executors. A caller that
+    can get the totals cheaper than from ``df`` (a pruned scan of its source)
+    passes them as the one-row frame ``totals``. Otherwise, with
+    ``materialize``, ``df`` is first written once with ``checkpoint()`` to the
+    shared checkpoint folder, so the totals and the caller's own action read
+    it instead of running the upstream plan twice.
     """
     measures = list(measures)
     if not measures:
         return df
-    if materialize:
-        from featuremart.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    totals = df.agg(*[F.sum(F.col(m)).alias(m) for m in measures]).first()
-    dead = [m for m in measures if totals[m] is None or totals[m] == 0]
+    if totals is None:
+        if materialize:
+            from featuremart.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(df.sparkSession)
+            df = df.checkpoint(eager=True)
+        totals = df.agg(*[F.sum(F.col(m)).alias(m) for m in measures])
+    row = totals.first()
+    dead = [m for m in measures if row[m] is None or row[m] == 0]
     return df.drop(*dead)
 
 

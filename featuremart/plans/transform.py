@@ -154,7 +154,7 @@ def bibanking_with_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_numeric_zero(out, [c for c in out.columns if c not in keys])
 
 
-# --- TR-23: the customer node: cleaned customers (TR-15) left join employees (CL-27),
+# --- customer node, first parts: cleaned customers (TR-15) left join employees (CL-27),
 #     paid income (TR-16), web-login flag (TR-19) and products held (TR-40 / CL-25)
 @register("customer_node", f"""
 WITH c AS ({CUSTOMER_CLEANED_SQL}), e AS ({EMPLOYEES_SQL}),
