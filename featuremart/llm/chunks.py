@@ -18,10 +18,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from featuremart.llm.common import written
+from featuremart.llm.common import ASCII_LOWER, written
 
 CHUNK_BYTES = 4 << 20
-CACHE = 300_000
+SEGMENT = 1 << 20
 _M = 0xBF58476D1CE4E5B9
 _INV = pow(_M, -1, 1 << 64)
 
@@ -82,22 +82,6 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHasher:
-    """64-bit hashes of words, remembering the words seen last."""
-
-    def __init__(self):
-        import xxhash
-
-        self.hash, self.known = xxhash.xxh3_64_intdigest, {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > CACHE:
-            self.known = {}
-        for w in set(words).difference(self.known):
-            self.known[w] = self.hash(w)
-        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-
-
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -111,6 +95,64 @@ def _powers(n: int):
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+# A random 64-bit number per byte value (from a fixed seed).
+_LETTERS = np.random.default_rng(20_240_601).integers(0, 2**64, 256, dtype=np.uint64)
+_LOWER_LETTERS = _LETTERS[np.frombuffer(ASCII_LOWER, np.uint8)]
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\x0b\x0c\r")] = True
+
+
+def _joined(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, a line break after each, and where each ends."""
+    raws = [t.encode() if t else b"" for t in texts]
+    return np.frombuffer(b"\n".join([*raws, b""]), np.uint8), \
+        np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws)) + 1)
+
+
+def _segments(buf: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Pieces of about SEGMENT bytes that end in white space."""
+    at = 0
+    while at < len(buf):
+        end = min(at + SEGMENT, len(buf)) - 1
+        while not (space := _SPACE[buf[end:end + SEGMENT]]).any():  # a word as long as a segment
+            end += SEGMENT
+        end += int(space.argmax()) + 1
+        yield at, buf[at:end]
+        at = end
+
+
+def _word_edges(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    turn = np.diff((~_SPACE[part]).view(np.int8), prepend=np.int8(0))
+    return np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+
+
+def word_counts(texts: list) -> np.ndarray:
+    """Words of each text."""
+    buf, ends = _joined(texts)
+    starts = np.concatenate([np.zeros(0, np.int64), *(at + _word_edges(part)[0] for at, part in _segments(buf))])
+    return np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+def word_hashes(texts: list, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, in order, and the words of
+    each text. With ``lower``, A-Z count as a-z.
+
+    No word becomes a Python object: a word's hash is a polynomial over its
+    bytes' random numbers, read off prefix sums modulo 2**64.
+    """
+    buf, ends = _joined(texts)
+    table = _LOWER_LETTERS if lower else _LETTERS
+    hashes, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for at, part in _segments(buf):
+        first, last = _word_edges(part)
+        up, down = _powers(len(part))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(table[part] * up, out=sums[1:])
+        hashes.append(mix((sums[last] - sums[first]) * down[first]))
+        starts.append(at + first)
+    return np.concatenate(hashes), np.diff(np.searchsorted(np.concatenate(starts), ends), prepend=0)
+
+
 def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
     """Hash of every ``size`` consecutive word hashes: a polynomial over
     integers mod 2**64, by differences of prefix sums."""

@@ -37,8 +37,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.llm.chunks import WordHasher, bit_width, chunked, mix, record_batch, rows_of, slices_of
-from featuremart.llm.common import ASCII_LOWER, written
+from featuremart.llm.chunks import (bit_width, chunked, mix, record_batch, rows_of, slices_of, word_counts,
+                                    word_hashes)
+from featuremart.llm.common import written
 
 ORDER = 3
 PROBES = 4
@@ -69,12 +70,11 @@ def _unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(_unpack(raw, np.uint64))
 
 
-def tokens_of(texts: list, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
+def tokens_of(texts: list) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts in a row (each ends in END) and their counts."""
-    docs = [t.encode().translate(ASCII_LOWER).split() if t else [] for t in texts]
-    lens = np.fromiter(map(len, docs), np.int64, len(docs)) + 1
-    h = hasher([w for d in docs for w in d])
-    out = np.empty(len(h) + len(docs), np.uint64)
+    h, words = word_hashes(texts, lower=True)
+    lens = words + 1
+    out = np.empty(len(h) + len(texts), np.uint64)
     ends = np.cumsum(lens) - 1
     word = np.ones(len(out), bool)
     word[ends] = False
@@ -151,11 +151,10 @@ def _word_requests(chunks: DataFrame, slice_bits: int) -> DataFrame:
     names, kinds = ["slice", "chunk", "keys", "counts"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches):
-        hasher = WordHasher()
         for b in batches:
             for chunk, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 rows = rows_of(block)
-                h, lens = tokens_of(rows.column(1).to_pylist(), hasher)
+                h, lens = tokens_of(rows.column(1).to_pylist())
                 train = np.repeat(rows.column(2).to_numpy(), lens)
                 keys, back = np.unique(h, return_inverse=True)
                 n = np.bincount(back, weights=train, minlength=len(keys)).astype(np.uint32)
@@ -186,13 +185,12 @@ def _ngram_counts(chunks: DataFrame, order: int, slice_bits: int, key_bits: int)
     names, kinds = ["slice", "keys", "counts"], [pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches):
-        hasher = WordHasher()
         for b in batches:
             for block in b.column(0).to_pylist():
                 rows = rows_of(block)
                 learn = rows.column(2).to_numpy()
                 texts = [t for t, ok in zip(rows.column(1).to_pylist(), learn.tolist()) if ok]
-                h, lens = tokens_of(texts, hasher)
+                h, lens = tokens_of(texts)
                 place, out = _places(lens), []
                 for n in range(2, order + 1):
                     keys, c = np.unique(ngram_hashes(h, place, n, key_bits)[1], return_counts=True)
@@ -235,7 +233,7 @@ def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "tex
     rows = df.select(F.col(key), F.col(text).alias("lm_text"), (~held_out).alias("lm_train"))
 
     def size(texts):
-        return sum(len(t.encode().split()) + 1 if t else 1 for t in texts)
+        return int(word_counts(texts).sum()) + len(texts)
 
     chunks = chunked(rows, "lm-chunks", "lm_text", size)
     tokens = chunks.agg(F.sum("size")).first()[0] or 0
@@ -249,11 +247,11 @@ def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "tex
     names = [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches):
-        hasher, counts = WordHasher(), CountFilter(*shared.value)
+        counts = CountFilter(*shared.value)
         for b in batches:
             for block, told_counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 part = rows_of(block)
-                h, lens = tokens_of(part.column(1).to_pylist(), hasher)
+                h, lens = tokens_of(part.column(1).to_pylist())
                 _, back = np.unique(h, return_inverse=True)
                 c = np.concatenate([_unpack(x["counts"], np.uint64) for x in
                                     sorted(told_counts, key=lambda x: x["slice"])])[back].astype(float)

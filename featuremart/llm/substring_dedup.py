@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from featuremart.llm.chunks import (WordHasher, bit_width, chunked, mix, pack_bits, record_batch, rows_of,
-                                    slices_of, unpack_bits, window_hashes)
+from featuremart.llm.chunks import (bit_width, chunked, mix, pack_bits, record_batch, rows_of, slices_of,
+                                    unpack_bits, window_hashes, word_counts, word_hashes)
 from featuremart.llm.common import fresh
 
 WINDOW = 35
@@ -48,12 +48,10 @@ EXACT_KEYS = 1 << 21         # windows per slice of the exact pass
 
 
 class Windows:
-    """The windows of one chunk: words, hashes and where windows may start."""
+    """The windows of one chunk: word hashes and where windows may start."""
 
-    def __init__(self, texts: list, hasher: WordHasher, size: int):
-        self.docs = [t.encode().split() if t else [] for t in texts]
-        self.lens = np.fromiter(map(len, self.docs), np.int64, len(self.docs))
-        h = hasher([w for d in self.docs for w in d])
+    def __init__(self, texts: list, size: int):
+        h, self.lens = word_hashes(texts)
         first = window_hashes(h, size)
         ends = np.repeat(np.cumsum(self.lens), self.lens)[:len(first)]
         self.start = np.flatnonzero(np.arange(len(first)) + size <= ends)
@@ -80,7 +78,7 @@ def _unpack_cells(raw: bytes) -> np.ndarray:
 
 
 def count_windows(size: int):
-    return lambda texts: sum(max(0, len(t.encode().split()) - size + 1) for t in texts if t)
+    return lambda texts: int(np.maximum(word_counts(texts) - size + 1, 0).sum())
 
 
 def partial_sketches(chunks: DataFrame, at: int, size: int, bits: int, slice_bits: int) -> DataFrame:
@@ -88,10 +86,9 @@ def partial_sketches(chunks: DataFrame, at: int, size: int, bits: int, slice_bit
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches):
-        hasher = WordHasher()
         for b in batches:
             for chunk, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                win = Windows(rows_of(block).column(at).to_pylist(), hasher, size)
+                win = Windows(rows_of(block).column(at).to_pylist(), size)
                 out = []
                 for row in range(DEPTH):
                     cells, n = np.unique(win.cells(row, bits), return_counts=True)
@@ -152,10 +149,9 @@ def exact_requests(joined: DataFrame, at: int, size: int, bits: int, slice_bits:
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches):
-        hasher = WordHasher()
         for b in batches:
             for chunk, block, answers in zip(*(c.to_pylist() for c in b.columns)):
-                win = Windows(rows_of(block).column(at).to_pylist(), hasher, size)
+                win = Windows(rows_of(block).column(at).to_pylist(), size)
                 a, c, twice, _ = _exact_keys(win, _estimated(win, answers, bits, slice_bits))
                 yield record_batch([(s, chunk, a[lo:hi].tobytes(), c[lo:hi].tobytes(), pack_bits(twice[lo:hi]))
                               for s, lo, hi in slices_of(a, shift)], names, kinds)
@@ -203,11 +199,11 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, text: str = "text") -> D
     kept, n_words, n_removed = (fresh(df, c) for c in ("kept_words", "n_words", "n_removed"))
 
     def run(batches):
-        hasher = WordHasher()
         for b in batches:
             for block, cell_answers, answers in zip(*(c.to_pylist() for c in b.columns)):
                 rows = rows_of(block)
-                win = Windows(rows.column(at).to_pylist(), hasher, window)
+                source = rows.column(at).to_pylist()
+                win = Windows(source, window)
                 pick = _estimated(win, cell_answers, bits, slice_bits)
                 a, _, _, place = _exact_keys(win, pick)
                 again = np.zeros(len(a), bool)
@@ -220,9 +216,10 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, text: str = "text") -> D
                 cover[hit + window] -= 1
                 gone = np.cumsum(cover)[:-1] > 0
                 texts, removed, at_word = [], [], 0
-                for words in win.docs:
-                    mask = gone[at_word:at_word + len(words)]
-                    at_word += len(words)
+                for text_, n in zip(source, win.lens.tolist()):
+                    words = text_.encode().split() if text_ else []
+                    mask = gone[at_word:at_word + n]
+                    at_word += n
                     removed.append(int(mask.sum()))
                     left = [w for w, g in zip(words, mask.tolist()) if not g] if removed[-1] else words
                     texts.append(b" ".join(left).decode())

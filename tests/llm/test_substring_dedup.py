@@ -64,3 +64,22 @@ def test_window_hashes_follow_content():
     h[300:350] = h[100:150]
     w = chunks.window_hashes(h, 35)
     assert (w[100:116] == w[300:316]).all() and len(np.unique(w)) == len(w) - 16
+
+
+@pytest.mark.parametrize("segment", [3, 50, 1 << 20])
+def test_word_hashes_tell_words_apart(monkeypatch, segment):
+    monkeypatch.setattr(chunks, "SEGMENT", segment)
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abAB é\t\n\x0b\x0c\r\x1c\x85 ", k=rng.randint(0, 60))) for _ in range(200)]
+    texts += [None, "", " ", "x" * 400, "ab ba", "a b"]
+    for lower in (False, True):
+        words = [w for t in texts for w in
+                 re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c in "AB" and lower else c for c in t or ""))]
+        got, lens = chunks.word_hashes(texts, lower)
+        assert lens.tolist() == chunks.word_counts(texts).tolist() == \
+            [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
+        by = {}
+        for w, h in zip(words, got.tolist(), strict=True):
+            assert by.setdefault(w, h) == h
+        assert len(set(by.values())) == len(by)
+    assert chunks.word_hashes([])[0].size == 0
