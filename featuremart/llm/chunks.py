@@ -70,6 +70,12 @@ def chunked(df: DataFrame, tag: str, text: str = "text",
     return written(df.sparkSession, rows, tag)
 
 
+def each_row(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch one by one (a batch may hold many blocks)."""
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in batch.columns)
+
+
 def rows_of(block: bytes) -> pa.Table:
     return pa.ipc.open_stream(block).read_all()
 

@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.llm.chunks import (bit_width, chunked, mix, record_batch, rows_of, slices_of, word_counts,
+from featuremart.llm.chunks import (bit_width, chunked, each_row, mix, record_batch, rows_of, slices_of, word_counts,
                                     word_hashes)
 from featuremart.llm.common import written
 
@@ -49,7 +49,7 @@ LEVELS = 40
 MU = 4.0
 END = np.uint64(0x5BD1E995A3C59AC3)
 SLICE_KEYS = 1 << 19
-SPARE_BITS = 13            # an n-gram's hash is this much longer than the number of n-grams
+SPARE_BITS = 10            # an n-gram's hash is this much longer than the number of n-grams
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -152,7 +152,7 @@ def _word_requests(chunks: DataFrame, slice_bits: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for chunk, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for chunk, block in each_row(b):
                 rows = rows_of(block)
                 h, lens = tokens_of(rows.column(1).to_pylist())
                 train = np.repeat(rows.column(2).to_numpy(), lens)
@@ -186,7 +186,7 @@ def _ngram_counts(chunks: DataFrame, order: int, slice_bits: int, key_bits: int)
 
     def run(batches):
         for b in batches:
-            for block in b.column(0).to_pylist():
+            for (block,) in each_row(b):
                 rows = rows_of(block)
                 learn = rows.column(2).to_numpy()
                 texts = [t for t, ok in zip(rows.column(1).to_pylist(), learn.tolist()) if ok]
@@ -217,9 +217,8 @@ def build_filter(chunks: DataFrame, order: int, ngrams: int, max_bits: int, min_
     slices = _ngram_counts(chunks, order, slice_bits, key_bits).groupBy("slice").applyInPandas(run, "slice long, bits binary")
     size = per_slice // 8
     raw = np.zeros(size << slice_bits, np.uint8)
-    got = slices.collect()  # at most max_bits in all
-    while got:
-        r = got.pop()
+    # written, then read a partition at a time: the driver holds the filter (max_bits at most) once
+    for r in written(chunks.sparkSession, slices, "lm-filter").toLocalIterator():
         raw[r.slice * size:(r.slice + 1) * size] = np.frombuffer(r.bits, np.uint8)
     return CountFilter(raw, slice_bits, per_slice, key_bits)
 
@@ -249,7 +248,7 @@ def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "tex
     def run(batches):
         counts = CountFilter(*shared.value)
         for b in batches:
-            for block, told_counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for block, told_counts in each_row(b):
                 part = rows_of(block)
                 h, lens = tokens_of(part.column(1).to_pylist())
                 _, back = np.unique(h, return_inverse=True)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from featuremart.llm.chunks import (bit_width, chunked, mix, pack_bits, record_batch, rows_of, slices_of,
+from featuremart.llm.chunks import (bit_width, chunked, each_row, mix, pack_bits, record_batch, rows_of, slices_of,
                                     unpack_bits, window_hashes, word_counts, word_hashes)
 from featuremart.llm.common import fresh
 
@@ -87,7 +87,7 @@ def partial_sketches(chunks: DataFrame, at: int, size: int, bits: int, slice_bit
 
     def run(batches):
         for b in batches:
-            for chunk, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for chunk, block in each_row(b):
                 win = Windows(rows_of(block).column(at).to_pylist(), size)
                 out = []
                 for row in range(DEPTH):
@@ -150,7 +150,7 @@ def exact_requests(joined: DataFrame, at: int, size: int, bits: int, slice_bits:
 
     def run(batches):
         for b in batches:
-            for chunk, block, answers in zip(*(c.to_pylist() for c in b.columns)):
+            for chunk, block, answers in each_row(b):
                 win = Windows(rows_of(block).column(at).to_pylist(), size)
                 a, c, twice, _ = _exact_keys(win, _estimated(win, answers, bits, slice_bits))
                 yield record_batch([(s, chunk, a[lo:hi].tobytes(), c[lo:hi].tobytes(), pack_bits(twice[lo:hi]))
@@ -200,7 +200,7 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, text: str = "text") -> D
 
     def run(batches):
         for b in batches:
-            for block, cell_answers, answers in zip(*(c.to_pylist() for c in b.columns)):
+            for block, cell_answers, answers in each_row(b):
                 rows = rows_of(block)
                 source = rows.column(at).to_pylist()
                 win = Windows(source, window)
