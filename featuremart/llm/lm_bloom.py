@@ -6,12 +6,13 @@ Counts of n-grams (two to ``order`` words) are quantised to levels
 level until a key is missing or the level of the shorter n-grams inside it is
 reached (it cannot be more frequent than they are), so it is never
 underestimated by more than its level's width, and overestimated only by false
-positives. The filter is cut by
-n-gram hash into slices, each built by one task from the merged counts of all
-chunks; the slices are put together and broadcast. Its size follows the
-corpus (BITS_PER_NGRAM bits per n-gram token) up to ``max_bits``: that is the
-bound of the broadcast. Every n-gram stays in at any size; beyond the bound the
-false positives rise, and ``max_bits`` or ``min_count`` are the means against.
+positives. The filter has BITS_PER_NGRAM bits per n-gram token of the training
+rows, whatever the corpus, so its false positives do not depend on the size. It
+is cut by n-gram hash into slices of at most ``max_bits``. No task, nor the
+driver, holds more than one slice: every chunk of documents asks for its
+distinct n-grams in sorted hash slices, with their counts in its training rows;
+one task merges the counts of a slice, fills the slice's filter and answers its
+requests with the highest levels found.
 
 Smoothing: P(w | h) = (c(hw) + MU * P(w | shorter h)) / (c(h) + MU), ending in
 the additive unigram probability (c + 0.5) / (N + 0.5 * (V + 1)).
@@ -123,11 +124,11 @@ class CountFilter:
                 x = x + step
         return np.packbits(on, bitorder="little").tobytes()
 
-    def counts(self, keys: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """Estimated counts: the middle of the highest level found, at most
-        ``most`` (a bound on the true count, or an estimate of one)."""
+    def levels(self, keys: np.ndarray, last: np.ndarray | None = None) -> np.ndarray:
+        """The highest level found, going up until a key is missing or ``last``
+        is reached."""
         level = np.zeros(len(keys), np.int64)
-        last = np.where(most >= 1, 1 + np.log2(np.maximum(most, 1)).astype(np.int64), 0)
+        last = np.full(len(keys), LEVELS - 1) if last is None else last
         base = np.zeros(len(keys), np.int64)
         if self.slice_bits:
             base = (keys >> np.uint64(self.key_bits - self.slice_bits)).astype(np.int64) * (self.bits // 8)
@@ -143,7 +144,22 @@ class CountFilter:
             alive = alive[last[alive] > q]
             if not len(alive):
                 break
-        return np.minimum(np.where(level > 0, (2.0 ** (level - 1) + np.exp2(level) - 1) / 2, 0.0), most)
+        return level
+
+    def counts(self, keys: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Estimated counts, at most ``most``."""
+        return estimates(self.levels(keys, last_levels(most)), most)
+
+
+def last_levels(most: np.ndarray) -> np.ndarray:
+    return np.where(most >= 1, 1 + np.log2(np.maximum(most, 1)).astype(np.int64), 0)
+
+
+def estimates(level: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """The middle of each level, at most ``most`` (a bound on the true count, or
+    an estimate of one). Levels above that of ``most`` count as that level."""
+    level = np.minimum(level, last_levels(most))
+    return np.minimum(np.where(level > 0, (2.0 ** (level - 1) + np.exp2(level) - 1) / 2, 0.0), most)
 
 
 def _word_requests(chunks: DataFrame, slice_bits: int) -> DataFrame:
@@ -181,46 +197,59 @@ def _word_answers(requests: DataFrame) -> DataFrame:
         run, "chunk long, slice long, counts binary, n_types long, n_tokens long")
 
 
-def _ngram_counts(chunks: DataFrame, order: int, slice_bits: int, key_bits: int) -> DataFrame:
-    names, kinds = ["slice", "keys", "counts"], [pa.int64(), pa.binary(), pa.binary()]
+def _all_ngrams(h: np.ndarray, place: np.ndarray, order: int, key_bits: int) -> tuple[list, list]:
+    """Token indices and hashes of the n-grams of 2 .. ``order`` words."""
+    both = [ngram_hashes(h, place, n, key_bits) for n in range(2, order + 1)]
+    none = np.zeros(0, np.uint64)
+    return [e for e, _ in both], [k for _, k in both] or [none]
+
+
+def _ngram_requests(chunks: DataFrame, order: int, slice_bits: int, key_bits: int) -> DataFrame:
+    """Distinct n-grams of each chunk and their counts in its training rows."""
+    names, kinds = ["slice", "chunk", "keys", "counts"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches):
         for b in batches:
-            for (block,) in each_row(b):
+            for chunk, block in each_row(b):
                 rows = rows_of(block)
-                learn = rows.column(2).to_numpy()
-                texts = [t for t, ok in zip(rows.column(1).to_pylist(), learn.tolist()) if ok]
-                h, lens = tokens_of(texts)
-                place, out = _places(lens), []
-                for n in range(2, order + 1):
-                    keys, c = np.unique(ngram_hashes(h, place, n, key_bits)[1], return_counts=True)
-                    c = c.astype(np.uint32)
-                    out += [(s, _pack_sorted(keys[a:z]), _pack(c[a:z]))
-                            for s, a, z in slices_of(keys, key_bits - slice_bits)]
-                yield record_batch(out, names, kinds)
-
-    return chunks.select("block").mapInArrow(run, "slice long, keys binary, counts binary")
-
-
-def build_filter(chunks: DataFrame, order: int, ngrams: int, max_bits: int, min_count: int = 1) -> CountFilter:
-    """``ngrams``: n-gram tokens in the training rows."""
-    slice_bits = max(5, bit_width(-(-ngrams // SLICE_KEYS)))
-    key_bits = min(64, max(24, bit_width(ngrams) + SPARE_BITS))
-    per_slice = 8 * max(1, min(max_bits, BITS_PER_NGRAM * ngrams) >> slice_bits >> 3)
+                h, lens = tokens_of(rows.column(1).to_pylist())
+                train = np.repeat(rows.column(2).to_numpy(), lens)
+                ends, keys = _all_ngrams(h, _places(lens), order, key_bits)
+                learn = np.concatenate([train[e] for e in ends] or [np.zeros(0)])
+                keys, back = np.unique(np.concatenate(keys), return_inverse=True)
+                n = np.bincount(back, weights=learn, minlength=len(keys)).astype(np.uint32)
+                yield record_batch([(s, chunk, _pack_sorted(keys[a:z]), _pack(n[a:z]))
+                                    for s, a, z in slices_of(keys, key_bits - slice_bits)], names, kinds)
+
+    return chunks.select("chunk", "block").mapInArrow(run, "slice long, chunk long, keys binary, counts binary")
+
 
+def _ngram_answers(requests: DataFrame, per_slice: int, key_bits: int, min_count: int) -> DataFrame:
+    """Levels back to the chunks, each slice from its own filter."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, back = np.unique(np.concatenate([_unpack_sorted(k) for k in pdf["keys"]]), return_inverse=True)
+        keys = [_unpack_sorted(k) for k in pdf["keys"]]
+        flat, back = np.unique(np.concatenate(keys), return_inverse=True)
         n = np.bincount(back, weights=np.concatenate([_unpack(c, np.uint32) for c in pdf["counts"]]))
         level = np.where(n >= min_count, 1 + np.log2(np.maximum(n, 1)).astype(np.int64), 0)
-        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "bits": [CountFilter.fill(keys, level, per_slice)]})
+        raw = CountFilter.fill(flat, level, per_slice)
+        found = CountFilter(np.frombuffer(raw, np.uint8), 0, per_slice, key_bits).levels(flat).astype(np.uint8)
+        answers = np.split(found[back], np.cumsum([len(k) for k in keys])[:-1])
+        return pd.DataFrame({"chunk": pdf["chunk"], "slice": pdf["slice"], "levels": [_pack(a) for a in answers]})
+
+    return requests.groupBy("slice").applyInPandas(run, "chunk long, slice long, levels binary")
 
-    slices = _ngram_counts(chunks, order, slice_bits, key_bits).groupBy("slice").applyInPandas(run, "slice long, bits binary")
-    size = per_slice // 8
-    raw = np.zeros(size << slice_bits, np.uint8)
-    # written, then read a partition at a time: the driver holds the filter (max_bits at most) once
-    for r in written(chunks.sparkSession, slices, "lm-filter").toLocalIterator():
-        raw[r.slice * size:(r.slice + 1) * size] = np.frombuffer(r.bits, np.uint8)
-    return CountFilter(raw, slice_bits, per_slice, key_bits)
+
+def ngram_levels(chunks: DataFrame, order: int, tokens: int, train_tokens: int, max_bits: int,
+                 min_count: int = 1) -> tuple[DataFrame, int]:
+    """(chunk, slice, levels) for the distinct n-grams of each chunk, and the
+    length of their hashes."""
+    ngrams = train_tokens * (order - 1)
+    slice_bits = max(5, bit_width(-(-tokens * (order - 1) // SLICE_KEYS)),
+                     bit_width(-(-BITS_PER_NGRAM * ngrams // max_bits)))
+    key_bits = min(64, max(24, bit_width(ngrams) + SPARE_BITS, slice_bits))
+    per_slice = 8 * max(1, BITS_PER_NGRAM * ngrams >> slice_bits >> 3)
+    requests = _ngram_requests(chunks, order, slice_bits, key_bits)
+    return _ngram_answers(requests, per_slice, key_bits, min_count), key_bits
 
 
 def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", order: int = ORDER,
@@ -239,28 +268,32 @@ def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "tex
     slice_bits = max(5, bit_width(-(-tokens // SLICE_KEYS)))
     answers = written(spark, _word_answers(_word_requests(chunks, slice_bits)), "lm-words")
     v, n = (int(x or 0) for x in answers.agg(F.sum("n_types"), F.sum("n_tokens")).first())
-    filt = build_filter(chunks, order, n * (order - 1), max_bits, min_count)
-    shared = spark.sparkContext.broadcast((filt.raw, filt.slice_bits, filt.bits, filt.key_bits))
-    del filt
-    told = answers.groupBy("chunk").agg(F.collect_list(F.struct("slice", "counts")).alias("counts"))
+    levels, key_bits = ngram_levels(chunks, order, tokens, n, max_bits, min_count)
+    told = answers.select("chunk", F.lit(False).alias("ngrams"), "slice", F.col("counts").alias("raw")) \
+        .unionByName(levels.select("chunk", F.lit(True).alias("ngrams"), "slice", F.col("levels").alias("raw"))) \
+        .groupBy("chunk").agg(F.collect_list(F.struct("ngrams", "slice", "raw")).alias("told"))
     names = [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches):
-        counts = CountFilter(*shared.value)
+        def answer(told, ngrams, kind):
+            parts = sorted((x for x in told if x["ngrams"] == ngrams), key=lambda x: x["slice"])
+            return np.concatenate([np.zeros(0, kind), *(_unpack(x["raw"], kind) for x in parts)])
+
         for b in batches:
-            for block, told_counts in each_row(b):
+            for block, told in each_row(b):
                 part = rows_of(block)
                 h, lens = tokens_of(part.column(1).to_pylist())
                 _, back = np.unique(h, return_inverse=True)
-                c = np.concatenate([_unpack(x["counts"], np.uint64) for x in
-                                    sorted(told_counts, key=lambda x: x["slice"])])[back].astype(float)
+                c = answer(told, False, np.uint64)[back].astype(float)
                 base = (c + 0.5) / (n + 0.5 * (v + 1))
                 p, place = base, _places(lens)
                 before, ctx = c, np.concatenate([[0.0], c[:-1]])
-                for k in range(2, order + 1):
-                    end, keys = ngram_hashes(h, place, k, counts.key_bits)
+                ends, keys = _all_ngrams(h, place, order, key_bits)
+                _, back = np.unique(np.concatenate(keys), return_inverse=True)
+                found = np.split(answer(told, True, np.uint8)[back], np.cumsum([len(e) for e in ends])[:-1])
+                for k, end, level in zip(range(2, order + 1), ends, found):
                     got = np.zeros(len(h))
-                    got[end] = counts.counts(keys, np.minimum(before[end], ctx[end]))
+                    got[end] = estimates(level, np.minimum(before[end], ctx[end]))
                     new = (got + MU * p) / (ctx + MU)
                     p = np.where(place >= k - 1, new, p)
                     before, ctx = got, np.concatenate([[0.0], got[:-1]])
@@ -271,6 +304,6 @@ def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "tex
                      pa.array(sums[2], pa.int64()), pa.array(np.full(len(lens), n), pa.int64()),
                      pa.array(sums[0]), pa.array(sums[1])], names=names)
 
-    return chunks.select("chunk", "block").join(told, "chunk").select("block", "counts").mapInArrow(
+    return chunks.select("chunk", "block").join(told, "chunk").select("block", "told").mapInArrow(
         run, f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
              "base_score double, score double")

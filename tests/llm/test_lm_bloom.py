@@ -110,3 +110,10 @@ def test_filter_counts_and_false_positive_rate():
     assert (f.counts(keys, n.astype(float)) <= n).all() and not f.counts(keys, np.zeros(len(keys))).any()
     assert (got >= want).all() and (got == want).mean() > 0.97
     assert (f.counts(rng.integers(0, 2**48, 20_000).astype(np.uint64), np.full(20_000, 9.0)) > 0).mean() < 0.03
+
+
+def test_scores_do_not_depend_on_the_bound_of_a_slice(spark):
+    """A bound far below the corpus' n-grams: more slices, not a fuller filter."""
+    docs = [(r.doc_id, r.text, zlib.crc32(str(r.doc_id).encode()) % 5 == 1)
+            for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    compare(queries.op9_lm_bloom(spark, SF_SMALL, max_bits=1 << 14).collect(), brute(docs), 0.02, 0.97)
