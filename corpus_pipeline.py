@@ -9,7 +9,7 @@ stages but the last return the columns of ``docs``:
 3. substring     words of passages that repeat elsewhere go; a text that loses
                  none is unchanged, rows stay even when all words went
 4. pii           personal data is replaced by its kind's name in brackets
-5. packing       the pieces of the token sequences, with sequence and offset
+5. packing       the pieces of the token sequences: token ids, sequence and offset
 
 Stages change ``text`` only (n_chars keeps describing the source text). SQL
 cannot express the fitted stages, so there is no oracle; the tests hold ``run``
@@ -43,7 +43,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, read_file(public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(docs, read_file(public_tokenizers.path("word_bpe_49k.json")), with_ids=True)
 
 
 STAGES = [

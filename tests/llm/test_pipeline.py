@@ -76,3 +76,12 @@ def test_run_gives_the_last_stage(spark, stages):
     a, b = c.run(spark, SF_SMALL), stages[5]
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     assert Counter(map(tuple, a.select(cols).collect())) == Counter(map(tuple, b.select(cols).collect()))
+
+
+def test_sequences_can_be_made_from_the_result(stages):
+    tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    got = defaultdict(list)
+    for r in sorted(stages[5].collect(), key=lambda r: (r.doc_id, r.start)):
+        assert len(r.ids) == r.length
+        got[r.doc_id] += r.ids
+    assert got == {i: tok.encode(t or "", add_special_tokens=False).ids + [1] for i, t in texts(stages[4]).items()}
