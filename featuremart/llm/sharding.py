@@ -7,10 +7,11 @@ adding a shard moves only the records that the new shard wins.
 
 Slots number the rows inside a shard without gaps. Numbering a shard in one
 task would put 1/16 of the table into it, so each shard is cut into
-``BUCKETS`` hash buckets: rows are numbered inside (shard, bucket) and shifted
+``BUCKETS`` hash buckets of (key, size, checksum): rows are numbered inside (shard, bucket) and shifted
 by the counts of the buckets before, a table of at most shards x BUCKETS rows.
 Equal (key, size, checksum) rows are counted first (partial counts before the
-shuffle), so a key that holds a third of all rows is one row until the end.
+shuffle), so a record that fills a third of the table is one row until the end,
+and a key with many texts is spread over the buckets of its shard.
 
 Defined results: a null key hashes as its own key value; null text has size 1
 and checksum 0; repeated rows get a slot each; an empty table gives no rows.
@@ -48,13 +49,12 @@ def shard_rows(df: DataFrame, key: str, weights: Sequence[float],
     ``grown`` gives the weights after growth, grown_shard."""
     body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     k = F.col(key)
+    size, crc = (F.octet_length(body) + F.lit(1)).cast("long"), F.crc32(body)
     rows = df.select(
-        k.alias("key"),
-        (F.octet_length(body) + F.lit(1)).cast("long").alias("size"),
-        F.crc32(body).alias("text_crc32"),
+        k.alias("key"), size.alias("size"), crc.alias("text_crc32"),
         rendezvous(k, weights).alias("shard"),
         (rendezvous(k, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"),
-        F.pmod(F.xxhash64(k, F.lit(-1)), F.lit(BUCKETS)).alias("bucket"))
+        F.pmod(F.xxhash64(k, size, crc, F.lit(-1)), F.lit(BUCKETS)).alias("bucket"))
     kinds = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
     inside = Window.partitionBy("shard", "bucket").orderBy("key", "size", "text_crc32") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -52,6 +52,14 @@ def test_weights_nulls_repeats(spark, monkeypatch):
     assert sharding.shard_rows(df.limit(0), "doc_id", w, [*w, 1.0]).count() == 0
 
 
+def test_texts_of_one_key_spread_over_buckets(spark):
+    rows = [(None, f"t{i}") for i in range(1000)] + [(i, "x") for i in range(1000)]
+    got = sharding.shard_rows(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", [1.0]).collect()
+    slots = [r.slot for r in got if r["key"] is None]
+    assert sorted(r.slot for r in got) == list(range(2000))
+    assert max(slots) - min(slots) > 1500  # numbered among the other keys, not in one bucket
+
+
 def test_no_python_in_plan(spark):
     plan = queries.op3_rendezvous_shards(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
