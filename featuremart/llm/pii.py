@@ -10,12 +10,17 @@ that no base span touches is added when its score passes the threshold.
 
 Training needs no labelled spans: a candidate that touches a base span is a
 weak positive, any other a weak negative, and the checks themselves (Luhn sum,
-octet range, length of a number) are not features. All candidates of the corpus are counted per distinct feature
+octet range, length of a number) are not features. What defines a base span
+must not decide either, so each email and phone number found counts again in the
+forms that the base patterns miss (``views``: "(at)" and "(dot)" with and without
+spaces, a number without '+', country code or separators, in the same context).
+All candidates of the corpus are counted per distinct feature
 vector, at most the product of the features' ranges; the trees are fitted on
 that table in the driver, on one half of the documents (by hash). The threshold
-of each kind is calibrated on the other half: going down the scores, it stops
-before the first one whose own candidates have a precision below ``precision``,
-so sure candidates higher up cannot carry doubtful ones along.
+of each kind is calibrated on the other half: going down the scores, levels are
+pooled until they hold MIN_SUPPORT candidates, and it stops before the first pool
+whose own precision is below ``precision``. So sure candidates higher up cannot
+carry doubtful ones along, and a few doubtful ones at the top do not end it.
 
 Positions are code points. A pattern's matches and the text between them (split
 by the same pattern) alternate, so positions are running sums of lengths. The
@@ -58,6 +63,7 @@ WORDS = {1: "call|phone|tel|mobile|fax|dial", 2: "card|visa|amex|account|iban|pa
          4: "ip|host|addr|server", 5: "mail|contact|write"}
 SPAN = "start:int,end:int,body:string"
 FOUND = f"array<struct<{SPAN},before:string,after:string>>"
+MIN_SUPPORT = 20       # candidates of a pool of score levels
 FEATURES = ["digits", "groups", "plus", "parens", "dots", "dashes", "before", "after", "word", "shape"]
 
 
@@ -253,31 +259,68 @@ def boost(table: dict[tuple, tuple[int, int]], rounds: int = 30, rate: float = 0
     return model
 
 
+def views(kind: int, x: tuple) -> list[tuple]:
+    """Feature vectors of an email's or phone number's candidate, had it been
+    written in forms that the base patterns do not match."""
+    f = dict(zip(FEATURES, x))
+    if KINDS[kind] == "email" and f["shape"] == 2:
+        more = min(f["groups"] + 1, 5)                    # the word "at"
+        all_words = min(f["groups"] + 1 + f["dots"], 5)   # and "dot"
+        forms = [{"dashes": max(f["dashes"], 2)}]
+        for spaces in (False, True):
+            wide = {"dashes": 3} if spaces else {}
+            near = {"dashes": max(f["dashes"], 2)} if spaces else {}
+            forms += [{"shape": 0, "parens": 2, "groups": more} | near,
+                      {"shape": 0, "parens": 2, "groups": all_words, "dots": 0} | wide]
+    elif KINDS[kind] == "phone" and f["plus"]:
+        # a leading sign or bracket starts an empty group
+        less, least = max(f["groups"] - 1, 0), max(f["groups"] - 2, 0)
+        local = {"plus": 0, "digits": max(f["digits"] - 1, 3), "dashes": max(f["dashes"] - 1, 0)}
+        forms = [{"plus": 0, "groups": less}, {"plus": 0, "groups": less, "parens": 0}, local | {"groups": less},
+                 local | {"groups": least, "parens": 0}]
+        if f["word"] == 1:  # digits alone say little without such a word before them
+            bare = {"plus": 0, "parens": 0, "dots": 0, "dashes": 0, "groups": 0}
+            forms += [bare, bare | {"digits": local["digits"]}]
+    else:
+        return []
+    return list(dict.fromkeys(tuple((f | form).values()) for form in forms))
+
+
+def calibrate(levels: dict[float, list[int]], precision: float) -> float:
+    """The lowest score to add; ``levels``: score -> [positives, candidates]."""
+    limit, pos, n = math.inf, 0, 0
+    lowest = min(levels, default=0.0)
+    for score in sorted(levels, reverse=True):
+        pos, n = pos + levels[score][0], n + levels[score][1]
+        if n < MIN_SUPPORT and score > lowest:
+            continue
+        if pos < precision * n:
+            break
+        limit, pos, n = score, 0, 0
+    return limit
+
+
 def fit(found: DataFrame, cand: str, text: str = "text", precision: float = 0.9) -> Trees:
     fold = F.pmod(F.xxhash64(whole_text(text)), F.lit(2))
     rows = found.select(fold.alias("fold"), F.explode(cand).alias("c"))
     counts = rows.groupBy("fold", "c.kind", *[f"c.{n}" for n in FEATURES]).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("c.touches").cast("int")).alias("pos")).collect()
+    cells = [(r.fold, r["kind"], tuple(r[n] for n in FEATURES), r.pos, r.n) for r in counts]
+    cells += [(fold, kind, v, pos, pos) for fold, kind, x, pos, _ in cells if pos for v in views(kind, x)]
     learn: dict[tuple, tuple[int, int]] = {}
-    for r in counts:
-        if r.fold == 0:
-            x = tuple(r[n] for n in FEATURES)
+    for fold, _, x, pos, n in cells:
+        if fold == 0:
             a, b = learn.get(x, (0, 0))
-            learn[x] = (a + r.pos, b + r.n)
+            learn[x] = (a + pos, b + n)
     model = boost(learn)
     for kind in range(len(KINDS)):
         by_score: dict[float, list[int]] = {}
-        for r in counts:
-            if r.fold == 1 and r["kind"] == kind:
-                seen = by_score.setdefault(model.margin(r.asDict().__getitem__), [0, 0])
-                seen[0] += r.pos
-                seen[1] += r.n
-        model.limits[kind] = math.inf
-        for score in sorted(by_score, reverse=True):
-            pos, n = by_score[score]
-            if pos < precision * n:
-                break
-            model.limits[kind] = score
+        for fold, of, x, pos, n in cells:
+            if fold == 1 and of == kind:
+                seen = by_score.setdefault(model.margin(dict(zip(FEATURES, x)).__getitem__), [0, 0])
+                seen[0] += pos
+                seen[1] += n
+        model.limits[kind] = calibrate(by_score, precision)
     return model
 
 

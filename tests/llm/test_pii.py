@@ -122,3 +122,27 @@ def test_added_spans_and_redaction(spark):
 def test_no_python_in_plan(spark):
     plan = queries.op10_pii_boosting(spark, SF_CHECK)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_obfuscated_forms_are_added(spark):
+    """Emails without '@' and numbers without '+' among plain ones; numbers
+    inside tokens and order numbers stay."""
+    rows = [(i, f"so write to ann.b{i}@mail{i % 7}.org today") for i in range(200)]
+    rows += [(1000 + i, f"you may call +1 ({200 + i}) 555-{1000 + i} today") for i in range(200)]
+    rows += [(2000 + i, f"token = \"ab{i + 10**8}ce\" and order 77{i + 10**6} here") for i in range(200)]
+    planted = {3000: ("write to joe.f (at) site (dot) org today", "email", "joe.f (at) site (dot) org"),
+               3001: ("write to joe(at)site(dot)org today", "email", "joe(at)site(dot)org"),
+               3002: ("you may call 1 (212) 555-1234 today", "phone", "1 (212) 555-1234"),
+               3003: ("you may call (212) 555-1234 today", "phone", "(212) 555-1234")}
+    rows += [(i, t) for i, (t, _, _) in planted.items()]
+    got = {r.doc_id: r for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (t, kind, body) in planted.items():
+        at = t.index(body)
+        assert got[i].base == [] and [tuple(s) for s in got[i].spans] == [(at, pii.KINDS.index(kind), at + len(body))], t
+    assert not any(got[i].spans for i in range(2000, 2200))
+
+
+def test_calibration_pools_small_levels():
+    assert pii.calibrate({3.0: [0, 1], 2.0: [100, 100], 1.0: [10, 100]}, 0.9) == 2.0
+    assert pii.calibrate({3.0: [100, 100], 2.0: [10, 19], 1.0: [0, 1]}, 0.9) == 3.0
+    assert pii.calibrate({}, 0.9) == float("inf") and pii.calibrate({1.0: [2, 2]}, 0.9) == 1.0
