@@ -20,8 +20,11 @@ neighbours are found by a scan of all rows in blocks, and as many lists are
 probed as hold TARGET of those neighbours. If the probed lists hold fewer rows
 than asked for, further lists are probed until they do.
 
-A list longer than twice the mean is cut into blocks by hash of the id, so a
-common vector does not fill one task; a list's queries go to each block.
+A list longer than twice the mean, or than BLOCK_ROWS, is cut into blocks by hash
+of the id, so a common vector does not fill one task; a list's queries go to each
+block. Beyond QUERY_PART queries they are dealt into parts by hash, each with its
+own copy of the block, and a task reads a block for as many queries at a time as
+make CELLS distances: its memory does not grow with the table.
 
 Defined results: vectors that are null, zero, of another than the commonest
 dimension (the smallest of equally common ones) or hold null or non-finite
@@ -48,6 +51,9 @@ CONFIDENCE = 3.0
 BLOCK_COLUMNS = 16
 DENSE = 0.15          # share of live candidates above which a block is read whole
 SLACK = 1e-9
+BLOCK_ROWS = 1 << 14
+QUERY_PART = 1 << 16
+CELLS = 1 << 22       # distances held at a time by a task
 
 
 def _vectors(raws, d: int) -> np.ndarray:
@@ -152,13 +158,29 @@ def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
+def nearest_in_block(index: Index, q_id: np.ndarray, q: np.ndarray, bound: np.ndarray, id_: np.ndarray,
+                     x: np.ndarray, k: int) -> list[tuple]:
+    """(query ids, row ids, scores) of the k nearest rows for each query."""
+    found, lifted, step = [], index.lift(x), max(1, CELLS // max(len(x), 1))
+    for s in range(0, len(q), step):
+        part, part_id = q[s:s + step], q_id[s:s + step]
+        qi, xj = adaptive_scan(index.lift_queries(part), lifted, bound[s:s + step])
+        other = part_id[qi] != id_[xj]
+        qi, xj = qi[other], xj[other]
+        for lo, hi in zip(*_runs(qi)):
+            score = _dot(part[qi[lo:hi]], x[xj[lo:hi]])
+            best = _best(id_[xj[lo:hi]], score, k)
+            found.append((part_id[qi[lo + best]], id_[xj[lo + best]], score[best]))
+    return found
+
+
 def search(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vec: str = "embedding",
            max_sample: int = MAX_SAMPLE, target: float = TARGET) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest found. ``is_query``
     is a condition on the key column ``id``."""
     spark = df.sparkSession
     rows = _usable(df, key, vec)
-    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.max(
+    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("asked"), F.max(
         F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("top")).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not stats.n:
@@ -184,7 +206,8 @@ def search(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", ve
         counts[r["list"]] = r["count"]
     queries = indexed.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
     probes = _calibrate(indexed, queries, index, k, target)
-    block = max(64, -(-2 * stats.n // len(index.centres)))
+    block = min(BLOCK_ROWS, max(64, -(-2 * stats.n // len(index.centres))))
+    query_parts = max(1, -(-stats.asked // QUERY_PART))
     parts = -(-counts // block)
 
     def route(whole: bool):
@@ -208,26 +231,23 @@ def search(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", ve
         return run
 
     cut = F.element_at(F.array(*[F.lit(int(max(p, 1))) for p in parts]), F.col("list") + 1)
-    blocks = indexed.withColumn("part", F.pmod(F.xxhash64("id"), cut).cast("int"))
+    blocks = indexed.withColumn("part", F.pmod(F.xxhash64("id"), cut).cast("int")) \
+        .withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         ix = shared.value
         q_id, id_, found = right["id"].to_numpy(), left["id"].to_numpy(), []
         if len(q_id) and len(id_):
             q, x = _vectors(right["v"], d), _vectors(left["v"], d)
-            qi, xj = adaptive_scan(ix.lift_queries(q), ix.lift(x), right["bound"].to_numpy())
-            other = q_id[qi] != id_[xj]
-            qi, xj = qi[other], xj[other]
-            score = _dot(q[qi], x[xj])
-            for lo, hi in zip(*_runs(qi)):
-                best = lo + _best(id_[xj[lo:hi]], score[lo:hi], k)
-                found.append((q_id[qi[best]], id_[xj[best]], score[best]))
+            found = nearest_in_block(ix, q_id, q, right["bound"].to_numpy(), id_, x, k)
         cols = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), cols)))
 
     def nearest(asked: DataFrame, whole: bool) -> DataFrame:
         routed = asked.mapInArrow(route(whole), "list int, part int, id long, v binary, bound double")
-        hits = blocks.groupBy("list", "part").cogroup(routed.groupBy("list", "part")) \
+        routed = routed.withColumn("asked", F.pmod(F.xxhash64("id"), F.lit(query_parts)).cast("int"))
+        group = ["list", "part", "asked"]
+        hits = blocks.groupBy(*group).cogroup(routed.groupBy(*group)) \
             .applyInPandas(scan, "query_id long, vec_id long, score double")
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,6 +1,7 @@
 """Adaptive scan against brute force: recall, exact scores, odd rows."""
 
 import math
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -79,3 +80,29 @@ def test_abandons_without_losing_near_rows():
     found = set(zip(i.tolist(), j.tolist()))
     want = set(zip(*map(list, np.nonzero(((q[:, None] - x) ** 2).sum(2) <= bound[:, None]))))
     assert len(found & want) >= 0.98 * len(want) and len(found) <= len(want)
+
+
+def test_a_block_with_many_queries_needs_bounded_memory():
+    rng = np.random.default_rng(4)
+    x, q = rng.normal(size=(4000, 8)), rng.normal(size=(6000, 8))
+    index = ann.Index(x[:500], np.arange(500), float((x * x).sum(1).max()), 4)
+    ids, q_ids = np.arange(4000), 10_000 + np.arange(6000)
+    bound = index.bounds(q, q_ids, 5)
+    tracemalloc.start()
+    found = ann.nearest_in_block(index, q_ids, q, bound, ids, x, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6000 * 4000 * 8  # one matrix of all distances
+    got = {int(a[0]): set(b.tolist()) for a, b, _ in found}
+    want = [set(np.argsort(-(x @ v))[:5].tolist()) for v in q]
+    assert sum(len(got.get(10_000 + i, set()) & w) for i, w in enumerate(want)) >= 0.93 * 5 * len(q)
+
+
+def test_query_parts_and_small_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 8)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for name, value in (("BLOCK_ROWS", 20), ("QUERY_PART", 7), ("CELLS", 50)):
+        monkeypatch.setattr(ann, name, value)
+    got = ann.search(df, F.col("id") % 20 == 0, 5).collect()
+    assert recall(got, brute(rows, lambda i: i % 20 == 0, 5)) >= 0.93
