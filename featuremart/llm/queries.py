@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import (ann, byte_bpe, lm_bloom, packing, pii, quality_forest, sharding, simhash, substring_dedup,
-                             toxicity)
+from featuremart.llm import (ann, byte_bpe, lm_bloom, packing, pii, quality_forest, sharding, simhash, spelling,
+                             substring_dedup, toxicity)
 from featuremart.llm.common import table
 
 QUERIES: dict = {}
@@ -100,3 +100,9 @@ def op10_pii_boosting(spark: SparkSession, sf_dir: str, precision: float = 0.9)
 
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
                         pii.span_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str, min_length: int = 5, min_count: int = 3) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"), alter=spelling.drop_letter("doc_id"),
+                                   min_length=min_length, min_count=min_count)
