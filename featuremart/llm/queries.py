@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import (ann, byte_bpe, lm_bloom, packing, pii, quality_forest, sharding, simhash, spelling,
-                             substring_dedup, toxicity)
+from featuremart.llm import (ann, byte_bpe, hard_negatives, lm_bloom, packing, pii, quality_forest, sharding, simhash,
+                             spelling, substring_dedup, toxicity)
 from featuremart.llm.common import table
 
 QUERIES: dict = {}
@@ -106,3 +106,36 @@ def op10_pii_boosting(spark: SparkSession, sf_dir: str, precision: float = 0.9)
 def op13_spelling_variants(spark: SparkSession, sf_dir: str, min_length: int = 5, min_count: int = 3) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"), alter=spelling.drop_letter("doc_id"),
                                    min_length=min_length, min_count=min_count)
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str, positives: int = 5, negatives: int = 5) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label,
+                               positives=positives, negatives=negatives)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM usable a JOIN usable c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS INTEGER) AS positive_rank
+  FROM scored WHERE same
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score, p.positive_rank
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+WHERE p.positive_rank <= 5
+QUALIFY rank <= 5
+"""
