@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.llm import (ann, byte_bpe, hard_negatives, lm_bloom, packing, pii, quality_forest, sharding, simhash,
-                             spelling, substring_dedup, toxicity)
+                             spelling, substring_dedup, toxicity, warc)
 from featuremart.llm.common import table
 
 QUERIES: dict = {}
@@ -139,3 +139,28 @@ FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
 WHERE p.positive_rank <= 5
 QUALIFY rank <= 5
 """
+
+
+@query
+def op12_warc_normaliser(spark: SparkSession, sf_dir: str, min_revisit: int = 0) -> DataFrame:
+    row_id = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    read = warc.round_trip(table(spark, sf_dir, "pages"), row_id=row_id, min_revisit=min_revisit)
+    return read.select(F.col("key").cast("long").alias("page_id"), F.col("bytes").alias("payload_bytes"),
+                       F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),
+                       F.col("refers_to").cast("long").alias("refers_to"))
+
+
+ORACLES["op12_warc_normaliser"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top
+  FROM pages
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                               1 + ((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS BIGINT)
+                                     >> CAST(5 * (3 - i % 4) AS INTEGER)) & 31), 1) FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM p
+"""
