@@ -1,11 +1,13 @@
 """Data-quality operators (DQ-01..DQ-15).
 
-All null, allowed-value and SQL-rule checks of a dataset are folded into
-**one** aggregate, grouped by month when a date column is given (DQ-10), so
-a whole date range is validated in a single pass. Duplicate keys need their
-own shuffle on the key (partial counts first); its per-month result is one
-row per month and is joined to the main aggregate. Records are built with
-Column expressions (array of structs + explode): nothing is collected to
+All checks of a dataset are folded into **one** pass, by month when a date
+column is given (DQ-10), so a whole date range is validated by one scan. Null,
+allowed-value and SQL-rule checks are counts of failing rows (``check_counts``).
+With a unique key these counts are taken per month and key first (partial counts
+before the shuffle), then summed per month, where key values with more than one
+row are counted too: the duplicate check needs no scan of its own. The counts can
+also be observed while the rows are written (``observed_records``). Records are
+built with Column expressions (array of structs + explode): nothing is collected to
 build them. Only the final STOP/PASS decision is read on the driver. A check that
 cannot run, when planned or when executed, becomes an ERROR record and by
 default stops the save.
@@ -14,9 +16,12 @@ default stops the save.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Severities, statuses and categories of validation records.
@@ -84,39 +89,32 @@ def _check(column: str, check: str, severity: str, failed: Column, fail_desc: Co
         F.when(failed, F.lit(FAIL)).otherwise(F.lit(PASS)).alias("status"))
 
 
-def quality_records(df: DataFrame, dataset: str, rules: QualityRules,
-                    month_col: str | None = None, months: DataFrame | None = None) -> DataFrame:
-    """DQ-01..DQ-04 + DQ-07 + DQ-10: validation records of a dataset, one set
-    per calendar month of ``month_col`` (or one set for the whole frame).
-
-    ``months`` (column month_end, as ``month_ranges`` gives) are the months the
-    run expects. An expected month without rows, or a whole frame without
-    rows, gives one EMPTY_DATASET record: critical with ``fail_on_empty``, a
-    warning otherwise.
+def unique_key(df: DataFrame, rules: QualityRules) -> list[str]:
+    """The key columns of DQ-01; empty when one is missing (the check is skipped)."""
+    keys = [_find(df, k) for k in rules.unique_keys]
+    return [] if None in keys else keys
 
-    A rule whose SQL does not analyse is skipped (DQ-04); a missing key
-    column skips the duplicate check (DQ-01); missing columns are skipped.
-    """
-    if month_col:
-        month = F.last_day(F.to_date(F.col(month_col)))
-        base = df.withColumn("__m", month)
-        group = [F.col("__m")]
-    else:
-        base = df.withColumn("__m", F.lit(None).cast("date"))
-        group = [F.col("__m")]
 
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__total")]
+def check_counts(df: DataFrame, rules: QualityRules) -> tuple[dict[str, Column], list[Column]]:
+    """Conditions of failing rows by the name of their count, and the checks
+    as structs over these counts, ``__total`` and ``__dups`` (DQ-01..DQ-04)."""
+    counts: dict[str, Column] = {}
     checks: list[Column] = []
     total = F.col("__total")
+    keys = unique_key(df, rules)
+    if keys:
+        label, n = ", ".join(keys), F.col("__dups")
+        checks.append(_check(
+            label, DUPLICATES, rules.severity.get(DUPLICATES, HIGH), n > 0,
+            F.format_string(f"%d key values occur more than once for key: {label}", n),
+            F.lit(f"no duplicate key values for key: {label}")))
 
     # DQ-02 nulls
     for i, (name, limit) in enumerate(rules.null_limits.items()):
         c = _find(df, name)
         if c is None:
             continue
-        a = f"__null_{i}"
-        aggs.append(F.count_if(F.col(c).isNull()).alias(a))
-        n = F.col(a)
+        counts[f"__null_{i}"], n = F.col(c).isNull(), F.col(f"__null_{i}")
         failed = (n > 0) if limit == 0 else (n * 100 > F.lit(limit) * F.greatest(total, F.lit(1)))
         checks.append(_check(
             c, NULL_VALUES, rules.severity.get(NULL_VALUES, MEDIUM), failed,
@@ -131,10 +129,8 @@ def quality_records(df: DataFrame, dataset: str, rules: QualityRules,
         if c is None or not allowed:
             continue
         out = ~F.col(c).isin(*list(allowed))
-        bad = (F.col(c).isNotNull() & out) if rules.allow_null else (F.col(c).isNull() | out)
-        a = f"__dim_{i}"
-        aggs.append(F.count_if(bad).alias(a))
-        n = F.col(a)
+        counts[f"__dim_{i}"] = (F.col(c).isNotNull() & out) if rules.allow_null else (F.col(c).isNull() | out)
+        n = F.col(f"__dim_{i}")
         checks.append(_check(
             c, DIMENSIONAL, rules.severity.get(DIMENSIONAL, MEDIUM), n > 0,
             F.format_string(f"column '{c}' has %d values outside the allowed list", n),
@@ -146,43 +142,96 @@ def quality_records(df: DataFrame, dataset: str, rules: QualityRules,
         name = rule.get("name", f"rule_{i}")
         if not cond or not _valid_rule(df, cond):
             continue
-        violated = ~F.expr(cond)
-        violated = F.coalesce(violated, F.lit(bool(rule.get("treat_null_as_fail", False))))
-        a = f"__rule_{i}"
-        aggs.append(F.count_if(violated).alias(a))
-        n = F.col(a)
+        counts[f"__rule_{i}"] = F.coalesce(~F.expr(cond), F.lit(bool(rule.get("treat_null_as_fail", False))))
+        n = F.col(f"__rule_{i}")
         checks.append(_check(
             name, CONSISTENCY, rule.get("severity", MEDIUM), n > 0,
             F.format_string(f"rule '{name}' failed for %d of %d rows ({cond})", n, total),
             F.lit(f"rule '{name}' passed for all rows ({cond})")))
+    return counts, checks
+
+
+# Months up to which the checks of a layer are observed while it is written.
+OBSERVED_MONTHS = 24
+
+
+def observed_records(df: DataFrame, dataset: str, rules: QualityRules, month_col: str,
+                     months: Sequence, write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """DQ-12 with DQ-02..DQ-04: (written frame, records), the counts taken by
+    ``DataFrame.observe`` while ``write`` writes the rows.
+
+    ``months`` are the month ends that the frame may hold; each count is kept
+    per month, so their number is bounded by the caller (OBSERVED_MONTHS). Only
+    the duplicate check, which needs the rows of a key together, reads the written
+    frame: its key columns. Rows outside the months would go unchecked, so they
+    are counted too and raise an error."""
+    counts, checks = check_counts(df, rules)
+    month = F.last_day(F.to_date(F.col(month_col)))
+    seen = Observation()
+    metrics = [F.count_if(~F.coalesce(month.isin(list(months)), F.lit(False))).alias("__other")]
+    for i, m in enumerate(months):
+        here = month == F.lit(m)
+        metrics.append(F.count_if(here).alias(f"__total_{i}"))
+        metrics += [F.count_if(here & bad).alias(f"{n}_{i}") for n, bad in counts.items()]
+    written = write(df.observe(seen, *metrics))
+    got = seen.get
+    if got["__other"]:
+        raise ValueError(f"dataset {dataset} holds {got['__other']} rows outside the months checked")
+    names = ["__total", *counts]
+    rows = [(m, *[int(got[f"{n}_{i}"]) for n in names]) for i, m in enumerate(months) if got[f"__total_{i}"]]
+    summary = df.sparkSession.createDataFrame(rows, ", ".join(["__m date", *[f"{n} long" for n in names]]))
+    keys = unique_key(df, rules)
+    if keys:
+        not_null = reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.lit(True))
+        dups = written.where(not_null).groupBy(month.alias("__m"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]) \
+            .count().groupBy("__m").agg(F.count_if(F.col("count") > 1).alias("__dups"))
+        summary = summary.join(dups, "__m", "left").withColumn("__dups", F.coalesce("__dups", F.lit(0)))
+    return written, _records(summary, dataset, rules, checks, False, None)
 
-    summary = base.groupBy(*group).agg(*aggs)
 
-    # DQ-01 duplicate keys (own shuffle on the key; hot keys pre-counted map-side)
-    keys = [_find(df, k) for k in rules.unique_keys]
-    if rules.unique_keys and all(keys):
-        not_null = F.lit(True)
-        for k in keys:
-            not_null = not_null & F.col(k).isNotNull()
-        dups = (base.where(not_null).groupBy("__m", *keys).count().where("count > 1")
-                .groupBy(F.col("__m").alias("__dm")).agg(F.count(F.lit(1)).alias("__dups")))
-        # null-safe: without a month column every row sits in the null month
-        summary = (summary.join(dups, summary["__m"].eqNullSafe(dups["__dm"]), "left")
-                   .drop("__dm").withColumn("__dups", F.coalesce("__dups", F.lit(0))))
-        label = ", ".join(keys)
-        n = F.col("__dups")
-        checks.insert(0, _check(
-            label, DUPLICATES, rules.severity.get(DUPLICATES, HIGH), n > 0,
-            F.format_string(f"%d key values occur more than once for key: {label}", n),
-            F.lit(f"no duplicate key values for key: {label}")))
+def quality_records(df: DataFrame, dataset: str, rules: QualityRules,
+                    month_col: str | None = None, months: DataFrame | None = None) -> DataFrame:
+    """DQ-01..DQ-04 + DQ-07 + DQ-10: validation records of a dataset, one set
+    per calendar month of ``month_col`` (or one set for the whole frame).
+
+    ``months`` (column month_end, as ``month_ranges`` gives) are the months the
+    run expects. An expected month without rows, or a whole frame without
+    rows, gives one EMPTY_DATASET record: critical with ``fail_on_empty``, a
+    warning otherwise.
+
+    A rule whose SQL does not analyse is skipped (DQ-04); a missing key
+    column skips the duplicate check (DQ-01); missing columns are skipped.
+    """
+    month = F.last_day(F.to_date(F.col(month_col))) if month_col else F.lit(None).cast("date")
+    base = df.withColumn("__m", month)
+    counts, checks = check_counts(df, rules)
+    keys = unique_key(df, rules)
+    if keys:
+        # DQ-01 in the same pass: counts per month and key, then per month
+        named = {f"__k{i}": F.col(k) for i, k in enumerate(keys)}
+        per_key = base.groupBy("__m", *[c.alias(n) for n, c in named.items()]).agg(
+            *[F.count_if(bad).alias(n) for n, bad in counts.items()], F.count(F.lit(1)).alias("__total"))
+        repeated = F.col("__total") > 1
+        for n in named:
+            repeated = repeated & F.col(n).isNotNull()
+        summary = per_key.groupBy("__m").agg(F.sum("__total").alias("__total"), F.count_if(repeated).alias("__dups"),
+                                             *[F.sum(n).alias(n) for n in counts])
+    else:
+        summary = base.groupBy("__m").agg(F.count(F.lit(1)).alias("__total"),
+                                          *[F.count_if(bad).alias(n) for n, bad in counts.items()])
+    return _records(summary, dataset, rules, checks, month_col is None, months)
 
+
+def _records(summary: DataFrame, dataset: str, rules: QualityRules, checks: list[Column], whole: bool,
+             months: DataFrame | None) -> DataFrame:
+    """Records of the counts per month (``__m``, null for a whole frame)."""
+    total = F.col("__total")
     if not checks:
-        spark = df.sparkSession
-        return spark.createDataFrame([], record_schema())
+        return summary.sparkSession.createDataFrame([], record_schema())
     found = F.array(*checks)
-    if month_col is None or months is not None:
-        expected = (months.select(F.col("month_end").alias("__e")) if months is not None and month_col else
-                    df.sparkSession.range(1).select(F.lit(None).cast("date").alias("__e")))
+    if whole or months is not None:
+        expected = (months.select(F.col("month_end").alias("__e")) if months is not None and not whole else
+                    summary.sparkSession.range(1).select(F.lit(None).cast("date").alias("__e")))
         summary = expected.join(summary, expected["__e"].eqNullSafe(summary["__m"]), "full") \
             .withColumn("__m", F.coalesce("__m", "__e"))
         empty = F.struct(
@@ -297,6 +346,42 @@ def require_gate(spark: SparkSession, history_path: str | None, dataset: str, st
         raise QualityStop(f"input {dataset} is blocked by the quality gate for {start}..{end}")
 
 
+def write_checked(df: DataFrame, dataset: str, rules: QualityRules, month_col: str, months: Sequence | None,
+                  store: Callable | None = None, run_time: str | None = None) -> DataFrame:
+    """DQ-12 / DQ-13 for a layer that is written anyway: the rows are staged
+    once, checked while they are written, the records stored, and the staged
+    frame returned unless the decision is STOP.
+
+    ``months``: the month ends of the run. Without them, or with more than
+    OBSERVED_MONTHS, or when a check fails to run inside the write, the staged
+    rows are checked by ``validate_before_save`` instead."""
+    from featuremart.session import staged
+
+    spark = df.sparkSession
+    if months is not None and len(months) <= OBSERVED_MONTHS:
+        try:
+            written, records = observed_records(df, dataset, rules, month_col, months,
+                                                lambda x: staged(spark, x, dataset))
+            records = staged(spark, records, "quality_records")
+        except Exception:  # noqa: BLE001 - a check that cannot run gets its ERROR record below
+            pass
+        else:
+            _store_and_decide(with_run_time(records, run_time), dataset, rules, store)
+            return written
+    written = staged(spark, df, dataset)
+    validate_before_save(written, dataset, rules, month_col, store, run_time=run_time)
+    return written
+
+
+def _store_and_decide(records: DataFrame, dataset: str, rules: QualityRules, store: Callable | None) -> DataFrame:
+    if store is not None:
+        store(records)
+    stopped = quality_decision(records, rules.block_on_error).where(F.col("decision") == STOP)
+    if not stopped.isEmpty():
+        raise QualityStop(f"dataset {dataset} failed a critical quality check")
+    return records
+
+
 def validate_before_save(df: DataFrame, dataset: str, rules: QualityRules, month_col: str,
                          store: callable | None = None, months: DataFrame | None = None,
                          run_time: str | None = None) -> DataFrame:
@@ -305,13 +390,8 @@ def validate_before_save(df: DataFrame, dataset: str, rules: QualityRules, month
     STOP. ``df`` is read once per pass, so a caller that also saves it passes a
     written frame. The decision table (one row per month) is all that is read
     back."""
-    records = with_run_time(checked_records(df, dataset, rules, month_col, months), run_time)
-    if store is not None:
-        store(records)
-    stopped = quality_decision(records, rules.block_on_error).where(F.col("decision") == STOP)
-    if not stopped.isEmpty():
-        raise QualityStop(f"dataset {dataset} failed a critical quality check")
-    return records
+    return _store_and_decide(with_run_time(checked_records(df, dataset, rules, month_col, months), run_time),
+                             dataset, rules, store)
 
 
 def validate_layer(spark: SparkSession, frames: dict[str, DataFrame],

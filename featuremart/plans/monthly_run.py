@@ -20,13 +20,12 @@ from pyspark.sql import functions as F
 
 from featuremart.operators.columns import with_observation_dates, with_period
 from featuremart.operators.profiling import volume_report, volume_series
-from featuremart.operators.quality import QualityRules, require_gate, validate_before_save
+from featuremart.operators.quality import QualityRules, month_ranges, require_gate, write_checked
 from featuremart.operators.setops import union_same_shape
 from featuremart.plans.customer import customer_rollup
 from featuremart.plans.features import month_features_df
 from featuremart.plans.cleaning import customer_cleaned
 from featuremart.plans.inputs import SEGMENTS, t
-from featuremart.session import staged
 from featuremart.sources.writers import save_partitioned
 
 ACCOUNT_RULES = QualityRules(
@@ -41,6 +40,12 @@ CUSTOMER_RULES = QualityRules(unique_keys=["customer_key", "_observ_end_dt"],
                               rules=[{"name": "non_negative", "condition": "amount_total_val >= 0"}])
 
 
+def month_end_of(day) -> _date:
+    """The last day of a date's month."""
+    d = _date.fromisoformat(str(day)[:10]).replace(day=28) + timedelta(days=4)
+    return d.replace(day=1) - timedelta(days=1)
+
+
 def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=None) -> dict[str, str]:
     out_root = out_root.rstrip("/")
     paths = {"clean_customers": f"{out_root}/clean_customers",
@@ -49,16 +54,18 @@ def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=
              "history": f"{out_root}/quality_history",
              "volumes": f"{out_root}/volume_report"}
 
-    def publish(name: str, df: DataFrame, rules: QualityRules, path: str) -> None:
-        """Evaluate the layer once into a staging folder; validate and publish
-        the written rows (DQ-12); a stopped layer is not published."""
-        written = staged(spark, df, name)
-        validate_before_save(written, name, rules, "_observ_end_dt", lambda records: save_partitioned(
+    def publish(name: str, df: DataFrame, rules: QualityRules, path: str, months: list | None) -> None:
+        """Evaluate the layer once into a staging folder, checked while it is
+        written, and publish the written rows (DQ-12); a stopped layer is not
+        published."""
+        written = write_checked(df, name, rules, "_observ_end_dt", months, lambda records: save_partitioned(
             records, paths["history"], ["dataset_name", "_observ_end_dt"], "replace_range"))
         save_partitioned(written, path, "_particion", "replace_range")
 
     lo = start or "1900-01-01"
     hi = end or "2999-12-31"
+    # the run's months, known before anything is read; without a range the staged rows are checked by month
+    run_months = [r.month_end for r in month_ranges(spark, start, end).collect()] if start and end else None
 
     # cleaning layer: the customer snapshot as of the run's last month (CL-21), stamped
     # with its observation period, gated, saved; a re-run of the month replaces it
@@ -66,12 +73,12 @@ def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=
     clean = with_observation_dates(customer_cleaned(spark, sf_dir).withColumn("__as_of", F.to_date(F.lit(as_of))),
                                    "__as_of").drop("__as_of")
     clean = with_period(clean, "_observ_end_dt")
-    publish("clean_customers", clean, CLEAN_CUSTOMER_RULES, paths["clean_customers"])
+    publish("clean_customers", clean, CLEAN_CUSTOMER_RULES, paths["clean_customers"], [month_end_of(as_of)])
     require_gate(spark, paths["history"], "clean_customers", lo, hi)
     period = int(str(as_of)[:7].replace("-", ""))  # the snapshot's yyyyMM
 
     accounts = month_features_df(spark, sf_dir, start, end)
-    publish("account_month_features", accounts, ACCOUNT_RULES, paths["accounts"])
+    publish("account_month_features", accounts, ACCOUNT_RULES, paths["accounts"], run_months)
 
     require_gate(spark, paths["history"], "account_month_features", lo, hi)
     saved = spark.read.parquet(paths["accounts"])
@@ -81,7 +88,7 @@ def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=
         F.col("customer_key").alias("c_custkey"), F.col("segment").alias("c_mktsegment"))
     customers = customer_rollup(saved, cleaned).withColumn(
         "_particion", F.date_format("_observ_end_dt", "yyyyMM").cast("int"))
-    publish("customer_month_features", customers, CUSTOMER_RULES, paths["customers"])
+    publish("customer_month_features", customers, CUSTOMER_RULES, paths["customers"], run_months)
     # volumes up to the run's last month, which is closed on the day after it
     run_date = _date.fromisoformat(str(as_of)[:10]).replace(day=28) + timedelta(days=4)
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featuremart.operators.columns import with_period
 from featuremart.operators.profiling import (column_profile, completeness,
                                              expected_dates, listed_tables, missing_months,
                                              monthly_spine, reconcile_counts)
@@ -14,7 +15,8 @@ from featuremart.plans.inputs import account_snapshots, t
 from featuremart.plans.registry import register
 from featuremart.operators.joins import exclude_reviewed
 from featuremart.sources.readers import date_range_filter, union_tagged
-from featuremart.sources.writers import new_location, upsert_with_window_delete, write_json_lines
+from featuremart.sources.writers import (new_location, save_partitioned, upsert_in_partitions,
+                                         write_json_lines)
 
 
 # The run date of the checks: later than the last load of every table, so a table that
@@ -364,12 +366,10 @@ def missing_data_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = spark.read.parquet(f"{path}/lake_counts")
     # the stored list from the previous run; someone reviewed the day-14 gaps
     previous = _issues(spark, lake, [14, 15], FIRST_RUN).withColumn("reviewed", F.dayofmonth("info_date") == 14)
-    previous.write.mode("overwrite").parquet(f"{path}/store_v1")
-    store = upsert_with_window_delete(spark.read.parquet(f"{path}/store_v1"),
-                                      _issues(spark, lake, [15], SECOND_RUN),
-                                      ["table_name", "info_date"], "info_date", *RUN_WINDOW, "reviewed", False)
-    store.write.mode("overwrite").parquet(f"{path}/store_v2")
-    store = spark.read.parquet(f"{path}/store_v2")
+    save_partitioned(with_period(previous, "info_date"), f"{path}/store", "_particion", "replace_schema")
+    upsert_in_partitions(spark, f"{path}/store", _issues(spark, lake, [15], SECOND_RUN), ["table_name", "info_date"],
+                         "info_date", *RUN_WINDOW, "reviewed", False)
+    store = spark.read.parquet(f"{path}/store").drop("_particion")
     pending = exclude_reviewed(store, store.where("reviewed"), ["table_name", "info_date"])
     write_json_lines(pending.drop("reviewed"), f"{path}/handover")
     return spark.read.schema(ISSUE_SCHEMA).json(f"{path}/handover")

@@ -6,13 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featuremart.operators.columns import with_period
 from featuremart.operators.quality import quality_records
 from featuremart.plans.inputs import t
 from featuremart.plans.quality import (DQ_BY_MONTH_SQL, DQ_SOURCE_SQL, DUP_RULES, SOURCE_COLUMNS,
                                        dq_by_month, dq_source, records_sql)
 from featuremart.plans.registry import register
-from featuremart.sources.writers import (merge_by_keys, new_location, rows_as_json,
-                                         save_partitioned, upsert_with_window_delete)
+from featuremart.sources.writers import (merge_in_partitions, new_location, rows_as_json,
+                                         save_partitioned, upsert_in_partitions)
 
 
 def _monthly_orders(o: DataFrame) -> DataFrame:
@@ -54,13 +55,13 @@ SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.dataset_name = o
 UNION ALL SELECT * FROM new
 """)
 def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = dq_by_month(spark, sf_dir)
-    base = new_location(spark, "replace_by_key")
-    history.write.mode("overwrite").parquet(f"{base}/v1")
+    # the stored history is partitioned by month; the run's twelve months are rewritten, the others stay
+    path = new_location(spark, "replace_by_key")
+    save_partitioned(with_period(dq_by_month(spark, sf_dir), "_observ_end_dt"), path, "_particion", "replace_schema")
     new = quality_records(dq_source(spark, sf_dir), "lineitem", DUP_RULES, "l_shipdate").where(
         F.col("_observ_end_dt").between("1999-01-01", "1999-12-31"))
-    return merge_by_keys(spark, spark.read.parquet(f"{base}/v1"), new,
-                         ["dataset_name", "_observ_end_dt"], f"{base}/v2")
+    merge_in_partitions(spark, path, with_period(new, "_observ_end_dt"), ["dataset_name", "_observ_end_dt"], "_particion")
+    return spark.read.parquet(path).drop("_particion")
 
 
 # --- SNK-04: upsert with delete inside the source window
@@ -81,12 +82,10 @@ def upsert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = o.where(F.col("o_orderstatus") != "O").select(
         "o_orderkey", "info_date", "o_custkey", (F.col("o_orderstatus") == "F").alias("reviewed"))
     path = new_location(spark, "upsert_delete")
-    target.write.mode("overwrite").parquet(f"{path}/v1")
+    save_partitioned(with_period(target, "info_date"), path, "_particion", "replace_schema")
     source = o.where(F.col("o_orderstatus") != "P").select("o_orderkey", "info_date")
-    merged = upsert_with_window_delete(spark.read.parquet(f"{path}/v1"), source, ["o_orderkey"],
-                                       "info_date", "1996-07-01", "1996-12-31", "reviewed", False)
-    merged.write.mode("overwrite").parquet(f"{path}/v2")
-    return spark.read.parquet(f"{path}/v2")
+    upsert_in_partitions(spark, path, source, ["o_orderkey"], "info_date", "1996-07-01", "1996-12-31", "reviewed", False)
+    return spark.read.parquet(path).drop("_particion")
 
 
 # --- SNK-05 (re-aimed): one JSON document per row, written as JSON lines

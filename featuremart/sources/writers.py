@@ -5,7 +5,8 @@ range or a (dataset, month) set is done with dynamic partition overwrite, so
 only the partitions present in the new batch are rewritten and no key list
 is collected on the driver. Files are grouped per partition value with a
 ``rebalance`` hint, which lets AQE split a hot partition over several tasks
-instead of sending a whole month to one task.
+instead of sending a whole month to one task. Upserts and key replacements
+rewrite only the months they touch (``swap_partitions``).
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from __future__ import annotations
 import uuid
 from typing import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featuremart.functions.dates import period_int
 from featuremart.operators.columns import add_prefix, to_val_columns, with_period
-from featuremart.session import scratch_dir
+from featuremart.session import scratch_dir, staged
 
 
 def new_location(spark: SparkSession, name: str) -> str:
@@ -104,6 +106,93 @@ def upsert_with_window_delete(target: DataFrame, source: DataFrame, keys: Sequen
         F.when(inserted, F.lit(new_flag)).otherwise(F.col(flag_col)).alias(flag_col)))
 
 
+def drop_partition(spark: SparkSession, path: str, partition_col: str, value) -> None:
+    """Remove one partition's folder through Spark's own file systems."""
+    name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={name}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _in_partitions(partition_col: str, values: Sequence) -> Column:
+    """Rows of the listed partitions; literal, so other folders are not opened."""
+    listed = F.col(partition_col).isin([v for v in values if v is not None])
+    return listed | F.col(partition_col).isNull() if None in values else listed
+
+
+def swap_partitions(spark: SparkSession, path: str, partition_col: str, values: Sequence,
+                    content: DataFrame) -> list[dict]:
+    """Give the partitions ``values`` of a table the rows of ``content`` and
+    leave the files of all others as they are.
+
+    The new rows are staged first (``content`` may read the table itself), then
+    put in place by dynamic partition overwrite; partitions left without rows
+    are dropped. Run again after a lost driver, it ends in the same state.
+    Returns the manifest: partition, rows and action of each.
+    """
+    new = staged(spark, content, "swap_partitions")
+    counts = {r[0]: r[1] for r in new.groupBy(partition_col).count().collect()}  # a row per swapped partition
+    if counts:
+        save_partitioned(new, path, partition_col, "replace_range")
+    manifest = []
+    for v in values:
+        if v not in counts:
+            drop_partition(spark, path, partition_col, v)
+        manifest.append({"partition": v, "rows": counts.get(v, 0), "action": "rewritten" if v in counts else "dropped"})
+    return manifest
+
+
+def merge_in_partitions(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str],
+                        partition_col: str) -> list[dict]:
+    """SNK-02 in place: replace the key sets present in ``new``; only the
+    partitions that hold one of them, before or after, are rewritten.
+
+    The old places of the keys are found by a semi-join that reads the key
+    columns alone (not at all where the partition is one of the keys).
+    """
+    stored = spark.read.parquet(path)
+    if dict(stored.dtypes)[partition_col] != dict(new.dtypes)[partition_col]:  # types of folder names are guessed
+        stored = stored.withColumn(partition_col, F.col(partition_col).cast(new.schema[partition_col].dataType))
+    new = staged(spark, new, "merge_new")
+    touched = new.select(partition_col)
+    if partition_col not in keys:
+        hit = stored.select(*keys, partition_col).join(new.select(*keys).distinct(), list(keys), "left_semi")
+        touched = touched.unionByName(hit.select(partition_col))
+    values = [r[0] for r in touched.distinct().collect()]  # bounded by the number of partitions
+    kept = stored.where(_in_partitions(partition_col, values)).join(new.select(*keys).distinct(), list(keys), "left_anti")
+    return swap_partitions(spark, path, partition_col, values, kept.unionByName(new, allowMissingColumns=True))
+
+
+def upsert_in_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], date_col: str,
+                         window_start, window_end, flag_col: str, new_flag=False,
+                         partition_col: str = "_particion") -> list[dict]:
+    """SNK-04 in place, on a table partitioned by the month of ``date_col``
+    (``with_period``): the rules of ``upsert_with_window_delete``, but only
+    months that gain or lose a row are rewritten.
+
+    Matched keys keep their stored row, so they touch nothing. New keys are
+    found by an anti-join on the stored key columns, deletions by one on the
+    window's months; both results are staged, and the months in them are the
+    manifest. A key set with a null matches nothing, as in a MERGE.
+    """
+    stored = spark.read.parquet(path)
+    lo, hi = F.to_date(F.lit(window_start)), F.to_date(F.lit(window_end))
+    source = with_period(source, date_col, partition_col)
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in stored.schema.fields
+              if f.name not in source.columns and f.name != flag_col]
+    inserted = source.join(stored.select(*keys), list(keys), "left_anti").select(
+        "*", *absent, F.lit(new_flag).alias(flag_col)).select(*stored.columns)
+    inserted = staged(spark, inserted, "upsert_inserted")
+    window = stored.where(F.col(partition_col).between(period_int(lo), period_int(hi))).where(F.col(date_col).between(lo, hi))
+    gone = staged(spark, window.join(source.select(*keys), list(keys), "left_anti").select(*keys, partition_col).distinct(),
+                  "upsert_gone")
+    values = [r[0] for r in inserted.select(partition_col).unionByName(gone.select(partition_col)).distinct().collect()]
+    if not values:
+        return []
+    old = stored.where(_in_partitions(partition_col, values))
+    lost = [old[k].eqNullSafe(gone[k]) for k in keys] + [old[date_col].between(lo, hi)]
+    return swap_partitions(spark, path, partition_col, values, old.join(gone, lost, "left_anti").unionByName(inserted))
+
+
 def rows_as_json(df: DataFrame, out_col: str = "json") -> DataFrame:
     """SNK-05 (re-aimed): one JSON document per row, built on the executors.
 

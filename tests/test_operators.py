@@ -18,9 +18,11 @@ from featuremart.operators import profiling as P
 from featuremart.operators import quality as Q
 from featuremart.operators import setops as S
 from featuremart.operators import windows as W
+from featuremart.operators.columns import with_period
 from featuremart.operators.broadcast import is_small, join_small
 from featuremart.sources import writers as WR
 from featuremart.sources.readers import date_range_filter
+from tests.conftest import SF_SMALL
 
 
 def rows(df, *cols):
@@ -539,3 +541,98 @@ def test_stopped_table_shows_zero_months_and_gaps_stop_the_run(spark):
     with pytest.raises(P.MissingDates, match="t 2020-01"):
         P.require_complete(P.missing_months(comp))
     P.require_complete(P.missing_months(comp.where("cnt > 0")))
+
+
+def _files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in sorted(path.rglob("*.parquet"))}
+
+
+def _stored_months(spark, path):
+    rows_ = [(1, dt.date(2020, 1, 5), "a", True), (2, dt.date(2020, 2, 5), "b", True), (3, dt.date(2020, 2, 6), "c", False),
+             (4, dt.date(2020, 3, 5), "d", True), (5, dt.date(2020, 4, 5), "e", True), (6, dt.date(2020, 5, 5), "f", True),
+             (None, dt.date(2020, 2, 7), "n", True), (8, None, "no date", True)]
+    df = spark.createDataFrame(rows_, "k int, d date, v string, f boolean")
+    WR.save_partitioned(with_period(df, "d"), str(path), "_particion", "replace_schema")
+    return df
+
+
+def test_upsert_rewrites_only_the_months_it_touches(spark, tmp_path):
+    """Window Feb-Apr: 2 and the null key go, 3 and 4 are matched, all of April goes, 7 comes in
+    June; January, March and May keep their files."""
+    path = tmp_path / "t"
+    target = _stored_months(spark, path)
+    before = _files(path)
+    src = spark.createDataFrame([(1, dt.date(2020, 1, 5), "A"), (3, dt.date(2020, 2, 6), "C"), (4, dt.date(2020, 9, 9), "D"),
+                                 (7, dt.date(2020, 6, 1), "G")], "k int, d date, v string")
+    want = sorted(rows(WR.upsert_with_window_delete(target, src, ["k"], "d", "2020-02-01", "2020-04-30", "f"), "k", "d", "v", "f"), key=str)
+    manifest = WR.upsert_in_partitions(spark, str(path), src, ["k"], "d", "2020-02-01", "2020-04-30", "f")
+    assert sorted(rows(spark.read.parquet(str(path)), "k", "d", "v", "f"), key=str) == want
+    assert sorted((m["partition"], m["action"], m["rows"]) for m in manifest) == [
+        (202002, "rewritten", 1), (202004, "dropped", 0), (202006, "rewritten", 1)]
+    after = _files(path)
+    kept = [f for f in before if f.split("/")[0] in ("_particion=202001", "_particion=202003", "_particion=202005",
+                                                     "_particion=__HIVE_DEFAULT_PARTITION__")]
+    assert len(kept) == 4 and all(after.get(f) == before[f] for f in kept)
+    assert not any("202004" in f for f in after)
+    # the same run again changes nothing, so it rewrites nothing
+    assert WR.upsert_in_partitions(spark, str(path), src, ["k"], "d", "2020-02-01", "2020-04-30", "f") == []
+    assert _files(path) == after
+
+
+def test_merge_rewrites_only_the_partitions_of_its_keys(spark, tmp_path):
+    """Key 2 moves from February to May, key 5's month is left empty, key 9 is new."""
+    path = tmp_path / "t"
+    stored = _stored_months(spark, path)
+    before = _files(path)
+    new = spark.createDataFrame([(2, dt.date(2020, 5, 9), "B", False), (5, dt.date(2020, 5, 8), "E", False),
+                                 (9, dt.date(2020, 5, 1), "I", False)], "k int, d date, v string, f boolean")
+    manifest = WR.merge_in_partitions(spark, str(path), with_period(new, "d"), ["k"], "_particion")
+    want = WR.merge_by_keys(spark, stored, new, ["k"], str(tmp_path / "whole"))
+    key = lambda df: sorted(rows(df, "k", "d", "v", "f"), key=str)
+    assert key(spark.read.parquet(str(path))) == key(want)
+    assert sorted((m["partition"], m["action"]) for m in manifest) == [(202002, "rewritten"), (202004, "dropped"), (202005, "rewritten")]
+    after = _files(path)
+    assert all(after[f] == before[f] for f in before if "202001" in f or "202003" in f)
+
+
+def test_checks_with_a_key_read_the_table_once(spark):
+    import __spark_entry__ as E
+
+    for name in ("dq_duplicates", "dq_by_month", "quality_decision", "quality_gate", "gate_by_month"):
+        plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1, (name, plan)
+
+
+def test_observed_checks_equal_the_separate_pass(spark, tmp_path):
+    from featuremart.plans.quality import ALL_RULES, dq_source
+
+    df = dq_source(spark, SF_SMALL).where("l_shipdate >= timestamp_ntz'1996-01-01' and l_shipdate < timestamp_ntz'1996-07-01'")
+    df = df.unionByName(df.limit(3))       # some repeated keys
+    months = [r.month_end for r in Q.month_ranges(spark, "1996-01-01", "1996-06-30").collect()]
+    df = Q_staged(spark, df)
+    written, records = Q.observed_records(df, "lineitem", ALL_RULES, "l_shipdate", months, lambda x: Q_staged(spark, x))
+    key = lambda r: sorted(map(tuple, r.select(Q.RECORD_COLUMNS).collect()))
+    assert key(records) == key(Q.quality_records(df, "lineitem", ALL_RULES, "l_shipdate"))
+    assert written.count() == df.count()
+    with pytest.raises(ValueError, match="outside the months"):
+        Q.observed_records(df, "lineitem", ALL_RULES, "l_shipdate", months[:3], lambda x: Q_staged(spark, x))
+
+
+def Q_staged(spark, df):
+    from featuremart.session import staged
+    return staged(spark, df, "test")
+
+
+def test_write_checked_stops_and_reports_a_rule_that_cannot_run(spark):
+    df = spark.createDataFrame([(1, dt.date(2020, 1, 5), "x"), (2, dt.date(2020, 1, 6), "y")], "k int, d date, v string")
+    months, kept = [dt.date(2020, 1, 31)], []
+    good = Q.QualityRules(unique_keys=["k"], null_limits={"v": 0})
+    assert Q.write_checked(df, "t", good, "d", months, kept.append).count() == 2
+    assert {r.status for r in kept[0].collect()} == {Q.PASS}
+    bad = Q.QualityRules(rules=[{"name": "few", "condition": "k < 2", "severity": Q.CRITICAL}])
+    with pytest.raises(Q.QualityStop):
+        Q.write_checked(df, "t", bad, "d", months)
+    broken = Q.QualityRules(rules=[{"name": "cast", "condition": "cast(v as int) > 0"}])
+    with pytest.raises(Q.QualityStop):
+        Q.write_checked(df, "t", broken, "d", months, kept.append)
+    assert [r.check for r in kept[-1].collect()] == [Q.ERROR]
