@@ -74,6 +74,28 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+def greatest_on_or_after(requests: DataFrame, facts: DataFrame, keys: Sequence[str], request_date: str,
+                         fact_date: str, value: str, out_col: str) -> DataFrame:
+    """TR-30: per request the greatest ``value`` among the facts of the same
+    keys dated on or after it; null when there is none (or a key is null).
+
+    An as-of join by ordered union. Facts and requests are first brought to one
+    row per key and day (partial aggregates before the shuffle), so a key has at
+    most as many rows as the calendar has days, however many facts or requests it
+    holds. A running maximum from the newest day back gives the answer of every
+    day; requests join it on key and day.
+    """
+    ks = list(keys)
+    days = facts.select(*ks, F.col(fact_date).alias("__day"), F.col(value).alias(out_col), F.lit(False).alias("__asked")) \
+        .unionByName(requests.select(*ks, F.col(request_date).alias("__day"),
+                                     F.lit(None).cast(facts.schema[value].dataType).alias(out_col), F.lit(True).alias("__asked"))) \
+        .where(F.col("__day").isNotNull()).groupBy(*ks, "__day").agg(F.max(out_col).alias(out_col), F.max("__asked").alias("__asked"))
+    back = Window.partitionBy(*ks).orderBy(F.desc("__day")).rowsBetween(Window.unboundedPreceding, 0)
+    answers = days.withColumn(out_col, F.max(out_col).over(back)).where(F.col("__asked") & F.col(out_col).isNotNull())
+    return requests.withColumn("__day", F.col(request_date)).join(
+        answers.drop("__asked"), [*ks, "__day"], "left").drop("__day")
+
+
 def exclude_reviewed(df: DataFrame, reviewed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """JN-07: drop rows already reviewed (left anti on the keys)."""
     return df.join(reviewed.select(*keys).dropDuplicates(), list(keys), "left_anti")

@@ -11,7 +11,7 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StructType
 
 from featuremart.operators.windows import VOLUME_K, volume_controls
 
@@ -96,28 +96,29 @@ def fill_months(monthly: DataFrame, as_of, series: Sequence[str], zeros: Sequenc
                          for c in monthly.columns])
 
 
-def column_profile(df: DataFrame, table_name: str, date_col: str, as_of,
-                   customer_cols: Iterable[str] = ()) -> DataFrame:
-    """QA-07: per column and month up to the last closed one: rows, distinct
-    customers, nulls, zeros (numeric columns only), their shares to 4 digits
-    and the type name. One grouped aggregate reads the table; ``stack`` turns
-    its row per month into a row per column."""
-    customer = next((c for c in customer_cols if c in df.columns), None)
-    fields = [(f.name, f.dataType.simpleString(), isinstance(f.dataType, NumericType)) for f in df.schema.fields]
-    measures = {"total_rows": F.count(F.lit(1)),
-                "unique_customers": (F.count_distinct(customer) if customer else F.lit(0)).cast("long")}
+def profile_counts(df: DataFrame) -> dict[str, Column]:
+    """Aggregates of a column profile: rows, and per column nulls and, for
+    numbers, zeros."""
+    counts = {"total_rows": F.count(F.lit(1))}
+    for f in df.schema.fields:
+        counts[f"empty_{f.name}"] = F.count_if(F.col(f.name).isNull())
+        if isinstance(f.dataType, NumericType):
+            counts[f"zero_{f.name}"] = F.count_if(F.col(f.name) == 0)
+    return counts
+
+
+def profile_rows(monthly: DataFrame, schema: StructType, table_name: str, as_of) -> DataFrame:
+    """A profile's row per month and column from the counts per month
+    (``profile_counts`` and unique_customers by info_date)."""
     entries: list[Column] = []
-    for at, (name, kind, is_number) in enumerate(fields):
-        measures[f"empty_{at}"] = F.count_if(F.col(name).isNull())
-        if is_number:
-            measures[f"zero_{at}"] = F.count_if(F.col(name) == 0)
-        entries += [F.lit(name), F.lit(kind), F.col(f"empty_{at}"),
-                    F.col(f"zero_{at}") if is_number else F.lit(None).cast("long")]
-    monthly = df.groupBy(F.last_day(F.to_date(F.col(date_col))).alias("info_date")) \
-        .agg(*[v.alias(k) for k, v in measures.items()]).withColumn("table_name", F.lit(table_name))
-    filled = fill_months(monthly, as_of, ["table_name"], list(measures))
-    long = filled.select("table_name", "info_date", "total_rows", "unique_customers",
-                         F.stack(F.lit(len(fields)), *entries).alias("column_name", "data_type", "nulls", "zeros"))
+    for f in schema.fields:
+        zeros = F.col(f"zero_{f.name}") if isinstance(f.dataType, NumericType) else F.lit(None).cast("long")
+        entries += [F.lit(f.name), F.lit(f.dataType.simpleString()), F.col(f"empty_{f.name}"), zeros]
+    monthly = monthly.withColumn("table_name", F.lit(table_name))
+    counts = [c for c in monthly.columns if c not in ("table_name", "info_date")]
+    long = fill_months(monthly, as_of, ["table_name"], counts).select(
+        "table_name", "info_date", "total_rows", "unique_customers",
+        F.stack(F.lit(len(schema.fields)), *entries).alias("column_name", "data_type", "nulls", "zeros"))
 
     def share(part: str) -> Column:
         of_rows = F.round(F.col(part).cast("decimal(20,0)") / F.greatest("total_rows", F.lit(1)), 4)
@@ -127,6 +128,20 @@ def column_profile(df: DataFrame, table_name: str, date_col: str, as_of,
                        share("nulls").alias("null_ratio"), "zeros", share("zeros").alias("zero_ratio"), "info_date")
 
 
+def column_profile(df: DataFrame, table_name: str, date_col: str, as_of,
+                   customer_cols: Iterable[str] = ()) -> DataFrame:
+    """QA-07: per column and month up to the last closed one: rows, distinct
+    customers, nulls, zeros (numeric columns only), their shares to 4 digits
+    and the type name. One grouped aggregate reads the table; ``stack`` turns
+    its row per month into a row per column. (``monthly_state.profile`` gives the
+    same from counts kept between runs.)"""
+    customer = next((c for c in customer_cols if c in df.columns), None)
+    unique = (F.count_distinct(customer) if customer else F.lit(0)).cast("long")
+    monthly = df.groupBy(F.last_day(F.to_date(F.col(date_col))).alias("info_date")).agg(
+        *[v.alias(k) for k, v in profile_counts(df).items()], unique.alias("unique_customers"))
+    return profile_rows(monthly, df.schema, table_name, as_of)
+
+
 def volume_series(df: DataFrame, table_name: str, date_col: str, as_of,
                   customer_col: str | None) -> DataFrame:
     """QA-09 input: rows and distinct customers per month, 0 in months without

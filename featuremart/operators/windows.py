@@ -135,33 +135,42 @@ def keep_ratio(df: DataFrame, partition: Sequence[str], order: Iterable, divisor
     the same in the whole group, or the number of distinct values of
     ``distinct_col`` in it.
 
-    The input is written once, so its plan runs once for the check for hot
-    groups and the cut. Cold groups need one shuffle (all measures are windows
-    over the group); hot groups, at most rows / hot_threshold of them, bring
-    their size along as a bounded broadcast and are numbered across tasks.
+    Distinct values are counted by flagging the first row of each value (the
+    value before it, in the order of the values, differs) and summing the flags
+    over the group, so no set of them is held. A group without any value is kept
+    whole. The input (pass only the columns needed) is written once, so its plan
+    runs once for the check for hot groups and the cut. Cold groups need one
+    shuffle (all measures are windows over the group); hot groups, at most rows /
+    hot_threshold of them, bring their size along as a bounded broadcast and are
+    numbered across tasks.
     """
     from featuremart.session import staged
 
     part = list(partition)
     df = staged(df.sparkSession, df, "keep_ratio")
     total = F.count_distinct(distinct_col) if distinct_col else F.max(divisor_col)
-    hot = (df.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"), total.alias("__d"))
+    hot = (df.groupBy(*[F.col(k).alias(f"__h_{k}") for k in part]).agg(F.count(F.lit(1)).alias("__n"), total.alias("__d"))
            .where(F.col("__n") > hot_threshold))
     group = Window.partitionBy(*part)
-    size = F.size(F.collect_set(distinct_col).over(group)) if distinct_col else F.max(divisor_col).over(group)
+    kept_rows = F.col("__rn") <= F.ceil(F.col("__n") / F.greatest("__d", F.lit(1)))
 
     def cut(x: DataFrame) -> DataFrame:
+        size = F.max(divisor_col).over(group) if divisor_col else None
+        if distinct_col:
+            before = F.lag(distinct_col).over(group.orderBy(F.col(distinct_col).asc_nulls_first()))
+            starts = F.col(distinct_col).isNotNull() & ~before.eqNullSafe(F.col(distinct_col))
+            x, size = x.withColumn("__first", starts.cast("int")), F.sum("__first").over(group)
         return (x.withColumn("__rn", F.row_number().over(group.orderBy(*_order(order))))
                 .withColumn("__n", F.count(F.lit(1)).over(group)).withColumn("__d", size)
-                .where(F.col("__rn") <= F.ceil(F.col("__n") / F.col("__d"))).select(*df.columns))
+                .where(kept_rows).select(*df.columns))
 
     if hot.isEmpty():
         return cut(df)
     small = F.broadcast(hot)  # bounded: at most rows / hot_threshold groups
-    on = [df[k].eqNullSafe(hot[k]) for k in part]
-    big = df.join(small, on).select(*[df[c] for c in df.columns], "__n", "__d")
+    on = [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in part]
+    big = df.join(small, on).select(*df.columns, "__n", "__d")
     numbered = distributed_row_number(big, part, order, "__rn", hot_threshold=hot_threshold)
-    kept = numbered.where(F.col("__rn") <= F.ceil(F.col("__n") / F.col("__d"))).select(*df.columns)
+    kept = numbered.where(kept_rows).select(*df.columns)
     return cut(df.join(small, on, "left_anti")).unionByName(kept)
 
 
@@ -192,13 +201,19 @@ def volume_controls(series: DataFrame, series_key: str, order_col: str,
     with null z; below / above bounds -> ALERT_LOW / ALERT_HIGH (S-19).
     """
     w = Window.partitionBy(series_key).orderBy(order_col).rowsBetween(-window, -1)
-    kk = F.lit(float(k))
     cols = [F.col(c) for c in series.columns]
     for m in measures:
         mean, sd, n = F.avg(m).over(w), F.stddev_samp(m).over(w), F.count(m).over(w)
         cols += [mean.alias(f"{m}_mean"), sd.alias(f"{m}_sd"), n.alias(f"{m}_n_hist")]
-    staged = series.select(*cols)
-    out = [F.col(c) for c in staged.columns]
+    return volume_states(series.select(*cols), measures, k, min_history)
+
+
+def volume_states(stats: DataFrame, measures: Sequence[str], k: float = VOLUME_K,
+                  min_history: int = VOLUME_MIN_HISTORY) -> DataFrame:
+    """Bounds, state and z-score of each measure from its ``_mean``, ``_sd``
+    and ``_n_hist`` columns."""
+    kk = F.lit(float(k))
+    out = [F.col(c) for c in stats.columns]
     for m in measures:
         mean, sd, n = F.col(f"{m}_mean"), F.col(f"{m}_sd"), F.col(f"{m}_n_hist")
         lo, hi = mean - kk * sd, mean + kk * sd
@@ -211,4 +226,4 @@ def volume_controls(series: DataFrame, series_key: str, order_col: str,
                  .otherwise(F.lit(STATE_OK)).alias(f"{m}_state"),
                 F.when(flat, F.lit(None).cast("double"))
                  .otherwise((F.col(m) - mean) / sd).alias(f"{m}_z")]
-    return staged.select(*out)
+    return stats.select(*out)

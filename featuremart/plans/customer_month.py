@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from featuremart.functions import dates as D
 from featuremart.functions import lookup as L
+from featuremart.functions.currency import to_home_currency
 from featuremart.operators import aggregates as A
 from featuremart.operators import windows as W
 from featuremart.operators.columns import fill_numeric_zero, to_val_columns
 from featuremart.plans.customer import _ratio4_sql, ratio4
-from featuremart.operators.joins import add_rate
+from featuremart.operators.broadcast import join_small
+from featuremart.operators.joins import add_rate, greatest_on_or_after
 from featuremart.plans.inputs import FOREIGN, HOME, RATES_SQL, TRANSACTIONS_SQL, rates, t, transactions
 from featuremart.plans.registry import register
 
@@ -213,31 +215,32 @@ def saving_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- TR-38 / TR-46: loans: six ageing flags from the bucket, three amounts in home, foreign and
-#     converted views at the month end's rate, product flags
+#     converted views at the rate of the month's last day (a month end without a rate leaves the
+#     converted foreign amounts null), product flags
 AGEING = ["current", "30_days", "60_days", "90_days", "120_days", "180_days", "over_180"]
-LOAN_RATE = 7.75
 
 
 def _three_sql(amount: str, name: str) -> str:
     return (f"{_val(f'CASE WHEN currency_id = 1 THEN {amount} ELSE 0 END', f'{name}_home_val')}, "
             f"{_val(f'CASE WHEN currency_id = 2 THEN {amount} ELSE 0 END', f'{name}_foreign_val')}, "
-            f"{_val(f'CASE WHEN currency_id = 2 THEN {amount} * {LOAN_RATE} ELSE {amount} END', f'{name}_converted_val')}")
+            f"{_val(f'CASE WHEN currency_id = 2 THEN {amount} * rate ELSE {amount} END', f'{name}_converted_val')}")
 
 
 def three_views(amount: str, name: str) -> list[Column]:
     a, foreign, none = F.col(amount), F.col("currency_id") == FOREIGN, F.lit(0).cast("decimal(18,4)")
     return [F.when(foreign, none).otherwise(a).alias(f"{name}_home"), F.when(foreign, a).otherwise(none).alias(f"{name}_foreign"),
-            F.when(foreign, a * F.lit(LOAN_RATE).cast("decimal(6,4)")).otherwise(a).alias(f"{name}_converted")]
+            to_home_currency("currency_id", amount, "rate", HOME).alias(f"{name}_converted")]
 
 
 @register("loan_ageing", f"""
-WITH l AS (SELECT l_orderkey AS loan_key, l_linenumber AS part_no, o_custkey AS customer_key, last_day(CAST(l_shipdate AS DATE)) AS _observ_end_dt,
+WITH r AS ({RATES_SQL}),
+l AS (SELECT l_orderkey AS loan_key, l_linenumber AS part_no, o_custkey AS customer_key, last_day(CAST(l_shipdate AS DATE)) AS _observ_end_dt,
                   CASE WHEN l_suppkey % 2 = 0 THEN 1 ELSE 2 END AS currency_id,
                   CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS saldo,
                   CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS quota,
                   CAST(floor((CAST(l_shipdate AS DATE) - CAST(o_orderdate AS DATE)) / 15) AS INTEGER) AS late,
-                  l_returnflag, o_orderpriority
-           FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+                  l_returnflag, o_orderpriority, r.rate
+           FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN r ON r.rate_date = last_day(CAST(l_shipdate AS DATE)))
 SELECT loan_key, part_no, customer_key, _observ_end_dt,
        {", ".join(f"CAST(CASE WHEN late > {i} THEN 1 ELSE 0 END AS INTEGER) AS aged_{d}_flag" for i, d in enumerate((30, 60, 90, 120, 180, 181)))},
        {_three_sql("amount", "loan")}, {_three_sql("saldo", "balance")}, {_three_sql("quota", "quota")},
@@ -257,6 +260,7 @@ def loan_ageing(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.when(F.col("l_suppkey") % 2 == 0, HOME).otherwise(FOREIGN).alias("currency_id"), bucket.alias("ageing"),
                  money(F.col("l_extendedprice")).alias("amount"), share("l_discount").alias("saldo"),
                  share("l_tax").alias("quota"), "l_returnflag", "o_orderpriority")
+    x = add_rate(x, rates(spark, sf_dir), "_observ_end_dt", snapshot=True)
     flags = [L.in_list_flag("ageing", AGEING[:i + 1], negate=True).alias(f"aged_{d}_flag")
              for i, d in enumerate((30, 60, 90, 120, 180, 181))]
     consumer = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.col("l_returnflag") == "N")
@@ -362,37 +366,38 @@ def latest_debt_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_val_columns(top.select(*key, "debt_key", "amount"))
 
 
-# --- TR-30: request -> granted loan of the same customer and grade not older than the request,
-#     else the loan of its case; one loan (the greatest) per request
-@register("request_loan", """
+# --- TR-30: request -> the greatest granted loan of the same customer and bureau id dated on or after
+#     the request, else the greatest loan of the request's case and customer. Events play the requests
+#     (26 years back, into the loans' calendar); a case is the loan office, here one per priority
+CASES = {"1-URGENT": "click", "2-HIGH": "error", "3-MEDIUM": "purchase", "4-NOT SPECIFIED": "signup", "5-LOW": "view"}
+
+
+@register("request_loan", f"""
 WITH r AS (SELECT event_id AS request_key, user_id AS customer_key, event_type AS case_key,
-                  CAST(1995 + event_id % 7 AS INTEGER) AS asked_year, CAST(event_id % 5 + 1 AS VARCHAR) AS grade FROM events),
-l AS (SELECT o_custkey AS customer_key, substr(o_orderpriority, 1, 1) AS grade, year(CAST(o_orderdate AS DATE)) AS granted_year, max(o_orderkey) AS loan
-      FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2, 3),
-c AS (SELECT o_custkey AS customer_key, max(o_orderkey) AS case_loan FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
-d AS (SELECT r.request_key, max(l.loan) AS loan FROM r JOIN l ON l.customer_key = r.customer_key AND l.grade = r.grade
-      AND l.granted_year >= r.asked_year GROUP BY 1)
-SELECT r.request_key, r.customer_key, r.case_key, coalesce(d.loan, c.case_loan) AS loan_key, d.loan IS NOT NULL AS direct
-FROM r LEFT JOIN d USING (request_key) LEFT JOIN c ON c.customer_key = r.customer_key
+                  CAST(CAST(ts AS DATE) - INTERVAL 312 MONTH AS DATE) AS asked_on, CAST(event_id % 5 + 1 AS VARCHAR) AS bureau_key FROM events),
+l AS (SELECT o_custkey AS customer_key, substr(o_orderpriority, 1, 1) AS bureau_key, CAST(o_orderdate AS DATE) AS granted_on, o_orderkey AS loan
+      FROM orders WHERE o_orderstatus = 'F'),
+c AS (SELECT o_custkey AS customer_key, CASE o_orderpriority {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CASES.items())} END AS case_key,
+             max(o_orderkey) AS case_loan FROM orders WHERE o_orderstatus <> 'O' GROUP BY 1, 2),
+d AS (SELECT r.request_key, max(l.loan) AS loan FROM r JOIN l ON l.customer_key = r.customer_key AND l.bureau_key = r.bureau_key
+      AND l.granted_on >= r.asked_on GROUP BY 1)
+SELECT r.request_key, r.customer_key, r.case_key, r.asked_on, coalesce(d.loan, c.case_loan) AS loan_key, d.loan IS NOT NULL AS direct
+FROM r LEFT JOIN d USING (request_key) LEFT JOIN c ON c.customer_key = r.customer_key AND c.case_key = r.case_key
 """)
 def request_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = t(spark, sf_dir, "events").select(
         F.col("event_id").alias("request_key"), F.col("user_id").alias("customer_key"), F.col("event_type").alias("case_key"),
-        (F.col("event_id") % 7 + 1995).cast("int").alias("asked_year"), (F.col("event_id") % 5 + 1).cast("string").alias("grade"))
-    o = t(spark, sf_dir, "orders")
-    # one row per customer, grade and year, so the range residual meets few rows per request
-    loans = o.where(F.col("o_orderstatus") == "F").groupBy(
-        F.col("o_custkey").alias("customer_key"), F.substring("o_orderpriority", 1, 1).alias("grade"),
-        F.year(F.to_date("o_orderdate")).alias("granted_year")).agg(F.max("o_orderkey").alias("loan"))
-    # newer loans win by key, not by year: the yearly maxima of a (customer, grade) are one short list
-    years = loans.groupBy("customer_key", "grade").agg(F.collect_list(F.struct("granted_year", "loan")).alias("loans"))
-    cases = o.where(F.col("o_orderstatus") == "P").groupBy(F.col("o_custkey").alias("customer_key")).agg(
-        F.max("o_orderkey").alias("case_loan"))
-    j = r.join(years, ["customer_key", "grade"], "left").join(cases, "customer_key", "left")
-    direct = F.array_max(F.transform(F.filter("loans", lambda x: x["granted_year"] >= F.col("asked_year")), lambda x: x["loan"]))
-    return j.withColumn("loan", direct).select(
-        "request_key", "customer_key", "case_key", F.coalesce("loan", "case_loan").alias("loan_key"),
-        F.col("loan").isNotNull().alias("direct"))
+        F.add_months(F.to_date("ts"), -312).alias("asked_on"), (F.col("event_id") % 5 + 1).cast("string").alias("bureau_key"))
+    o = t(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_key"), "o_orderpriority", "o_orderstatus", F.to_date("o_orderdate").alias("granted_on"),
+        F.col("o_orderkey").alias("loan"))
+    granted = o.where(F.col("o_orderstatus") == "F").withColumn("bureau_key", F.substring("o_orderpriority", 1, 1))
+    direct = greatest_on_or_after(r, granted, ["customer_key", "bureau_key"], "asked_on", "granted_on", "loan", "direct_loan")
+    cases = o.where(F.col("o_orderstatus") != "O").groupBy(
+        "customer_key", L.map_lookup("o_orderpriority", CASES).alias("case_key")).agg(F.max("loan").alias("case_loan"))
+    return direct.join(cases, ["case_key", "customer_key"], "left").select(
+        "request_key", "customer_key", "case_key", "asked_on", F.coalesce("direct_loan", "case_loan").alias("loan_key"),
+        F.col("direct_loan").isNotNull().alias("direct"))
 
 
 # --- TR-33: debts reported once per currency: the pair's worst state by precedence (an unreported
@@ -565,55 +570,120 @@ def card_account_month(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("states") > 1, 1).otherwise(0).alias("limit_change_flag")))
 
 
-# --- TR-34 / TR-35 / TR-36 / CL-56 / IN-13: investments per customer and month: six amounts in three
-#     currency views, movements by kind, early-cancel flag, months in force pivoted by product
-INV_AMOUNTS = {"principal": "l_extendedprice", "interest": "l_discount", "tax": "l_tax"}
-INV_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+# --- CL-56 / TR-35: investment accounts: standard state from its text (SC-07), bad-state flag (SC-09),
+#     active with a positive balance (SC-10), early-cancel flag (a due date other than the day it was
+#     cancelled), months in force, six amounts in three currency views at the month end's rate
+INV_STATES = {"a": "active", "n": "new"}            # any other text: unknown
+INV_BAD = ["unknown"]
+INV_AMOUNTS = {"balance": ("price - price * discount", lambda price, discount, tax: price - price * discount),
+               "earlier_balance": ("price", lambda price, discount, tax: price),
+               "interest": ("price * discount", lambda price, discount, tax: price * discount),
+               "agreed": ("price * tax", lambda price, discount, tax: price * tax),
+               "pending": ("price * tax - price * discount", lambda price, discount, tax: price * tax - price * discount),
+               "initial": ("retail", None)}
+INV_PRODUCTS = {"STANDARD": "fixed", "SMALL": "savings", "PROMO": "fund"}   # the others have no term columns
+BIG_BALANCE = 80_000
+
+INVESTMENTS_SQL = f"""
+  SELECT account_key, part_no, customer_key, _observ_end_dt, p_type, currency_id, rate, kind, state, opened, closed, due,
+         {", ".join(f"{e} AS {n}" for n, (e, _) in INV_AMOUNTS.items())},
+         CASE WHEN due IS NULL OR due = closed THEN 0 ELSE 1 END AS early_cancel_flag,
+         CASE WHEN state = 'unknown' THEN 1 ELSE 0 END AS bad_state_flag,
+         CASE WHEN state = 'active' AND price - price * discount > 0 THEN 1 ELSE 0 END AS active_positive_flag,
+         CASE WHEN closed < opened THEN 0 ELSE {_months_sql("closed", "opened")} END AS term
+  FROM (SELECT l_orderkey AS account_key, l_linenumber AS part_no, o_custkey AS customer_key, last_day(CAST(l_shipdate AS DATE)) AS _observ_end_dt,
+               p_type, CASE WHEN l_suppkey % 2 = 0 THEN 1 ELSE 2 END AS currency_id, r.rate, l_returnflag AS kind,
+               CASE l_returnflag WHEN 'A' THEN 'active' WHEN 'N' THEN 'new' ELSE 'unknown' END AS state,
+               CAST(o_orderdate AS DATE) AS opened, CAST(l_shipdate AS DATE) AS closed,
+               CASE WHEN l_linestatus = 'F' THEN CAST(o_orderdate AS DATE) + 30 END AS due,
+               CAST(l_extendedprice AS DECIMAL(18,2)) AS price, CAST(l_discount AS DECIMAL(4,2)) AS discount,
+               CAST(l_tax AS DECIMAL(4,2)) AS tax, CAST(p_retailprice AS DECIMAL(18,2)) AS retail
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
+        LEFT JOIN ({RATES_SQL}) r ON r.rate_date = last_day(CAST(l_shipdate AS DATE)))"""
+
+
+def investments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Investment accounts with their flags, months in force, amounts and the
+    month end's rate: one fact join, one catalog join."""
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+                                             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    p = t(spark, sf_dir, "part").select("p_partkey", "p_type", F.col("p_retailprice").cast("decimal(18,2)").alias("initial"))
+    x = join_small(li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey), p, F.col("l_partkey") == F.col("p_partkey"), "inner")
+    price, share = F.col("l_extendedprice").cast("decimal(18,2)"), [F.col(c).cast("decimal(4,2)") for c in ("l_discount", "l_tax")]
+    opened, closed = F.to_date("o_orderdate"), F.to_date("l_shipdate")
+    x = x.select(
+        F.col("l_orderkey").alias("account_key"), F.col("l_linenumber").alias("part_no"), F.col("o_custkey").alias("customer_key"),
+        F.last_day(closed).alias("_observ_end_dt"), "p_type", F.when(F.col("l_suppkey") % 2 == 0, HOME).otherwise(FOREIGN).alias("currency_id"),
+        F.col("l_returnflag").alias("kind"), L.map_lookup("l_returnflag", INV_STATES, "unknown", normalize=True).alias("state"),
+        opened.alias("opened"), closed.alias("closed"), F.when(F.col("l_linestatus") == "F", F.date_add(opened, 30)).alias("due"),
+        D.whole_months_between(closed, opened).alias("term"),
+        *[(make(price, *share) if make else F.col(n)).alias(n) for n, (_, make) in INV_AMOUNTS.items()])
+    x = x.withColumns({
+        "early_cancel_flag": F.when(F.col("due").isNull() | (F.col("due") == F.col("closed")), 0).otherwise(1),
+        "bad_state_flag": L.in_list_flag("state", INV_BAD), "active_positive_flag": L.in_list_and_positive("state", ["active"], "balance")})
+    return add_rate(x, rates(spark, sf_dir), "_observ_end_dt", snapshot=True)
+
+
+INV_FLAGS = ["early_cancel_flag", "bad_state_flag", "active_positive_flag"]
 
 
+@register("investment_accounts", f"""
+SELECT account_key, part_no, customer_key, _observ_end_dt, state, opened, closed, due, CAST(term AS INTEGER) AS months_in_force_cnt,
+       {", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in INV_FLAGS)}, {", ".join(_three_sql(n, n) for n in INV_AMOUNTS)}
+FROM ({INVESTMENTS_SQL})
+""")
+def investment_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_val_columns(investments(spark, sf_dir).select(
+        "account_key", "part_no", "customer_key", "_observ_end_dt", "state", "opened", "closed", "due",
+        F.col("term").alias("months_in_force_cnt"), *INV_FLAGS, *[v for n in INV_AMOUNTS for v in three_views(n, n)]))
+
+
+# --- TR-34 / TR-36 / IN-13: investments per customer and month: the six amounts summed in three views,
+#     movements by kind, flags, a big-balance flag, and the months in force (max, min, sum, whole
+#     average) pivoted by the three listed products
 def _inv_views(name: str) -> str:
     return ", ".join([_val(_sum_sql("currency_id = 1", name), f"{name}_home_val"), _val(_sum_sql("currency_id = 2", name), f"{name}_foreign_val"),
-                      _val(f"sum(CASE WHEN currency_id = 2 THEN {name} * {LOAN_RATE} ELSE {name} END)", f"{name}_converted_val")])
+                      _val(f"sum(CASE WHEN currency_id = 2 THEN {name} * rate ELSE {name} END)", f"{name}_converted_val")])
+
+
+def _term_sql(ptype: str, name: str) -> str:
+    term = f"CASE WHEN p_type = '{ptype}' THEN term END"
+    return (f"CAST(coalesce(max({term}), 0) AS INTEGER) AS {name}_term_max, CAST(coalesce(min({term}), 0) AS INTEGER) AS {name}_term_min, "
+            f"CAST(coalesce(sum({term}), 0) AS BIGINT) AS {name}_term_sum, CAST(coalesce(floor(avg({term})), 0) AS INTEGER) AS {name}_term_avg")
+
+
+def _moves_sql(name: str, kind: str) -> str:
+    hit = f"kind = '{kind}'"
+    return f"{_cnt_sql(hit, f'{name}_cnt')}, {_val(_sum_sql(hit, 'earlier_balance'), f'{name}_val')}"
 
 
 @register("investment_month", f"""
-WITH x AS (SELECT o_custkey AS customer_key, last_day(CAST(l_shipdate AS DATE)) AS _observ_end_dt, p_type, l_returnflag AS kind,
-                  CASE WHEN l_suppkey % 2 = 0 THEN 1 ELSE 2 END AS currency_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS principal,
-                  CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS interest,
-                  CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS tax,
-                  CAST(o_orderdate AS DATE) AS opened, CAST(l_shipdate AS DATE) AS closed
-           FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey),
-y AS (SELECT *, CAST(greatest({_months_sql("closed", "opened")}, 0) AS INTEGER) AS term FROM x)
 SELECT customer_key, _observ_end_dt, CAST(count(*) AS BIGINT) AS investments_cnt,
-       {", ".join(_inv_views(n) for n in INV_AMOUNTS)},
-       {", ".join(f"{_cnt_sql(f'''kind = '{k}' ''', f'{n}_cnt')}, {_val(_sum_sql(f'''kind = '{k}' ''', 'principal'), f'{n}_val')}" for n, k in KINDS)},
-       CAST(max(CASE WHEN kind = 'R' AND term < 2 THEN 1 ELSE 0 END) AS INTEGER) AS early_cancel_flag,
-       {", ".join(f"max(CASE WHEN p_type = '{p}' THEN term END) AS {p.lower()}_term_max, min(CASE WHEN p_type = '{p}' THEN term END) AS {p.lower()}_term_min, CAST(sum(CASE WHEN p_type = '{p}' THEN term END) AS BIGINT) AS {p.lower()}_term_sum" for p in INV_TYPES)}
-FROM y GROUP BY 1, 2
+       {", ".join(_inv_views(n) for n in INV_AMOUNTS)}, {", ".join(_moves_sql(n, k) for n, k in KINDS)},
+       {", ".join(f"CAST(max({c}) AS INTEGER) AS {c}" for c in INV_FLAGS)},
+       max(CASE WHEN CASE WHEN currency_id = 2 THEN balance * rate ELSE balance END > {BIG_BALANCE} THEN 'S' ELSE 'N' END) AS big_balance_flag,
+       {", ".join(_term_sql(p, n) for p, n in INV_PRODUCTS.items())}
+FROM ({INVESTMENTS_SQL}) GROUP BY 1, 2
 """)
 def investment_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount",
-                                             "l_tax", "l_returnflag", "l_shipdate")
-    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    p = t(spark, sf_dir, "part").select("p_partkey", "p_type")
-    x = li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    principal = F.col("l_extendedprice").cast("decimal(18,2)")
-    x = x.select(
-        F.col("o_custkey").alias("customer_key"), F.last_day(F.to_date("l_shipdate")).alias("_observ_end_dt"), "p_type",
-        F.col("l_returnflag").alias("kind"), F.when(F.col("l_suppkey") % 2 == 0, HOME).otherwise(FOREIGN).alias("currency_id"),
-        *[(principal if n == "principal" else principal * F.col(c).cast("decimal(4,2)")).alias(n) for n, c in INV_AMOUNTS.items()],
-        D.whole_months_between("l_shipdate", "o_orderdate").alias("term"))
-    foreign, rate = F.col("currency_id") == FOREIGN, F.lit(LOAN_RATE).cast("decimal(6,4)")
+    x = investments(spark, sf_dir)
+    foreign = F.col("currency_id") == FOREIGN
+
+    def home(name: str) -> Column:
+        return to_home_currency("currency_id", name, "rate", HOME)
+
     aggs: list[Column] = [F.count(F.lit(1)).alias("investments_cnt")]
     for n in INV_AMOUNTS:
-        aggs += [total(~foreign, n).alias(f"{n}_home"), total(foreign, n).alias(f"{n}_foreign"),
-                 F.sum(F.when(foreign, F.col(n) * rate).otherwise(F.col(n))).alias(f"{n}_converted")]
+        aggs += [total(~foreign, n).alias(f"{n}_home"), total(foreign, n).alias(f"{n}_foreign"), F.sum(home(n)).alias(f"{n}_converted")]
     for n, k in KINDS:
-        aggs += [A.count_if(F.col("kind") == k).alias(f"{n}_cnt"), total(F.col("kind") == k, "principal").alias(n)]
-    aggs.append(A.any_flag((F.col("kind") == "R") & (F.col("term") < 2)).alias("early_cancel_flag"))
-    for ptype in INV_TYPES:
+        aggs += [A.count_if(F.col("kind") == k).alias(f"{n}_cnt"), total(F.col("kind") == k, "earlier_balance").alias(n)]
+    aggs += [F.max(c).alias(c) for c in INV_FLAGS]
+    aggs.append(F.max(F.when(home("balance") > BIG_BALANCE, "S").otherwise("N")).alias("big_balance_flag"))
+    for ptype, n in INV_PRODUCTS.items():
         term = F.when(F.col("p_type") == ptype, F.col("term"))
-        aggs += [f(term).alias(f"{ptype.lower()}_term_{m}") for f, m in ((F.max, "max"), (F.min, "min"), (F.sum, "sum"))]
+        whole = {"max": F.max(term), "min": F.min(term), "sum": F.sum(term), "avg": F.floor(F.avg(term)).cast("int")}
+        aggs += [F.coalesce(v, F.lit(0)).alias(f"{n}_term_{m}") for m, v in whole.items()]
     return to_val_columns(x.groupBy(*MONTH).agg(*aggs))
 
 

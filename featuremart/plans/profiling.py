@@ -14,7 +14,10 @@ from featuremart.operators.profiling import (column_profile, completeness,
 from featuremart.plans.inputs import account_snapshots, t
 from featuremart.plans.registry import register
 from featuremart.operators.joins import exclude_reviewed
-from featuremart.sources.readers import date_range_filter, union_tagged
+from featuremart.operators.monthly_state import (controls, customers_in_window, moments, month_state, profile,
+                                                 update_state, volumes)
+from featuremart.session import staged
+from featuremart.sources.readers import date_range_filter, partition_counts, union_tagged
 from featuremart.sources.writers import (new_location, save_partitioned, upsert_in_partitions,
                                          write_json_lines)
 
@@ -373,3 +376,72 @@ def missing_data_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     pending = exclude_reviewed(store, store.where("reviewed"), ["table_name", "info_date"])
     write_json_lines(pending.drop("reviewed"), f"{path}/handover")
     return spark.read.schema(ISSUE_SCHEMA).json(f"{path}/handover")
+
+
+# --- QA-07 / QA-08 / QA-10, WN-11 from state kept between runs: the first run stores the months up
+#     to STATE_UNTIL, the second reads the newer rows only; reports come from the stored counts,
+#     customer bitmaps and moments
+STATE_UNTIL = "2001-06-30"
+STATE_TABLES = {n: LAYER_TABLES[n] for n in ("orders", "events")}
+
+
+def _two_runs(spark: SparkSession, sf_dir: str, name: str, path: str) -> DataFrame:
+    date_col, customer = STATE_TABLES[name]
+    df = t(spark, sf_dir, name)
+    update_state(spark, path, df, date_col, customer, "1995-01-01", STATE_UNTIL)
+    update_state(spark, path, df, date_col, customer, "2001-07-01", "2024-02-29")
+    return spark.read.parquet(path)
+
+
+@register("volume_from_state", VOLUME_LAYER_SQL.replace("FROM b\n", "FROM b WHERE table_name <> 'lineitem'\n"))
+def volume_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, measures = new_location(spark, "volume_state"), ["records", "customers"]
+    series = reduce(DataFrame.unionByName, [
+        volumes(_two_runs(spark, sf_dir, name, f"{path}/{name}"), name, AS_OF) for name in STATE_TABLES])
+    # moments of the first run are stored; the second goes on from their newest row
+    first = staged(spark, moments(series.where(F.col("info_date") <= F.to_date(F.lit(STATE_UNTIL))), measures), "moments")
+    second = staged(spark, moments(series.where(F.col("info_date") > F.to_date(F.lit(STATE_UNTIL))), measures, first), "moments")
+    rep = controls(series, first.unionByName(second), measures)
+    doubles = [f.name for f in rep.schema.fields if f.dataType.simpleString() == "double"]
+    return rep.select(*[F.round(c, 6).alias(c) if c in doubles else F.col(c) for c in rep.columns])
+
+
+@register("profile_from_state", _profile_sql())
+def profile_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = _two_runs(spark, sf_dir, "orders", new_location(spark, "profile_state"))
+    return profile(state, t(spark, sf_dir, "orders").schema, "orders", AS_OF)
+
+
+# --- QA-08: distinct customers of the twelve months up to each month end, from merged bitmaps
+CUSTOMER_MONTHS, CUSTOMERS_AS_OF = 12, "2001-12-10"
+
+
+@register("customers_twelve_months", f"""
+WITH m AS (SELECT DISTINCT o_custkey, last_day(CAST(o_orderdate AS DATE)) AS info_date FROM orders),
+w AS (SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(info_date)),
+             last_day(DATE '{CUSTOMERS_AS_OF}' - INTERVAL 1 MONTH), INTERVAL 1 MONTH)) AS DATE)) AS window_end FROM m)
+SELECT window_end, CAST(count(DISTINCT o_custkey) AS BIGINT) AS customers
+FROM w JOIN m ON m.info_date <= w.window_end AND m.info_date > last_day(w.window_end - INTERVAL {CUSTOMER_MONTHS} MONTH)
+GROUP BY 1
+""")
+def customers_twelve_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = month_state(t(spark, sf_dir, "orders").select("o_orderdate", "o_custkey"), "o_orderdate", "o_custkey")
+    return customers_in_window(state, CUSTOMER_MONTHS, CUSTOMERS_AS_OF)
+
+
+# --- SRC-06 / QA-03 / QA-16 / QA-17 on a table partitioned by its date: rows of every expected day
+#     from footers, 0 where the day has no partition
+@register("partition_completeness", """
+WITH d AS (SELECT CAST(ts AS DATE) AS info_date, count(*) AS n FROM events GROUP BY 1),
+g AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-15', INTERVAL 1 DAY)) AS DATE) AS info_date)
+SELECT 'events' AS table_name, 'transactional' AS table_kind, g.info_date, CAST(coalesce(n, 0) AS BIGINT) AS cnt
+FROM g LEFT JOIN d USING (info_date)
+""")
+def partition_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_location(spark, "events_by_day")
+    save_partitioned(t(spark, sf_dir, "events").withColumn("info_date", F.to_date("ts")), path, "info_date", "replace_schema")
+    counts = partition_counts(spark, path, "info_date").select(
+        F.lit("events").alias("table_name"), F.to_date("info_date").alias("info_date"), F.col("records").alias("cnt"))
+    grid = expected_dates(spark.createDataFrame([("events", "transactional", "2024-01-01", "2024-02-15")],
+                                                "table_name string, table_kind string, start_date string, end_date string"))
+    return completeness(grid, counts)

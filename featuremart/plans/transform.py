@@ -223,16 +223,14 @@ FROM s JOIN h USING (customer_key)
 def debt_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = transactions(spark, sf_dir).select("l_orderkey", "customer_key", *DEBT_ORDER)
     kept = keep_ratio(x, ["l_orderkey"], DEBT_ORDER, distinct_col="direction")
-    # the cut rows are written once; both aggregates below read them
-    k = staged(spark, kept.select("customer_key", "l_suppkey", "amount", "kind",
-                                  L.map_lookup("direction", LINKS).alias("link"),
-                                  F.substring("account_key", 1, 1).cast("int").alias("grade")), "debt_rows")
-    s = k.groupBy("customer_key").agg(
-        *A.pivot_aggs("kind", DEBT_STATUSES, {"cnt": ("count", None)}, name_fmt="status_{value}_{measure}"),
-        *[F.max(F.when(F.col("link") == lk, F.col("grade"))).alias(f"{lk}_worst_grade")
-          for lk in LINKS.values()])
-    per_link = A.half_count_pairs(k, ["customer_key", "link"], "l_suppkey", "amount", F.col("kind") == "R")
-    h = per_link.groupBy("customer_key").agg(*A.pivot_aggs(
-        "link", list(LINKS.values()), {"debt_cnt": ("sum", "debt_cnt"), "limit": ("sum", "limit_amount")},
-        name_fmt="{value}_{measure}"))
-    return to_val_columns(s.join(h, "customer_key"))
+    # equal rows first: pairs are halved per entity, amount and link (AG-11), everything else adds up
+    equal = kept.groupBy("customer_key", L.map_lookup("direction", LINKS).alias("link"), "l_suppkey", "amount", "kind").agg(
+        F.count(F.lit(1)).alias("rows_cnt"), F.max(F.substring("account_key", 1, 1).cast("int")).alias("grade"))
+    debts = F.when(F.col("kind") == "R", F.ceil(F.col("rows_cnt") / 2)).otherwise(F.col("rows_cnt")).cast("long")
+    equal = equal.withColumn("debts", debts).withColumn("limit_amount", F.col("amount") * F.col("debts"))
+    return to_val_columns(equal.groupBy("customer_key").agg(
+        *[F.coalesce(F.sum(F.when(F.col("kind") == v, F.col("rows_cnt"))), F.lit(0)).alias(f"status_{v.lower()}_cnt")
+          for v in DEBT_STATUSES],
+        *[F.max(F.when(F.col("link") == lk, F.col("grade"))).alias(f"{lk}_worst_grade") for lk in LINKS.values()],
+        *A.pivot_aggs("link", list(LINKS.values()), {"debt_cnt": ("sum", "debts"), "limit": ("sum", "limit_amount")},
+                      name_fmt="{value}_{measure}")))

@@ -174,3 +174,21 @@ def classify_tables(spark: SparkSession, frames: dict[str, DataFrame],
                     if k.lower() in cols), None)
         rows.append((name, hit[0] if hit else None, hit[1] if hit else "catalog"))
     return spark.createDataFrame(rows, "table_name string, date_column string, table_kind string")
+
+
+def partition_counts(spark: SparkSession, path: str, partition_col: str) -> DataFrame:
+    """SRC-06 / QA-03 / QA-16 / QA-17 for a table partitioned by its date: rows
+    per partition from folder names and file footers alone.
+
+    The table is opened as a version-2 source, whose Parquet reader takes the
+    grouped count as a pushed aggregate: no column is read. Only this read uses
+    it; the session's choice of readers is put back."""
+    conf, name = spark.conf, "spark.sql.sources.useV1SourceList"
+    before = conf.get(name)
+    conf.set("spark.sql.parquet.aggregatePushdown", "true")  # concerns version-2 reads only
+    try:
+        conf.set(name, ",".join(s for s in before.split(",") if s.strip().lower() != "parquet"))
+        df = spark.read.parquet(path)
+    finally:
+        conf.set(name, before)
+    return df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("records"))

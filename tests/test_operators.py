@@ -636,3 +636,94 @@ def test_write_checked_stops_and_reports_a_rule_that_cannot_run(spark):
     with pytest.raises(Q.QualityStop):
         Q.write_checked(df, "t", broken, "d", months, kept.append)
     assert [r.check for r in kept[-1].collect()] == [Q.ERROR]
+
+
+def test_greatest_on_or_after_matches_brute_force(spark):
+    import random
+
+    rng = random.Random(1)
+    day = lambda: dt.date(2020, 1, 1) + dt.timedelta(rng.randint(0, 20))
+    facts = [(rng.choice([1, 1, 1, 2, 3, None]), day() if rng.random() < 0.95 else None, rng.randint(1, 99)) for _ in range(300)]
+    asked = [(i, rng.choice([1, 1, 2, 4, None]), day() if rng.random() < 0.9 else None) for i in range(200)]
+    f = spark.createDataFrame(facts, "k int, granted date, loan int")
+    r = spark.createDataFrame(asked, "id int, k int, asked date")
+    got = J.greatest_on_or_after(r, f, ["k"], "asked", "granted", "loan", "best")
+    want = sorted((i, max((v for k2, g, v in facts if k2 == k and k is not None and g and d and g >= d), default=None))
+                  for i, k, d in asked)
+    assert sorted(rows(got, "id", "best"), key=lambda x: x[0]) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "SortMergeJoin" not in plan.split("Window")[0]
+
+
+def test_keep_ratio_counts_values_without_a_set(spark):
+    """Nulls are no value; a group without any value is kept whole; hot and cold groups agree."""
+    data = [(1, i, v) for i, v in enumerate(["a", "b", None, "a", "b", "a"])] + [(2, i, None) for i in range(3)] + \
+        [(3, i, "x") for i in range(4)] + [(None, i, v) for i, v in enumerate("pqpq")]
+    df = spark.createDataFrame(data, "g int, i int, v string")
+    want = sorted([(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2), (3, 0), (3, 1), (3, 2), (3, 3), (None, 0), (None, 1)], key=str)
+    for hot in (100, 2):
+        out = W.keep_ratio(df, ["g"], ["i"], distinct_col="v", hot_threshold=hot)
+        assert sorted(rows(out, "g", "i"), key=str) == want, hot
+    import __spark_entry__ as E
+    for name in ("ratio_cut", "debt_features"):
+        assert "collect_set" not in E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_state_of_a_second_run_reads_its_months_only(spark, tmp_path):
+    from featuremart.operators import monthly_state as M
+
+    path, src = str(tmp_path / "state"), str(tmp_path / "t")
+    data = [(dt.datetime(2020, m, d), c) for m in (1, 2, 3) for d, c in ((3, 7), (9, 7), (9, 40_000), (20, -5), (21, 0), (22, None))]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, c bigint")
+    df.write.parquet(src)
+    df = spark.read.parquet(src)
+    M.update_state(spark, path, df, "ts", "c", "2020-01-01", "2020-02-29")
+    before = _files(tmp_path / "state")
+    scanned = M.month_state(date_range_filter(df, "ts", "2020-03-01", "2020-03-31"), "ts", "c")
+    assert "GreaterThanOrEqual(ts" in scanned._jdf.queryExecution().executedPlan().toString()
+    assert [m["partition"] for m in M.update_state(spark, path, df, "ts", "c", "2020-03-05", "2020-03-10")] == [202003]
+    after = _files(tmp_path / "state")
+    assert all(after[f] == before[f] for f in before)
+    got = M.monthly_counts(spark.read.parquet(path))
+    assert sorted(rows(got, "total_rows", "unique_customers", "empty_c", "zero_c", "empty_ts")) == [(6, 4, 1, 1, 0)] * 3
+    # a month that lost its rows is dropped from the state
+    M.update_state(spark, path, df.where("month(ts) <> 2"), "ts", "c", "2020-02-01", "2020-02-29")
+    assert spark.read.parquet(path).select("info_date").distinct().count() == 2
+    with pytest.raises(TypeError):
+        M.month_state(df.withColumn("c", F.col("c").cast("string")), "ts", "c")
+
+
+def test_controls_of_the_newest_month_need_two_stored_rows(spark):
+    from featuremart.operators import monthly_state as M
+
+    ends = [dt.date(2018 + i // 12, i % 12 + 1, 1) for i in range(30)]
+    series = spark.createDataFrame([("t", 1000 + (i * 37) % 101, i % 3, d) for i, d in enumerate(ends)],
+                                   "table_name string, records long, customers long, info_date date").withColumn(
+        "info_date", F.last_day("info_date"))
+    want = {r.info_date: r for r in P.volume_report(series).collect()}
+    stored = M.moments(series.where("info_date < date'2020-06-01'"), ["records", "customers"])
+    newest = series.where("info_date > date'2020-06-01'")
+    needed = stored.where("info_date in (date'2020-05-31', date'2018-11-30')")   # the month before, and 18 further back
+    assert needed.count() == 2
+    r, = M.controls(newest, needed, ["records", "customers"]).collect()
+    w = want[r.info_date]
+    for c in ("records_mean", "records_sd", "records_z", "records_lower", "customers_mean", "customers_sd", "customers_z"):
+        assert r[c] == pytest.approx(w[c], rel=1e-9), c
+    assert (r.records_state, r.customers_state, r.records_n_hist) == (w.records_state, w.customers_state, w.records_n_hist)
+    # moments go on from the newest stored row
+    on = M.moments(newest, ["records", "customers"], stored).collect()[0]
+    whole = M.moments(series, ["records", "customers"]).where("info_date > date'2020-06-01'").collect()[0]
+    assert on == whole
+
+
+def test_partition_counts_read_no_column(spark, tmp_path):
+    from featuremart.sources.readers import partition_counts
+
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id", "cast(id % 3 as int) as day").write.partitionBy("day").parquet(path)
+    v1 = spark.conf.get("spark.sql.sources.useV1SourceList")
+    got = partition_counts(spark, path, "day")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [day]" in plan and "ReadSchema: struct<day:int,count(*)" in plan
+    assert sorted(rows(got, "day", "records")) == [(0, 34), (1, 33), (2, 33)]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == v1 and "parquet" in v1
