@@ -128,6 +128,23 @@ def latest_if_present(history: DataFrame, partition: Sequence[str], date_col: st
         F.when(F.col(presence_col) > 0, F.col(c)).alias(c) for c in shown])
 
 
+def worst_of(grade_col: str, tiebreak: Sequence[Column], shown: Sequence[str], exclude_grades: Iterable = ()) -> Column:
+    """WN-04 / WN-05 as an aggregate: the ``shown`` columns of the row with the
+    highest grade (ties: greatest ``tiebreak``), ungraded rows left out. For
+    callers that need one row per key and have a grouped pass of their own."""
+    graded = F.col(grade_col).isNotNull()
+    if list(exclude_grades):
+        graded = graded & ~F.col(grade_col).isin(*list(exclude_grades))
+    return F.max(F.when(graded, F.struct(F.col(grade_col), *[c.alias(f"__t{i}") for i, c in enumerate(tiebreak)],
+                                         F.struct(*shown).alias("row"))))["row"]
+
+
+def latest_of(date_col: str, tiebreak: Sequence[Column], shown: Sequence[str]) -> Column:
+    """WN-06 as an aggregate: the ``shown`` columns of the newest row."""
+    return F.max(F.struct(F.col(date_col), *[c.alias(f"__t{i}") for i, c in enumerate(tiebreak)],
+                          F.struct(*shown).alias("row")))["row"]
+
+
 def keep_ratio(df: DataFrame, partition: Sequence[str], order: Iterable, divisor_col: str | None = None,
                distinct_col: str | None = None, hot_threshold: int = HOT_GROUP_ROWS) -> DataFrame:
     """WN-07: keep the first ceil(rows / divisor) rows per group, which drops

@@ -8,19 +8,20 @@ node's parameters on the driver tables, not values of the reference.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featuremart.functions import dates as D
 from featuremart.functions import lookup as L
 from featuremart.functions import text as T
 from featuremart.functions.currency import currency_views
+from featuremart.operators import windows as W
 from featuremart.operators.broadcast import join_small
 from featuremart.operators.columns import (fill_numeric_zero, label_missing_text,
                                            project, to_val_columns)
 from featuremart.operators.joins import add_rate, first_per_group, join_all
 from featuremart.plans.inputs import (CURRENCIES, FOREIGN, HOME, RATES_SQL, SNAPSHOTS_SQL,
-                                      TRANSACTIONS_SQL, account_snapshots, rates, t, transactions)
+                                      TRANSACTIONS_SQL, rates, t, transactions)
 from featuremart.plans.registry import register
 
 
@@ -143,12 +144,14 @@ FROM b LEFT JOIN m USING (customer_key, account_key, info_date)
 @register("current_account_features", CURRENT_ACCOUNT_SQL)
 def current_account_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["customer_key", "account_key"]
-    s = account_snapshots(spark, sf_dir)
-    # first order per account: grouped min (partial aggregation), joined back
-    first = t(spark, sf_dir, "orders").groupBy(
-        F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key")
-    ).agg(F.min(F.to_date("o_orderdate")).alias("first_order"))
-    b = add_rate(s.join(first, keys), rates(spark, sf_dir), "info_date", snapshot=True)
+    # the month's last order (snapshot) and the account's first one from one grouped pass
+    o = t(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"), F.to_date("o_orderdate").alias("order_date"),
+        "o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_totalprice").cast("decimal(18,2)").alias("balance"))
+    s = o.groupBy(*keys, F.last_day("order_date").alias("info_date")).agg(
+        F.min("order_date").alias("first_order"), W.latest_of("order_date", [F.col("o_orderkey")], ["order_date", "status", "balance"]).alias("last"))
+    s = s.select(*keys, "info_date", F.min("first_order").over(Window.partitionBy(*keys)).alias("first_order"), "last.*")
+    b = add_rate(s, rates(spark, sf_dir), "info_date", snapshot=True)
     b = b.withColumn("currency_id", F.when(F.col("customer_key") % 2 == 0, F.lit(HOME))
                      .otherwise(F.lit(FOREIGN)))
     # CL-19 ages and status; TR-12 balance by currency (SC-19)
@@ -183,15 +186,19 @@ def customer_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min(F.to_date("o_orderdate")).alias("joined_on"))
     x = join_small(c, n, c.c_nationkey == n.n_nationkey, "left")
     x = x.join(first, x.c_custkey == first.o_custkey, "left")
+    return to_val_columns(label_missing_text(x.select(*cleaned_columns()), exclude=["customer_key", "customer_hex"]))
+
+
+def cleaned_columns() -> list[Column]:
+    """CL-21 columns over customer, its nation's name and the first order day."""
     raw_flag = F.when(F.col("c_acctbal") > 0, F.lit(" si ")).otherwise(F.lit("no"))
-    out = x.select(F.col("c_custkey").alias("customer_key"), T.hex_key("c_custkey").alias("customer_hex"),
-                   F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("nation"), "joined_on",
-                   D.whole_years_between("joined_on", F.lit(AS_OF)).alias("years_as_customer"),
-                   D.days_between("joined_on", F.lit(AS_OF)).alias("days_as_customer"),
-                   T.truthy_flag(raw_flag).alias("positive_balance_flag"),
-                   T.any_has_word(["c_mktsegment", "n_name", "c_name"], LISTED_WORDS).alias("listed_flag"),
-                   F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
-    return to_val_columns(label_missing_text(out, exclude=["customer_key", "customer_hex"]))
+    return [F.col("c_custkey").alias("customer_key"), T.hex_key("c_custkey").alias("customer_hex"),
+            F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("nation"), "joined_on",
+            D.whole_years_between("joined_on", F.lit(AS_OF)).alias("years_as_customer"),
+            D.days_between("joined_on", F.lit(AS_OF)).alias("days_as_customer"),
+            T.truthy_flag(raw_flag).alias("positive_balance_flag"),
+            T.any_has_word(["c_mktsegment", "n_name", "c_name"], LISTED_WORDS).alias("listed_flag"),
+            F.col("c_acctbal").cast("decimal(18,2)").alias("balance")]
 
 
 def _listed_sql(cols: list[str]) -> str:

@@ -272,44 +272,99 @@ def loan_ageing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- IN-05: card profile per customer and month: first opening, company cards, balances and
-#     utilisation of valid accounts, arrears maxima, newest past-due account, states with total
+#     utilisation of valid accounts, arrears maxima, newest past-due account, best account (highest
+#     grade, newest first) with and without valid add-ons, states with total, arrears pivoted by
+#     days late and by cycle, valid add-ons, card use with the average purchase
 VALID = ["current", "blocked"]
+LATE_STEP, LATE_BUCKETS, CYCLES = 5, [0, 5, 10, 15, 20], ["late_10", "late_20", "late_over_20"]
+CARD_USES = ["addons_cnt", "uses_cnt", "uses", "withdrawals_cnt", "withdrawals", "purchases_cnt", "purchases", "home_uses_cnt", "foreign_uses_cnt"]
+_VALID_SQL = "state IN ('current', 'blocked')"
+
+
+def _bucket_sql(cur: str, code: int) -> str:
+    parts = []
+    for b in LATE_BUCKETS:
+        hit = f"{_VALID_SQL} AND currency_id = {code} AND late_days <= {LATE_BUCKETS[-1]} AND late_days // {LATE_STEP} * {LATE_STEP} = {b}"
+        parts.append(f"{_cnt_sql(hit, f'{cur}_late_{b}_cnt')}, {_sum_sql(hit, 'balance')} AS {cur}_late_{b}_balance")
+    return ", ".join(parts)
+
+
+_CYCLE_SQL = f"CASE WHEN {_VALID_SQL} AND late_days >= 10 THEN CASE WHEN late_days // 10 <= 2 THEN 'late_' || late_days // 10 * 10 ELSE 'late_over_20' END END"
+_USES_SQL = f"""
+  SELECT l_orderkey, {_cnt_sql("l_linestatus = 'F' AND l_returnflag IN ('A', 'N')", "addons_cnt")}, CAST(count(*) AS BIGINT) AS uses_cnt, sum(amount) AS uses,
+         {_cnt_sql("l_returnflag = 'R'", "withdrawals_cnt")}, {_sum_sql("l_returnflag = 'R'")} AS withdrawals,
+         {_cnt_sql("l_returnflag = 'N'", "purchases_cnt")}, {_sum_sql("l_returnflag = 'N'")} AS purchases,
+         {_cnt_sql("l_suppkey % 2 = 0", "home_uses_cnt")}, {_cnt_sql("l_suppkey % 2 <> 0", "foreign_uses_cnt")}
+  FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount FROM lineitem) GROUP BY 1"""
 
 
 @register("card_profile_month", f"""
-WITH a AS (SELECT *, CAST(substr(account_key, 1, 1) AS INTEGER) AS grade, balance * 2 AS credit_limit,
-                  CAST(_observ_end_dt - opened AS INTEGER) AS late_days FROM ({ACCOUNTS_SQL})),
-r AS (SELECT *, row_number() OVER (PARTITION BY customer_key, _observ_end_dt
-                                   ORDER BY CASE WHEN late_days >= 20 THEN 1 ELSE 0 END DESC, opened DESC, o_orderkey DESC) AS rn FROM a),
+WITH u AS ({_USES_SQL}),
+a AS (SELECT x.*, CAST(substr(account_key, 1, 1) AS INTEGER) AS grade, balance * 2 AS credit_limit,
+             CAST(_observ_end_dt - opened AS INTEGER) AS late_days, {", ".join(f"coalesce(u.{c}, 0) AS {c}" for c in CARD_USES)}
+      FROM ({ACCOUNTS_SQL}) x LEFT JOIN u ON u.l_orderkey = x.o_orderkey),
+c AS (SELECT *, {_CYCLE_SQL} AS cycle,
+             row_number() OVER (PARTITION BY customer_key, _observ_end_dt ORDER BY CASE WHEN late_days >= 20 THEN 1 ELSE 0 END DESC, opened DESC, o_orderkey DESC) AS rn,
+             row_number() OVER (PARTITION BY customer_key, _observ_end_dt ORDER BY grade DESC, opened DESC, o_orderkey DESC) AS best,
+             row_number() OVER (PARTITION BY customer_key, _observ_end_dt, addons_cnt = 0 ORDER BY grade DESC, opened DESC, o_orderkey DESC) AS best_alone FROM a),
 g AS (SELECT customer_key, _observ_end_dt, min(opened) AS first_opened,
              CAST(max(CASE WHEN grade = 1 THEN 1 ELSE 0 END) AS INTEGER) AS company_flag, {_cnt_sql("grade = 1", "company_cnt")},
-             sum(CASE WHEN state IN ('current', 'blocked') THEN balance END) AS balance,
-             sum(CASE WHEN state IN ('current', 'blocked') THEN credit_limit END) AS credit_limit,
-             CAST(max(CASE WHEN state IN ('current', 'blocked') AND late_days >= 10 THEN 1 WHEN state IN ('current', 'blocked') THEN 0 END) AS INTEGER) AS late_10_flag,
-             CAST(max(CASE WHEN state IN ('current', 'blocked') AND late_days >= 20 THEN 1 WHEN state IN ('current', 'blocked') THEN 0 END) AS INTEGER) AS late_20_flag,
-             max(CASE WHEN state IN ('current', 'blocked') THEN late_days END) AS max_late_days,
-             max(CASE WHEN state IN ('current', 'blocked') AND currency_id = 1 THEN late_days END) AS max_late_home,
-             max(CASE WHEN state IN ('current', 'blocked') AND currency_id = 2 THEN late_days END) AS max_late_foreign,
-             max(CASE WHEN rn = 1 THEN opened END) AS past_due_opened, max(grade) AS best_grade,
-             {", ".join(_cnt_sql(f"state = '{s}'", f"{s}_cnt") for s in CARD_STATES)}
-      FROM r GROUP BY 1, 2)
-SELECT g.* EXCLUDE (balance, credit_limit), {_val("balance", "balance_val")}, {_val("credit_limit", "credit_limit_val")},
+             sum(CASE WHEN {_VALID_SQL} THEN balance END) AS balance, sum(CASE WHEN {_VALID_SQL} THEN credit_limit END) AS credit_limit,
+             CAST(max(CASE WHEN {_VALID_SQL} AND late_days >= 10 THEN 1 WHEN {_VALID_SQL} THEN 0 END) AS INTEGER) AS late_10_flag,
+             CAST(max(CASE WHEN {_VALID_SQL} AND late_days >= 20 THEN 1 WHEN {_VALID_SQL} THEN 0 END) AS INTEGER) AS late_20_flag,
+             max(CASE WHEN {_VALID_SQL} THEN late_days END) AS max_late_days,
+             max(CASE WHEN {_VALID_SQL} AND currency_id = 1 THEN late_days END) AS max_late_home,
+             max(CASE WHEN {_VALID_SQL} AND currency_id = 2 THEN late_days END) AS max_late_foreign,
+             max(CASE WHEN rn = 1 THEN opened END) AS past_due_opened, max(CASE WHEN best = 1 THEN account_key END) AS best_account,
+             max(CASE WHEN best_alone = 1 AND addons_cnt = 0 THEN account_key END) AS best_account_no_addon,
+             {", ".join(_cnt_sql(f"state = '{s}'", f"{s}_cnt") for s in CARD_STATES)},
+             {_bucket_sql("home", 1)}, {_bucket_sql("foreign", 2)},
+             {", ".join(_sum_sql(f"cycle = '{k}'", "balance") + f" AS {k}_balance" for k in CYCLES)},
+             {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" if c.endswith("_cnt") else f"sum({c}) AS {c}" for c in CARD_USES)}
+      FROM c GROUP BY 1, 2)
+SELECT customer_key, _observ_end_dt, first_opened, company_flag, company_cnt, late_10_flag, late_20_flag, max_late_days, max_late_home, max_late_foreign,
+       past_due_opened, best_account, best_account_no_addon, {", ".join(f"{s}_cnt" for s in CARD_STATES)},
+       {", ".join(f"{cur}_late_{b}_cnt, {_val(f'{cur}_late_{b}_balance', f'{cur}_late_{b}_balance_val')}" for cur, _ in CURRENCIES for b in LATE_BUCKETS)},
+       {", ".join(_val(f"{k}_balance", f"{k}_balance_val") for k in CYCLES)},
+       {", ".join(c if c.endswith("_cnt") else _val(c, f"{c}_val") for c in CARD_USES)},
+       {_val("CASE WHEN purchases_cnt > 0 THEN CAST((CAST(purchases * 100 AS HUGEINT) * 2 + purchases_cnt) // (2 * purchases_cnt) AS DECIMAL(19,2)) * 0.01 END", "average_purchase_val")},
+       {_val("balance", "balance_val")}, {_val("credit_limit", "credit_limit_val")},
        CASE WHEN credit_limit > 0 THEN {_ratio4_sql("balance", "credit_limit")} END AS utilisation_ratio,
        CAST(current_cnt + blocked_cnt AS BIGINT) AS cards_total_cnt,
        CAST(CASE WHEN first_opened >= DATE '1998-06-01' THEN 0 ELSE 1 END AS INTEGER) AS opened_before_flag
 FROM g
 """)
 def card_profile_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = accounts(spark, sf_dir).withColumns({
+    # card use and add-ons per account first: one pass over the movements, one join to the accounts
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_linestatus",
+                                             F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+    kind, home_use = F.col("l_returnflag"), F.col("l_suppkey") % 2 == 0
+    uses = li.groupBy("l_orderkey").agg(
+        A.count_if((F.col("l_linestatus") == "F") & kind.isin("A", "N")).alias("addons_cnt"), F.count(F.lit(1)).alias("uses_cnt"), F.sum("amount").alias("uses"),
+        A.count_if(kind == "R").alias("withdrawals_cnt"), total(kind == "R").alias("withdrawals"),
+        A.count_if(kind == "N").alias("purchases_cnt"), total(kind == "N").alias("purchases"),
+        A.count_if(home_use).alias("home_uses_cnt"), A.count_if(~home_use).alias("foreign_uses_cnt"))
+    a = accounts(spark, sf_dir).join(uses.hint("shuffle_merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    a = fill_numeric_zero(a, CARD_USES).withColumns({
         "grade": F.substring("account_key", 1, 1).cast("int"), "credit_limit": F.col("balance") * 2,
         "late_days": F.datediff("_observ_end_dt", "opened")})
     valid = F.col("state").isin(*VALID)
+    cycle = F.when(valid & (F.col("late_days") >= 10), F.when(F.floor(F.col("late_days") / 10) <= 2, F.concat(
+        F.lit("late_"), (F.floor(F.col("late_days") / 10) * 10).cast("string"))).otherwise("late_over_20"))
+    a = a.withColumns({"cycle": cycle, "late_bucket": F.when(valid & (F.col("late_days") <= LATE_BUCKETS[-1]), A.bucket(
+        F.floor(F.col("late_days") / LATE_STEP), LATE_STEP, LATE_BUCKETS[-1] // LATE_STEP))})
 
     def late(days: int) -> Column:
         return F.max(F.when(valid, (F.col("late_days") >= days).cast("int")))
 
-    # the newest past-due account is a greatest struct of the same pass, no window
+    # the newest past-due and the best account are greatest structs of the same pass, no window
     newest = F.max(F.struct((F.col("late_days") >= 20).cast("int").alias("due"), "opened", "o_orderkey"))
+    rank = F.struct("grade", "opened", "o_orderkey", "account_key")
+    buckets = []
+    for cur, code in CURRENCIES:
+        for b in LATE_BUCKETS:
+            hit = (F.col("late_bucket") == b) & (F.col("currency_id") == code)
+            buckets += [A.count_if(hit).alias(f"{cur}_late_{b}_cnt"), total(hit, "balance").alias(f"{cur}_late_{b}_balance")]
     g = a.groupBy(*MONTH).agg(
         F.min("opened").alias("first_opened"), A.any_flag(F.col("grade") == 1).alias("company_flag"),
         A.count_if(F.col("grade") == 1).alias("company_cnt"),
@@ -318,13 +373,15 @@ def card_profile_month(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.when(valid, F.col("late_days"))).alias("max_late_days"),
         *[F.max(F.when(valid & (F.col("currency_id") == code), F.col("late_days"))).alias(f"max_late_{cur}")
           for cur, code in CURRENCIES],
-        newest.alias("newest"), F.max("grade").alias("best_grade"),
-        *A.pivot_aggs("state", CARD_STATES, {"cnt": ("count", None)}))
+        newest.alias("newest"), F.max(rank).alias("best"), F.max(F.when(F.col("addons_cnt") == 0, rank)).alias("alone"),
+        *A.pivot_aggs("state", CARD_STATES, {"cnt": ("count", None)}), *buckets,
+        *[total(F.col("cycle") == k, "balance").alias(f"{k}_balance") for k in CYCLES], *[F.sum(c).alias(c) for c in CARD_USES])
     g = g.withColumns({
-        "past_due_opened": F.col("newest.opened"),
-        "cards_total_cnt": F.col("current_cnt") + F.col("blocked_cnt"),
-        "opened_before_flag": F.when(F.col("first_opened") >= F.lit("1998-06-01").cast("date"), 0).otherwise(1)}).drop("newest")
-    return to_val_columns(g).withColumn("utilisation_ratio", F.when(
+        "past_due_opened": F.col("newest.opened"), "best_account": F.col("best.account_key"),
+        "best_account_no_addon": F.col("alone.account_key"), "cards_total_cnt": F.col("current_cnt") + F.col("blocked_cnt"),
+        "average_purchase": F.when(F.col("purchases_cnt") > 0, F.col("purchases") / F.col("purchases_cnt")),
+        "opened_before_flag": F.when(F.col("first_opened") >= F.lit("1998-06-01").cast("date"), 0).otherwise(1)})
+    return to_val_columns(g.drop("newest", "best", "alone")).withColumn("utilisation_ratio", F.when(
         F.col("credit_limit_val") > 0, ratio4("balance_val", "credit_limit_val")))
 
 
@@ -535,9 +592,16 @@ def card_account_month(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.last_day(F.to_date("l_shipdate")).alias("_observ_end_dt"), "o_orderstatus", "l_returnflag",
         (F.col("l_suppkey") % 2 == 0).alias("home"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
         F.to_date("l_shipdate").alias("shipped"), F.greatest(F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")), F.lit(0)).alias("late"))
+    a = x.groupBy("customer_key", "account_key", "_observ_end_dt").agg(*card_month_measures())
+    return card_month_columns(add_rate(a, rates(spark, sf_dir), "_observ_end_dt", snapshot=True))
+
+
+def card_month_measures() -> list[Column]:
+    """CL-10 / CL-12 measures of an account's month, as aggregates for the
+    caller's own pass."""
     home, paid = F.col("home"), F.col("l_returnflag") == "R"
     zero = F.lit(0)
-    a = x.groupBy("customer_key", "account_key", "_observ_end_dt").agg(
+    return [
         total(F.col("o_orderstatus") == "O").alias("limit_home"), total(F.col("o_orderstatus") != "O").alias("limit_foreign"),
         total(home).alias("balance_home"), total(~home).alias("balance_foreign"),
         F.coalesce(F.max(F.when(home, F.col("late"))), zero).alias("late_home"),
@@ -545,11 +609,15 @@ def card_account_month(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.when(paid, F.col("shipped"))).alias("statement_date"),
         A.sum_if(paid & home, "amount").alias("paid_home"), A.sum_if(paid & ~home, "amount").alias("paid_foreign"),
         # states seen, as flags: no distinct aggregate needed
-        sum((F.max(F.when(F.col("o_orderstatus") == s, 1).otherwise(0)) for s in ("F", "O", "P")), zero).alias("states"))
-    c = add_rate(a, rates(spark, sf_dir), "_observ_end_dt", snapshot=True)
+        sum((F.max(F.when(F.col("o_orderstatus") == s, 1).otherwise(0)) for s in ("F", "O", "P")), zero).alias("states")]
+
+
+def card_month_columns(a: DataFrame, also: tuple = ()) -> DataFrame:
+    """TR-06: the account chain from ``card_month_measures`` and the month
+    end's rate; ``also`` names further columns to keep."""
     cycle = {k: F.when(F.col(f"balance_{k}") > 0, F.floor(F.col(f"late_{k}") / 30).cast("int")).otherwise(0)
              for k in ("home", "foreign")}
-    c = c.withColumns({"cycle_home": cycle["home"], "cycle_foreign": cycle["foreign"],
+    c = a.withColumns({"cycle_home": cycle["home"], "cycle_foreign": cycle["foreign"],
                        "late_days": F.greatest("late_home", "late_foreign")})
     late, foreign_home = F.col("late_days"), F.col("balance_foreign") * F.col("rate")
     due_home, due_foreign = F.col("cycle_home") > 0, F.col("cycle_foreign") > 0
@@ -567,7 +635,7 @@ def card_account_month(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(due_foreign, F.col("balance_foreign")).otherwise(none).alias("arrears_foreign"),
         F.when(due_home & due_foreign, F.col("balance_home") + foreign_home).when(due_home, F.col("balance_home"))
          .when(due_foreign, foreign_home).otherwise(none).alias("arrears_converted"),
-        F.when(F.col("states") > 1, 1).otherwise(0).alias("limit_change_flag")))
+        F.when(F.col("states") > 1, 1).otherwise(0).alias("limit_change_flag"), *also))
 
 
 # --- CL-56 / TR-35: investment accounts: standard state from its text (SC-07), bad-state flag (SC-09),

@@ -19,14 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.operators.columns import with_observation_dates, with_period
-from featuremart.operators.profiling import volume_report, volume_series
+from featuremart.operators.monthly_state import update_state, volumes
+from featuremart.operators.profiling import volume_report
 from featuremart.operators.quality import QualityRules, month_ranges, require_gate, write_checked
 from featuremart.operators.setops import union_same_shape
 from featuremart.plans.customer import customer_rollup
 from featuremart.plans.features import month_features_df
 from featuremart.plans.cleaning import customer_cleaned
 from featuremart.plans.inputs import SEGMENTS, t
-from featuremart.sources.writers import save_partitioned
+from featuremart.sources.writers import has_files, save_partitioned
 
 ACCOUNT_RULES = QualityRules(
     unique_keys=["customer_key", "account_key", "_observ_end_dt"],
@@ -52,6 +53,7 @@ def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=
              "accounts": f"{out_root}/account_month_features",
              "customers": f"{out_root}/customer_month_features",
              "history": f"{out_root}/quality_history",
+             "state": f"{out_root}/volume_state",
              "volumes": f"{out_root}/volume_report"}
 
     def publish(name: str, df: DataFrame, rules: QualityRules, path: str, months: list | None) -> None:
@@ -92,9 +94,15 @@ def run_layers(spark: SparkSession, sf_dir: str, out_root: str, start=None, end=
     # volumes up to the run's last month, which is closed on the day after it
     run_date = _date.fromisoformat(str(as_of)[:10]).replace(day=28) + timedelta(days=4)
 
+    # volumes from the state kept between runs: the run's months are read, the others come from stored
+    # counts and customer bitmaps (the first run, or a run without a range, reads the whole layer)
     series = []
     for name in ("accounts", "customers"):
-        df = spark.read.parquet(paths[name])
-        series.append(volume_series(df, name, "_observ_end_dt", run_date, "customer_key"))
+        df, state = spark.read.parquet(paths[name]).select("_observ_end_dt", "customer_key"), f"{paths['state']}/{name}"
+        months = (start, end) if run_months and has_files(spark, state) else df.agg(
+            F.min("_observ_end_dt").cast("string"), F.max("_observ_end_dt").cast("string")).first()
+        if months[0] is not None:
+            update_state(spark, state, df, "_observ_end_dt", "customer_key", *months)
+            series.append(volumes(spark.read.parquet(state), name, run_date))
     volume_report(union_same_shape(series)).write.mode("overwrite").parquet(paths["volumes"])
     return paths

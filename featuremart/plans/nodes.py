@@ -128,14 +128,15 @@ def worst_and_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("customer_key"), "o_orderkey",
         F.substring("o_orderpriority", 1, 1).cast("int").alias("grade"),
         F.to_date("o_orderdate").alias("d"), "o_orderstatus", "o_totalprice")
-    worst = W.worst_row(o, ["customer_key"], "grade", [("o_orderkey", "asc")], exclude_grades=[5]) \
-        .select("customer_key", F.col("o_orderkey").alias("worst_order"), F.col("grade").alias("worst_grade"))
-    hist = o.join(o.groupBy("customer_key").agg(A.count_if(F.col("o_orderstatus") == "O").alias("open_cnt")),
-                  "customer_key")
-    latest = W.latest_if_present(hist.withColumnsRenamed({"d": "latest_date", "o_totalprice": "latest_amount"}),
-                                 ["customer_key"], "latest_date", [("o_orderkey", "desc")], "open_cnt",
-                                 ["latest_date", "latest_amount"])
-    return latest.join(worst, "customer_key", "left")
+    # one grouped pass: open orders, worst graded row and newest row are aggregates of it
+    g = o.groupBy("customer_key").agg(
+        A.count_if(F.col("o_orderstatus") == "O").alias("open_cnt"),
+        W.worst_of("grade", [-F.col("o_orderkey")], ["o_orderkey", "grade"], exclude_grades=[5]).alias("worst"),
+        W.latest_of("d", [F.col("o_orderkey")], ["d", "o_totalprice"]).alias("latest"))
+    has_debt = F.col("open_cnt") > 0
+    return g.select("customer_key", "open_cnt", F.when(has_debt, F.col("latest.d")).alias("latest_date"),
+                    F.when(has_debt, F.col("latest.o_totalprice")).alias("latest_amount"),
+                    F.col("worst.o_orderkey").alias("worst_order"), F.col("worst.grade").alias("worst_grade"))
 
 
 # --- DQ-06 / DQ-14: validate every dataset of a layer in one plan; a validator that fails becomes a HIGH record

@@ -5,7 +5,7 @@ node and the whole credit-card node."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featuremart.functions import dates as D
@@ -13,16 +13,19 @@ from featuremart.functions import lookup as L
 from featuremart.functions import text as T
 from featuremart.operators import aggregates as A
 from featuremart.operators.columns import fill_numeric_zero, to_val_columns
-from featuremart.operators.joins import join_all
-from featuremart.plans.cleaning import _case_sql, _slug_sql
-from featuremart.plans.customer_month import (ACCOUNTS_SQL, MONTH, _cnt_sql, _months_sql, _sum_sql,
-                                              _val, accounts, card_account_month, total)
-from featuremart.plans.inputs import FOREIGN, HOME, TRANSACTIONS_SQL, t, transactions
-from featuremart.plans.layers import login_flags
-from featuremart.plans.layers2 import income_and_supplier, instalments
-from featuremart.plans.layers3 import customer_base_with_form
+from featuremart.operators.broadcast import join_small
+from featuremart.operators.columns import label_missing_text
+from featuremart.operators.joins import add_rate, join_all
+from featuremart.plans import layers2, layers3  # noqa: F401  (their oracles are parts of the whole nodes')
+from featuremart.plans.cleaning import _case_sql, _slug_sql, cleaned_columns
+from featuremart.plans.customer import ratio4
+from featuremart.plans.customer_month import (ACCOUNTS_SQL, MONTH, _cnt_sql, _months_sql, _sum_sql, _val, accounts,
+                                              card_month_columns, card_month_measures, total)
+from featuremart.plans.inputs import FOREIGN, HOME, TRANSACTIONS_SQL, rates, t, transactions
+from featuremart.plans.layers import card_account_aggs
+from featuremart.plans.layers2 import INSTALMENT_GROUPS
 from featuremart.plans.registry import ORACLES, register
-from featuremart.plans.transform import customer_node
+from featuremart.plans.transform import _BAL_SQL, _PAY_SQL, PAYMENT_MEASURES, card_balances, payment_aggs
 
 # --- CL-13: card catalog: category from a dictionary, grade and next grade, premium and company flags
 CATEGORIES = {"ECONOMY": "classic", "STANDARD": "classic", "SMALL": "silver", "MEDIUM": "gold", "LARGE": "platinum"}
@@ -199,37 +202,162 @@ FROM n LEFT JOIN f USING (customer_key) LEFT JOIN s USING (customer_key) LEFT JO
 LEFT JOIN a USING (customer_key) LEFT JOIN d USING (customer_key)
 """)
 def customer_node_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = ["customer_key"]
-    form = customer_base_with_form(spark, sf_dir).select("customer_key", "company_form", "form_date")
-    supplier = income_and_supplier(spark, sf_dir).select("customer_key", "supplier_flag")
-    app = login_flags(spark, sf_dir).groupBy("customer_key").agg(
-        F.max("app_login_flag").alias("app_login_flag"), F.max("app_last_login").alias("app_last_login"))
-    nation, region = t(spark, sf_dir, "nation"), t(spark, sf_dir, "region")
-    place = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", T.slug(F.lower(F.concat("n_name", F.lit(" "), F.col("r_name")))).alias("main_address"))
-    address = t(spark, sf_dir, "customer").join(place, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("customer_key"), "main_address")
-    leads = t(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P").groupBy(
-        F.col("o_custkey").alias("customer_key")).agg(F.count(F.lit(1)).alias("leads_cnt"))
-    out = join_all([customer_node(spark, sf_dir), form, supplier, app, address, leads], key, "left")
-    return fill_numeric_zero(out, ["supplier_flag", "app_login_flag", "leads_cnt"])
-
-
-# --- TR-11: the credit-card node: account chain (TR-06) with the catalog's category and the
-#     customer's instalments (TR-10)
+    # one grouped pass per table, each keyed by the customer; the joins find both sides already
+    # partitioned by it, so a table is exchanged for its own aggregate and no more
+    per_product = t(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderpriority", "o_orderstatus").agg(
+        F.min(F.to_date("o_orderdate")).alias("first"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amount"),
+        F.max(F.struct(F.to_date("o_orderdate").alias("day"), "o_orderkey")).alias("last"), F.count(F.lit(1)).alias("orders"))
+    status = F.col("o_orderstatus")
+    orders = per_product.groupBy(F.col("o_custkey").alias("customer_key")).agg(
+        F.min("first").alias("joined_on"), A.sum_if(status == "F", "amount").alias("income"), F.count(F.lit(1)).alias("products_cnt"),
+        F.max(F.struct("last.day", "last.o_orderkey", status.alias("form"))).alias("form"),
+        F.sum(F.when(status == "P", F.col("orders"))).alias("leads_cnt"))
+    login = F.col("event_type").like("%sign%") | F.col("event_type").like("%click%")
+    events = t(spark, sf_dir, "events").groupBy(F.col("user_id").alias("customer_key")).agg(
+        A.any_flag(F.col("event_type") == "view").alias("web_login_flag"), A.any_flag(login).alias("app_login_flag"),
+        F.max(F.when(login, F.to_date("ts"))).alias("app_last_login"))
+    active = T.truthy_flag(F.when(F.col("s_acctbal") >= 0, F.lit("Y")).otherwise(F.lit(" n")))
+    staff = t(spark, sf_dir, "supplier").groupBy(F.col("s_suppkey").alias("customer_key")).agg(
+        F.max(active).alias("employee_active_flag"), F.lit(1).alias("employee_flag"), F.lit(1).alias("supplier_flag"))
+    place = t(spark, sf_dir, "nation").join(F.broadcast(t(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    c = join_small(t(spark, sf_dir, "customer"), place, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    c = c.withColumn("customer_key", F.col("c_custkey"))
+    x = join_all([c, orders, events, staff], ["customer_key"], "left").drop("customer_key")
+    kept = {"employee_flag", "employee_active_flag", "income", "web_login_flag", "products_cnt", "supplier_flag", "app_login_flag", "leads_cnt"}
+    address = T.slug(F.lower(F.concat("n_name", F.lit(" "), F.col("r_name"))))
+    form_date = D.parse_day_first_date(F.date_format("form.day", "ddMMyyyy"), max_year=9999)
+    out = x.select(*cleaned_columns(), *sorted(kept), "app_last_login", address.alias("main_address"),
+                   F.coalesce("form.form", F.lit("none")).alias("company_form"), form_date.alias("form_date"))
+    out = label_missing_text(out, exclude=["customer_key", "customer_hex", "main_address", "company_form"])
+    return to_val_columns(fill_numeric_zero(out, sorted(kept)))
+
+
+# --- TR-11: the whole credit-card node: account chain (TR-06) with balances (TR-07), payments by kind
+#     (TR-08), status and arrears (TR-09), the card's category from the catalog (the card is the brand
+#     of the account's newest movement in the month), and the customer's instalments (TR-10)
+ACCOUNT_MONTH = ["customer_key", "account_key", "_observ_end_dt"]
+STATUS_MEASURES = ["status_group", "arrears_30_flag", "arrears_60_flag", "arrears_90_flag", "arrears_balance", "max_arrears_days"]
+
+
 @register("credit_card_node_whole", f"""
-WITH a AS ({ORACLES["card_account_month"]}), i AS ({ORACLES["instalments"]}),
-g AS (SELECT DISTINCT grade, category, premium_flag FROM ({ORACLES["card_catalog"]}) WHERE category <> 'other'
-      QUALIFY row_number() OVER (PARTITION BY grade ORDER BY category) = 1)
-SELECT a.*, g.category, coalesce(g.premium_flag, 0) AS premium_flag, coalesce(i.total_val, 0) AS instalments_val,
-       coalesce(i.paid_val, 0) AS instalments_paid_val
-FROM a LEFT JOIN g ON g.grade = CAST(substr(a.account_key, 1, 1) AS INTEGER) * 11 LEFT JOIN i USING (customer_key)
+WITH a AS ({ORACLES["card_account_month"]}), bal AS ({_BAL_SQL}), pay AS ({_PAY_SQL}), acc AS ({ORACLES["card_account_features"]}),
+i AS ({ORACLES["instalments"]}),
+g AS (SELECT * FROM ({ORACLES["card_catalog"]})
+      QUALIFY row_number() OVER (PARTITION BY card_code ORDER BY category, next_card NULLS FIRST, company_flag) = 1),
+k AS (SELECT * FROM (
+        SELECT o_custkey AS customer_key, o_orderpriority AS account_key, last_day(CAST(l_shipdate AS DATE)) AS _observ_end_dt, p_brand AS card_code,
+               row_number() OVER (PARTITION BY o_custkey, o_orderpriority, last_day(CAST(l_shipdate AS DATE))
+                                  ORDER BY CAST(l_shipdate AS DATE) DESC, l_orderkey DESC, l_linenumber DESC, p_brand DESC) AS rn
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey) WHERE rn = 1)
+SELECT a.*, bal.balance_unified_val AS snapshot_balance_val, {", ".join(f"pay.{m}" for m in PAYMENT_MEASURES)},
+       acc.status_group, acc.arrears_30_flag, acc.arrears_60_flag, acc.arrears_90_flag, acc.arrears_balance_val, acc.max_arrears_days,
+       k.card_code, coalesce(g.category, 'other') AS category, g.next_card, coalesce(g.premium_flag, 0) AS premium_flag,
+       i.total_val AS instalments_val, i.paid_val AS instalments_paid_val, i.paid_ratio AS instalments_ratio,
+       {", ".join(f"i.{x.lower()}_amount_val AS instalments_{x.lower()}_val" for x in INSTALMENT_GROUPS)}
+FROM a LEFT JOIN bal USING (customer_key, account_key, _observ_end_dt) LEFT JOIN pay USING (customer_key, account_key, _observ_end_dt)
+LEFT JOIN acc USING (customer_key, account_key, _observ_end_dt) LEFT JOIN k USING (customer_key, account_key, _observ_end_dt)
+LEFT JOIN g USING (card_code) LEFT JOIN i USING (customer_key)
 """)
 def credit_card_node_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = card_account_month(spark, sf_dir).withColumn("grade", F.substring("account_key", 1, 1).cast("int") * 11)
-    g = card_catalog(spark, sf_dir).where(F.col("category") != "other").groupBy("grade").agg(
-        F.min(F.struct("category", "premium_flag")).alias("card")).select("grade", "card.category", "card.premium_flag")
-    i = instalments(spark, sf_dir).select("customer_key", F.col("total_val").alias("instalments_val"),
-                                          F.col("paid_val").alias("instalments_paid_val"))
-    out = a.join(g, "grade", "left").drop("grade").join(i, "customer_key", "left")
-    return fill_numeric_zero(out, ["premium_flag", "instalments_val", "instalments_paid_val"])
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount",
+                                             "l_returnflag", "l_linestatus", "l_shipdate")
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
+    p = t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    x = join_small(li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey), p, F.col("l_partkey") == F.col("p_partkey"), "left")
+    shipped, days = F.to_date("l_shipdate"), F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate"))
+    x = x.select(
+        F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"), F.last_day(shipped).alias("_observ_end_dt"),
+        "o_orderstatus", "l_returnflag", (F.col("l_suppkey") % 2 == 0).alias("home"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+        shipped.alias("shipped"), F.greatest(days, F.lit(0)).alias("late"), F.col("l_linestatus").alias("direction"),
+        (F.floor(days / 30).cast("int") * 30).alias("arrears_days"), F.round(F.col("l_discount") * 100).cast("int").alias("promo_days"),
+        "p_type", F.struct(shipped.alias("shipped"), "l_orderkey", "l_linenumber", "p_brand").alias("move"))
+    # every part of the node in one grouped pass over one fact join; its customer grain (TR-10) is the
+    # sum of the accounts' sums, added up after the pass
+    instalment = [F.sum("amount").alias("i_total"), total(F.col("l_returnflag") != "R").alias("i_paid"),
+                  *[total(F.col("p_type") == g).alias(f"i_{g.lower()}") for g in INSTALMENT_GROUPS]]
+    status = [c for c in card_account_aggs()]
+    a = x.groupBy(*ACCOUNT_MONTH).agg(*card_month_measures(), *payment_aggs(), *status, F.max("move").alias("move"), *instalment)
+    whole = Window.partitionBy("customer_key")
+    sums = ["i_total", "i_paid", *[f"i_{g.lower()}" for g in INSTALMENT_GROUPS]]
+    a = a.withColumns({c: F.sum(c).over(whole) for c in sums})
+    a = add_rate(a, rates(spark, sf_dir), "_observ_end_dt", snapshot=True).withColumn("card_code", F.col("move.p_brand"))
+    payments = [m.removesuffix("_val") for m in PAYMENT_MEASURES]
+    a = card_month_columns(a, (*payments, *STATUS_MEASURES, "card_code", F.col("i_total").alias("instalments"),
+                               *[F.col(c).alias(f"instalments_{c[2:]}") for c in sums[1:]]))
+    card = F.struct("category", "next_card", "company_flag", "premium_flag")
+    cards = card_catalog(spark, sf_dir).groupBy("card_code").agg(F.min(card).alias("card")).select(
+        "card_code", "card.category", "card.next_card", "card.premium_flag")
+    balances = card_balances(spark, sf_dir).select(*ACCOUNT_MONTH, F.col("balance_unified_val").alias("snapshot_balance_val"))
+    out = join_small(a, cards, "card_code", "left").join(balances, ACCOUNT_MONTH, "left")
+    return fill_numeric_zero(out, ["premium_flag"]).withColumns({
+        "category": F.coalesce("category", F.lit("other")),
+        "instalments_ratio": F.when(F.col("instalments_val") > 0, ratio4("instalments_paid_val", "instalments_val"))})
+
+
+# --- TR-31: debts of a bureau report: the applicant (customer) of the report and the bureau it came
+#     from (one kind of source only), direct and indirect liabilities pivoted by kind with card rows
+#     reported once per currency counted half, worst grade per link (one grade does not compete), and
+#     the newest history row per link, shown only where the report holds such debt
+BUREAU = {"1-URGENT": "north", "2-HIGH": "north", "3-MEDIUM": "south", "4-NOT SPECIFIED": "south"}   # others: another kind of source
+DEBT_KINDS = {"A": "loan", "N": "mortgage", "R": "card"}
+DEBT_LINKS = {"F": "direct", "O": "indirect"}
+UNGRADED = 4
+
+
+def _debt_link_sql(code: str, link: str) -> str:
+    here = f"link = '{code}'"
+    kinds = ", ".join(f"CAST(coalesce(sum(CASE WHEN {here} AND kind = '{k}' THEN n END), 0) AS BIGINT) AS {link}_{name}_cnt, "
+                      + _val(f"coalesce(sum(CASE WHEN {here} AND kind = '{k}' THEN amount * n END), 0)", f"{link}_{name}_val")
+                      for k, name in DEBT_KINDS.items())
+    return (f"{kinds}, CAST(coalesce(sum(CASE WHEN {here} THEN n END), 0) AS BIGINT) AS {link}_cnt, "
+            f"max(CASE WHEN {here} AND grade <> {UNGRADED} THEN grade END) AS {link}_worst_grade")
+
+
+@register("debt_detail_whole", f"""
+WITH x AS (SELECT l_orderkey AS report_key, l_linestatus AS link, l_returnflag AS kind, l_suppkey AS entity_key, l_linenumber AS grade,
+                  CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CAST(l_shipdate AS DATE) AS history_date,
+                  CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS late_capital FROM lineitem),
+e AS (SELECT report_key, link, kind, entity_key, amount, max(CASE WHEN grade <> {UNGRADED} THEN grade END) AS grade,
+             CAST(CASE WHEN kind = 'R' THEN ceil(count(*) / 2.0) ELSE count(*) END AS BIGINT) AS n FROM x GROUP BY 1, 2, 3, 4, 5),
+d AS (SELECT report_key, {", ".join(_debt_link_sql(c, n) for c, n in DEBT_LINKS.items())} FROM e GROUP BY 1),
+h AS (SELECT report_key, link, history_date, late_capital,
+             row_number() OVER (PARTITION BY report_key, link ORDER BY history_date DESC, grade DESC, late_capital DESC) AS rn FROM x),
+n AS (SELECT report_key, {", ".join(f"max(CASE WHEN link = '{c}' THEN history_date END) AS {n}_date, max(CASE WHEN link = '{c}' THEN late_capital END) AS {n}_late" for c, n in DEBT_LINKS.items())}
+      FROM h WHERE rn = 1 GROUP BY 1)
+SELECT d.*, o_custkey AS customer_key, last_day(CAST(o_orderdate AS DATE)) AS _observ_end_dt, c_mktsegment AS applicant_segment,
+       CASE o_orderpriority {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in BUREAU.items())} END AS bureau,
+       {", ".join(f"CASE WHEN {n}_cnt > 0 THEN {n}_date END AS {n}_date, {_val(f'CASE WHEN {n}_cnt > 0 THEN {n}_late END', f'{n}_late_val')}" for n in DEBT_LINKS.values())}
+FROM d JOIN n USING (report_key) JOIN orders ON o_orderkey = d.report_key JOIN customer ON c_custkey = o_custkey
+WHERE o_orderpriority IN ({", ".join(f"'{k}'" for k in BUREAU)})
+""")
+def debt_detail_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("report_key"), F.col("l_linestatus").alias("link"), F.col("l_returnflag").alias("kind"),
+        F.col("l_suppkey").alias("entity_key"), F.col("l_linenumber").alias("grade"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+        F.to_date("l_shipdate").alias("history_date"), F.col("l_tax").cast("decimal(4,2)").alias("share"))
+    # equal debts first (AG-11), then the report: two grouped steps over one scan, the newest history
+    # row is the greatest struct of the same steps
+    history = F.struct("history_date", "grade", (F.col("amount") * F.col("share")).alias("late"))
+    equal = x.groupBy("report_key", "link", "kind", "entity_key", "amount").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.when(F.col("grade") != UNGRADED, F.col("grade"))).alias("grade"), F.max(history).alias("history"))
+    n = F.when(F.col("kind") == "R", F.ceil(F.col("rows") / 2)).otherwise(F.col("rows")).cast("long")
+    equal = equal.withColumns({"n": n, "owed": F.col("amount") * n})
+    aggs = []
+    for code, link in DEBT_LINKS.items():
+        here = F.col("link") == code
+        for k, name in DEBT_KINDS.items():
+            hit = here & (F.col("kind") == k)
+            aggs += [total(hit, "n").alias(f"{link}_{name}_cnt"), total(hit, "owed").alias(f"{link}_{name}")]
+        aggs += [total(here, "n").alias(f"{link}_cnt"), F.max(F.when(here, F.col("grade"))).alias(f"{link}_worst_grade"),
+                 F.max(F.when(here, F.col("history"))).alias(f"{link}_history")]
+    d = equal.groupBy("report_key").agg(*aggs)
+    for link in DEBT_LINKS.values():
+        shown = F.col(f"{link}_cnt") > 0
+        d = d.withColumns({f"{link}_date": F.when(shown, F.col(f"{link}_history.history_date")),
+                           f"{link}_late": F.when(shown, F.col(f"{link}_history.late"))}).drop(f"{link}_history")
+    o = t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("customer_key"),
+                                          F.last_day(F.to_date("o_orderdate")).alias("_observ_end_dt"),
+                                          L.map_lookup("o_orderpriority", BUREAU).alias("bureau")).where(F.col("bureau").isNotNull())
+    c = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_key"), F.col("c_mktsegment").alias("applicant_segment"))
+    reports = join_small(o, c, "customer_key", "inner")
+    return to_val_columns(d.join(reports.hint("shuffle_merge"), F.col("report_key") == F.col("o_orderkey")).drop("o_orderkey"))

@@ -225,7 +225,8 @@ def count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
         "orders": t(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("info_date")),
         "account_snapshot": account_snapshots(spark, sf_dir).select("info_date"),
         "nation": t(spark, sf_dir, "nation").select(F.to_date(F.lit("2002-01-11")).alias("info_date"))}, ["info_date"])
-    counts = dated.groupBy("table_name", "info_date").agg(F.count(F.lit(1)).alias("records"))
+    # a row per table and day, written once: the lake's and the source's counts are both read from it
+    counts = staged(spark, dated.groupBy("table_name", "info_date").agg(F.count(F.lit(1)).alias("records")), "reconcile_counts")
     source = counts.withColumn("records", F.col("records") + F.expr(_source_extra()))
     return reconcile_counts(tables, counts.where(F.dayofmonth("info_date") != 15), source, RECONCILE_AS_OF)
 

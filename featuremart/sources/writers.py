@@ -106,6 +106,12 @@ def upsert_with_window_delete(target: DataFrame, source: DataFrame, keys: Sequen
         F.when(inserted, F.lit(new_flag)).otherwise(F.col(flag_col)).alias(flag_col)))
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a table's folder exists, asked of Spark's own file systems."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def drop_partition(spark: SparkSession, path: str, partition_col: str, value) -> None:
     """Remove one partition's folder through Spark's own file systems."""
     name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)

@@ -29,3 +29,9 @@ def test_run_layers(spark, tmp_path):
     assert acc2.count() == want.count()
     # the March re-run adds the March customer snapshot beside the first one
     assert spark.read.parquet(paths["clean_customers"]).select("_particion").distinct().count() == 2
+    # the volume report of the re-run comes from the state; it equals the one from the layers themselves
+    from featuremart.operators.profiling import volume_report, volume_series
+    got = spark.read.parquet(paths["volumes"]).where("table_name = 'accounts' and info_date <= date'1998-03-31'")
+    want = volume_report(volume_series(acc2, "accounts", "_observ_end_dt", "1998-04-04", "customer_key"))
+    cols = ["info_date", "records", "customers", "records_state", "customers_state"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))

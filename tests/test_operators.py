@@ -727,3 +727,31 @@ def test_partition_counts_read_no_column(spark, tmp_path):
     assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [day]" in plan and "ReadSchema: struct<day:int,count(*)" in plan
     assert sorted(rows(got, "day", "records")) == [(0, 34), (1, 33), (2, 33)]
     assert spark.conf.get("spark.sql.sources.useV1SourceList") == v1 and "parquet" in v1
+
+
+@pytest.mark.parametrize("name, table, most", [
+    ("customer_node_whole", "orders", 1), ("customer_node_whole", "customer", 1), ("customer_node_whole", "events", 1),
+    ("credit_card_node_whole", "lineitem", 1), ("card_profile_month", "lineitem", 1), ("debt_detail_whole", "lineitem", 1),
+    ("worst_and_latest", "orders", 1), ("current_account_features", "lineitem", 1), ("investment_month", "lineitem", 1)])
+def test_tables_are_scanned_once(spark, name, table, most):
+    from featuremart.plans import QUERIES
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"/{table}.parquet]") == most, plan
+
+
+def test_whole_customer_node_exchanges_each_table_once(spark):
+    from featuremart.plans import QUERIES
+    plan = QUERIES["customer_node_whole"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    # orders twice (per product, then per customer), customer, events, supplier
+    assert plan.count("Exchange hashpartitioning") == 5 and plan.count("SortMergeJoin") == 3, plan
+
+
+def test_worst_and_latest_aggregates_match_the_windows(spark):
+    data = [(1, 3, dt.date(2020, 1, 1), 10), (1, 9, dt.date(2020, 1, 2), 11), (1, 5, None, 12), (1, 3, dt.date(2020, 1, 2), 13),
+            (2, 9, dt.date(2020, 1, 2), 14), (3, None, None, 15)]
+    df = spark.createDataFrame(data, "k int, grade int, d date, id int")
+    got = df.groupBy("k").agg(W.worst_of("grade", [-F.col("id")], ["id"], [9]).alias("w"), W.latest_of("d", [F.col("id")], ["id"]).alias("l"))
+    got = {r.k: (r.w and r.w.id, r.l.id) for r in got.collect()}
+    worst = {r.k: r.id for r in W.worst_row(df, ["k"], "grade", [("id", "asc")], [9]).collect()}
+    latest = {r.k: r.id for r in W.top_n_per_group(df, ["k"], [("d", "desc"), ("id", "desc")]).collect()}
+    assert got == {k: (worst.get(k), latest[k]) for k in (1, 2, 3)}
