@@ -25,6 +25,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from itertools import chain
 
@@ -45,6 +46,14 @@ CLOSING = b".,;:!?$#%*&|<>()\"=-"
 _encoders: dict = {}   # one per worker process and tokenizer file
 
 
+def _ends_in_letter(stem: bytes) -> bool:
+    """Whether the last code point is a letter (or ASCII digit) when the
+    tokenizer has normalised and lower-cased it."""
+    if stem[-1] < 128:
+        return stem[-1:].isalnum()
+    return unicodedata.category(unicodedata.normalize("NFC", stem.decode()).lower()[-1])[0] == "L"
+
+
 class WordIds:
     """Token ids of whole texts, word by word.
 
@@ -57,8 +66,8 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_buffer(blob)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tok = Tokenizer.from_buffer(blob)  # as it is: strings of special tokens in a text become these tokens
+        self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
         self.mark = self._ids(MARK)
 
@@ -77,11 +86,14 @@ class WordIds:
     def _learn(self, words: list[bytes]) -> None:
         """Words that differ in case or in closing punctuation share their
         letters: the tokenizer lower-cases and cuts between a letter or digit
-        and punctuation, so a word's ids are those of the two parts."""
+        and punctuation, so a word's ids are those of the two parts. What counts
+        is the letter after its normal form: some end in a combining mark, which
+        goes with the punctuation. A word that holds a special token's string is
+        encoded whole."""
         todo, whole, stems, tails = set(), [], [], []
         for w in words:
             stem = w.rstrip(CLOSING).lower()
-            if stem == w or not stem or not (stem[-1:].isalnum() or stem[-1] > 127 and stem.decode()[-1].isalpha()):
+            if stem == w or not stem or not _ends_in_letter(stem) or any(t in w for t in self.special):
                 todo.add(w)
             else:
                 whole.append(w)

@@ -19,9 +19,7 @@ FILE = P.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tok():
-    t = Tokenizer.from_file(FILE)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(FILE)
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +41,23 @@ def test_ids_of_hard_texts(tok, words):
         assert got.tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_ids_of_every_letter_before_punctuation(tok, words):
+    """Letters whose normal or lower-case form ends in a combining mark go with the punctuation."""
+    letters = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]
+    texts = [f"{x}. a{x}, {x}é!" for x in letters]
+    for at in range(0, len(texts), 2000):
+        part = texts[at:at + 2000]
+        for got, want, t in zip(words(part), tok.encode_batch(part, add_special_tokens=False), part):
+            assert got.tolist() == want.ids, t
+
+
+def test_ids_of_special_strings(tok, words):
+    texts = ["<|startoftext|>", "a<|startoftext|>, b", "<|endoftext|>.", "A<|endoftext|>!!", "x<|endoftext|", "<|STARTOFTEXT|>",
+             "naïve, İ.", "<|startoftext|><|endoftext|>"]
+    for got, t in zip(words(texts), texts):
+        assert got.tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 12), st.integers(1, 4), max_size=5), st.integers(0, 30))
 def test_best_fill(counts, room):
