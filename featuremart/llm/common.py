@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,19 @@ def written(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def freeing_shuffles(spark: SparkSession):
+    """Shuffle files of the queries run inside go when each query ends, not
+    when the driver next collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words of a text as UTF-8 bytes (``bytes.split`` splits at exactly the
     six white-space characters of WORD)."""

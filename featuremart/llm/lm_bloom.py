@@ -4,18 +4,26 @@ Counts of n-grams (two to ``order`` words) are quantised to levels
 ``1 + floor(log2 count)``; an n-gram of level q puts the keys (n-gram, 1) ..
 (n-gram, q) into one Bloom filter. A count is read back by probing level after
 level until a key is missing or the level of the shorter n-grams inside it is
-reached (it cannot be more frequent than they are), so it is never
-underestimated by more than its level's width, and overestimated only by false
-positives. The filter has BITS_PER_NGRAM bits per n-gram token of the training
-rows, whatever the corpus, so its false positives do not depend on the size. It
-is cut by n-gram hash into slices of at most ``max_bits``. No task, nor the
-driver, holds more than one slice: every chunk of documents asks for its
-distinct n-grams in sorted hash slices, with their counts in its training rows;
-one task merges the counts of a slice, fills the slice's filter and answers its
-requests with the highest levels found.
-
-Smoothing: P(w | h) = (c(hw) + MU * P(w | shorter h)) / (c(h) + MU), ending in
-the additive unigram probability (c + 0.5) / (N + 0.5 * (V + 1)).
+reached (it cannot be more frequent than they are). A level is never missed; a
+false positive can add one. The filter has BITS_PER_NGRAM bits per n-gram token
+of the training rows, whatever the corpus, so its false positives do not depend
+on the size.
+
+Filling. The filter is cut by n-gram hash into slices. Tasks merge the training
+n-grams of several chunks of documents and send them to their slices, where they
+are counted and put into the slice's bits; the counts end there.
+
+Scoring. The slices are broadcast to the workers in groups of at most
+``group_bytes``, one after the other, so no worker, nor the driver, ever holds
+more. Every chunk's distinct n-grams are kept in hash order, cut by group; while
+a group is out, they probe it. A chunk's levels then come back in the order it
+asked, and its texts are scored from them.
+
+Smoothing: P(w | h) = (low(hw) + MU * P(w | shorter h)) / (high(h) + MU), ending
+in the additive unigram probability (c + 0.5) / (N + 0.5 * (V + 1)). ``low`` is the
+lower end of the n-gram's level, ``high`` the upper end of the context's, both
+bounded by the counts of the words inside, so that without false positives the
+probabilities of a context's successors add up to at most one.
 
 Unigram counts are exact. Every chunk of documents asks for the counts of its
 distinct words in sorted hash slices and gets them back in the same order, so
@@ -31,6 +39,8 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -40,12 +50,14 @@ from pyspark.sql import functions as F
 
 from featuremart.llm.chunks import (bit_width, chunked, each_row, mix, record_batch, rows_of, slices_of, word_counts,
                                     word_hashes)
-from featuremart.llm.common import written
+from featuremart.llm.common import freeing_shuffles, written
+from featuremart.session import scratch_dir
 
 ORDER = 3
 PROBES = 4
 BITS_PER_NGRAM = 8
-MAX_BITS = 1 << 30
+GROUP_BYTES = 64 << 20     # of the filter, broadcast at a time
+MERGE_KEYS = 1 << 21       # training n-grams merged in a task before they are sent
 LEVELS = 40
 MU = 4.0
 END = np.uint64(0x5BD1E995A3C59AC3)
@@ -99,10 +111,11 @@ def _places(lens: np.ndarray) -> np.ndarray:
 
 
 class CountFilter:
-    """Slices of the filter; a key's slice is given by its hash's top bits."""
+    """Some slices of the filter, from slice ``first`` on; a key's slice is
+    given by its hash's top bits, ``bits`` is the size of one slice."""
 
-    def __init__(self, raw: np.ndarray, slice_bits: int, bits: int, key_bits: int):
-        self.raw, self.slice_bits, self.bits, self.key_bits = raw, slice_bits, bits, key_bits  # bits per slice
+    def __init__(self, raw: np.ndarray, slice_bits: int, bits: int, key_bits: int, first: int = 0):
+        self.raw, self.slice_bits, self.bits, self.key_bits, self.first = raw, slice_bits, bits, key_bits, first
 
     @staticmethod
     def _start(keys: np.ndarray, level: int):
@@ -131,7 +144,7 @@ class CountFilter:
         last = np.full(len(keys), LEVELS - 1) if last is None else last
         base = np.zeros(len(keys), np.int64)
         if self.slice_bits:
-            base = (keys >> np.uint64(self.key_bits - self.slice_bits)).astype(np.int64) * (self.bits // 8)
+            base = ((keys >> np.uint64(self.key_bits - self.slice_bits)).astype(np.int64) - self.first) * (self.bits // 8)
         alive = np.flatnonzero(last)
         for q in range(1, LEVELS):
             x, step = self._start(keys[alive], q)
@@ -146,20 +159,18 @@ class CountFilter:
                 break
         return level
 
-    def counts(self, keys: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """Estimated counts, at most ``most``."""
-        return estimates(self.levels(keys, last_levels(most)), most)
-
 
 def last_levels(most: np.ndarray) -> np.ndarray:
     return np.where(most >= 1, 1 + np.log2(np.maximum(most, 1)).astype(np.int64), 0)
 
 
-def estimates(level: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """The middle of each level, at most ``most`` (a bound on the true count, or
-    an estimate of one). Levels above that of ``most`` count as that level."""
+def level_bounds(level: np.ndarray, most: np.ndarray, min_count: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper end of the counts of each level, at most ``most`` (a
+    bound on the true count). Levels above that of ``most`` count as that level;
+    without a level the count is below ``min_count``."""
     level = np.minimum(level, last_levels(most))
-    return np.minimum(np.where(level > 0, (2.0 ** (level - 1) + np.exp2(level) - 1) / 2, 0.0), most)
+    low = np.where(level > 0, np.exp2(level - 1.0), 0.0)
+    return low, np.minimum(np.where(level > 0, np.exp2(level) - 1, min_count - 1.0), most)
 
 
 def _word_requests(chunks: DataFrame, slice_bits: int) -> DataFrame:
@@ -204,56 +215,123 @@ def _all_ngrams(h: np.ndarray, place: np.ndarray, order: int, key_bits: int) ->
     return [e for e, _ in both], [k for _, k in both] or [none]
 
 
-def _ngram_requests(chunks: DataFrame, order: int, slice_bits: int, key_bits: int) -> DataFrame:
-    """Distinct n-grams of each chunk and their counts in its training rows."""
-    names, kinds = ["slice", "chunk", "keys", "counts"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+def _training_counts(chunks: DataFrame, order: int, slice_bits: int, key_bits: int) -> DataFrame:
+    """Distinct n-grams of the training rows and their counts, cut by slice;
+    the chunks of a task are merged up to MERGE_KEYS n-grams."""
+    names, kinds = ["slice", "keys", "counts"], [pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush():
+            keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            n = np.bincount(back, weights=np.concatenate([c for _, c in held])).astype(np.uint32)
+            held.clear()
+            return record_batch([(s, _pack_sorted(keys[a:z]), _pack(n[a:z]))
+                                 for s, a, z in slices_of(keys, key_bits - slice_bits)], names, kinds)
+
         for b in batches:
-            for chunk, block in each_row(b):
+            for (block,) in each_row(b):
                 rows = rows_of(block)
+                rows = rows.filter(rows.column(2))
                 h, lens = tokens_of(rows.column(1).to_pylist())
-                train = np.repeat(rows.column(2).to_numpy(), lens)
-                ends, keys = _all_ngrams(h, _places(lens), order, key_bits)
-                learn = np.concatenate([train[e] for e in ends] or [np.zeros(0)])
-                keys, back = np.unique(np.concatenate(keys), return_inverse=True)
-                n = np.bincount(back, weights=learn, minlength=len(keys)).astype(np.uint32)
-                yield record_batch([(s, chunk, _pack_sorted(keys[a:z]), _pack(n[a:z]))
-                                    for s, a, z in slices_of(keys, key_bits - slice_bits)], names, kinds)
+                keys = _all_ngrams(h, _places(lens), order, key_bits)[1]
+                held.append(np.unique(np.concatenate(keys), return_counts=True))
+                if sum(len(k) for k, _ in held) >= MERGE_KEYS:
+                    yield flush()
+        if held:
+            yield flush()
 
-    return chunks.select("chunk", "block").mapInArrow(run, "slice long, chunk long, keys binary, counts binary")
+    return chunks.select("block").mapInArrow(run, "slice long, keys binary, counts binary")
 
 
-def _ngram_answers(requests: DataFrame, per_slice: int, key_bits: int, min_count: int) -> DataFrame:
-    """Levels back to the chunks, each slice from its own filter."""
+def _filled(counts: DataFrame, per_slice: int, min_count: int) -> DataFrame:
+    """(slice, bits): the counts of a slice merged, quantised and put into its
+    part of the filter."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = [_unpack_sorted(k) for k in pdf["keys"]]
-        flat, back = np.unique(np.concatenate(keys), return_inverse=True)
+        flat, back = np.unique(np.concatenate([_unpack_sorted(k) for k in pdf["keys"]]), return_inverse=True)
         n = np.bincount(back, weights=np.concatenate([_unpack(c, np.uint32) for c in pdf["counts"]]))
         level = np.where(n >= min_count, 1 + np.log2(np.maximum(n, 1)).astype(np.int64), 0)
-        raw = CountFilter.fill(flat, level, per_slice)
-        found = CountFilter(np.frombuffer(raw, np.uint8), 0, per_slice, key_bits).levels(flat).astype(np.uint8)
-        answers = np.split(found[back], np.cumsum([len(k) for k in keys])[:-1])
-        return pd.DataFrame({"chunk": pdf["chunk"], "slice": pdf["slice"], "levels": [_pack(a) for a in answers]})
+        return pd.DataFrame({"slice": pdf["slice"][:1], "bits": [CountFilter.fill(flat, level, per_slice)]})
+
+    return counts.groupBy("slice").applyInPandas(run, "slice long, bits binary")
+
+
+def _requests(chunks: DataFrame, order: int, slice_bits: int, key_bits: int, per_group: int) -> DataFrame:
+    """Distinct n-grams of each chunk in hash order, cut by group of slices."""
+    names, kinds = ["grp", "chunk", "keys"], [pa.int64(), pa.int64(), pa.binary()]
+
+    def run(batches):
+        for b in batches:
+            for chunk, block in each_row(b):
+                h, lens = tokens_of(rows_of(block).column(1).to_pylist())
+                keys = np.unique(np.concatenate(_all_ngrams(h, _places(lens), order, key_bits)[1]))
+                grp = (keys >> np.uint64(key_bits - slice_bits)).astype(np.int64) // per_group
+                cuts = np.flatnonzero(np.diff(grp, prepend=-1))
+                yield record_batch([(int(grp[a]), chunk, _pack_sorted(keys[a:z]))
+                                    for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)])], names, kinds)
+
+    return chunks.select("chunk", "block").mapInArrow(run, "grp long, chunk long, keys binary")
+
+
+def probe(requests: DataFrame, bits, slice_bits: int, per_slice: int, key_bits: int, first: int) -> DataFrame:
+    """(chunk, grp, levels) found in the broadcast group ``bits``, whose first
+    slice is ``first``."""
+    names, kinds = ["chunk", "grp", "levels"], [pa.int64(), pa.int64(), pa.binary()]
+
+    def run(batches):
+        held = CountFilter(np.frombuffer(bits.value, np.uint8), slice_bits, per_slice, key_bits, first)
+        for b in batches:
+            yield record_batch([(chunk, grp, _pack(held.levels(_unpack_sorted(keys)).astype(np.uint8)))
+                                for chunk, grp, keys in each_row(b)], names, kinds)
 
-    return requests.groupBy("slice").applyInPandas(run, "chunk long, slice long, levels binary")
+    return requests.select("chunk", "grp", "keys").mapInArrow(run, "chunk long, grp long, levels binary")
 
 
-def ngram_levels(chunks: DataFrame, order: int, tokens: int, train_tokens: int, max_bits: int,
+def ngram_levels(chunks: DataFrame, order: int, tokens: int, train_tokens: int, group_bytes: int,
                  min_count: int = 1) -> tuple[DataFrame, int]:
-    """(chunk, slice, levels) for the distinct n-grams of each chunk, and the
+    """(chunk, grp, levels) for the distinct n-grams of each chunk, and the
     length of their hashes."""
+    spark = chunks.sparkSession
     ngrams = train_tokens * (order - 1)
-    slice_bits = max(5, bit_width(-(-tokens * (order - 1) // SLICE_KEYS)),
-                     bit_width(-(-BITS_PER_NGRAM * ngrams // max_bits)))
+    slice_bits = max(5, bit_width(-(-tokens * (order - 1) // SLICE_KEYS)))
     key_bits = min(64, max(24, bit_width(ngrams) + SPARE_BITS, slice_bits))
     per_slice = 8 * max(1, BITS_PER_NGRAM * ngrams >> slice_bits >> 3)
-    requests = _ngram_requests(chunks, order, slice_bits, key_bits)
-    return _ngram_answers(requests, per_slice, key_bits, min_count), key_bits
+    per_group = min(1 << slice_bits, max(1, 8 * group_bytes // per_slice))
+    base = scratch_dir(spark, f"lm-{uuid.uuid4().hex}")
+    with freeing_shuffles(spark):
+        slices = written(spark, _filled(_training_counts(chunks, order, slice_bits, key_bits), per_slice, min_count), "lm-filter")
+        _requests(chunks, order, slice_bits, key_bits, per_group).write.option("compression", "none") \
+            .partitionBy("grp").parquet(f"{base}/requests")
+        requests = spark.read.schema("chunk long, keys binary, grp long").parquet(f"{base}/requests")
+        for grp in range(-(-(1 << slice_bits) // per_group)):
+            first = grp * per_group
+            raw = np.zeros(min(per_group, (1 << slice_bits) - first) * per_slice // 8, np.uint8)
+            for r in slices.where(F.col("slice").between(first, first + per_group - 1)).toLocalIterator():
+                at = (r.slice - first) * per_slice // 8   # the group together is at most group_bytes
+                raw[at:at + per_slice // 8] = np.frombuffer(r.bits, np.uint8)
+            bits = spark.sparkContext.broadcast(raw.tobytes())
+            probe(requests.where(F.col("grp") == grp), bits, slice_bits, per_slice, key_bits, first) \
+                .write.mode("append").option("compression", "none").parquet(f"{base}/levels")
+            bits.destroy()
+    return spark.read.schema("chunk long, grp long, levels binary").parquet(f"{base}/levels"), key_bits
+
+
+def interpolated(c: np.ndarray, base: np.ndarray, place: np.ndarray, order: int, ends: list, levels: list,
+                 min_count: int = 1) -> np.ndarray:
+    """Probability of each token from the words' counts and the levels of the
+    n-grams that end at ``ends``, order by order."""
+    p, suffix, context = base, c, np.concatenate([[0.0], c[:-1]])
+    for k, end, level in zip(range(2, order + 1), ends, levels):
+        low, high = np.zeros(len(c)), np.zeros(len(c))
+        low[end], high[end] = level_bounds(level, np.minimum(suffix[end], context[end]), min_count)
+        p = np.where(place >= k - 1, (low + MU * p) / (context + MU), p)
+        suffix, context = high, np.concatenate([[0.0], high[:-1]])
+    return p
 
 
 def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", order: int = ORDER,
-          max_bits: int = MAX_BITS, min_count: int = 1) -> DataFrame:
+          group_bytes: int = GROUP_BYTES, min_count: int = 1) -> DataFrame:
     """One row per document: key, held_out, n_tokens, n_known, train_tokens,
     base_score (additive unigrams) and score, both log10."""
     spark = df.sparkSession
@@ -266,11 +344,12 @@ def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "tex
     chunks = chunked(rows, "lm-chunks", "lm_text", size)
     tokens = chunks.agg(F.sum("size")).first()[0] or 0
     slice_bits = max(5, bit_width(-(-tokens // SLICE_KEYS)))
-    answers = written(spark, _word_answers(_word_requests(chunks, slice_bits)), "lm-words")
+    with freeing_shuffles(spark):
+        answers = written(spark, _word_answers(_word_requests(chunks, slice_bits)), "lm-words")
     v, n = (int(x or 0) for x in answers.agg(F.sum("n_types"), F.sum("n_tokens")).first())
-    levels, key_bits = ngram_levels(chunks, order, tokens, n, max_bits, min_count)
+    levels, key_bits = ngram_levels(chunks, order, tokens, n, group_bytes, min_count)
     told = answers.select("chunk", F.lit(False).alias("ngrams"), "slice", F.col("counts").alias("raw")) \
-        .unionByName(levels.select("chunk", F.lit(True).alias("ngrams"), "slice", F.col("levels").alias("raw"))) \
+        .unionByName(levels.select("chunk", F.lit(True).alias("ngrams"), F.col("grp").alias("slice"), F.col("levels").alias("raw"))) \
         .groupBy("chunk").agg(F.collect_list(F.struct("ngrams", "slice", "raw")).alias("told"))
     names = [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -286,17 +365,11 @@ def score(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "tex
                 _, back = np.unique(h, return_inverse=True)
                 c = answer(told, False, np.uint64)[back].astype(float)
                 base = (c + 0.5) / (n + 0.5 * (v + 1))
-                p, place = base, _places(lens)
-                before, ctx = c, np.concatenate([[0.0], c[:-1]])
+                place = _places(lens)
                 ends, keys = _all_ngrams(h, place, order, key_bits)
                 _, back = np.unique(np.concatenate(keys), return_inverse=True)
                 found = np.split(answer(told, True, np.uint8)[back], np.cumsum([len(e) for e in ends])[:-1])
-                for k, end, level in zip(range(2, order + 1), ends, found):
-                    got = np.zeros(len(h))
-                    got[end] = estimates(level, np.minimum(before[end], ctx[end]))
-                    new = (got + MU * p) / (ctx + MU)
-                    p = np.where(place >= k - 1, new, p)
-                    before, ctx = got, np.concatenate([[0.0], got[:-1]])
+                p = interpolated(c, base, place, order, ends, found, min_count)
                 at = np.cumsum(lens) - lens
                 sums = [np.add.reduceat(x, at) for x in (np.log10(base), np.log10(p), (c > 0).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(

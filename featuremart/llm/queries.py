@@ -79,10 +79,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str, shingle: int = 3, radius: int
 
 
 @query
-def op9_lm_bloom(spark: SparkSession, sf_dir: str, order: int = 3, max_bits: int = 1 << 30) -> DataFrame:
+def op9_lm_bloom(spark: SparkSession, sf_dir: str, order: int = 3, group_bytes: int = lm_bloom.GROUP_BYTES) -> DataFrame:
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
     return lm_bloom.score(table(spark, sf_dir, "documents"), F.crc32(name) % 5 == 1, order=order,
-                          max_bits=max_bits)
+                          group_bytes=group_bytes)
 
 
 @query
