@@ -265,7 +265,8 @@ def _requests(chunks: DataFrame, order: int, slice_bits: int, key_bits: int, per
         for b in batches:
             for chunk, block in each_row(b):
                 h, lens = tokens_of(rows_of(block).column(1).to_pylist())
-                keys = np.unique(np.concatenate(_all_ngrams(h, _places(lens), order, key_bits)[1]))
+                # with counts numpy sorts; without, it hashes, which takes far longer here
+                keys, _ = np.unique(np.concatenate(_all_ngrams(h, _places(lens), order, key_bits)[1]), return_counts=True)
                 grp = (keys >> np.uint64(key_bits - slice_bits)).astype(np.int64) // per_group
                 cuts = np.flatnonzero(np.diff(grp, prepend=-1))
                 yield record_batch([(int(grp[a]), chunk, _pack_sorted(keys[a:z]))
