@@ -3,8 +3,10 @@
 Largest inner product becomes smallest distance in one dimension more
 (``x' = (x, sqrt(M - |x|^2))``, ``q' = (q, 0)`` with M the largest squared
 norm). Rows are assigned to the nearest of the centres of a k-means fitted on a
-bounded sample (``max_sample`` rows in hash order); every row is indexed. A
-query probes the lists nearest to it.
+bounded sample (``max_sample`` rows in hash order, fewer where SAMPLE_CELLS
+components are fewer rows); every row is indexed. There are as many lists as the
+square root of the rows, at most one for 16 rows of the sample: a larger table
+asks for a larger sample. A query probes the lists nearest to it.
 
 Inside a list the vectors are rotated by a fixed random orthogonal matrix and
 read in column blocks. After each block the distance so far, scaled up to all
@@ -20,11 +22,13 @@ neighbours are found by a scan of all rows in blocks, and as many lists are
 probed as hold TARGET of those neighbours. If the probed lists hold fewer rows
 than asked for, further lists are probed until they do.
 
-A list longer than twice the mean, or than BLOCK_ROWS, is cut into blocks by hash
-of the id, so a common vector does not fill one task; a list's queries go to each
-block. Beyond QUERY_PART queries they are dealt into parts by hash, each with its
-own copy of the block, and a task reads a block for as many queries at a time as
-make CELLS distances: its memory does not grow with the table.
+A list longer than twice the mean, or than BLOCK_CELLS components, is cut into
+blocks by hash of the id, so a common vector does not fill one task; a list's
+queries go to each block. Queries are routed by id, in batches of ROUTE_ROWS, and
+their vectors joined on afterwards. Beyond PART_CELLS components the queries are
+dealt into parts by hash, each with its own copy of the block, and a task reads a
+block for as many queries at a time as make CELLS distances: its memory grows
+neither with the table nor with the dimension.
 
 Defined results: vectors that are null, zero, of another than the commonest
 dimension (the smallest of equally common ones) or hold null or non-finite
@@ -44,15 +48,17 @@ from pyspark.sql import functions as F
 from featuremart.llm.common import written
 
 MAX_SAMPLE = 16_384
-MAX_LISTS = 1024
+SAMPLE_CELLS = 1 << 22
 CALIBRATION = 256
 TARGET = 0.97
 CONFIDENCE = 3.0
 BLOCK_COLUMNS = 16
 DENSE = 0.15          # share of live candidates above which a block is read whole
 SLACK = 1e-9
-BLOCK_ROWS = 1 << 14
-QUERY_PART = 1 << 16
+BLOCK_CELLS = 1 << 20
+PART_CELLS = 1 << 22
+ROUTE_ROWS = 1 << 16  # routed ids in a batch
+ROUTE_QUERIES = 512   # queries a task routes at least
 CELLS = 1 << 22       # distances held at a time by a task
 
 
@@ -139,15 +145,16 @@ def adaptive_scan(q: np.ndarray, x: np.ndarray, bound: np.ndarray) -> tuple[np.n
     return i, j
 
 
-def _usable(df: DataFrame, key: str, vec: str) -> DataFrame:
-    """(id, v array<double>) of the rows that take part."""
+def _usable(df: DataFrame, key: str, vec: str) -> tuple[DataFrame, int]:
+    """(id, v array<double>) of the rows that take part, and their dimension."""
     v = F.transform(vec, lambda x: x.cast("double"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = df.select(F.col(key).cast("long").alias("id"), v.alias("v")) \
         .where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)) \
         .where(~bad & F.exists("v", lambda x: x != 0))
     size = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.where(F.size("v") == (size[0].d if size else -1))
+    d = size[0].d if size else 0
+    return rows.where(F.size("v") == d), d
 
 
 def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -179,16 +186,16 @@ def search(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", ve
     """(query_id, rank, vec_id, score) of the k nearest found. ``is_query``
     is a condition on the key column ``id``."""
     spark = df.sparkSession
-    rows = _usable(df, key, vec)
+    rows, d = _usable(df, key, vec)
     stats = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("asked"), F.max(
         F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("top")).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not stats.n:
         return spark.createDataFrame([], schema)
-    sample = rows.orderBy(F.xxhash64("id"), "id", "v").limit(max_sample).collect()  # bounded
-    index = Index(np.array([r.v for r in sample]), np.array([r.id for r in sample]), stats.top,
-                  min(MAX_LISTS, max(1, round(stats.n ** 0.5))))
-    d = index.d
+    max_sample = max(1, min(max_sample, SAMPLE_CELLS // d))
+    sample = rows.orderBy(F.xxhash64("id"), "id", "v").limit(max_sample).toArrow()  # at most SAMPLE_CELLS numbers
+    index = Index(np.concatenate([c.flatten().to_numpy() for c in sample["v"].chunks]).reshape(-1, d),
+                  sample["id"].to_numpy(), stats.top, min(max(1, max_sample // 16), max(1, round(stats.n ** 0.5))))
     shared = spark.sparkContext.broadcast(index)  # max_sample x (d + 1) numbers and fewer centres
 
     def place(batches):
@@ -202,32 +209,42 @@ def search(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", ve
     flat = rows.select("id", "v")
     indexed = written(spark, flat.mapInArrow(_flat(place), "list int, id long, v binary"), "ann-index")
     counts = np.zeros(len(index.centres), np.int64)
-    for r in indexed.groupBy("list").count().collect():  # at most MAX_LISTS rows
+    for r in indexed.groupBy("list").count().collect():  # a row per list
         counts[r["list"]] = r["count"]
     queries = indexed.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
     probes = _calibrate(indexed, queries, index, k, target)
-    block = min(BLOCK_ROWS, max(64, -(-2 * stats.n // len(index.centres))))
-    query_parts = max(1, -(-stats.asked // QUERY_PART))
+    block = min(max(1, BLOCK_CELLS // d), max(64, -(-2 * stats.n // len(index.centres))))
+    query_parts = max(1, -(-stats.asked * d // PART_CELLS))
     parts = -(-counts // block)
 
     def route(whole: bool):
         def run(batches):
-            ix = shared.value
+            ix, out, n_out = shared.value, [], 0
+
+            def flush():
+                cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0)] * 4
+                out.clear()
+                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
+                    pa.int32(), pa.int32(), pa.int64(), pa.float64()))], names=["list", "part", "id", "bound"])
+
             for b in batches:
-                ids = b.column(0).to_numpy()
-                q = _vectors(b.column(1).to_pylist(), d)
-                bound, out = np.full(len(q), np.inf) if whole else ix.bounds(q, ids, k), []
-                for i, lists in enumerate(ix.order(q)):
-                    held = np.cumsum(counts[lists])
-                    # the query's own rows are no candidates, so one row more is asked for
-                    n = max(probes, int(np.searchsorted(held, min(k + 1, held[-1]))) + 1)
-                    for c in lists if whole else lists[:n]:
-                        out += [(int(c), p, i) for p in range(parts[c])]
-                to = np.array(out, np.int64).reshape(-1, 3)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(to[:, 0], pa.int32()), pa.array(to[:, 1], pa.int32()),
-                     b.column(0).take(pa.array(to[:, 2])), b.column(1).take(pa.array(to[:, 2])),
-                     pa.array(bound[to[:, 2]])], names=["list", "part", "id", "v", "bound"])
+                for at in range(0, b.num_rows, 256):
+                    some = b.slice(at, 256)
+                    ids, q = some.column(0).to_numpy(), _vectors(some.column(1).to_pylist(), d)
+                    bound = np.full(len(q), np.inf) if whole else ix.bounds(q, ids, k)
+                    for i, lists in enumerate(ix.order(q)):
+                        held = np.cumsum(counts[lists])
+                        # the query's own rows are no candidates, so one row more is asked for
+                        n = max(probes, int(np.searchsorted(held, min(k + 1, held[-1]))) + 1)
+                        lists = lists if whole else lists[:n]
+                        to = np.repeat(lists, parts[lists])
+                        part = np.arange(len(to)) - np.repeat(np.cumsum(parts[lists]) - parts[lists], parts[lists])
+                        out.append((to, part, np.full(len(to), ids[i]), np.full(len(to), bound[i])))
+                        n_out += len(to)
+                        if n_out >= ROUTE_ROWS:
+                            yield flush()
+                            n_out = 0
+            yield flush()
         return run
 
     cut = F.element_at(F.array(*[F.lit(int(max(p, 1))) for p in parts]), F.col("list") + 1)
@@ -244,8 +261,10 @@ def search(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", ve
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), cols)))
 
     def nearest(asked: DataFrame, whole: bool) -> DataFrame:
-        routed = asked.mapInArrow(route(whole), "list int, part int, id long, v binary, bound double")
-        routed = routed.withColumn("asked", F.pmod(F.xxhash64("id"), F.lit(query_parts)).cast("int"))
+        # a fixed number of tasks: the few rows that come in become many
+        tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stats.asked // ROUTE_QUERIES)))
+        routed = asked.repartition(tasks, "id").mapInArrow(route(whole), "list int, part int, id long, bound double")
+        routed = routed.join(asked, "id").withColumn("asked", F.pmod(F.xxhash64("id"), F.lit(query_parts)).cast("int"))
         group = ["list", "part", "asked"]
         hits = blocks.groupBy(*group).cogroup(routed.groupBy(*group)) \
             .applyInPandas(scan, "query_id long, vec_id long, score double")

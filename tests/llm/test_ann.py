@@ -102,7 +102,37 @@ def test_query_parts_and_small_blocks(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 8)))]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
-    for name, value in (("BLOCK_ROWS", 20), ("QUERY_PART", 7), ("CELLS", 50)):
+    for name, value in (("BLOCK_CELLS", 160), ("PART_CELLS", 56), ("CELLS", 50), ("ROUTE_ROWS", 100), ("ROUTE_QUERIES", 9)):
         monkeypatch.setattr(ann, name, value)
     got = ann.search(df, F.col("id") % 20 == 0, 5).collect()
     assert recall(got, brute(rows, lambda i: i % 20 == 0, 5)) >= 0.93
+
+
+def test_recall_with_a_sample_far_below_the_table(spark):
+    """The bound comes from a true sample, not from the whole table."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(8000, 24)).astype(np.float64)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = ann.search(df, F.col("id") % 50 == 0, 10, max_sample=300).collect()
+    assert recall(got, brute(rows, lambda i: i % 50 == 0, 10)) >= 0.9
+
+
+def test_many_wide_queries_are_routed_by_id(spark):
+    """12,000 vectors of 512 dimensions, every row a query: their vectors, copied per probed list, would
+    pass what one Arrow batch of binaries holds."""
+    n, d = 12_000, 512
+    df = spark.range(n, numPartitions=8).select(F.col("id").alias("vec_id"), F.transform(
+        F.sequence(F.lit(1), F.lit(d)), lambda k: (F.pmod(F.xxhash64("id", k), F.lit(2001)) - 1000) / F.lit(1000.0)).alias("embedding"))
+    got = ann.search(df, F.lit(True), 5, max_sample=500)
+    assert got.count() == n * 5 and got.select("query_id").distinct().count() == n
+    x = np.array([r.embedding for r in df.orderBy("vec_id").collect()])
+    found = {}
+    for r in got.where(F.col("query_id") % 200 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for i, ids in found.items():
+        s = x @ x[i]
+        s[i] = -np.inf
+        hits += len(ids & set(np.argsort(-s)[:5].tolist()))
+    assert hits >= 0.9 * 5 * len(found)
