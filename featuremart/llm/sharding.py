@@ -7,8 +7,9 @@ adding a shard moves only the records that the new shard wins.
 
 Slots number the rows inside a shard without gaps. Numbering a shard in one
 task would put 1/16 of the table into it, so each shard is cut into
-``BUCKETS`` hash buckets of (key, size, checksum): rows are numbered inside (shard, bucket) and shifted
-by the counts of the buckets before, a table of at most shards x BUCKETS rows.
+``BUCKETS`` hash buckets of (key, size, checksum): rows are numbered inside
+(shard, bucket) and shifted by the counts of the buckets before, a table of at
+most shards x BUCKETS rows.
 Equal (key, size, checksum) rows are counted first (partial counts before the
 shuffle), so a record that fills a third of the table is one row until the end,
 and a key with many texts is spread over the buckets of its shard.
@@ -24,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from featuremart.llm.common import written
+
 BUCKETS = 256
 BLOCK = 65_536
 
@@ -55,14 +58,15 @@ def shard_rows(df: DataFrame, key: str, weights: Sequence[float],
         rendezvous(k, weights).alias("shard"),
         (rendezvous(k, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"),
         F.pmod(F.xxhash64(k, size, crc, F.lit(-1)), F.lit(BUCKETS)).alias("bucket"))
-    kinds = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    # written once: slots and offsets below read it, the table is read and hashed once
+    kinds = written(df.sparkSession, rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")), "shard-records")
     inside = Window.partitionBy("shard", "bucket").orderBy("key", "size", "text_crc32") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = kinds.withColumn("first", F.sum("n").over(inside) - F.col("n"))
     # at most len(weights) x BUCKETS rows
     before = Window.partitionBy("shard").orderBy("bucket") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")) \
+    offsets = kinds.groupBy("shard", "bucket").agg(F.sum("n").alias("n")) \
         .select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     placed = placed.join(F.broadcast(offsets), ["shard", "bucket"])
     # back to one row per record, in blocks so that no array grows with a hot key

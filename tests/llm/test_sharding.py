@@ -63,3 +63,10 @@ def test_texts_of_one_key_spread_over_buckets(spark):
 def test_no_python_in_plan(spark):
     plan = queries.op3_rendezvous_shards(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_the_table_is_read_once(spark):
+    """Slots and offsets come from the counted records, written once."""
+    df = queries.op3_rendezvous_shards(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "sf0.001/documents" not in plan and "shard-records" in plan and "xxhash64" not in plan, plan
