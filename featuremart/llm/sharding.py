@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featuremart.llm.common import written
+from featuremart.session import staged
 
 BUCKETS = 256
 BLOCK = 65_536
@@ -59,7 +59,7 @@ def shard_rows(df: DataFrame, key: str, weights: Sequence[float],
         (rendezvous(k, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"),
         F.pmod(F.xxhash64(k, size, crc, F.lit(-1)), F.lit(BUCKETS)).alias("bucket"))
     # written once: slots and offsets below read it, the table is read and hashed once
-    kinds = written(df.sparkSession, rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")), "shard-records")
+    kinds = staged(df.sparkSession, rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")), "shard-records")
     inside = Window.partitionBy("shard", "bucket").orderBy("key", "size", "text_crc32") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = kinds.withColumn("first", F.sum("n").over(inside) - F.col("n"))
