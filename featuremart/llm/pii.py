@@ -2,18 +2,22 @@
 
 Base rules (exact patterns with checks) find emails, IP addresses, payment
 cards and phone numbers; these spans always stay. High-recall generators
-propose further, overlapping spans: any run of digits with loose separators,
-and any email-like text. Each candidate gets small integer features of its
+propose further, overlapping spans: any run of digits with loose separators, tight card
+and phone forms inside such runs, and any email-like text. Each candidate gets small integer features of its
 format (digits, groups, separators, signs) and context (characters and key
 words around it). Boosted trees of depth two score the candidates; a candidate
 that no base span touches is added when its score passes the threshold.
 
 Training needs no labelled spans: a candidate that touches a base span is a
 weak positive, any other a weak negative, and the checks themselves (Luhn sum,
-octet range, length of a number) are not features. What defines a base span
-must not decide either, so each email and phone number found counts again in the
-forms that the base patterns miss (``views``: "(at)" and "(dot)" with and without
-spaces, a number without '+', country code or separators, in the same context).
+octet range, length of a number) are not features. Tight forms are told apart by
+one: a base pattern takes as many digits as it can and does not retry, so a card
+beside another number fails as a whole; its tight form (sixteen digits in fours
+whose Luhn sum is right; a whole phone number) is learnt from those that stand
+alone. What defines a base span must not decide for loose forms, so each email and
+phone number found counts again in the forms that the base patterns miss
+(``views``: "(at)" and "(dot)" with and without spaces, a number without '+',
+country code or separators, in the same context).
 All candidates of the corpus are counted per distinct feature
 vector, at most the product of the features' ranges; the trees are fitted on
 that table in the driver, on one half of the documents (by hash). The threshold
@@ -51,11 +55,14 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # A text without these cannot match.
-NEEDS = {"email": ["@"], "ip": ["."], "card": [], "phone": ["+"], "number": [], "address": ["@", "(at)", "[at]"]}
+NEEDS = {"email": ["@"], "ip": ["."], "card": [], "phone": ["+"], "number": [], "address": ["@", "(at)", "[at]"],
+         "sixteen": [], "line": ["+"]}
 GENERATORS = {
     "number": r"[+]?+[(]?+[0-9](?:[\x20().-]{0,2}+[0-9]){5,}+",
     "address": rf"(?<![{_LOCAL}])[{_LOCAL}]++ ?+(?:@|\(at\)|\[at\]) ?+[{_DOMAIN}]++"
                rf"(?: ?+(?:\.|\(dot\)|\[dot\]) ?+[{_DOMAIN}]++)*+",
+    "sixteen": r"(?<![0-9])[0-9]{4}(?:[\x20-]?+[0-9]{4}){3}(?![0-9])",
+    "line": r"\+[0-9]{1,3}[\x20.-]?+\(?+[0-9]{2,4}\)?+[\x20.-]?+[0-9]{3}[\x20.-]?+[0-9]{4}(?![0-9])",
 }
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 CONTEXT = 24
@@ -64,7 +71,7 @@ WORDS = {1: "call|phone|tel|mobile|fax|dial", 2: "card|visa|amex|account|iban|pa
 SPAN = "start:int,end:int,body:string"
 FOUND = f"array<struct<{SPAN},before:string,after:string>>"
 MIN_SUPPORT = 20       # candidates of a pool of score levels
-FEATURES = ["digits", "groups", "plus", "parens", "dots", "dashes", "before", "after", "word", "shape"]
+FEATURES = ["digits", "groups", "plus", "parens", "dots", "dashes", "before", "after", "word", "shape", "tight"]
 
 
 def matches(text: Column, name: str, pattern: str, context: bool = False) -> Column:
@@ -159,8 +166,10 @@ def _candidate(m: Column, generator: str) -> Column:
         "after": _character(m["after"]),
         "word": word,
         "shape": F.when(count("@") > 0, 2).when(body.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), 1).otherwise(0),
+        "tight": F.lit(int(generator in ("sixteen", "line"))),
     }
-    kind = F.lit(KINDS.index("email")) if generator == "address" else \
+    own = {"address": "email", "sixteen": "card", "line": "phone"}
+    kind = F.lit(KINDS.index(own[generator])) if generator in own else \
         F.when(feats["shape"] == 1, KINDS.index("ip")).when(digits >= 13, KINDS.index("card")) \
         .otherwise(KINDS.index("phone"))
     return F.struct(m["start"].alias("start"), kind.cast("int").alias("kind"), m["end"].alias("end"),
@@ -168,7 +177,10 @@ def _candidate(m: Column, generator: str) -> Column:
 
 
 def _candidates(text: Column, generator: str) -> Column:
-    return F.transform(matches(text, generator, GENERATORS[generator], True), lambda m: _candidate(m, generator))
+    found = matches(text, generator, GENERATORS[generator], True)
+    if generator == "sixteen":
+        found = F.filter(found, lambda m: _luhn(_digits(m["body"])))
+    return F.transform(found, lambda m: _candidate(m, generator))
 
 
 def _touches(c: Column, spans: Column) -> Column:

@@ -146,3 +146,32 @@ def test_calibration_pools_small_levels():
     assert pii.calibrate({3.0: [0, 1], 2.0: [100, 100], 1.0: [10, 100]}, 0.9) == 2.0
     assert pii.calibrate({3.0: [100, 100], 2.0: [10, 19], 1.0: [0, 1]}, 0.9) == 3.0
     assert pii.calibrate({}, 0.9) == float("inf") and pii.calibrate({1.0: [2, 2]}, 0.9) == 1.0
+
+
+def test_numbers_that_ran_into_a_neighbour_are_added(spark):
+    """The base patterns read two cards (or a phone and a number) side by side as one and drop it; the
+    tight forms are learnt from those that stand alone. Numbers that fail the Luhn sum stay."""
+    import random
+
+    rng = random.Random(8)
+
+    def number(valid):
+        while True:
+            n = "".join(rng.choice("0123456789") for _ in range(16))
+            if (sum(int(c) if i % 2 else 2 * int(c) - 9 * (int(c) > 4) for i, c in enumerate(n)) % 10 == 0) == valid:
+                return n
+
+    words = "note text line word page part"
+    texts = [f"{words} {number(True)} {words} {i}" for i in range(200)] + [f"{words} {number(False)} {words} x{i}" for i in range(200)]
+    texts += [f"{words} +1 (212) 555-{rng.randint(1000, 9999)} {words} y{i}" for i in range(200)]
+    pairs = [f"{words} {number(True)} {number(True)} {words} z{i}" for i in range(6)]
+    mixed = f"{words} +1 (212) 555-7788 12345678 {words}"
+    rows = list(enumerate(texts + pairs + [mixed]))
+    got = {r.doc_id: r for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    card, phone = pii.KINDS.index("card"), pii.KINDS.index("phone")
+    at = len(words) + 1
+    for i in range(600, 606):
+        assert not got[i].base
+        assert [(s.start, s.end, s.kind) for s in got[i].spans] == [(at, at + 16, card), (at + 17, at + 33, card)]
+    assert not got[606].base and [(s.start, s.end, s.kind) for s in got[606].spans] == [(at, at + 17, phone)]
+    assert all(got[i].spans == got[i].base for i in range(600))
