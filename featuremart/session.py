@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -90,7 +92,29 @@ def staged(spark: SparkSession, df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scratch_root: ContextVar[str] = ContextVar("scratch_root", default="")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables beside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), "featuremart", name)
+    return os.path.join(base.rstrip("/"), "featuremart", _scratch_root.get(), name)
+
+
+@contextmanager
+def scratch_root(spark: SparkSession, name: str):
+    """Keeps the intermediate tables made inside together, and removes them at
+    the end: what is to outlive them must be written elsewhere before."""
+    own = f"{name}-{uuid.uuid4().hex}"
+    token = _scratch_root.set(own)
+    try:
+        yield
+    finally:
+        _scratch_root.reset(token)
+        remove_folder(spark, scratch_dir(spark, own))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

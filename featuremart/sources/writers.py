@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from featuremart.functions.dates import period_int
 from featuremart.operators.columns import add_prefix, to_val_columns, with_period
-from featuremart.session import scratch_dir, staged
+from featuremart.session import remove_folder, scratch_dir, staged
 
 
 def new_location(spark: SparkSession, name: str) -> str:
@@ -115,8 +115,7 @@ def has_files(spark: SparkSession, path: str) -> bool:
 def drop_partition(spark: SparkSession, path: str, partition_col: str, value) -> None:
     """Remove one partition's folder through Spark's own file systems."""
     name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={name}")
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    remove_folder(spark, f"{path}/{partition_col}={name}")
 
 
 def _in_partitions(partition_col: str, values: Sequence) -> Column:

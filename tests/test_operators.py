@@ -755,3 +755,16 @@ def test_worst_and_latest_aggregates_match_the_windows(spark):
     worst = {r.k: r.id for r in W.worst_row(df, ["k"], "grade", [("id", "asc")], [9]).collect()}
     latest = {r.k: r.id for r in W.top_n_per_group(df, ["k"], [("d", "desc"), ("id", "desc")]).collect()}
     assert got == {k: (worst.get(k), latest[k]) for k in (1, 2, 3)}
+
+
+def test_scratch_tables_go_with_their_root(spark):
+    import os
+
+    from featuremart import session as SE
+
+    before = SE.scratch_dir(spark, "x")
+    with SE.scratch_root(spark, "run"):
+        df = SE.staged(spark, spark.range(5), "part")
+        folder = os.path.dirname(df.inputFiles()[0]).removeprefix("file://")
+        assert df.count() == 5 and "/run-" in folder and os.path.isdir(folder)
+    assert not os.path.exists(os.path.dirname(folder)) and SE.scratch_dir(spark, "x") == before
