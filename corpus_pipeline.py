@@ -18,12 +18,15 @@ against the stages' operators and brute-force forms.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from featuremart.llm import packing, pii, simhash, substring_dedup, toxicity
-from featuremart.llm.common import table, written
+from featuremart.llm.common import table
 from featuremart.llm.queries import read_file
+from featuremart.session import remove_folder, scratch_dir, scratch_root
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +60,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written and reread."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``; each result is written and reread.
+    A stage's intermediate tables, and the result it started from, go when its
+    own result is written; the last result stays."""
+    docs, before, base = table(spark, sf_dir, "documents"), None, scratch_dir(spark, f"pipeline-{uuid.uuid4().hex}")
     for k, (name, stage) in enumerate(STAGES):
-        docs = written(spark, stage(spark, docs, sf_dir), f"pipeline-{k}-{name}")
+        path = f"{base}/{k}-{name}"
+        with scratch_root(spark, f"pipeline-{name}"):
+            out = stage(spark, docs, sf_dir)
+            out.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs

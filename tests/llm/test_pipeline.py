@@ -8,6 +8,7 @@ import public_tokenizers as P
 
 import corpus_pipeline as c
 from featuremart.llm import toxicity
+from featuremart.llm.common import written
 from tests.conftest import SF_SMALL
 from tests.llm.test_pii import brute as brute_pii
 from tests.llm.test_simhash import brute_components, brute_print
@@ -19,7 +20,7 @@ def stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     out = [docs]
     for name, stage in c.STAGES:
-        out.append(c.written(spark, stage(spark, out[-1], SF_SMALL), f"test-{name}"))
+        out.append(written(spark, stage(spark, out[-1], SF_SMALL), f"test-{name}"))
     return out
 
 
@@ -85,3 +86,16 @@ def test_sequences_can_be_made_from_the_result(stages):
         assert len(r.ids) == r.length
         got[r.doc_id] += r.ids
     assert got == {i: tok.encode(t or "", add_special_tokens=False).ids + [1] for i, t in texts(stages[4]).items()}
+
+
+def test_only_the_result_stays_on_disk(spark, tmp_path):
+    import os
+
+    from featuremart.session import scratch_dir
+
+    top = scratch_dir(spark, "").removeprefix("file:").rstrip("/")
+    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    out = c.run(spark, SF_SMALL)
+    assert out.count() > 0
+    new = set(os.listdir(top)) - before
+    assert len(new) == 1 and os.listdir(os.path.join(top, new.pop())) == ["4-packing"]
