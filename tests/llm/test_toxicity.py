@@ -53,3 +53,31 @@ def test_odd_rows(spark, model):
     assert toxicity.keep_clean(df, labels).count() == 4          # one class only: all stay
     assert toxicity.keep_clean(df.limit(0), labels.limit(0)).count() == 0
     assert toxicity.keep_clean(df, labels).columns == df.columns
+
+
+def test_scores_by_hand(spark, model):
+    """Term counts, features, links and severity written out for every document."""
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text")
+    for r in toxicity.score(docs, model).collect():
+        words = toxicity.tokens(r.text)
+        z = 0.0
+        n_terms = len(model.terms)
+        for term, i in model.terms.items():
+            n = sum(w.startswith(term[:-1]) if term[-1] == "*" else w == term for w in words)
+            if n:
+                z += model.weights[i] + model.weights[n_terms + i] * np.log1p(n) + \
+                    model.weights[2 * n_terms + i] * np.log1p(1000.0 * n / len(words))
+        p = [1 / (1 + np.exp(t - z)) for t in model.thetas]
+        assert r.tox_severity == pytest.approx(sum(p), abs=1e-9)
+        assert r.tox_grade == sum(x >= 0.5 for x in p) and r.tox_rejected == (r.tox_severity >= model.threshold)
+
+
+def test_fit_finds_the_links_that_made_the_grades():
+    """Grades drawn from known weights and thresholds: the fitted cumulative links give their shares back."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 3))
+    true_w, true_t = np.array([2.0, -1.0, 0.0]), np.arange(toxicity.GRADES) * 1.5
+    latent = x @ true_w + rng.logistic(size=4000)
+    grade = (latent[:, None] > true_t).sum(1)
+    w, t = toxicity.fit_ordinal(x, grade)
+    assert np.allclose(w, true_w, atol=0.25) and np.allclose(t, true_t, atol=0.25) and np.all(np.diff(t) > 0)
