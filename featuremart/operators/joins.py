@@ -1,8 +1,9 @@
 """Join operators (JN-01..JN-08).
 
 Dimension sides (rates, catalogs, bridges) go through ``join_small`` so they
-are broadcast only behind a size check. Fact-to-fact joins are left to the
-planner: sort-merge on the keys, with AQE's skew-join split for hot keys.
+are broadcast only behind a size check. The line-item-to-order join is
+``fact_join``: a sort-merge join dealt out by row count. Other large joins are
+left to the planner, with AQE's skew-join split for hot keys.
 """
 
 from __future__ import annotations
@@ -15,6 +16,30 @@ from pyspark.sql import functions as F
 
 from featuremart.operators.broadcast import join_small
 
+# Fact rows that one task joins.
+FACT_ROWS = 250_000
+
+
+def fact_tasks(facts: DataFrame, rows: int | None = None) -> int:
+    """Tasks that take at most about ``rows`` of the facts each, and no fewer
+    than run at a time. The rows are counted (Parquet footers, unless filtered)."""
+    return max(facts.sparkSession.sparkContext.defaultParallelism, -(-facts.count() // (rows or FACT_ROWS)))
+
+
+def fact_join(facts: DataFrame, orders: DataFrame, facts_key: str = "l_orderkey", orders_key: str = "o_orderkey") -> DataFrame:
+    """Inner join of facts to their orders; both sides grow with the data, so
+    neither is broadcast.
+
+    Both sides are dealt out by the key over ``fact_tasks``: AQE would merge
+    them up to its advisory size in compressed bytes, some millions of rows, and
+    a grouping in the same task (partial sums, hardly fewer than the rows) would
+    hold a wide row for nearly each of them. The rows of a task, and with them
+    its memory, stay the same however large the tables are.
+    """
+    n = fact_tasks(facts)
+    return facts.repartition(n, facts_key).join(orders.repartition(n, orders_key).hint("shuffle_merge"),
+                                                F.col(facts_key) == F.col(orders_key), "inner")
+
 
 def join_all(frames: Sequence[DataFrame], on: Sequence[str], how: str = "left") -> DataFrame:
     """JN-01 / JN-02: fold frames left to right on the same keys with ``how``

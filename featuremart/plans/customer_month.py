@@ -20,7 +20,7 @@ from featuremart.operators import windows as W
 from featuremart.operators.columns import fill_numeric_zero, to_val_columns
 from featuremart.plans.customer import _ratio4_sql, ratio4
 from featuremart.operators.broadcast import join_small
-from featuremart.operators.joins import add_rate, greatest_on_or_after
+from featuremart.operators.joins import add_rate, fact_join, greatest_on_or_after
 from featuremart.plans.inputs import FOREIGN, HOME, RATES_SQL, TRANSACTIONS_SQL, rates, t, transactions
 from featuremart.plans.registry import register
 
@@ -250,7 +250,7 @@ FROM l
 """)
 def loan_ageing(spark: SparkSession, sf_dir: str) -> DataFrame:
     li, o = t(spark, sf_dir, "lineitem"), t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    x = li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey)
+    x = fact_join(li, o)
     steps = F.floor(F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")) / 15).cast("int")
     bucket = F.element_at(F.array(*map(F.lit, AGEING)), F.least(F.greatest(steps, F.lit(0)), F.lit(len(AGEING) - 1)) + 1)
     money = lambda e: e.cast("decimal(18,2)")
@@ -417,7 +417,7 @@ def latest_debt_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("debt_key"), "l_linenumber", F.col("l_returnflag").alias("product"),
         F.col("l_suppkey").alias("entity_key"), F.col("l_linestatus").alias("state"),
         F.to_date("l_shipdate").alias("moved"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
-    x = li.join(o.hint("shuffle_merge"), li.debt_key == o.o_orderkey)
+    x = fact_join(li, o, "debt_key")
     key = [*MONTH, "product", "entity_key", "state"]
     top = W.top_n_per_group(x, key, [("moved", "desc"), ("debt_key", "desc"), ("l_linenumber", "desc")])
     return to_val_columns(top.select(*key, "debt_key", "amount"))
@@ -480,7 +480,7 @@ FROM p
 def two_currency_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("customer_key"))
     li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_extendedprice")
-    x = li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey)
+    x = fact_join(li, o)
     rank = L.map_lookup("l_returnflag", PRECEDENCE)
     home, amount = F.col("l_suppkey") % 2 == 0, F.col("l_extendedprice").cast("decimal(18,2)")
     p = x.groupBy("customer_key", F.col("l_orderkey").alias("report_key"), (F.col("l_partkey") % 3).alias("debt_kind")).agg(
@@ -587,7 +587,7 @@ FROM c
 def card_account_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate")
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
-    x = li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey).select(
+    x = fact_join(li, o).select(
         F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"),
         F.last_day(F.to_date("l_shipdate")).alias("_observ_end_dt"), "o_orderstatus", "l_returnflag",
         (F.col("l_suppkey") % 2 == 0).alias("home"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
@@ -677,7 +677,7 @@ def investments(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     p = t(spark, sf_dir, "part").select("p_partkey", "p_type", F.col("p_retailprice").cast("decimal(18,2)").alias("initial"))
-    x = join_small(li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey), p, F.col("l_partkey") == F.col("p_partkey"), "inner")
+    x = join_small(fact_join(li, o), p, F.col("l_partkey") == F.col("p_partkey"), "inner")
     price, share = F.col("l_extendedprice").cast("decimal(18,2)"), [F.col(c).cast("decimal(4,2)") for c in ("l_discount", "l_tax")]
     opened, closed = F.to_date("o_orderdate"), F.to_date("l_shipdate")
     x = x.select(

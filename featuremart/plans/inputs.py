@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featuremart.operators.joins import fact_join
 from featuremart.sources.readers import date_range_filter, load_table
 
 HOME, FOREIGN = 1, 2
@@ -75,8 +76,7 @@ def transactions(spark: SparkSession, sf_dir: str, start=None, end=None) -> Data
     o = t(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("customer_key"),
         F.col("o_orderpriority").alias("account_key"))
-    # fact-to-fact join: both sides grow with the data, never broadcast
-    return li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey, "inner").drop("o_orderkey")
+    return fact_join(li, o).drop("o_orderkey")
 
 
 TRANSACTIONS_SQL = """

@@ -13,6 +13,7 @@ from featuremart.operators import aggregates as A
 from featuremart.operators import windows as W
 from featuremart.operators.columns import (fill_numeric_zero, remove_prefix, remove_suffix,
                                            to_val_columns)
+from featuremart.operators.joins import fact_join
 from featuremart.operators.setops import union_missing_as_null, union_same_shape
 from featuremart.plans.inputs import t, transactions
 from featuremart.plans.registry import register
@@ -70,7 +71,7 @@ def card_account_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     with arrears cycles turned into days (CL-16)."""
     li = t(spark, sf_dir, "lineitem")
     o = t(spark, sf_dir, "orders")
-    return li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey).select(
+    return fact_join(li, o).select(
         F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"),
         F.last_day(F.to_date("l_shipdate")).alias("_observ_end_dt"), "o_orderstatus",
         F.col("l_linestatus").alias("direction"),
@@ -246,7 +247,7 @@ def investment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = t(spark, sf_dir, "lineitem")
     o = t(spark, sf_dir, "orders")
     p = t(spark, sf_dir, "part").select("p_partkey", "p_type")
-    x = (li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey)
+    x = (fact_join(li, o)
          .join(p, li.l_partkey == p.p_partkey)
          .select(F.col("o_custkey").alias("customer_key"), "p_type",
                  F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),

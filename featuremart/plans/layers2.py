@@ -11,6 +11,7 @@ from featuremart.functions import text as T
 from featuremart.functions.dates import last_closed_month_end
 from featuremart.operators import aggregates as A
 from featuremart.operators.columns import fill_numeric_zero, to_val_columns
+from featuremart.operators.joins import fact_join
 from featuremart.operators.setops import union_missing_as_null
 from featuremart.plans.customer import _ratio4_sql, ratio4
 from featuremart.plans.inputs import t, transactions
@@ -99,7 +100,7 @@ def history_latest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("o_orderpriority", 1, 1).cast("int").alias("grade"))
     li = t(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linestatus").alias("debt_type"),
                                              F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
-    h = li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey)
+    h = fact_join(li, o)
     # rank 1 is cut in every task before the shuffle; the sums then shuffle partial rows only
     newest = F.rank().over(Window.partitionBy("customer_key").orderBy(F.desc("report_date")))
     latest = h.withColumn("newest", newest).where(F.col("newest") == 1)

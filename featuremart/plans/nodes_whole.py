@@ -15,7 +15,7 @@ from featuremart.operators import aggregates as A
 from featuremart.operators.columns import fill_numeric_zero, to_val_columns
 from featuremart.operators.broadcast import join_small
 from featuremart.operators.columns import label_missing_text
-from featuremart.operators.joins import add_rate, join_all
+from featuremart.operators.joins import add_rate, fact_join, join_all
 from featuremart.plans import layers2, layers3  # noqa: F401  (their oracles are parts of the whole nodes')
 from featuremart.plans.cleaning import _case_sql, _slug_sql, cleaned_columns
 from featuremart.plans.customer import ratio4
@@ -263,7 +263,7 @@ def credit_card_node_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              "l_returnflag", "l_linestatus", "l_shipdate")
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
     p = t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    x = join_small(li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey), p, F.col("l_partkey") == F.col("p_partkey"), "left")
+    x = join_small(fact_join(li, o), p, F.col("l_partkey") == F.col("p_partkey"), "left")
     shipped, days = F.to_date("l_shipdate"), F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate"))
     x = x.select(
         F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("account_key"), F.last_day(shipped).alias("_observ_end_dt"),

@@ -768,3 +768,23 @@ def test_scratch_tables_go_with_their_root(spark):
         folder = os.path.dirname(df.inputFiles()[0]).removeprefix("file://")
         assert df.count() == 5 and "/run-" in folder and os.path.isdir(folder)
     assert not os.path.exists(os.path.dirname(folder)) and SE.scratch_dir(spark, "x") == before
+
+
+def test_fact_join_bounds_the_rows_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(J, "FACT_ROWS", 100)
+    orders = spark.createDataFrame([(k, k % 7) for k in range(300)] + [(5, 9), (None, 1)], "o_orderkey long, c int")
+    facts = spark.createDataFrame([(i % 320, i) for i in range(2000)] + [(None, -1)], "l_orderkey long, v int")
+    got = J.fact_join(facts, orders)
+    sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1887 and len(sizes) > 15 and max(sizes) <= 250
+    plain = facts.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    assert sorted(got.collect()) == sorted(plain.collect())
+
+
+@pytest.mark.parametrize("name", [
+    "pivot_six_measures", "bibanking_with_products", "current_account_month", "month_features", "saving_account_month",
+    "debt_conditions", "movement_pivots", "channel_transfers", "saving_month"])
+def test_month_queries_deal_the_fact_join_by_rows(spark, name):
+    from featuremart.plans import QUERIES
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2, plan
