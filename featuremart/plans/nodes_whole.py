@@ -5,6 +5,9 @@ node and the whole credit-card node."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ from featuremart.operators import aggregates as A
 from featuremart.operators.columns import fill_numeric_zero, to_val_columns
 from featuremart.operators.broadcast import join_small
 from featuremart.operators.columns import label_missing_text
-from featuremart.operators.joins import add_rate, fact_join, join_all
+from featuremart.operators.joins import add_rate, fact_join, fact_tasks, join_all
 from featuremart.plans import layers2, layers3  # noqa: F401  (their oracles are parts of the whole nodes')
 from featuremart.plans.cleaning import _case_sql, _slug_sql, cleaned_columns
 from featuremart.plans.customer import ratio4
@@ -272,23 +275,30 @@ def credit_card_node_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor(days / 30).cast("int") * 30).alias("arrears_days"), F.round(F.col("l_discount") * 100).cast("int").alias("promo_days"),
         "p_type", F.struct(shipped.alias("shipped"), "l_orderkey", "l_linenumber", "p_brand").alias("move"))
     # every part of the node in one grouped pass over one fact join; its customer grain (TR-10) is the
-    # sum of the accounts' sums, added up after the pass
+    # sum of the accounts' sums, added up after the pass. Movements and balances are dealt out by the
+    # customer once, as narrow rows: the sixty measures are grouped, summed up per customer and meet
+    # their balance where they are, and no wide row is exchanged
+    balances = card_balances(spark, sf_dir).select(*ACCOUNT_MONTH, F.col("balance_unified_val").alias("snapshot_balance"))
+    x = x.unionByName(balances, allowMissingColumns=True).repartition(fact_tasks(li), "customer_key")
     instalment = [F.sum("amount").alias("i_total"), total(F.col("l_returnflag") != "R").alias("i_paid"),
                   *[total(F.col("p_type") == g).alias(f"i_{g.lower()}") for g in INSTALMENT_GROUPS]]
     status = [c for c in card_account_aggs()]
-    a = x.groupBy(*ACCOUNT_MONTH).agg(*card_month_measures(), *payment_aggs(), *status, F.max("move").alias("move"), *instalment)
+    a = x.groupBy(*ACCOUNT_MONTH).agg(*card_month_measures(), *payment_aggs(), *status, F.max("move").alias("move"), *instalment,
+                                      F.max("snapshot_balance").alias("snapshot_balance")).where(F.col("move").isNotNull())
+    # as in a join, a null key meets no balance
+    keyed = reduce(and_, [F.col(c).isNotNull() for c in ACCOUNT_MONTH])
+    a = a.withColumn("snapshot_balance", F.when(keyed, F.col("snapshot_balance")))
     whole = Window.partitionBy("customer_key")
     sums = ["i_total", "i_paid", *[f"i_{g.lower()}" for g in INSTALMENT_GROUPS]]
     a = a.withColumns({c: F.sum(c).over(whole) for c in sums})
     a = add_rate(a, rates(spark, sf_dir), "_observ_end_dt", snapshot=True).withColumn("card_code", F.col("move.p_brand"))
     payments = [m.removesuffix("_val") for m in PAYMENT_MEASURES]
-    a = card_month_columns(a, (*payments, *STATUS_MEASURES, "card_code", F.col("i_total").alias("instalments"),
+    a = card_month_columns(a, (*payments, *STATUS_MEASURES, "card_code", "snapshot_balance", F.col("i_total").alias("instalments"),
                                *[F.col(c).alias(f"instalments_{c[2:]}") for c in sums[1:]]))
     card = F.struct("category", "next_card", "company_flag", "premium_flag")
     cards = card_catalog(spark, sf_dir).groupBy("card_code").agg(F.min(card).alias("card")).select(
         "card_code", "card.category", "card.next_card", "card.premium_flag")
-    balances = card_balances(spark, sf_dir).select(*ACCOUNT_MONTH, F.col("balance_unified_val").alias("snapshot_balance_val"))
-    out = join_small(a, cards, "card_code", "left").join(balances, ACCOUNT_MONTH, "left")
+    out = join_small(a, cards, "card_code", "left")
     return fill_numeric_zero(out, ["premium_flag"]).withColumns({
         "category": F.coalesce("category", F.lit("other")),
         "instalments_ratio": F.when(F.col("instalments_val") > 0, ratio4("instalments_paid_val", "instalments_val"))})

@@ -788,3 +788,29 @@ def test_month_queries_deal_the_fact_join_by_rows(spark, name):
     from featuremart.plans import QUERIES
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_NUM") == 2, plan
+
+
+def test_card_node_exchanges_no_wide_rows(spark):
+    from featuremart.plans import QUERIES
+    plan = QUERIES["credit_card_node_whole"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    # joined by sorting: line items with orders, the catalog's grades; by customer go the snapshots' orders, and movements with balances
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning(customer_key") == 2, plan
+
+
+def test_card_node_keeps_balances_of_its_own_months(spark, tmp_path):
+    from featuremart.plans import QUERIES
+    day = dt.datetime
+    spark.createDataFrame([(1, "Brand#1", "PROMO", "n", 9.0)], "p_partkey long, p_brand string, p_type string, p_name string, p_retailprice double") \
+        .write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(1, 4, "1-URGENT", "F", day(2020, 1, 5), 10.0), (2, 4, "1-URGENT", "O", day(2020, 2, 3), 20.0),
+                           (3, None, "1-URGENT", "F", day(2020, 1, 5), 30.0)],
+                          "o_orderkey long, o_custkey long, o_orderpriority string, o_orderstatus string, o_orderdate timestamp, o_totalprice double") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(k, n, 1, 2, 100.0, 0.05, "R", "F", d) for k, n, d in [
+        (1, 1, day(2020, 1, 9)), (1, 2, day(2020, 3, 9)), (3, 1, day(2020, 1, 9))]],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_discount double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {(r.customer_key, r._observ_end_dt): r.snapshot_balance_val
+           for r in QUERIES["credit_card_node_whole"](spark, str(tmp_path)).collect()}
+    # a month with a balance and no movement has no row, a null customer meets no balance
+    assert got == {(4, dt.date(2020, 1, 31)): Decimal("10.00"), (4, dt.date(2020, 3, 31)): None, (None, dt.date(2020, 1, 31)): None}
