@@ -4,15 +4,18 @@ Every whole text gives exact rule statistics (words, characters, symbols,
 repeated lines, repeated five-word windows). Each becomes a rate free of length
 (FEATURES), and each rate has its own trees: good texts spread widely on some of
 them (repeated lines and windows, length), and in trees over all rates together
-that spread hides what is odd on another. A tree takes SUBSAMPLE of the rows
-labelled good and splits the whole labelled range of its rate at random; a text
-that few splits part from all good rows has a short path and a high anomaly score.
+that spread hides what is odd on another. A tree takes SUBSAMPLE rows of its own, drawn
+from all rows labelled good (the isolation forest's method), and splits the whole
+labelled range of its rate at random; a text that few splits part from all good rows
+has a short path and a high anomaly score.
 
 Thresholds, one per rate, are calibrated on labelled rows of both kinds that pass
 the base rules: the lowest score at which at most ``max_false_reject`` of the good
 rows, and bad rows for ``precision`` of all, lie at or above it. A rate on which no
-score does that rejects nothing. Fitting reads a bounded sample (``max_labelled``
-rows in hash order of doc_id).
+score does that rejects nothing. Ranges, draws and thresholds come from every labelled
+row: Spark joins, scores and counts them. The driver gets the draws (TREES x SUBSAMPLE
+rows) and the rows per score; a forest of TREES x 255 splits of one rate has at most
+TREES x 255 + 1 scores, however many rows there are.
 
 The statistics are written once to the shared folder; fitting and scoring read
 that narrow table, not the texts again. The model is 5 x TREES x 511 nodes.
@@ -29,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featuremart.llm.common import written
@@ -41,6 +44,7 @@ SYMBOLS = b"#*$%&|<>"
 BLOCK_WORDS = 1 << 20
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 FEATURES = ["symbols per word", "log of mean word length", "repeated lines per line", "repeated words per word", "log of words"]
+RATES = [f"r{i}" for i in range(len(FEATURES))]
 
 
 def repeated_words(docs: list[list[bytes]], size: int = 5) -> np.ndarray:
@@ -148,14 +152,20 @@ class Forest:
 
 
 def grow(x: np.ndarray, low: float, high: float, seed: int = 7) -> Forest:
-    """Trees over the values ``x``, split at random between ``low`` and ``high``."""
+    """Trees over draws from the values ``x``, split at random between ``low`` and ``high``."""
+    rng = np.random.default_rng(seed)
+    return trees([x[rng.choice(len(x), min(SUBSAMPLE, len(x)), replace=False)] for _ in range(TREES)], low, high, seed + 1)
+
+
+def trees(drawn: list[np.ndarray], low: float, high: float, seed: int = 7) -> Forest:
+    """A tree over each of the ``drawn`` sets of values."""
     rng = np.random.default_rng(seed)
     nodes = 2 ** (DEPTH + 1) - 1
-    inner = np.zeros((TREES, nodes), bool)
-    split, path = np.zeros((TREES, nodes)), np.zeros((TREES, nodes))
-    size = min(SUBSAMPLE, len(x))
-    for t in range(TREES):
-        todo = [(0, x[rng.choice(len(x), size, replace=False)], 0, low, high)]
+    inner = np.zeros((len(drawn), nodes), bool)
+    split, path = np.zeros((len(drawn), nodes)), np.zeros((len(drawn), nodes))
+    size = max(map(len, drawn))
+    for t, x in enumerate(drawn):
+        todo = [(0, x, 0, low, high)]
         while todo:
             i, part, depth, lo, hi = todo.pop()
             if depth == DEPTH or len(part) <= 1 or hi <= lo:
@@ -170,33 +180,79 @@ def grow(x: np.ndarray, low: float, high: float, seed: int = 7) -> Forest:
 
 def calibrated(score: np.ndarray, good: np.ndarray, max_false_reject: float, precision: float) -> float:
     """The lowest score that few good rows reach, and mostly bad ones."""
+    return counted_level(score, good.astype(float), (~good).astype(float), max_false_reject, precision)
+
+
+def counted_level(score: np.ndarray, good: np.ndarray, bad: np.ndarray, max_false_reject: float, precision: float) -> float:
+    """``calibrated`` from the numbers of ``good`` and ``bad`` rows of each score."""
     level, at = np.unique(score, return_inverse=True)
-    from_top = [np.cumsum(np.bincount(at, weights=w, minlength=len(level))[::-1])[::-1] for w in (good, ~good)]
-    n_good, n_bad = from_top
+    n_good, n_bad = (np.cumsum(np.bincount(at, weights=w, minlength=len(level))[::-1])[::-1] for w in (good, bad))
     ok = (n_good <= max_false_reject * good.sum()) & (n_bad >= precision * (n_bad + n_good)) & (n_bad > 0)
     return float(level[ok].min()) if ok.any() else math.inf
 
 
-def fit(stats: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_false_reject: float = 0.001,
-        precision: float = 0.9, key: str = "doc_id") -> list[Forest] | None:
-    """One forest per feature."""
-    rows = labels.select(F.col(key), F.col("quality").cast("int").alias("good")) \
+def labelled(stats: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Every labelled document that passes the base rules, once: its key, good
+    and its rates r0, r1, ..."""
+    kind = stats.schema[key].dataType.simpleString()
+    mark = labels.select(F.col(key), F.col("quality").cast("int").alias("good")) \
         .where(F.col(key).isNotNull() & F.col("quality").isin(0, 1)) \
-        .groupBy(key).agg(F.min("good").alias("good")) \
-        .orderBy(F.xxhash64(key), key).limit(max_labelled)  # bounded, so broadcast
-    got = stats.join(F.broadcast(rows), key) \
-        .groupBy(key).agg(F.first("good").alias("good"), *[F.min(c).alias(c) for c in STATS]) \
-        .orderBy(key).collect()
-    stat = np.array([[r[c] for c in STATS] for r in got], float).reshape(-1, len(STATS))
-    passed = ~base_failed(stat)
-    good, x = np.array([r.good == 1 for r in got], bool)[passed], rates(stat[passed])
-    if not len(good) or good.all() or not good.any():
+        .groupBy(key).agg(F.min("good").alias("good"))
+    rows = stats.groupBy(key).agg(*[F.min(c).alias(c) for c in STATS]).join(mark, key)
+
+    def run(batches):
+        for b in batches:
+            s = np.column_stack([b.column(c).to_numpy() for c in STATS]) if b.num_rows else np.zeros((0, len(STATS)), np.int64)
+            b = b.filter(pa.array(~base_failed(s)))
+            yield pa.RecordBatch.from_arrays([b.column(key), b.column("good"), *map(pa.array, rates(s[~base_failed(s)]).T)],
+                                             names=[key, "good", *RATES])
+
+    return rows.select(key, "good", *STATS).mapInArrow(run, f"`{key}` {kind}, good int, " + ", ".join(f"{r} double" for r in RATES))
+
+
+def draws(good: DataFrame, n: int, key: str = "doc_id") -> list[np.ndarray]:
+    """Per tree the rates of SUBSAMPLE of the ``n`` good rows (all, if fewer), those
+    of smallest hash with the tree's number: each row is as likely as any other.
+    Hashes over twice the share looked for are left out before the ranking."""
+    at = F.xxhash64(F.col(key), F.col("tree"))
+    rows = good.select(key, *RATES, F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).withColumn("at", at)
+    if n > 4 * SUBSAMPLE:
+        share = 2 * SUBSAMPLE / n
+        rows = rows.where(F.col("at") < F.lit(int(-2 ** 63 + share * 2 ** 64)))
+    first = Window.partitionBy("tree").orderBy("at", key)
+    got = rows.withColumn("no", F.row_number().over(first)).where(F.col("no") <= SUBSAMPLE).orderBy("tree", "no").collect()
+    out: list[list] = [[] for _ in range(TREES)]
+    for r in got:
+        out[r.tree].append([r[c] for c in RATES])
+    return [np.array(x, float) for x in out]
+
+
+def score_counts(rows: DataFrame, forests: list[Forest], key: str = "doc_id") -> list[tuple]:
+    """Per forest its scores over all ``rows``, with the good and bad rows of each."""
+    def run(batches):
+        for b in batches:
+            for i, f in enumerate(forests):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, i, np.int32)), pa.array(f.score(b.column(RATES[i]).to_numpy())),
+                                                  b.column("good")], names=["forest", "score", "good"])
+
+    got = rows.select("good", *RATES).mapInArrow(run, "forest int, score double, good int").groupBy("forest", "score").agg(
+        F.sum("good").alias("n_good"), F.sum(1 - F.col("good")).alias("n_bad")).collect()
+    return [tuple(np.array([r[c] for r in got if r.forest == i], float) for c in ("score", "n_good", "n_bad"))
+            for i in range(len(forests))]
+
+
+def fit(stats: DataFrame, labels: DataFrame, max_false_reject: float = 0.001,
+        precision: float = 0.9, key: str = "doc_id") -> list[Forest] | None:
+    """One forest per feature, from every labelled row."""
+    rows = written(stats.sparkSession, labelled(stats, labels, key), "quality-labelled")
+    n = rows.agg(F.count(F.lit(1)).alias("all"), F.sum("good").alias("good"), *[F.min(r).alias(f"{r}_low") for r in RATES],
+                 *[F.max(r).alias(f"{r}_high") for r in RATES]).first()
+    if not n["good"] or n["good"] == n["all"]:
         return None
-    forests = []
-    for f in x.T:
-        forest = grow(f[good], float(f.min()), float(f.max()))
-        forest.threshold = calibrated(forest.score(f), good, max_false_reject, precision)
-        forests.append(forest)
+    drawn = draws(rows.where("good = 1"), n["good"], key)
+    forests = [trees([x[:, i] for x in drawn], n[f"{r}_low"], n[f"{r}_high"]) for i, r in enumerate(RATES)]
+    for f, counts in zip(forests, score_counts(rows, forests, key)):
+        f.threshold = counted_level(*counts, max_false_reject, precision)
     return forests
 
 

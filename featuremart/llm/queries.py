@@ -50,9 +50,8 @@ def op3_rendezvous_shards(spark: SparkSession, sf_dir: str, shards: int = 16) ->
 
 
 @query
-def op4_quality_forest(spark: SparkSession, sf_dir: str, max_labelled: int = 20_000) -> DataFrame:
-    out = quality_forest.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
-                                 max_labelled=max_labelled)
+def op4_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_forest.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", "anomaly")
 
