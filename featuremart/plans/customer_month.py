@@ -20,7 +20,7 @@ from featuremart.operators import windows as W
 from featuremart.operators.columns import fill_numeric_zero, to_val_columns
 from featuremart.plans.customer import _ratio4_sql, ratio4
 from featuremart.operators.broadcast import join_small
-from featuremart.operators.joins import add_rate, fact_join, greatest_on_or_after
+from featuremart.operators.joins import add_rate, fact_join, fact_tasks, greatest_on_or_after
 from featuremart.plans.inputs import FOREIGN, HOME, RATES_SQL, TRANSACTIONS_SQL, rates, t, transactions
 from featuremart.plans.registry import register
 
@@ -670,19 +670,24 @@ INVESTMENTS_SQL = f"""
         LEFT JOIN ({RATES_SQL}) r ON r.rate_date = last_day(CAST(l_shipdate AS DATE)))"""
 
 
-def investments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def investments(spark: SparkSession, sf_dir: str, by: list[str] | None = None) -> DataFrame:
     """Investment accounts with their flags, months in force, amounts and the
-    month end's rate: one fact join, one catalog join."""
+    month end's rate: one fact join, one catalog join. ``by``: keys the caller
+    groups by; the narrow stored columns are then dealt out by them before the
+    amounts are made, and no partial sums (wider, hardly fewer) are exchanged."""
     li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
                                              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     p = t(spark, sf_dir, "part").select("p_partkey", "p_type", F.col("p_retailprice").cast("decimal(18,2)").alias("initial"))
     x = join_small(fact_join(li, o), p, F.col("l_partkey") == F.col("p_partkey"), "inner")
+    x = x.withColumns({"customer_key": F.col("o_custkey"), "_observ_end_dt": F.last_day(F.to_date("l_shipdate"))})
+    if by:
+        x = x.repartition(fact_tasks(li), *by)
     price, share = F.col("l_extendedprice").cast("decimal(18,2)"), [F.col(c).cast("decimal(4,2)") for c in ("l_discount", "l_tax")]
     opened, closed = F.to_date("o_orderdate"), F.to_date("l_shipdate")
     x = x.select(
-        F.col("l_orderkey").alias("account_key"), F.col("l_linenumber").alias("part_no"), F.col("o_custkey").alias("customer_key"),
-        F.last_day(closed).alias("_observ_end_dt"), "p_type", F.when(F.col("l_suppkey") % 2 == 0, HOME).otherwise(FOREIGN).alias("currency_id"),
+        F.col("l_orderkey").alias("account_key"), F.col("l_linenumber").alias("part_no"), "customer_key",
+        "_observ_end_dt", "p_type", F.when(F.col("l_suppkey") % 2 == 0, HOME).otherwise(FOREIGN).alias("currency_id"),
         F.col("l_returnflag").alias("kind"), L.map_lookup("l_returnflag", INV_STATES, "unknown", normalize=True).alias("state"),
         opened.alias("opened"), closed.alias("closed"), F.when(F.col("l_linestatus") == "F", F.date_add(opened, 30)).alias("due"),
         D.whole_months_between(closed, opened).alias("term"),
@@ -735,7 +740,7 @@ SELECT customer_key, _observ_end_dt, CAST(count(*) AS BIGINT) AS investments_cnt
 FROM ({INVESTMENTS_SQL}) GROUP BY 1, 2
 """)
 def investment_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = investments(spark, sf_dir)
+    x = investments(spark, sf_dir, MONTH)
     foreign = F.col("currency_id") == FOREIGN
 
     def home(name: str) -> Column:

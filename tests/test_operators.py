@@ -814,3 +814,11 @@ def test_card_node_keeps_balances_of_its_own_months(spark, tmp_path):
            for r in QUERIES["credit_card_node_whole"](spark, str(tmp_path)).collect()}
     # a month with a balance and no movement has no row, a null customer meets no balance
     assert got == {(4, dt.date(2020, 1, 31)): Decimal("10.00"), (4, dt.date(2020, 3, 31)): None, (None, dt.date(2020, 1, 31)): None}
+
+
+def test_investment_month_exchanges_no_partial_sums(spark):
+    from featuremart.plans import QUERIES
+    plan = QUERIES["investment_month"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    grouped = plan.index("Aggregate(key=[customer_key")
+    partial = plan.index("Aggregate(key=[customer_key", grouped + 1)
+    assert "Exchange" not in plan[grouped:partial], plan[grouped:partial]
